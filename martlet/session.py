@@ -37,6 +37,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     """Local or cluster session with the settings above; UI off."""
     b = (SparkSession.builder.master(master).appName(app_name)
          .config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false")
          .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", os.environ.get("MARTLET_DRIVER_MEMORY", "8g")))
     for k, v in {**TUNING, **(extra or {})}.items():

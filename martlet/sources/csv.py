@@ -9,7 +9,7 @@ should arrive as many files (or be converted to Parquet once, which is what
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -58,18 +58,18 @@ def read_extract_csv(spark: SparkSession, path: str, schema: StructType) -> Data
     return read_csv(spark, path, schema, multiline=True)
 
 
-def load_defects(df: DataFrame, expected_rows: int | None, required: list[str]) -> DataFrame:
+def load_defects(df: DataFrame, expected_rows, required: list[str]) -> DataFrame:
     """Signs of a broken load: more rows than the source documents and NULLs
     in columns the source system always fills. One row per required column:
-    (column, rows, expected_rows, excess_rows, nulls)."""
+    (column_name, rows, expected_rows, excess_rows, nulls)."""
     aggs = [F.count(F.lit(1)).alias("rows")]
     aggs += [F.count_if(F.col(c).isNull()).alias(f"n_{i}") for i, c in enumerate(required)]
     one = df.agg(*aggs)
     stack = ", ".join(f"'{c}', n_{i}" for i, c in enumerate(required))
-    exp = F.lit(expected_rows).cast("bigint")
+    exp = (expected_rows if isinstance(expected_rows, Column) else F.lit(expected_rows)).cast("bigint")
     return one.select(
-        "rows", F.expr(f"stack({len(required)}, {stack}) as (column, nulls)")
-    ).select("column", "rows", exp.alias("expected_rows"),
+        "rows", F.expr(f"stack({len(required)}, {stack}) as (column_name, nulls)")
+    ).select("column_name", "rows", exp.alias("expected_rows"),
              (F.col("rows") - exp).alias("excess_rows"), "nulls")
 
 

@@ -193,7 +193,37 @@ class FixtureSources:
                     F.col("c_mktsegment").alias("geolocation_city"),
                     F.col("n_name").alias("geolocation_state")))
 
-    def raw(self) -> dict[str, DataFrame]:
-        return {name: getattr(self, name)() for name in (
-            "orders", "order_items", "order_payments", "order_reviews", "customers",
-            "products", "sellers", "geolocation", "category_name_translation")}
+    def raw(self) -> "LazyTables":
+        return LazyTables(self, ("orders", "order_items", "order_payments", "order_reviews",
+                                 "customers", "products", "sellers", "geolocation",
+                                 "category_name_translation"))
+
+
+class LazyTables(dict):
+    """Mapping name -> DataFrame that builds each frame on first access."""
+
+    def __init__(self, src: FixtureSources, names):
+        super().__init__()
+        self._src, self._names = src, tuple(names)
+
+    def __missing__(self, name):
+        if name not in self._names:
+            raise KeyError(name)
+        df = getattr(self._src, name)()
+        self[name] = df
+        return df
+
+    def keys(self):
+        return list(self._names)
+
+    def __iter__(self):
+        return iter(self._names)
+
+    def __len__(self):
+        return len(self._names)
+
+    def items(self):
+        return [(n, self[n]) for n in self._names]
+
+    def values(self):
+        return [self[n] for n in self._names]
