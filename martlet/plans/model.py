@@ -22,11 +22,14 @@ MART_TABLES = ("dim_date", "dim_customer", "dim_product", "dim_seller",
 
 class Model:
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame],
-                 params: ModelParams | None = None, marts: dict[str, DataFrame] | None = None):
+                 params: ModelParams | None = None, marts: dict[str, DataFrame] | None = None,
+                 supplied=None):
         self.spark = spark
         self.raw = raw
         self.params = params or ModelParams()
         self._marts = marts or {}
+        # where the raw tables came from (an object with ``t(name)``), if any
+        self.supplied = supplied
 
     # staging (lazy views)
     @cached_property
@@ -124,4 +127,14 @@ class Model:
                 w = df.sortWithinPartitions("order_id")
             w.write.mode("overwrite").parquet(f"{root}/{name}")
             out[name] = self.spark.read.parquet(f"{root}/{name}")
-        return Model(self.spark, self.raw, self.params, out)
+        return Model(self.spark, self.raw, self.params, out, self.supplied)
+
+    def with_raw_written(self, path: str) -> "Model":
+        """Write every raw table once as Parquet under ``path/raw`` (the raw
+        layer, full replace) and return a model over those files."""
+        root = path.rstrip("/")
+        raw = {}
+        for name in list(self.raw.keys()):
+            self.raw[name].write.mode("overwrite").parquet(f"{root}/raw/{name}")
+            raw[name] = self.spark.read.parquet(f"{root}/raw/{name}")
+        return Model(self.spark, raw, self.params, None, self.supplied)

@@ -87,7 +87,11 @@ def stage_category_translation(raw: DataFrame, patches=REFERENCE_TRANSLATION_PAT
     if not patches:
         return base
     spark = spark or raw.sparkSession
-    extra = spark.createDataFrame(list(patches), "category_name_pt string, category_name_en string")
+    # literal rows as an inline relation: its size is known to the planner,
+    # unlike a DataFrame created from a Python list
+    rows = F.array(*[F.struct(F.lit(pt).alias("category_name_pt"), F.lit(en).alias("category_name_en"))
+                     for pt, en in patches])
+    extra = spark.range(1).select(F.inline(rows))
     return base.unionByName(extra)
 
 

@@ -56,13 +56,19 @@ def apply_required(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by whoever runs the job and is respected as is.
-    Only when it is unset (local runs, tests) is a private folder created.
+    On a cluster this is set by whoever runs the job (it is a static
+    setting) and is used as is, also for reliable ``checkpoint()``. Only
+    when nothing is configured (local runs, tests) is a private folder
+    created and registered as the checkpoint folder.
     """
+    sc = spark.sparkContext
     d = spark.conf.get(CHECKPOINT_CONF, None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="martlet-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, d)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(d)
-    return d.rstrip("/")
+    if d:
+        if sc.getCheckpointDir() is None:
+            sc.setCheckpointDir(d)
+        return d.rstrip("/")
+    current = sc.getCheckpointDir()
+    if current is None:
+        current = tempfile.mkdtemp(prefix="martlet-ckpt-")
+        sc.setCheckpointDir(current)
+    return current.rstrip("/")

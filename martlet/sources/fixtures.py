@@ -59,11 +59,19 @@ class FixtureSources:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self._items: DataFrame | None = None
 
     def t(self, name: str) -> DataFrame:
         return supplied(self.spark, self.sf_dir, name)
 
     def order_items(self) -> DataFrame:
+        """Items numbered 1..n within each order (the numbering pass runs
+        once per adapter; payments derive from the same frame)."""
+        if self._items is None:
+            self._items = self._number_items()
+        return self._items
+
+    def _number_items(self) -> DataFrame:
         li = self.t("lineitem")
         price = F.col("l_extendedprice").cast("decimal(10,2)")
         numbered = sequence_within(

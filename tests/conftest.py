@@ -11,8 +11,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 def spark():
     from martlet.session import build_session
     s = build_session(master="local[*]", shuffle_partitions=8, app_name="martlet-tests")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="martlet-test-ckpt-"))
     yield s
     s.stop()
 
