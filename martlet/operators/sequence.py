@@ -10,9 +10,12 @@ with one row per (partition, key) - a hot key contributes at most one row
 per partition - and the final join is on (partition, key), which splits a
 hot key the same way.
 
-The range-partitioned data is checkpointed once (to the shared checkpoint
-folder) so both uses of it see identical partitions; range bounds come
-from sampling and would not be reproducible otherwise.
+The range-partitioned, numbered rows are written once as Parquet to the
+shared checkpoint folder and read back, so both uses of them see the same
+rows and numbers (range bounds come from sampling and would not be
+reproducible on recomputation), and a lost executor re-reads files instead
+of recomputing the sort. Partition and row ids travel as columns, so
+nothing later depends on the physical layout.
 
 Exact percentiles use the same numbering: the two rows around the target
 rank are located from the per-(partition, key) counts, then fetched by
@@ -21,6 +24,7 @@ their unique row id, so no step holds all values of a group.
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -29,15 +33,21 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 
+def _written(df: DataFrame) -> DataFrame:
+    """Write ``df`` to a fresh folder under the shared checkpoint folder and
+    read it back (cuts the lineage, survives executor loss)."""
+    path = f"{shared_dir(df.sparkSession)}/martlet-seq-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def _ranked_parts(df: DataFrame, keys: list[str], order: list[str]):
     """(tagged rows, per-(partition, key) first id / count / offset)."""
-    shared_dir(df.sparkSession)
     sort_cols = [F.col(c) for c in keys + order]
-    tagged = (df.repartitionByRange(*sort_cols)
-              .sortWithinPartitions(*sort_cols)
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id())
-              .checkpoint(eager=True))
+    tagged = _written(df.repartitionByRange(*sort_cols)
+                      .sortWithinPartitions(*sort_cols)
+                      .withColumn("_pid", F.spark_partition_id())
+                      .withColumn("_mid", F.monotonically_increasing_id()))
     before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     parts = (tagged.groupBy("_pid", *keys)
              .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt"))

@@ -13,9 +13,12 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.tables import register_views, save_table
 from . import dims, extracts, facts, staging
 from .scope import ModelParams
 
+STAGING_TABLES = ("orders", "order_items", "order_payments", "order_reviews", "customers",
+                  "products", "sellers", "category_translation")
 MART_TABLES = ("dim_date", "dim_customer", "dim_product", "dim_seller",
                "fct_order_items", "fct_orders")
 
@@ -117,24 +120,19 @@ class Model:
         """Write dimensions and facts under ``path`` (shared storage) and
         return a model whose marts read those files."""
         root = path.rstrip("/")
-        out = {}
-        for name in MART_TABLES:
-            df = getattr(self, name)
-            w = df
-            if name == "fct_order_items":
-                w = df.sortWithinPartitions("order_id", "order_item_id")
-            elif name == "fct_orders":
-                w = df.sortWithinPartitions("order_id")
-            w.write.mode("overwrite").parquet(f"{root}/{name}")
-            out[name] = self.spark.read.parquet(f"{root}/{name}")
+        sort = {"fct_order_items": ["order_id", "order_item_id"], "fct_orders": ["order_id"]}
+        out = {name: save_table(getattr(self, name), f"{root}/{name}", sort.get(name))
+               for name in MART_TABLES}
         return Model(self.spark, self.raw, self.params, out, self.supplied)
 
     def with_raw_written(self, path: str) -> "Model":
         """Write every raw table once as Parquet under ``path/raw`` (the raw
         layer, full replace) and return a model over those files."""
         root = path.rstrip("/")
-        raw = {}
-        for name in list(self.raw.keys()):
-            self.raw[name].write.mode("overwrite").parquet(f"{root}/raw/{name}")
-            raw[name] = self.spark.read.parquet(f"{root}/raw/{name}")
+        raw = {name: save_table(self.raw[name], f"{root}/raw/{name}") for name in list(self.raw.keys())}
         return Model(self.spark, raw, self.params, None, self.supplied)
+
+    def staging_views(self, prefix: str = "stg_") -> list[str]:
+        """Register the staging layer as temporary views (lazy, like the
+        reference's staging views)."""
+        return register_views({name: getattr(self, name) for name in STAGING_TABLES}, prefix)

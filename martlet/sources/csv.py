@@ -51,7 +51,11 @@ def write_extract_csv(df: DataFrame, path: str) -> None:
     """Export a result set as CSV with a header (full replace). Quoting
     mirrors the reader, so an export reads back to the same rows."""
     (df.write.mode("overwrite").option("header", "true").option("quote", '"')
-     .option("escape", '"').csv(path))
+     .option("escape", '"')
+     # full microsecond precision; the defaults drop the last three digits
+     .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
+     .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+     .csv(path))
 
 
 def read_extract_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:

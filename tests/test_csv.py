@@ -58,3 +58,17 @@ def test_extract_round_trip(spark, scratch):
     back = read_extract_csv(spark, path, df.schema)
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
     assert back.agg(F.sum("n")).first()[0] == 3
+
+
+def test_layers_and_materialise(spark, scratch):
+    from martlet.sources.tables import create_schemas, register_views, save_table
+    paths = create_schemas(spark, os.path.join(scratch, "lake"))
+    assert set(paths) == {"raw", "staging", "marts"}
+    assert {r.namespace for r in spark.sql("SHOW SCHEMAS").collect()} >= {"raw", "staging", "marts"}
+    df = spark.createDataFrame([(2, "b"), (1, "a")], "k int, v string")
+    back = save_table(df, paths["marts"] + "/t", ["k"])
+    assert sorted(map(tuple, back.collect())) == [(1, "a"), (2, "b")]
+    save_table(df.limit(1), paths["marts"] + "/t")
+    assert spark.read.parquet(paths["marts"] + "/t").count() == 1
+    register_views({"t": spark.read.parquet(paths["marts"] + "/t")}, prefix="v_")
+    assert spark.sql("SELECT count(*) AS n FROM v_t").first().n == 1

@@ -1,0 +1,25 @@
+"""Incremental raw load: new files are appended once, old ones not again."""
+
+import os
+
+from martlet.streaming.ingest import ingest_available
+
+HEADER = ('review_id,order_id,review_score,review_comment_title,review_comment_message,'
+          'review_creation_date,review_answer_timestamp\n')
+
+
+def test_incremental_ingest_exactly_once(spark, scratch):
+    landing = os.path.join(scratch, "landing")
+    out = os.path.join(scratch, "raw_reviews")
+    ckpt = os.path.join(scratch, "ckpt")
+    os.makedirs(landing)
+    with open(os.path.join(landing, "part1.csv"), "w") as f:
+        f.write(HEADER + 'r1,o1,5,,"multi\nline",2018-01-18 00:00:00,2018-01-18 21:46:59\n')
+    assert ingest_available(spark, "order_reviews", landing, out, ckpt) == 1
+    with open(os.path.join(landing, "part2.csv"), "w") as f:
+        f.write(HEADER + 'r2,o2,1,,plain,2018-03-10 00:00:00,2018-03-11 03:05:13\n'
+                         'r3,o3,4,,"say ""hi""",2018-03-10 00:00:00,2018-03-11 03:05:13\n')
+    assert ingest_available(spark, "order_reviews", landing, out, ckpt) == 2
+    assert ingest_available(spark, "order_reviews", landing, out, ckpt) == 0
+    rows = {r.review_id: r.review_comment_message for r in spark.read.parquet(out).collect()}
+    assert rows == {"r1": "multi\nline", "r2": "plain", "r3": 'say "hi"'}
