@@ -15,7 +15,7 @@ from ..functions.expr import pct
 from .dedup import first_per_key
 from .joins import childless as _childless
 from .joins import fanout_rows, orphans
-from .sequence import percentile_within
+from .sequence import percentiles_within
 from .stack import union_all
 
 
@@ -224,7 +224,7 @@ def collapse(df: DataFrame, key: str, medians: list[str], modes: list[str],
     d = df.where(F.col(bounds[0]).between(bounds[1], bounds[2])) if bounds else df
     out = d.select(key).distinct()
     for c in medians:
-        out = out.join(percentile_within(d, [key], c, 0.5, f"median_{c}"), key, "left")
+        out = out.join(percentiles_within(d, [key], c, {f"median_{c}": 0.5}), key, "left")
     for c in modes:
         out = out.join(mode_per_key(d, key, c, f"mode_{c}"), key, "left")
     return out

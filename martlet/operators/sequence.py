@@ -68,31 +68,38 @@ def sequence_within(df: DataFrame, keys: list[str], order: list[str], out: str =
             .drop("_pid", "_mid", "_first", "_off", "_p_pid", *[f"_p_{k}" for k in keys]))
 
 
-def percentile_within(df: DataFrame, keys: list[str], value: str, p: float,
-                      out: str = "percentile") -> DataFrame:
-    """Exact interpolated percentile of ``value`` per key (the ``percentile``
-    aggregate's definition: position p*(n-1) between sorted values, NULLs
-    ignored). One row per key with at least one value."""
+def percentiles_within(df: DataFrame, keys: list[str], value: str,
+                       ps: dict[str, float]) -> DataFrame:
+    """Exact interpolated percentiles of ``value`` per key, one output column
+    per entry of ``ps`` (name -> p), from a single ranking pass. Same
+    definition as the ``percentile`` aggregate: position p*(n-1) between the
+    sorted values, NULLs ignored. One row per key with at least one value."""
     tagged, parts = _ranked_parts(df.where(F.col(value).isNotNull()).select(*keys, value),
                                   keys, [value])
-    whole = Window.partitionBy(*keys)
-    parts = (parts.withColumn("_n", F.sum("_cnt").over(whole))
-             .withColumn("_pos", F.lit(p) * (F.col("_n") - 1).cast("double"))
-             .withColumn("_lo", F.floor("_pos") + 1)
-             .withColumn("_hi", F.ceil("_pos") + 1))
+    parts = parts.withColumn("_n", F.sum("_cnt").over(Window.partitionBy(*keys)))
     targets = []
-    for side in ("_lo", "_hi"):
-        hit = (F.col(side) > F.col("_off")) & (F.col(side) <= F.col("_off") + F.col("_cnt"))
-        targets.append(parts.where(hit).select(
-            *keys, F.lit(side).alias("_side"), "_pos",
-            (F.col("_first") + F.col(side) - F.col("_off") - 1).alias("_tmid")))
-    t = targets[0].unionByName(targets[1])
+    for name, p in ps.items():
+        pos = F.lit(p) * (F.col("_n") - 1).cast("double")
+        for side, rank in (("lo", F.floor(pos) + 1), ("hi", F.ceil(pos) + 1)):
+            hit = (rank > F.col("_off")) & (rank <= F.col("_off") + F.col("_cnt"))
+            targets.append(parts.where(hit).select(
+                *keys, F.lit(f"{name}:{side}").alias("_side"), pos.alias("_pos"),
+                (F.col("_first") + rank - F.col("_off") - 1).alias("_tmid")))
+    t = reduce(DataFrame.unionByName, targets)
     picked = tagged.select(F.col("_mid").alias("_tmid"), F.col(value).alias("_v")).join(t, "_tmid")
-    lo_v = F.max(F.when(F.col("_side") == "_lo", F.col("_v")))
-    hi_v = F.max(F.when(F.col("_side") == "_hi", F.col("_v")))
-    pos = F.max("_pos")
-    lo_d, hi_d = lo_v.cast("double"), hi_v.cast("double")
-    # same arithmetic as Spark's exact percentile: (ceil - pos) * lo + (pos - floor) * hi
-    value_expr = F.when(F.ceil(pos) == pos, lo_d).otherwise(
-        (F.ceil(pos).cast("double") - pos) * lo_d + (pos - F.floor(pos).cast("double")) * hi_d)
-    return picked.groupBy(*keys).agg(value_expr.alias(out))
+    outs = []
+    for name in ps:
+        lo_d = F.max(F.when(F.col("_side") == f"{name}:lo", F.col("_v"))).cast("double")
+        hi_d = F.max(F.when(F.col("_side") == f"{name}:hi", F.col("_v"))).cast("double")
+        pos = F.max(F.when(F.col("_side") == f"{name}:lo", F.col("_pos")))
+        # same arithmetic as Spark's exact percentile: (ceil - pos) * lo + (pos - floor) * hi
+        outs.append(F.when(F.ceil(pos) == pos, lo_d).otherwise(
+            (F.ceil(pos).cast("double") - pos) * lo_d + (pos - F.floor(pos).cast("double")) * hi_d)
+            .alias(name))
+    return picked.groupBy(*keys).agg(*outs)
+
+
+def percentile_within(df: DataFrame, keys: list[str], value: str, p: float,
+                      out: str = "percentile") -> DataFrame:
+    """One exact percentile per key (see ``percentiles_within``)."""
+    return percentiles_within(df, keys, value, {out: p})

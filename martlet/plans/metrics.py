@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.expr import count_known, count_true, pct, rate_pct
 from ..operators.ranking import cumulative_share, share_of_total, top_n
-from ..operators.sequence import percentile_within
+from ..operators.sequence import percentiles_within
 from .extracts import with_bucket
 from .scope import REFERENCE_BUCKETS, REFERENCE_OPEN_BUCKET, REFERENCE_SLOW_TAIL_DAYS
 
@@ -60,11 +60,11 @@ def delivery_time_exact(orders_ext: DataFrame) -> DataFrame:
     distributed ranking instead of a per-group value buffer."""
     d = (orders_ext.where(F.col("delivery_days_exact").isNotNull())
          .select(F.lit("all").alias("population"), "delivery_days_exact"))
-    p50 = percentile_within(d, ["population"], "delivery_days_exact", 0.5, "median_days_exact")
-    p90 = percentile_within(d, ["population"], "delivery_days_exact", 0.9, "p90_days_exact")
+    pct_ = percentiles_within(d, ["population"], "delivery_days_exact",
+                              {"median_days_exact": 0.5, "p90_days_exact": 0.9})
     n = d.groupBy("population").agg(F.count(F.lit(1)).alias("delivered_orders"),
                                     F.avg("delivery_days_exact").alias("mean_days_exact"))
-    return n.join(p50, "population").join(p90, "population")
+    return n.join(pct_, "population")
 
 
 def negative_review_rate(orders_fact: DataFrame, delivered_only: bool = False) -> DataFrame:

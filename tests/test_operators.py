@@ -49,3 +49,13 @@ def test_first_per_key_matches_row_number(spark):
     a = ours.join(df.select("id", "ts", "v"), "id").select("k", "ts", "v")
     b = ref.join(df.select("id", "ts", "v"), "id").select("k", "ts", "v")
     assert sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.collect()), key=str)
+
+
+def test_percentiles_within_several_at_once(spark):
+    from martlet.operators.sequence import percentiles_within
+    df = _data(spark)
+    ours = {r.k: (r.a, r.b) for r in percentiles_within(df, ["k"], "v", {"a": 0.25, "b": 0.9}).collect()}
+    ref = {r.k: (r.a, r.b) for r in df.groupBy("k").agg(F.percentile("v", 0.25).alias("a"),
+                                                         F.percentile("v", 0.9).alias("b")).collect()}
+    assert ours.keys() == ref.keys()
+    assert all(abs(ours[k][i] - ref[k][i]) < 1e-9 for k in ref for i in (0, 1))
