@@ -32,7 +32,8 @@ def key_profile(df: DataFrame, candidates: list[list[str]]) -> DataFrame:
     frames = []
     for keys in candidates:
         distinct = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-        frames.append(distinct.agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("distinct_values"))
+        frames.append(distinct.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
+                                   F.count(F.lit(1)).alias("distinct_values"))
                       .select(F.lit("+".join(keys)).alias("key"), "rows", "distinct_values"))
     return union_all(frames).withColumn("is_unique", F.col("rows") == F.col("distinct_values"))
 

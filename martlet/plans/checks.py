@@ -86,7 +86,7 @@ def dim_product_detail(dim_product: DataFrame, unknown: str = "unknown") -> Data
 def dim_customer_detail(dim_customer: DataFrame) -> DataFrame:
     """V3 (customer): rows and distinct persons."""
     per_person = dim_customer.groupBy("customer_unique_id").agg(F.count(F.lit(1)).alias("n"))
-    return per_person.agg(F.sum("n").alias("rows"),
+    return per_person.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
                           F.count("customer_unique_id").alias("distinct_people"))
 
 
@@ -117,12 +117,13 @@ def fact_counts(items_fact: DataFrame, orders_fact: DataFrame, items: DataFrame,
 
 def revenue_reconciliation(items: DataFrame, orders: DataFrame, items_fact: DataFrame,
                            scope: Scope) -> DataFrame:
-    """V6: revenue in the filtered source equals fact revenue, exactly."""
+    """V6: revenue in the filtered source equals fact revenue, exactly
+    (NULL-safe: two empty inputs agree)."""
     so = scoped_orders(orders, scope).select("order_id")
     src = items.join(so, "order_id").agg(F.round(F.sum("price"), 2)).scalar()
     return (items_fact.agg(F.round(F.sum("revenue_net"), 2).alias("fact_revenue"))
             .select(src.alias("source_revenue"), "fact_revenue")
-            .withColumn("passed", F.col("source_revenue") == F.col("fact_revenue")))
+            .withColumn("passed", F.col("source_revenue").eqNullSafe(F.col("fact_revenue"))))
 
 
 def grain(df: DataFrame, keys: list[str], parent: str) -> DataFrame:
@@ -132,7 +133,7 @@ def grain(df: DataFrame, keys: list[str], parent: str) -> DataFrame:
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
     valid = per_key.where(F.greatest(*[F.col(k).isNull() for k in keys]) == F.lit(False))
     parents = per_key.where(F.col(parent).isNotNull()).select(parent).distinct()
-    return (per_key.agg(F.sum("n").alias("rows"))
+    return (per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
             .select("rows", valid.agg(F.count(F.lit(1))).scalar().alias("distinct_keys"),
                     parents.agg(F.count(F.lit(1))).scalar().alias("distinct_orders"))
             .withColumn("passed", F.col("rows") == F.col("distinct_keys")))
@@ -143,7 +144,7 @@ def facts_agree(items_fact: DataFrame, orders_fact: DataFrame) -> DataFrame:
     return (items_fact.agg(F.round(F.sum("revenue_net"), 2).alias("items_total"))
             .select("items_total",
                     orders_fact.agg(F.round(F.sum("revenue_net"), 2)).scalar().alias("orders_total"))
-            .withColumn("passed", F.col("items_total") == F.col("orders_total")))
+            .withColumn("passed", F.col("items_total").eqNullSafe(F.col("orders_total"))))
 
 
 def orphan_keys(items_fact: DataFrame, dim_product: DataFrame, dim_customer: DataFrame,
@@ -168,8 +169,8 @@ def breakdown_totals(items_fact: DataFrame, dim_product: DataFrame, dim_customer
         .agg(F.round(F.sum("revenue_net"), 2)).scalar()
     return (items_fact.agg(F.round(F.sum("revenue_net"), 2).alias("total"))
             .select(via_cat.alias("revenue_via_category"), via_state.alias("revenue_via_state"), "total")
-            .withColumn("passed", (F.col("revenue_via_category") == F.col("total"))
-                        & (F.col("revenue_via_state") == F.col("total"))))
+            .withColumn("passed", F.col("revenue_via_category").eqNullSafe(F.col("total"))
+                        & F.col("revenue_via_state").eqNullSafe(F.col("total"))))
 
 
 def headline_kpis(orders_fact: DataFrame) -> DataFrame:
@@ -222,8 +223,8 @@ def extract_totals(revenue_extract: DataFrame, delivery_extract: DataFrame, item
         fo.select("r").scalar().alias("orders_fact_total"),
         dx.select("o").scalar().alias("delivery_extract_orders"),
         fo.select("o").scalar().alias("orders_fact_rows"))
-    return out.withColumn("passed", (F.col("revenue_extract_total") == F.col("items_fact_total"))
+    return out.withColumn("passed", F.col("revenue_extract_total").eqNullSafe(F.col("items_fact_total"))
                           & (F.col("revenue_extract_items") == F.col("items_fact_rows"))
-                          & (F.col("delivery_extract_total") == F.col("orders_fact_total"))
+                          & F.col("delivery_extract_total").eqNullSafe(F.col("orders_fact_total"))
                           & (F.col("delivery_extract_orders") == F.col("orders_fact_rows")))
 
