@@ -41,10 +41,15 @@ def _written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _ranked_parts(df: DataFrame, keys: list[str], order: list[str]):
-    """(tagged rows, per-(partition, key) first id / count / offset)."""
+def _ranked_parts(df: DataFrame, keys: list[str], order: list[str], num_partitions: int | None = None):
+    """(tagged rows, per-(partition, key) first id / count / offset).
+    ``num_partitions`` fixes the range partition count; by default adaptive
+    execution sizes it (it only merges adjacent ranges up to the advisory
+    size, so a hot key still spans many partitions)."""
     sort_cols = [F.col(c) for c in keys + order]
-    tagged = _written(df.repartitionByRange(*sort_cols)
+    ranged = (df.repartitionByRange(num_partitions, *sort_cols) if num_partitions
+              else df.repartitionByRange(*sort_cols))
+    tagged = _written(ranged
                       .sortWithinPartitions(*sort_cols)
                       .withColumn("_pid", F.spark_partition_id())
                       .withColumn("_mid", F.monotonically_increasing_id()))
@@ -55,27 +60,30 @@ def _ranked_parts(df: DataFrame, keys: list[str], order: list[str]):
     return tagged, parts
 
 
-def sequence_within(df: DataFrame, keys: list[str], order: list[str], out: str = "rn") -> DataFrame:
+def sequence_within(df: DataFrame, keys: list[str], order: list[str], out: str = "rn",
+                    num_partitions: int | None = None) -> DataFrame:
     """``df`` plus ``out`` = 1, 2, ... within each key in ``order`` (ascending,
     NULLs first). Same numbers as row_number() when ``order`` is total."""
-    tagged, parts = _ranked_parts(df, keys, order)
+    tagged, parts = _ranked_parts(df, keys, order, num_partitions)
     p = parts.select(F.col("_pid").alias("_p_pid"), *[F.col(k).alias(f"_p_{k}") for k in keys],
                      "_first", "_off")
-    cond = (tagged["_pid"] == p["_p_pid"]) & reduce(
-        lambda a, b: a & b, [tagged[k].eqNullSafe(p[f"_p_{k}"]) for k in keys])
+    cond = reduce(lambda a, b: a & b, [tagged[k].eqNullSafe(p[f"_p_{k}"]) for k in keys],
+                  tagged["_pid"] == p["_p_pid"])
     return (tagged.join(p, cond)
             .withColumn(out, F.col("_mid") - F.col("_first") + F.col("_off") + F.lit(1))
             .drop("_pid", "_mid", "_first", "_off", "_p_pid", *[f"_p_{k}" for k in keys]))
 
 
 def percentiles_within(df: DataFrame, keys: list[str], value: str,
-                       ps: dict[str, float]) -> DataFrame:
+                       ps: dict[str, float], num_partitions: int | None = None) -> DataFrame:
     """Exact interpolated percentiles of ``value`` per key, one output column
     per entry of ``ps`` (name -> p), from a single ranking pass. Same
     definition as the ``percentile`` aggregate: position p*(n-1) between the
-    sorted values, NULLs ignored. One row per key with at least one value."""
+    sorted values, NULLs ignored. One row per key with at least one value;
+    with ``keys=[]`` one row for the whole input (the range partitioning then
+    spreads all values over the partitions)."""
     tagged, parts = _ranked_parts(df.where(F.col(value).isNotNull()).select(*keys, value),
-                                  keys, [value])
+                                  keys, [value], num_partitions)
     parts = parts.withColumn("_n", F.sum("_cnt").over(Window.partitionBy(*keys)))
     targets = []
     for name, p in ps.items():
