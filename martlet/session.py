@@ -57,18 +57,23 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by whoever runs the job (it is a static
-    setting) and is used as is, also for reliable ``checkpoint()``. Only
-    when nothing is configured (local runs, tests) is a private folder
-    created and registered as the checkpoint folder.
+    setting) and is used as is. Only when nothing is configured (local
+    runs, tests) is a private folder created; it is also registered as the
+    RDD checkpoint folder when the session exposes a SparkContext.
     """
-    sc = spark.sparkContext
     d = spark.conf.get(CHECKPOINT_CONF, None)
-    if d:
-        if sc.getCheckpointDir() is None:
-            sc.setCheckpointDir(d)
-        return d.rstrip("/")
-    current = sc.getCheckpointDir()
-    if current is None:
-        current = tempfile.mkdtemp(prefix="martlet-ckpt-")
-        sc.setCheckpointDir(current)
-    return current.rstrip("/")
+    sc = None
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        sc = None
+    if not d and sc is not None:
+        d = sc.getCheckpointDir()
+    if not d:
+        d = _local_dirs.setdefault(id(spark), tempfile.mkdtemp(prefix="martlet-ckpt-"))
+    if sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(d)
+    return d.rstrip("/")
+
+
+_local_dirs: dict[int, str] = {}
