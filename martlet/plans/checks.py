@@ -228,3 +228,27 @@ def extract_totals(revenue_extract: DataFrame, delivery_extract: DataFrame, item
                           & F.col("delivery_extract_total").eqNullSafe(F.col("orders_fact_total"))
                           & (F.col("delivery_extract_orders") == F.col("orders_fact_rows")))
 
+
+
+def validation_report(m, week_start: dt.date | None = None) -> DataFrame:
+    """All model checks as one report, (check, passed): the validation
+    script to run after any change to dimensions or facts. ``m`` is a
+    ``Model``; each check stays a separate small aggregate in one plan."""
+    scope = m.params.scope
+    parts = {
+        "v5_fact_counts": fact_counts(m.fct_order_items, m.fct_orders, m.order_items, m.orders, scope),
+        "v6_revenue_reconciliation": revenue_reconciliation(m.order_items, m.orders, m.fct_order_items, scope),
+        "v7_grain": grain(m.fct_order_items, ["order_id", "order_item_id"], "order_id"),
+        "v8_facts_agree": facts_agree(m.fct_order_items, m.fct_orders),
+        "v9_orphan_keys": orphan_keys(m.fct_order_items, m.dim_product, m.dim_customer, m.dim_seller,
+                                      m.dim_date),
+        "v10_breakdown_totals": breakdown_totals(m.fct_order_items, m.dim_product, m.dim_customer),
+        "v14_extract_totals": extract_totals(m.extract_revenue(), m.extract_delivery(), m.fct_order_items,
+                                             m.fct_orders),
+        "v3_dim_product_detail": dim_product_detail(m.dim_product),
+    }
+    if week_start is not None:
+        parts["v4_weekend_spot_check"] = weekend_spot_check(m.dim_date, week_start)
+    frames = [df.agg(F.coalesce(F.min(F.col("passed").cast("int")) == 1, F.lit(True)).alias("passed"))
+              .select(F.lit(name).alias("check"), "passed") for name, df in parts.items()]
+    return union_all(frames)
