@@ -117,12 +117,16 @@ class Model:
         return extracts.extract_buckets(self.fct_orders, self.params.buckets, self.params.open_bucket)
 
     def materialize(self, path: str) -> "Model":
-        """Write dimensions and facts under ``path`` (shared storage) and
-        return a model whose marts read those files."""
+        """Write dimensions and facts under ``path`` (shared storage), in
+        dependency order, and return a model whose marts read those files."""
         root = path.rstrip("/")
         sort = {"fct_order_items": ["order_id", "order_item_id"], "fct_orders": ["order_id"]}
-        out = {name: save_table(getattr(self, name), f"{root}/{name}", sort.get(name))
-               for name in MART_TABLES}
+        out: dict[str, DataFrame] = {}
+        for name in MART_TABLES:
+            # each mart is built from the marts already written (fct_orders
+            # reads the written item fact), so no join runs twice
+            built = Model(self.spark, self.raw, self.params, dict(out), self.supplied)
+            out[name] = save_table(getattr(built, name), f"{root}/{name}", sort.get(name))
         return Model(self.spark, self.raw, self.params, out, self.supplied)
 
     def with_raw_written(self, path: str) -> "Model":
