@@ -57,9 +57,10 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by whoever runs the job (it is a static
-    setting) and is used as is. Only when nothing is configured (local
-    runs, tests) is a private folder created; it is also registered as the
-    RDD checkpoint folder when the session exposes a SparkContext.
+    setting) and is used as is; a cluster session without it is an error.
+    Only local sessions (tests, local runs) fall back to a private folder,
+    which is also registered as the RDD checkpoint folder when the session
+    exposes a SparkContext.
     """
     d = spark.conf.get(CHECKPOINT_CONF, None)
     sc = None
@@ -70,6 +71,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
+        master = spark.conf.get("spark.master", "local")
+        if not master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder on shared storage: intermediate "
+                               "results must survive the loss of the machine that wrote them")
         d = _local_dirs.setdefault(id(spark), tempfile.mkdtemp(prefix="martlet-ckpt-"))
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
