@@ -8,8 +8,6 @@ materialises the NULL-padded side.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,6 +56,3 @@ def fanout_rows(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
                         F.try_divide(F.col("joined_rows").cast("double"),
                                      F.col("left_rows").cast("double"))))
 
-
-def and_all(conds):
-    return reduce(lambda a, b: a & b, conds)

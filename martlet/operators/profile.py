@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType
 from ..functions.expr import pct
 from .dedup import first_per_key
 from .joins import childless as _childless
-from .joins import fanout_rows, orphans
+from .joins import combine_at_grain, fanout_rows, orphans
 from .sequence import percentiles_within
 from .stack import union_all
 
@@ -171,9 +171,7 @@ def reconcile(a: DataFrame, b: DataFrame, key: str, a_value, b_value,
     first (never joined row to row), then compared on the keys both have:
     keys compared, keys differing by more than each tolerance, both totals
     and the net difference (b - a)."""
-    sa = a.groupBy(key).agg(F.sum(a_value).alias("_a"))
-    sb = b.groupBy(key).agg(F.sum(b_value).alias("_b"))
-    j = sa.join(sb, key)
+    j = combine_at_grain(a, b, key, [F.sum(a_value).alias("_a")], [F.sum(b_value).alias("_b")])
     diff = F.abs(F.col("_b") - F.col("_a"))
     aggs = [F.count(F.lit(1)).alias("keys_compared")]
     for t in tolerances:

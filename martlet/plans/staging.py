@@ -9,11 +9,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expr import money, to_ts
+from ..functions.expr import money, to_ts, try_to_ts
 from ..plans.scope import REFERENCE_TRANSLATION_PATCHES
 
 
-def stage_orders(raw: DataFrame) -> DataFrame:
+def _ts(lenient: bool):
+    """Strict cast (ANSI: a malformed value is an error) or lenient parse
+    (malformed values become NULL, to be found by the typed-timestamp check)."""
+    return try_to_ts if lenient else to_ts
+
+
+def stage_orders(raw: DataFrame, lenient: bool = False) -> DataFrame:
+    to_ts = _ts(lenient)
     return raw.select(
         "order_id", "customer_id",
         F.col("order_status").alias("status"),
@@ -26,7 +33,8 @@ def stage_orders(raw: DataFrame) -> DataFrame:
         to_ts("order_estimated_delivery_date").alias("estimated_delivery_at"))
 
 
-def stage_order_items(raw: DataFrame) -> DataFrame:
+def stage_order_items(raw: DataFrame, lenient: bool = False) -> DataFrame:
+    to_ts = _ts(lenient)
     return raw.select(
         "order_id", "order_item_id", "product_id", "seller_id",
         to_ts("shipping_limit_date").alias("shipping_limit_at"),
@@ -40,8 +48,9 @@ def stage_order_payments(raw: DataFrame) -> DataFrame:
         money("payment_value").alias("payment_value"))
 
 
-def stage_order_reviews(raw: DataFrame) -> DataFrame:
+def stage_order_reviews(raw: DataFrame, lenient: bool = False) -> DataFrame:
     """All rows kept; one-review-per-order is a fact-layer rule."""
+    to_ts = _ts(lenient)
     return raw.select(
         "review_id", "order_id", "review_score",
         F.col("review_comment_title").alias("comment_title"),

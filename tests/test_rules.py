@@ -141,3 +141,17 @@ def test_money_is_exact_decimal(spark):
     m = build(spark, [orders_row("o1")], [item_row("o1", i, price="0.10", freight="0.20") for i in range(1, 11)])
     r = m.fct_orders.collect()[0]
     assert str(r.revenue_net) == "1.00" and str(r.contribution_after_freight) == "-1.00"
+
+
+def test_lenient_timestamps_become_null(spark):
+    import pytest
+    from martlet.plans.checks import timestamps_typed
+    from martlet.plans.staging import stage_orders
+    raw = raw_tables(spark, [orders_row("o1"), orders_row("o2", delivered="not a time")], [])["orders"]
+    with pytest.raises(Exception):
+        stage_orders(raw).collect()
+    lenient = stage_orders(raw, lenient=True)
+    assert {r.order_id: r.delivered_at for r in lenient.collect()}["o2"] is None
+    rep = {r.column_name: r.passed for r in timestamps_typed(raw, lenient, {
+        "delivered_at": "order_delivered_customer_date", "purchased_at": "order_purchase_timestamp"}).collect()}
+    assert rep == {"delivered_at": False, "purchased_at": True}
