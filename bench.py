@@ -26,6 +26,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from martlet import registry  # noqa: E402
+from martlet.plans.checks import validation_report  # noqa: E402
 from martlet.session import build_session, shared_dir  # noqa: E402
 
 
@@ -38,6 +39,7 @@ def main() -> None:
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001").rstrip("/")
     warmup = run_all(spark, warm_dir, f"{root}/bench-warm-{os.getpid()}") if warm_dir != sf_dir else {}
     timings = run_all(spark, sf_dir, f"{root}/bench-{os.getpid()}")
+    report = validation_report(registry.model(spark, sf_dir), None).collect()
 
     sf = re.search(r"sf([0-9.]+)", sf_dir)
     total = sum(timings.values())
@@ -50,6 +52,7 @@ def main() -> None:
         "cpus": cpus,
         "n_queries": len(timings) - 2,
         "warmup_sec": round(sum(warmup.values()), 3),
+        "checks_passed": f"{sum(bool(r.passed) for r in report)}/{len(report)}",
     }))
     spark.stop()
 
