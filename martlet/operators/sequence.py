@@ -33,6 +33,11 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 
+# Largest target table (rows) sent to every task; 1M rows of a few longs and
+# doubles is a few tens of MB.
+MAX_BROADCAST_TARGETS = 1_000_000
+
+
 def _written(df: DataFrame) -> DataFrame:
     """Write ``df`` to a fresh folder under the shared checkpoint folder and
     read it back (cuts the lineage, survives executor loss)."""
@@ -69,7 +74,10 @@ def sequence_within(df: DataFrame, keys: list[str], order: list[str], out: str =
                      "_first", "_off")
     cond = reduce(lambda a, b: a & b, [tagged[k].eqNullSafe(p[f"_p_{k}"]) for k in keys],
                   tagged["_pid"] == p["_p_pid"])
-    return (tagged.join(p, cond)
+    # one row per (partition, key): broadcast when a count shows it is small,
+    # otherwise a shuffle join on (partition, key), which splits a hot key
+    small = parts.count() <= MAX_BROADCAST_TARGETS
+    return (tagged.join(F.broadcast(p) if small else p, cond)
             .withColumn(out, F.col("_mid") - F.col("_first") + F.col("_off") + F.lit(1))
             .drop("_pid", "_mid", "_first", "_off", "_p_pid", *[f"_p_{k}" for k in keys]))
 
@@ -94,7 +102,13 @@ def percentiles_within(df: DataFrame, keys: list[str], value: str,
                 *keys, F.lit(f"{name}:{side}").alias("_side"), pos.alias("_pos"),
                 (F.col("_first") + rank - F.col("_off") - 1).alias("_tmid")))
     t = reduce(DataFrame.unionByName, targets)
-    picked = tagged.select(F.col("_mid").alias("_tmid"), F.col(value).alias("_v")).join(t, "_tmid")
+    values = tagged.select(F.col("_mid").alias("_tmid"), F.col(value).alias("_v"))
+    # the targets are at most 2 rows per key and percentile: broadcast them so
+    # the ranked rows are only scanned, never shuffled. Without keys the bound
+    # is a constant; with keys it is checked (one small count) and beyond it
+    # the join shuffles on the unique row id, which cannot skew.
+    bounded = not keys or t.count() <= MAX_BROADCAST_TARGETS
+    picked = values.join(F.broadcast(t) if bounded else t, "_tmid")
     outs = []
     for name in ps:
         lo_d = F.max(F.when(F.col("_side") == f"{name}:lo", F.col("_v"))).cast("double")
