@@ -82,3 +82,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _local_dirs: dict[int, str] = {}
+
+
+def tune_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
+                   max_partitions: int = 100_000) -> int:
+    """Size shuffles for an input of ``input_bytes``: about one shuffle
+    partition per ``target_partition_bytes`` (so a partition fits an
+    executor's memory and spills little), the same target for scan splits
+    and as AQE's advisory size (AQE then merges partitions that come out
+    small). Returns the shuffle partition count set."""
+    n = max(8, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_partition_bytes))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes))
+    return n

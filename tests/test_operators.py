@@ -59,3 +59,14 @@ def test_percentiles_within_several_at_once(spark):
                                                          F.percentile("v", 0.9).alias("b")).collect()}
     assert ours.keys() == ref.keys()
     assert all(abs(ours[k][i] - ref[k][i]) < 1e-9 for k in ref for i in (0, 1))
+
+
+def test_tune_for_input(spark):
+    from martlet.session import tune_for_input
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert tune_for_input(spark, 100 * (1 << 40)) == 100_000   # 100 TB: capped
+        assert tune_for_input(spark, 10 * (1 << 30)) == 40          # 10 GB / 256 MB
+        assert tune_for_input(spark, 1000) == 8
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
