@@ -32,8 +32,10 @@ def try_to_ts(c: str | Column) -> Column:
 def in_window(c: str | Column, lo: dt.date, hi: dt.date) -> Column:
     """Half-open ``lo <= c < hi`` with typed literals; ``<= last day``
     would drop everything after midnight of that day."""
-    lo_ts = F.lit(dt.datetime.combine(lo, dt.time())).cast("timestamp")
-    hi_ts = F.lit(dt.datetime.combine(hi, dt.time())).cast("timestamp")
+    # literals from text, parsed in the session time zone; a Python datetime
+    # literal would be converted with the driver machine's local zone
+    lo_ts = F.lit(f"{lo.isoformat()} 00:00:00").cast("timestamp")
+    hi_ts = F.lit(f"{hi.isoformat()} 00:00:00").cast("timestamp")
     return (col(c) >= lo_ts) & (col(c) < hi_ts)
 
 
