@@ -9,6 +9,7 @@ so min/max statistics let later scans skip row groups.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -133,7 +134,12 @@ class Model:
         """Write every raw table once as Parquet under ``path/raw`` (the raw
         layer, full replace) and return a model over those files."""
         root = path.rstrip("/")
-        raw = {name: save_table(self.raw[name], f"{root}/raw/{name}") for name in list(self.raw.keys())}
+        frames = {name: self.raw[name] for name in list(self.raw.keys())}  # plans built first
+        # independent writes, submitted together: Spark runs the jobs side by
+        # side when one alone does not fill the executors
+        with ThreadPoolExecutor(max_workers=min(4, len(frames))) as pool:
+            futures = {name: pool.submit(save_table, df, f"{root}/raw/{name}") for name, df in frames.items()}
+            raw = {name: f.result() for name, f in futures.items()}
         return Model(self.spark, raw, self.params, None, self.supplied)
 
     def staging_views(self, prefix: str = "stg_") -> list[str]:
