@@ -123,11 +123,16 @@ class Model:
         root = path.rstrip("/")
         sort = {"fct_order_items": ["order_id", "order_item_id"], "fct_orders": ["order_id"]}
         out: dict[str, DataFrame] = {}
-        for name in MART_TABLES:
-            # each mart is built from the marts already written (fct_orders
-            # reads the written item fact), so no join runs twice
+        # phase 1: dimensions and the item fact (independent, written side by
+        # side); phase 2: the order fact, built from the written item fact so
+        # the item join does not run twice
+        for phase in (MART_TABLES[:-1], MART_TABLES[-1:]):
             built = Model(self.spark, self.raw, self.params, dict(out), self.supplied)
-            out[name] = save_table(getattr(built, name), f"{root}/{name}", sort.get(name))
+            frames = {name: getattr(built, name) for name in phase}
+            with ThreadPoolExecutor(max_workers=min(4, len(frames))) as pool:
+                futures = {name: pool.submit(save_table, df, f"{root}/{name}", sort.get(name))
+                           for name, df in frames.items()}
+                out.update({name: f.result() for name, f in futures.items()})
         return Model(self.spark, self.raw, self.params, out, self.supplied)
 
     def with_raw_written(self, path: str) -> "Model":
