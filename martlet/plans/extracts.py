@@ -9,12 +9,20 @@ from ..functions.expr import bucketize, count_known, count_true
 from .scope import REFERENCE_BUCKETS, REFERENCE_OPEN_BUCKET
 
 
+def calendar(dim_date: DataFrame) -> DataFrame:
+    """date_key -> year_month, marked for broadcast: one row per day of the
+    spine, a size fixed by the calendar (a few thousand rows for decades),
+    not by order volume, so joining it never needs to shuffle the fact."""
+    return F.broadcast(dim_date.select("date_key", "year_month"))
+
+
 def extract_revenue(items_fact: DataFrame, dim_product: DataFrame, dim_customer: DataFrame,
                     dim_date: DataFrame) -> DataFrame:
     """Revenue by category x customer state x month.
 
-    Star join, then one aggregation (partial on the map side). Each
-    dimension join is broadcast when Spark's size check allows and
+    Star join, then one aggregation (partial on the map side). The
+    calendar is always broadcast (see ``calendar``); the product and
+    customer joins are broadcast when Spark's size check allows and
     sort-merge otherwise. Pre-aggregating before the customer join was
     measured and dropped: customer_id is per order, so (customer, category,
     month) hardly reduces the items and only adds a shuffle.
@@ -22,7 +30,7 @@ def extract_revenue(items_fact: DataFrame, dim_product: DataFrame, dim_customer:
     return (items_fact
             .join(dim_product.select("product_id", "category_name_en"), "product_id")
             .join(dim_customer.select("customer_id", "state"), "customer_id")
-            .join(dim_date.select("date_key", "year_month"), "date_key")
+            .join(calendar(dim_date), "date_key")
             .groupBy("category_name_en", "state", "year_month")
             .agg(F.sum("revenue_net").alias("revenue_net"),
                  F.sum("freight_cost").alias("freight_cost"),
@@ -36,8 +44,7 @@ def extract_delivery(orders_fact: DataFrame, dim_customer: DataFrame, dim_date:
     per distinct day value, so it stays small however many orders a group
     has."""
     c = dim_customer.select("customer_id", "state")
-    d = dim_date.select("date_key", "year_month")
-    return (orders_fact.join(c, "customer_id").join(d, "date_key")
+    return (orders_fact.join(c, "customer_id").join(calendar(dim_date), "date_key")
             .groupBy("state", "year_month")
             .agg(F.count(F.lit(1)).alias("orders"),
                  count_true("is_late").alias("late_orders"),

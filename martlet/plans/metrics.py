@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.expr import count_known, count_true, pct, rate_pct
 from ..operators.ranking import cumulative_share, share_of_total, top_n
 from ..operators.sequence import percentiles_within
-from .extracts import with_bucket
+from .extracts import calendar, with_bucket
 from .scope import REFERENCE_BUCKETS, REFERENCE_OPEN_BUCKET, REFERENCE_SLOW_TAIL_DAYS
 
 
@@ -178,7 +178,7 @@ def monthly_series(orders_fact: DataFrame, dim_date: DataFrame) -> DataFrame:
     orders kept with zeros. The fact is summed per month first; the month
     list is the spine's distinct months."""
     d = dim_date.select("date_key", "year_month")
-    per_month = (orders_fact.join(d, "date_key").groupBy("year_month")
+    per_month = (orders_fact.join(calendar(dim_date), "date_key").groupBy("year_month")
                  .agg(F.count(F.lit(1)).alias("orders"), F.sum("revenue_net").alias("revenue_net")))
     months = d.select("year_month").distinct()
     return (months.join(per_month, "year_month", "left")

@@ -47,6 +47,43 @@ def audit(plan: str) -> dict:
     }
 
 
+def tree(df) -> str:
+    """The operator tree of the formatted plan (without the per-node details)."""
+    text = formatted_plan(df)
+    body = text.split("== Physical Plan ==", 1)[-1].strip().split("\n\n", 1)[0]
+    return body
+
+
+def headline_plans(spark, sf: str) -> list[str]:
+    """Plans of the headline builds and extracts in their production shape:
+    raw layer and marts written as Parquet, broadcasts disabled so that the
+    joins are planned as they would be for tables too large to broadcast."""
+    import tempfile
+
+    from martlet.plans.checks import validation_report
+
+    m = registry.model(spark, sf).with_raw_written(tempfile.mkdtemp(prefix="run-plans-"))
+    marts = m.materialize(tempfile.mkdtemp(prefix="run-plans-"))
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        items = [("fct_order_items (from the raw layer)", m.fct_order_items),
+                 ("fct_orders (from the raw layer and the written item fact)",
+                  type(m)(spark, m.raw, m.params, {"fct_order_items": marts.fct_order_items}).fct_orders),
+                 ("revenue extract (marts)", marts.extract_revenue()),
+                 ("delivery extract (marts)", marts.extract_delivery()),
+                 ("delivery buckets (marts)", marts.extract_buckets()),
+                 ("validation report (marts)", validation_report(marts))]
+        out = ["", "## Headline plans, broadcasts disabled", "",
+               "Initial physical plans (AQE may still re-plan at run time) with",
+               "`spark.sql.autoBroadcastJoinThreshold=-1`, i.e. as planned when no side is small.", ""]
+        for title, df in items:
+            out += [f"### {title}", "", "```", tree(df), "```", ""]
+        return out
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = build_session()
@@ -67,6 +104,7 @@ def main() -> None:
     for name, a in rows:
         out.append(f"| {name} | {a['exchanges']} | {a['single_partition']} | {a['broadcasts']} | {a['smj']} | "
                    f"{a['bhj']} | {a['pushed']} | {', '.join(a['bad']) or '-'} | {', '.join(a['python']) or '-'} |")
+    out += headline_plans(spark, sf)
     open(os.path.join(ROOT, "PLANS.md"), "w").write("\n".join(out) + "\n")
     print("bad:", [(n, a["bad"]) for n, a in rows if a["bad"]],
           "python:", [(n, a["python"]) for n, a in rows if a["python"]])
