@@ -16,9 +16,10 @@ import argparse
 import datetime as dt
 import sys
 
-from .plans.checks import validation_report
+from .plans.checks import expected_figures_report, validation_report
 from .plans.model import Model
-from .plans.scope import REFERENCE_STATUSES, REFERENCE_TRANSLATION_PATCHES, ModelParams, Scope
+from .plans.scope import (REFERENCE_EXPECTED_REVENUE_NET, REFERENCE_EXPECTED_ROWS, REFERENCE_STATUSES,
+                          REFERENCE_TRANSLATION_PATCHES, ModelParams, Scope)
 from .session import build_session
 from .sources.csv import load_raw_layer, write_extract_csv
 
@@ -55,13 +56,20 @@ def main(argv=None) -> int:
     ap.add_argument("--patch", action="append", help="translation patch PT=EN (repeatable)")
     ap.add_argument("--spine-from-data", action="store_true",
                     help="date spine over whole years of the purchase dates instead of fixed bounds")
+    ap.add_argument("--reference-expected", action="store_true",
+                    help="also compare row counts and revenue with the figures stated for the original dataset")
     args = ap.parse_args(argv)
     spark = build_session(app_name="martlet-build")
-    _, report = build(spark, args.landing, args.lake, args.extracts, params_from(args))
+    marts, report = build(spark, args.landing, args.lake, args.extracts, params_from(args))
     rows = report.collect()
     for r in rows:
         print(f"{r.check:32s} {'pass' if r.passed else 'FAIL'}")
-    return 0 if all(r.passed for r in rows) else 1
+    ok = all(r.passed for r in rows)
+    if args.reference_expected:
+        for r in expected_figures_report(marts, REFERENCE_EXPECTED_ROWS, REFERENCE_EXPECTED_REVENUE_NET).collect():
+            print(f"{r.item:36s} {r.actual:>14s} expected {r.expected:>14s} {'pass' if r.passed else 'FAIL'}")
+            ok = ok and bool(r.passed)
+    return 0 if ok else 1
 
 
 if __name__ == "__main__":

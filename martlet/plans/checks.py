@@ -252,3 +252,21 @@ def validation_report(m, week_start: dt.date | None = None) -> DataFrame:
     frames = [df.agg(F.coalesce(F.min(F.col("passed").cast("int")) == 1, F.lit(True)).alias("passed"))
               .select(F.lit(name).alias("check"), "passed") for name, df in parts.items()]
     return union_all(frames)
+
+
+def expected_figures_report(m, expected_rows: dict[str, int], expected_revenue: str | None = None) -> DataFrame:
+    """Row counts per layer table and fact revenue against stated figures:
+    (item, actual, expected, passed). ``expected_rows`` keys are
+    ``layer.table`` (raw tables from ``m.raw``, staging and marts from the
+    model)."""
+    frames = []
+    for key, exp in expected_rows.items():
+        layer, name = key.split(".", 1)
+        df = m.raw[name] if layer == "raw" else getattr(m, name)
+        frames.append(df.agg(F.count(F.lit(1)).cast("string").alias("actual"))
+                      .select(F.lit(key).alias("item"), "actual", F.lit(str(exp)).alias("expected")))
+    if expected_revenue is not None:
+        frames.append(m.fct_order_items.agg(F.round(F.sum("revenue_net"), 2).cast("string").alias("actual"))
+                      .select(F.lit("marts.fct_order_items.revenue_net").alias("item"), "actual",
+                              F.lit(expected_revenue).alias("expected")))
+    return union_all(frames).withColumn("passed", F.col("actual") == F.col("expected"))

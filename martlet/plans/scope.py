@@ -47,3 +47,28 @@ class ModelParams:
     buckets: tuple[tuple[int, str], ...] = REFERENCE_BUCKETS
     open_bucket: str = REFERENCE_OPEN_BUCKET
     negative_max_score: int = REFERENCE_NEGATIVE_MAX_SCORE
+
+
+# The expected figures the reference states for its own source
+# dataset (load, dimension and fact row counts, fact revenue). Used only when
+# the model runs on that dataset (``expected_figures_report``); on other data
+# the checks compare independently computed values instead.
+REFERENCE_EXPECTED_ROWS = {
+    "raw.orders": 99441,
+    "raw.order_items": 112650,
+    "raw.order_payments": 103886,
+    "raw.order_reviews": 99224,
+    "raw.customers": 99441,
+    "raw.products": 32951,
+    "raw.sellers": 3095,
+    "raw.geolocation": 1000163,
+    "raw.category_name_translation": 71,
+    "staging.category_translation": 73,
+    "marts.dim_date": 852,
+    "marts.dim_customer": 99441,
+    "marts.dim_product": 32951,
+    "marts.dim_seller": 3095,
+    "marts.fct_order_items": 111054,
+    "marts.fct_orders": 97308,
+}
+REFERENCE_EXPECTED_REVENUE_NET = "13330627.12"

@@ -60,3 +60,13 @@ def test_source_line_numbers_fail_grain(m, spark):
     li = spark.read.parquet(f"{SF}/lineitem.parquet").withColumnRenamed("l_orderkey", "order_id")
     r = checks.grain(li, ["order_id", "l_linenumber"], "order_id").collect()[0]
     assert r.passed is False and r.rows > r.distinct_keys
+
+
+def test_expected_figures_report(m):
+    from martlet.plans.scope import REFERENCE_EXPECTED_ROWS
+    rows = {r.item: r for r in checks.expected_figures_report(
+        m, {"raw.orders": 1500, "marts.fct_orders": 710, "marts.dim_date": 1}, "153481926.95").collect()}
+    assert rows["raw.orders"].passed and rows["marts.fct_orders"].passed
+    assert rows["marts.fct_order_items.revenue_net"].passed
+    assert rows["marts.dim_date"].passed is False
+    assert len(REFERENCE_EXPECTED_ROWS) == 16
