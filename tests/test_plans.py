@@ -38,3 +38,19 @@ def test_hot_key_spread_over_partitions(spark):
     assert len(hot) >= 3                               # the hot key is split across partitions
     assert max(r._cnt for r in hot) < 8000 * 0.75       # no partition holds most of it
     assert sum(r._cnt for r in hot) == 8000
+
+
+def test_bucketed_marts_colocate_customer_join(spark, scratch):
+    from martlet import registry
+    m = registry.model(spark, SF)
+    mb = m.materialize_bucketed("marts_test", 4, scratch + "/catalog")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_text(mb.extract_delivery())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan
+    # the only shuffle is the final aggregation's: the fact-customer join is co-located
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert sorted(map(tuple, mb.extract_delivery().collect())) == sorted(map(tuple, m.extract_delivery().collect()))
