@@ -20,9 +20,33 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     return child.join(p, child[child_key] == p["_pk"], "left_anti")
 
 
+def key_counts(df: DataFrame, key: str, name: str = "_n") -> DataFrame:
+    """Rows per key value (NULL is a key value too), aggregated on the map
+    side first: a key holding most rows leaves each task as one row."""
+    return df.groupBy(F.col(key).alias("_k")).agg(F.count(F.lit(1)).alias(name))
+
+
 def orphan_count(child: DataFrame, parent: DataFrame, child_key: str,
                  parent_key: str | None = None, name: str = "orphans") -> DataFrame:
-    return orphans(child, parent, child_key, parent_key).agg(F.count(F.lit(1)).alias(name))
+    """Number of child rows without a parent. The child is reduced to one
+    row per key before the anti join, so the join shuffles keys, not rows."""
+    pk = parent_key or child_key
+    p = parent.select(F.col(pk).alias("_pk")).distinct()
+    c = key_counts(child, child_key)
+    return (c.join(p, c["_k"] == p["_pk"], "left_anti")
+            .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias(name)))
+
+
+def match_counts(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
+    """Both directions of referential integrity from one full outer join of
+    per-key row counts: (orphans = child rows whose key has no parent,
+    childless_parents = parent rows whose key has no child)."""
+    c = key_counts(child, child_key, "_c")
+    p = key_counts(parent, parent_key, "_p").withColumnRenamed("_k", "_pk")
+    j = c.join(p, c["_k"] == p["_pk"], "full")
+    return j.agg(F.coalesce(F.sum(F.when(F.col("_pk").isNull(), F.col("_c"))), F.lit(0)).alias("orphans"),
+                 F.coalesce(F.sum(F.when(F.col("_k").isNull() & F.col("_c").isNull(), F.col("_p"))),
+                            F.lit(0)).alias("childless_parents"))
 
 
 def childless(parent: DataFrame, child: DataFrame, key: str, child_key: str | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql.types import StringType
 from ..functions.expr import pct
 from .dedup import first_per_key
 from .joins import childless as _childless
-from .joins import combine_at_grain, fanout_rows, orphans
+from .joins import combine_at_grain, fanout_rows, key_counts, match_counts
 from .sequence import percentiles_within
 from .stack import union_all
 
@@ -114,21 +114,19 @@ def childless_by(parent: DataFrame, child: DataFrame, key: str, by: str) -> Data
 
 def referential_integrity(relations: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
     """Q8: per (name, child, child_key, parent, parent_key): child rows
-    without a parent (orphans) and parent rows without a child."""
-    frames = []
-    for name, child, ck, parent, pk in relations:
-        o = orphans(child, parent, ck, pk).agg(F.count(F.lit(1)).alias("orphans"))
-        c = _childless(parent, child, pk, ck).agg(F.count(F.lit(1))).scalar()
-        frames.append(o.select(F.lit(name).alias("relation"), "orphans", c.alias("childless_parents")))
-    return union_all(frames)
+    without a parent (orphans) and parent rows without a child, from one
+    full outer join of per-key counts per relation."""
+    return union_all([match_counts(child, ck, parent, pk).select(F.lit(name).alias("relation"), "*")
+                      for name, child, ck, parent, pk in relations])
 
 
 def lookup_coverage(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str | None = None) -> DataFrame:
     """Q9: non-NULL values of ``key`` missing from the lookup, and rows
     carrying them: one row per missing value."""
     lk = lookup_key or key
-    missing = orphans(df.where(F.col(key).isNotNull()), lookup, key, lk)
-    return missing.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
+    counts = key_counts(df.where(F.col(key).isNotNull()), key, "rows")
+    keys = lookup.select(F.col(lk).alias("_lk")).distinct()
+    return counts.join(keys, counts["_k"] == keys["_lk"], "left_anti").withColumnRenamed("_k", key)
 
 
 def frequency(df: DataFrame, col: str, exclude=()) -> DataFrame:
