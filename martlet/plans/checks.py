@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampNTZType, TimestampType
 
 from ..functions.expr import rate_pct
-from ..operators.joins import orphan_count
+from ..operators.joins import key_counts, orphan_count, sum_through
 from ..operators.stack import row_count, union_all
 from .facts import scoped_orders
 from .scope import Scope
@@ -105,9 +105,10 @@ def fact_counts(items_fact: DataFrame, orders_fact: DataFrame, items: DataFrame,
     """V5: fact rows against an independent recount from staging: scoped
     items, and scoped orders that have at least one item."""
     so = scoped_orders(orders, scope).select("order_id")
-    scoped_items = items.join(so, "order_id")
-    exp_items = scoped_items.agg(F.count(F.lit(1))).scalar()
-    exp_orders = scoped_items.select("order_id").distinct().agg(F.count(F.lit(1))).scalar()
+    # items counted per order first; the join then matches orders, not items
+    matched = key_counts(items, "order_id", "n").join(so, F.col("_k") == F.col("order_id"))
+    exp_items = matched.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
+    exp_orders = matched.select("_k").distinct().agg(F.count(F.lit(1))).scalar()
     a = items_fact.agg(F.count(F.lit(1)).alias("rows")).select(
         F.lit("fct_order_items").alias("fact_table"), "rows", exp_items.alias("expected"))
     b = orders_fact.agg(F.count(F.lit(1)).alias("rows")).select(
@@ -120,7 +121,7 @@ def revenue_reconciliation(items: DataFrame, orders: DataFrame, items_fact: Data
     """V6: revenue in the filtered source equals fact revenue, exactly
     (NULL-safe: two empty inputs agree)."""
     so = scoped_orders(orders, scope).select("order_id")
-    src = items.join(so, "order_id").agg(F.round(F.sum("price"), 2)).scalar()
+    src = sum_through(items, so, "order_id", [], {"r": "price"}).select(F.round("r", 2)).scalar()
     return (items_fact.agg(F.round(F.sum("revenue_net"), 2).alias("fact_revenue"))
             .select(src.alias("source_revenue"), "fact_revenue")
             .withColumn("passed", F.col("source_revenue").eqNullSafe(F.col("fact_revenue"))))
@@ -163,10 +164,10 @@ def orphan_keys(items_fact: DataFrame, dim_product: DataFrame, dim_customer: Dat
 def breakdown_totals(items_fact: DataFrame, dim_product: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Revenue through the product and the customer join equals the
     fact total (catches a dropped unknown bucket and join fan-out)."""
-    via_cat = items_fact.join(dim_product.select("product_id"), "product_id") \
-        .agg(F.round(F.sum("revenue_net"), 2)).scalar()
-    via_state = items_fact.join(dim_customer.select("customer_id"), "customer_id") \
-        .agg(F.round(F.sum("revenue_net"), 2)).scalar()
+    via_cat = sum_through(items_fact, dim_product, "product_id", [], {"r": "revenue_net"}) \
+        .select(F.round("r", 2)).scalar()
+    via_state = sum_through(items_fact, dim_customer, "customer_id", [], {"r": "revenue_net"}) \
+        .select(F.round("r", 2)).scalar()
     return (items_fact.agg(F.round(F.sum("revenue_net"), 2).alias("total"))
             .select(via_cat.alias("revenue_via_category"), via_state.alias("revenue_via_state"), "total")
             .withColumn("passed", F.col("revenue_via_category").eqNullSafe(F.col("total"))

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import count_known, count_true, pct, rate_pct
+from ..operators.joins import sum_through
 from ..operators.ranking import cumulative_share, share_of_total, top_n
 from ..operators.sequence import percentiles_within
 from .extracts import calendar, with_bucket
@@ -29,10 +30,8 @@ def revenue_totals(items_fact: DataFrame) -> DataFrame:
 
 def freight_burden(items_fact: DataFrame, dim: DataFrame, key: str, attr: str) -> DataFrame:
     """K5: freight as % of net revenue per dimension attribute."""
-    d = dim.select(key, attr)
-    return (items_fact.join(d, key).groupBy(attr)
-            .agg(F.sum("revenue_net").alias("revenue_net"),
-                 F.sum("freight_cost").alias("freight_cost"))
+    return (sum_through(items_fact, dim, key, [attr],
+                        {"revenue_net": "revenue_net", "freight_cost": "freight_cost"})
             .withColumn("freight_pct", pct(F.col("freight_cost"), F.col("revenue_net"))))
 
 
@@ -91,8 +90,8 @@ def state_scorecard(items_fact: DataFrame, orders_fact: DataFrame, dim_customer:
     rate, median delivery days. Medians need their own grouping by state
     (they cannot be recombined from state x month medians)."""
     c = dim_customer.select("customer_id", "state")
-    rev = (items_fact.join(c, "customer_id").groupBy("state")
-           .agg(F.sum("revenue_net").alias("revenue_net"), F.sum("freight_cost").alias("freight_cost"))
+    rev = (sum_through(items_fact, c, "customer_id", ["state"],
+                       {"revenue_net": "revenue_net", "freight_cost": "freight_cost"})
            .withColumn("freight_pct", pct(F.col("freight_cost"), F.col("revenue_net"))))
     rev = share_of_total(rev, "revenue_net", "revenue_share_pct")
     dl = (orders_fact.join(c, "customer_id").groupBy("state")
@@ -105,17 +104,14 @@ def state_scorecard(items_fact: DataFrame, orders_fact: DataFrame, dim_customer:
 def state_revenue_ranking(items_fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """States ranked by revenue with the running share of the total
     (how much the top states carry)."""
-    c = dim_customer.select("customer_id", "state")
-    rev = items_fact.join(c, "customer_id").groupBy("state").agg(F.sum("revenue_net").alias("revenue_net"))
+    rev = sum_through(items_fact, dim_customer, "customer_id", ["state"], {"revenue_net": "revenue_net"})
     return cumulative_share(rev, "revenue_net", "state")
 
 
 def category_scorecard(items_fact: DataFrame, dim_product: DataFrame, n: int = 12) -> DataFrame:
     """Top-n categories by revenue with freight % and item count."""
-    p = dim_product.select("product_id", "category_name_en")
-    agg = (items_fact.join(p, "product_id").groupBy("category_name_en")
-           .agg(F.sum("revenue_net").alias("revenue_net"), F.sum("freight_cost").alias("freight_cost"),
-                F.count(F.lit(1)).alias("items"))
+    agg = (sum_through(items_fact, dim_product, "product_id", ["category_name_en"],
+                       {"revenue_net": "revenue_net", "freight_cost": "freight_cost"}, count_as="items")
            .withColumn("freight_pct", pct(F.col("freight_cost"), F.col("revenue_net"))))
     return top_n(agg, "revenue_net", n, "category_name_en")
 
@@ -136,9 +132,8 @@ def slow_tail(orders_fact: DataFrame, days: int = REFERENCE_SLOW_TAIL_DAYS) -> D
 def customer_counts(orders_fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Orders, distinct persons, surplus orders (orders - persons) and
     repeat customers (persons with more than one order)."""
-    c = dim_customer.select("customer_id", "customer_unique_id")
-    per_person = (orders_fact.join(c, "customer_id").groupBy("customer_unique_id")
-                  .agg(F.count(F.lit(1)).alias("n")))
+    per_person = sum_through(orders_fact.withColumn("_one", F.lit(1)), dim_customer, "customer_id",
+                             ["customer_unique_id"], {"n": "_one"})
     return per_person.agg(F.sum("n").alias("orders"),
                           F.count("customer_unique_id").alias("persons"),
                           (F.sum("n") - F.count("customer_unique_id")).alias("surplus_orders"),
