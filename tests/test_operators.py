@@ -70,3 +70,13 @@ def test_tune_for_input(spark):
         assert tune_for_input(spark, 1000) == 8
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_sequence_within_null_keys_and_values(spark):
+    rows = [(None, 3.0, 1), (None, None, 2), (None, 1.0, 3), ("a", None, 4), ("a", 2.0, 5), ("a", 2.0, 6),
+            ("b", 1.0, 7)]
+    df = spark.createDataFrame(rows, "k string, v double, id int")
+    ours = {r.id: r.rn for r in sequence_within(df, ["k"], ["v", "id"], out="rn", num_partitions=3).collect()}
+    w = Window.partitionBy("k").orderBy("v", "id")
+    ref = {r.id: r.rn for r in df.withColumn("rn", F.row_number().over(w)).collect()}
+    assert ours == ref
