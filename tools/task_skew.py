@@ -1,9 +1,11 @@
 """Hot-key demonstration from Spark's event log (no UI).
 
 Takes lineitem of one scale folder, gives one order key a third of the
-rows (keys of the first third of the rows are replaced by one value), and
-numbers items per key three ways: a row_number window, the skew-safe
-``sequence_within``, and the aggregate form of latest-row-per-key. For each
+rows (keys of the first third of the rows are replaced by one existing
+order key), and numbers items per key three ways: a row_number window, the
+skew-safe ``sequence_within``, and the aggregate form of latest-row-per-key;
+then joins the items to orders on that key (sort-merge, where adaptive
+execution splits the hot partition). For each
 run it reports, per stage after a shuffle, the largest share of the
 stage's shuffled records read by one task - the part of the work that one
 task cannot share. (Scan stages are left out: the supplied file is a single
@@ -64,10 +66,16 @@ def main() -> None:
     log_dir = tempfile.mkdtemp(prefix="run-eventlog-")
     spark = build_session(shuffle_partitions=16, extra={
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir, "spark.eventLog.compress": "false",
-        "spark.sql.adaptive.coalescePartitions.enabled": "false"})
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        # the default skew thresholds (256 MB) are far above this data size
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+        "spark.sql.autoBroadcastJoinThreshold": "-1"})
     li = spark.read.parquet(f"{sf}/lineitem.parquet")
     cut = li.approxQuantile("l_orderkey", [1 / 3], 0.001)[0]
-    hot = li.withColumn("k", F.when(F.col("l_orderkey") <= cut, F.lit(-1)).otherwise(F.col("l_orderkey")))
+    first = li.agg(F.min("l_orderkey")).first()[0]
+    hot = li.withColumn("k", F.when(F.col("l_orderkey") <= cut, F.lit(first)).otherwise(F.col("l_orderkey")))
+    orders = spark.read.parquet(f"{sf}/orders.parquet").select(F.col("o_orderkey").alias("k"), "o_orderdate")
     order = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
     runs = {
         "row_number window": lambda: hot.withColumn(
@@ -75,6 +83,10 @@ def main() -> None:
         "sequence_within": lambda: sequence_within(hot, ["k"], order, "rn"),
         "first_per_key (aggregate)": lambda: first_per_key(
             hot, ["k"], [("l_shipdate", False), ("l_partkey", True)], ["l_extendedprice"]),
+        # AQE splits a skewed partition along map outputs; the supplied file is
+        # one row group (one mapper), so spread it over mappers first, as a
+        # large multi-file input is
+        "join on the hot key (AQE)": lambda: hot.repartition(16).join(orders, "k"),
     }
     sc = spark.sparkContext
     for name, build in runs.items():
