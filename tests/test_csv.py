@@ -72,3 +72,12 @@ def test_layers_and_materialise(spark, scratch):
     assert spark.read.parquet(paths["marts"] + "/t").count() == 1
     register_views({"t": spark.read.parquet(paths["marts"] + "/t")}, prefix="v_")
     assert spark.sql("SELECT count(*) AS n FROM v_t").first().n == 1
+
+
+def test_staging_views_are_queryable(spark):
+    from martlet import registry
+    m = registry.model(spark, "/root/testdata/sf0.001")
+    names = m.staging_views(prefix="stg_")
+    assert "stg_orders" in names and "stg_category_translation" in names
+    n = spark.sql("SELECT count(*) AS n FROM stg_orders WHERE status = 'delivered'").first().n
+    assert n == m.orders.where("status = 'delivered'").count()
