@@ -32,7 +32,8 @@ def params_from(args) -> ModelParams:
     patches = (tuple(tuple(p.split("=", 1)) for p in args.patch) if args.patch is not None
                else REFERENCE_TRANSLATION_PATCHES)
     spine = None if args.spine_from_data else base.spine
-    return ModelParams(scope=scope, spine=spine, translation_patches=patches)
+    return ModelParams(scope=scope, spine=spine, translation_patches=patches,
+                       lenient_casts=bool(getattr(args, "lenient", False)))
 
 
 def build(spark, landing: str, lake: str, extracts: str | None, params: ModelParams):
@@ -56,6 +57,8 @@ def main(argv=None) -> int:
     ap.add_argument("--patch", action="append", help="translation patch PT=EN (repeatable)")
     ap.add_argument("--spine-from-data", action="store_true",
                     help="date spine over whole years of the purchase dates instead of fixed bounds")
+    ap.add_argument("--lenient", action="store_true",
+                    help="malformed timestamps and amounts become NULL instead of failing the load")
     ap.add_argument("--reference-expected", action="store_true",
                     help="also compare row counts and revenue with the figures stated for the original dataset")
     args = ap.parse_args(argv)

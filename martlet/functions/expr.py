@@ -19,6 +19,11 @@ def money(c: str | Column) -> Column:
     return col(c).cast(MONEY)
 
 
+def try_money(c: str | Column) -> Column:
+    """Like ``money`` but NULL instead of an error for malformed values."""
+    return col(c).try_cast(MONEY)
+
+
 def to_ts(c: str | Column) -> Column:
     """String or timestamp_ntz to timestamp (session zone, UTC)."""
     return col(c).cast("timestamp")

@@ -38,19 +38,19 @@ class Model:
     # staging (lazy views)
     @cached_property
     def orders(self) -> DataFrame:
-        return staging.stage_orders(self.raw["orders"])
+        return staging.stage_orders(self.raw["orders"], self.params.lenient_casts)
 
     @cached_property
     def order_items(self) -> DataFrame:
-        return staging.stage_order_items(self.raw["order_items"])
+        return staging.stage_order_items(self.raw["order_items"], self.params.lenient_casts)
 
     @cached_property
     def order_payments(self) -> DataFrame:
-        return staging.stage_order_payments(self.raw["order_payments"])
+        return staging.stage_order_payments(self.raw["order_payments"], self.params.lenient_casts)
 
     @cached_property
     def order_reviews(self) -> DataFrame:
-        return staging.stage_order_reviews(self.raw["order_reviews"])
+        return staging.stage_order_reviews(self.raw["order_reviews"], self.params.lenient_casts)
 
     @cached_property
     def customers(self) -> DataFrame:

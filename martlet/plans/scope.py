@@ -47,6 +47,9 @@ class ModelParams:
     buckets: tuple[tuple[int, str], ...] = REFERENCE_BUCKETS
     open_bucket: str = REFERENCE_OPEN_BUCKET
     negative_max_score: int = REFERENCE_NEGATIVE_MAX_SCORE
+    # malformed timestamps and amounts become NULL instead of failing the
+    # load (ANSI casts raise); the typed-timestamp check then reports them
+    lenient_casts: bool = False
 
 
 # The expected figures the reference states for its own source

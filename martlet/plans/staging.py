@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.expr import money, to_ts, try_to_ts
+from ..functions.expr import money, to_ts, try_money, try_to_ts
 from ..plans.scope import REFERENCE_TRANSLATION_PATCHES
 
 
@@ -19,6 +19,10 @@ def _ts(lenient: bool):
     return try_to_ts if lenient else to_ts
 
 
+def _money(lenient: bool):
+    return try_money if lenient else money
+
+
 def stage_orders(raw: DataFrame, lenient: bool = False) -> DataFrame:
     to_ts = _ts(lenient)
     return raw.select(
@@ -34,18 +38,18 @@ def stage_orders(raw: DataFrame, lenient: bool = False) -> DataFrame:
 
 
 def stage_order_items(raw: DataFrame, lenient: bool = False) -> DataFrame:
-    to_ts = _ts(lenient)
+    to_ts, to_money = _ts(lenient), _money(lenient)
     return raw.select(
         "order_id", "order_item_id", "product_id", "seller_id",
         to_ts("shipping_limit_date").alias("shipping_limit_at"),
-        money("price").alias("price"),
-        money("freight_value").alias("freight_value"))
+        to_money("price").alias("price"),
+        to_money("freight_value").alias("freight_value"))
 
 
-def stage_order_payments(raw: DataFrame) -> DataFrame:
+def stage_order_payments(raw: DataFrame, lenient: bool = False) -> DataFrame:
     return raw.select(
         "order_id", "payment_sequential", "payment_type", "payment_installments",
-        money("payment_value").alias("payment_value"))
+        _money(lenient)("payment_value").alias("payment_value"))
 
 
 def stage_order_reviews(raw: DataFrame, lenient: bool = False) -> DataFrame:

@@ -155,3 +155,14 @@ def test_lenient_timestamps_become_null(spark):
     rep = {r.column_name: r.passed for r in timestamps_typed(raw, lenient, {
         "delivered_at": "order_delivered_customer_date", "purchased_at": "order_purchase_timestamp"}).collect()}
     assert rep == {"delivered_at": False, "purchased_at": True}
+
+
+def test_lenient_money_becomes_null(spark):
+    import pytest
+    from martlet.plans.staging import stage_order_items
+    raw = raw_tables(spark, [orders_row("o1")], [item_row("o1", price="12.30"), item_row("o1", 2, price="")])[
+        "order_items"]
+    with pytest.raises(Exception):
+        stage_order_items(raw).collect()
+    got = sorted((r.order_item_id, r.price) for r in stage_order_items(raw, lenient=True).collect())
+    assert str(got[0][1]) == "12.30" and got[1][1] is None
