@@ -82,7 +82,7 @@ def test_orphan_rows_and_counts(spark):
     from martlet.operators.joins import match_counts, orphan_count, orphans
     child = spark.createDataFrame([(1,), (1,), (2,), (None,)], "k int")
     parent = spark.createDataFrame([(1,), (3,)], "k int")
-    assert sorted((r.k,) for r in orphans(child, parent, "k").collect()) == sorted([(2,), (None,)], key=str)
+    assert {r.k for r in orphans(child, parent, "k").collect()} == {2, None}
     assert orphan_count(child, parent, "k").first().orphans == 2
     r = match_counts(child, "k", parent, "k").first()
     assert (r.orphans, r.childless_parents) == (2, 1)
