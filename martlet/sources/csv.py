@@ -9,6 +9,8 @@ should arrive as many files (or be converted to Parquet once, which is what
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -35,16 +37,23 @@ def load_raw_layer(spark: SparkSession, folder: str, files: dict[str, str] | Non
                    out: str | None = None, tables=None) -> dict[str, DataFrame]:
     """Load the source CSVs unmodified. With ``out``, each is written once as
     Parquet under ``out/raw/<table>`` (full replace) and read back from
-    there, so later layers scan columnar files instead of re-parsing CSV."""
-    result = {}
-    for t in tables or RAW_SCHEMAS:
-        df = read_source(spark, folder, t, files)
-        if out:
-            path = f"{out.rstrip('/')}/raw/{t}"
-            df.write.mode("overwrite").parquet(path)
-            df = spark.read.parquet(path)
-        result[t] = df
-    return result
+    there, so later layers scan columnar files instead of re-parsing CSV;
+    the nine loads run concurrently."""
+    names = list(tables or RAW_SCHEMAS)
+    frames = {t: read_source(spark, folder, t, files) for t in names}
+    if not out:
+        return frames
+
+    def write(t: str) -> DataFrame:
+        path = f"{out.rstrip('/')}/raw/{t}"
+        frames[t].write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
+    # a multi-line CSV file is read by one task; the loads are submitted
+    # together so the files are parsed side by side, not one after another
+    with ThreadPoolExecutor(max_workers=max(1, len(names))) as pool:
+        futures = {t: pool.submit(write, t) for t in names}
+        return {t: f.result() for t, f in futures.items()}
 
 
 def write_extract_csv(df: DataFrame, path: str) -> None:
