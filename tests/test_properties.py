@@ -71,5 +71,7 @@ def test_order_fact_matches_brute_force(spark, orders):
     assert all(r.passed for r in checks.facts_agree(m.fct_order_items, m.fct_orders).collect())
     assert all(r.passed for r in checks.revenue_reconciliation(m.order_items, m.orders, m.fct_order_items,
                                                                 m.params.scope).collect())
+    report = {r.check: r.passed for r in checks.validation_report(m).collect()}
+    assert all(report.values()), report
     buckets = m.extract_buckets().collect()
     assert sum(b.orders for b in buckets) == sum(1 for e in expected.values() if e[2] is not None)
