@@ -14,7 +14,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..sources.tables import register_views, save_bucketed, save_table
+from ..sources.tables import register_views, save_bucketed, save_partitioned, save_table
 from . import dims, extracts, facts, staging
 from .scope import ModelParams
 
@@ -117,9 +117,11 @@ class Model:
     def extract_buckets(self) -> DataFrame:
         return extracts.extract_buckets(self.fct_orders, self.params.buckets, self.params.open_bucket)
 
-    def materialize(self, path: str) -> "Model":
+    def materialize(self, path: str, date_partitioned: bool = False) -> "Model":
         """Write dimensions and facts under ``path`` (shared storage), in
-        dependency order, and return a model whose marts read those files."""
+        dependency order, and return a model whose marts read those files.
+        With ``date_partitioned`` the facts get one folder per ``date_key``,
+        so date-filtered reads skip whole folders."""
         root = path.rstrip("/")
         sort = {"fct_order_items": ["order_id", "order_item_id"], "fct_orders": ["order_id"]}
         out: dict[str, DataFrame] = {}
@@ -130,7 +132,9 @@ class Model:
             built = Model(self.spark, self.raw, self.params, dict(out), self.supplied)
             frames = {name: getattr(built, name) for name in phase}
             with ThreadPoolExecutor(max_workers=min(4, len(frames))) as pool:
-                futures = {name: pool.submit(save_table, df, f"{root}/{name}", sort.get(name))
+                futures = {name: (pool.submit(save_partitioned, df, f"{root}/{name}", "date_key", sort[name])
+                                  if date_partitioned and name in sort
+                                  else pool.submit(save_table, df, f"{root}/{name}", sort.get(name)))
                            for name, df in frames.items()}
                 out.update({name: f.result() for name, f in futures.items()})
         return Model(self.spark, self.raw, self.params, out, self.supplied)

@@ -41,6 +41,18 @@ def save_table(df: DataFrame, path: str, sort_within: list[str] | None = None) -
     return df.sparkSession.read.parquet(path)
 
 
+def save_partitioned(df: DataFrame, path: str, by: str, sort_within: list[str] | None = None) -> DataFrame:
+    """Write ``df`` as Parquet partitioned by the values of ``by`` (one
+    folder per value; full replace) so filters on ``by`` prune folders.
+    Rows are range-partitioned on (``by``, ``sort_within``) first: each
+    task writes a few neighbouring values, and a value holding many rows is
+    spread over several tasks instead of one."""
+    cols = [by] + list(sort_within or [])
+    (df.repartitionByRange(*cols).sortWithinPartitions(*cols)
+     .write.mode("overwrite").partitionBy(by).parquet(path))
+    return df.sparkSession.read.parquet(path)
+
+
 def save_bucketed(df: DataFrame, table: str, by: str, buckets: int,
                   sort_within: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a catalog table bucketed on ``by`` (full replace) and

@@ -54,3 +54,16 @@ def test_bucketed_marts_colocate_customer_join(spark, scratch):
     # the only shuffle is the final aggregation's: the fact-customer join is co-located
     assert plan.count("Exchange hashpartitioning") == 1
     assert sorted(map(tuple, mb.extract_delivery().collect())) == sorted(map(tuple, m.extract_delivery().collect()))
+
+
+def test_date_partitioned_facts_prune(spark, scratch):
+    import datetime as dt
+    from martlet import registry
+    m = registry.model(spark, SF)
+    mp = m.materialize(scratch + "/marts", date_partitioned=True)
+    day = dt.date(1998, 3, 1)
+    f = mp.fct_orders.where(F.col("date_key") >= F.lit(day))
+    plan = formatted_plan(f)
+    assert "PartitionFilters: [isnotnull(date_key" in plan and "date_key" in plan
+    assert f.count() == m.fct_orders.where(F.col("date_key") >= F.lit(day)).count()
+    assert sorted(map(tuple, mp.extract_buckets().collect())) == sorted(map(tuple, m.extract_buckets().collect()))
