@@ -54,3 +54,14 @@ def test_cli_exit_status(spark, scratch):
     argv = ["--landing", landing, "--lake", os.path.join(scratch, "lake"), "--scope-lo", "1996-01-01",
             "--scope-hi", "2000-09-01", "--patch", "LARGE=large", "--spine-from-data"]
     assert main(argv) == 0
+
+
+def test_cli_partitioned_and_bucketed_layouts(spark, scratch):
+    landing = os.path.join(scratch, "landing")
+    os.makedirs(landing)
+    _landing(spark, landing)
+    base = ["--landing", landing, "--scope-lo", "1996-01-01", "--scope-hi", "2000-09-01",
+            "--patch", "LARGE=large", "--spine-from-data"]
+    assert main(base + ["--lake", os.path.join(scratch, "lake1"), "--date-partitioned"]) == 0
+    assert main(base + ["--lake", os.path.join(scratch, "lake2"), "--bucketed-schema", "marts_cli",
+                        "--buckets", "4"]) == 0
