@@ -220,8 +220,16 @@ def collapse(df: DataFrame, key: str, medians: list[str], modes: list[str],
     ``bounds`` = (column, lo, hi)."""
     d = df.where(F.col(bounds[0]).between(bounds[1], bounds[2])) if bounds else df
     out = d.select(key).distinct()
-    for c in medians:
-        out = out.join(percentiles_within(d, [key], c, {f"median_{c}": 0.5}), key, "left")
+    if medians:
+        # all median columns ranked in one pass: stacked to (key, column,
+        # value) rows, ranked per (key, column), pivoted back per key
+        stacked = d.select(key, F.explode(F.array(*[
+            F.struct(F.lit(c).alias("_col"), F.col(c).cast("double").alias("_val")) for c in medians]))
+            .alias("_s")).select(key, "_s._col", "_s._val")
+        med = percentiles_within(stacked, [key, "_col"], "_val", {"_median": 0.5})
+        wide = med.groupBy(key).agg(*[F.max(F.when(F.col("_col") == c, F.col("_median"))).alias(f"median_{c}")
+                                      for c in medians])
+        out = out.join(wide, key, "left")
     for c in modes:
         out = out.join(mode_per_key(d, key, c, f"mode_{c}"), key, "left")
     return out
