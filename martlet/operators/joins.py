@@ -69,13 +69,14 @@ def fanout_rows(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Rows an equi-join would produce, computed from per-key counts without
     running the join: sum over keys of count_left * count_right. Returns
     (left_rows, right_rows, joined_rows, fanout_factor)."""
-    a = left.groupBy(key).agg(F.count(F.lit(1)).alias("_a"))
-    b = right.groupBy(key).agg(F.count(F.lit(1)).alias("_b"))
-    joined = a.join(b, key).agg(F.sum(F.col("_a") * F.col("_b")).alias("joined_rows"))
-    lt = left.agg(F.count(F.lit(1)).alias("left_rows"))
-    rt = right.agg(F.count(F.lit(1)).alias("right_rows"))
-    return (lt.select(F.col("left_rows"), rt.scalar().alias("right_rows"),
-                      joined.scalar().alias("joined_rows"))
+    a = key_counts(left, key, "_a")
+    b = key_counts(right, key, "_b").withColumnRenamed("_k", "_kb")
+    # one full outer join of per-key counts gives both sides' rows and the
+    # joined rows (NULL keys never match, as in the equi-join)
+    j = a.join(b, a["_k"] == b["_kb"], "full")
+    return (j.agg(F.coalesce(F.sum("_a"), F.lit(0)).alias("left_rows"),
+                  F.coalesce(F.sum("_b"), F.lit(0)).alias("right_rows"),
+                  F.coalesce(F.sum(F.col("_a") * F.col("_b")), F.lit(0)).alias("joined_rows"))
             .withColumn("fanout_factor",
                         F.try_divide(F.col("joined_rows").cast("double"),
                                      F.col("left_rows").cast("double"))))
