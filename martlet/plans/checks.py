@@ -132,11 +132,11 @@ def grain(df: DataFrame, keys: list[str], parent: str) -> DataFrame:
     also distinct parents. One grouping on the full key; parents are
     counted from the grouped keys, so no multi-distinct expansion."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    valid = per_key.where(F.greatest(*[F.col(k).isNull() for k in keys]) == F.lit(False))
+    complete = F.greatest(*[F.col(k).isNull() for k in keys]) == F.lit(False)
     parents = per_key.where(F.col(parent).isNotNull()).select(parent).distinct()
-    return (per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
-            .select("rows", valid.agg(F.count(F.lit(1))).scalar().alias("distinct_keys"),
-                    parents.agg(F.count(F.lit(1))).scalar().alias("distinct_orders"))
+    return (per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+                        F.count_if(complete).alias("distinct_keys"))
+            .select("rows", "distinct_keys", parents.agg(F.count(F.lit(1))).scalar().alias("distinct_orders"))
             .withColumn("passed", F.col("rows") == F.col("distinct_keys")))
 
 
