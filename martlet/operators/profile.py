@@ -62,9 +62,9 @@ def null_profile(df: DataFrame) -> DataFrame:
         names.append(f.name)
         fields.append([f"_n{i}", f"_b{i}"])
     one = df.agg(*aggs)
-    long = _stack(one.select("*"), names, fields, ["column_name", "nulls", "blank_strings"])
-    rows = one.select("_rows").scalar()
-    return long.select("column_name", "nulls", pct(F.col("nulls"), rows).alias("null_pct"),
+    parts = ", ".join(", ".join([f"'{n}'"] + [f"`{f}`" for f in fs]) for n, fs in zip(names, fields))
+    long = one.select("_rows", F.expr(f"stack({len(names)}, {parts}) as (column_name, nulls, blank_strings)"))
+    return long.select("column_name", "nulls", pct(F.col("nulls"), F.col("_rows")).alias("null_pct"),
                        "blank_strings")
 
 
