@@ -53,12 +53,15 @@ def build(spark, landing: str, lake: str, extracts: str | None, params: ModelPar
 
 
 def main(argv=None) -> int:
-    ap = argparse.ArgumentParser(prog="python -m martlet", description=__doc__.splitlines()[0])
+    ap = argparse.ArgumentParser(prog="python -m martlet", description=(
+        "Build the model from landing CSVs: raw load, staging, dimensions and facts, "
+        "dashboard extracts, validation report."))
     ap.add_argument("--landing", required=True, help="folder with the nine source CSVs")
     ap.add_argument("--lake", required=True, help="output root: raw/ and marts/ are written here")
     ap.add_argument("--extracts", help="folder for the three dashboard extracts (CSV)")
-    ap.add_argument("--scope-lo"), ap.add_argument("--scope-hi")
-    ap.add_argument("--status", action="append")
+    ap.add_argument("--scope-lo", help="first purchase date in scope (YYYY-MM-DD)")
+    ap.add_argument("--scope-hi", help="first purchase date after the scope (exclusive)")
+    ap.add_argument("--status", action="append", help="order status in scope (repeatable)")
     ap.add_argument("--patch", action="append", help="translation patch PT=EN (repeatable)")
     ap.add_argument("--spine-from-data", action="store_true",
                     help="date spine over whole years of the purchase dates instead of fixed bounds")
