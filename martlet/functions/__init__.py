@@ -1,0 +1 @@
+"""Column expressions built from Spark SQL functions."""

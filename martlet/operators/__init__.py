@@ -1,0 +1 @@
+"""Generic DataFrame operators: dedup, ranking, joins, profiling, reports."""

@@ -1,0 +1 @@
+"""The layered model: scope, staging, dimensions, facts, extracts, metrics, checks."""

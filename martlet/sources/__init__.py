@@ -1,0 +1 @@
+"""Raw sources: CSV schemas and reader, layer tables, supplied-table adapter."""

@@ -1,0 +1 @@
+"""Incremental raw ingest with Structured Streaming."""
