@@ -1,6 +1,6 @@
 """Quality rules: statistics of each text, and cross-document line frequency.
 
-A line's key is the digest of its normal form (A-Z lowered, each run of
+A line's key is the digest of its normal form (lower case, each run of
 digits one 0, white space runs one space, trimmed). For every host
 (``source``; null is a host too) the documents holding a line are counted,
 exact copies of a text as one document. A line is boilerplate of its host if
@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlet.llm.common import SPACES, let, words
+from martlet.llm.common import SPACES, cut, let, words
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -34,7 +34,6 @@ MAX_DOCUMENTS = 20
 MAX_PERCENT = 2
 MAX_REMOVED_PERCENT = 50
 SYMBOLS = "#*$%&|<>"
-_BLANK = " \t\n\x0b\x0c\r"
 
 
 def _repeat_words(w: Column) -> Column:
@@ -67,95 +66,100 @@ def base_stats(text: Column) -> Column:
     t = F.coalesce(text, F.lit(""))
 
     def lines_twice(x: Column) -> Column:
-        full = F.filter(F.split(x, "\n", -1), lambda l: F.length(F.translate(l, _BLANK, "")) > 0)
+        full = F.filter(F.split(x, "\n", -1), lambda l: l.rlike(r"[^\x20\x09-\x0D]"))
         return let(full, lambda f: F.size(f) - F.size(F.array_distinct(f)))
 
-    return F.struct(
-        F.size(words(t)).cast("long").alias("n_words"),
-        F.length(F.translate(t, _BLANK, "")).cast("long").alias("word_chars"),
-        (F.length(t) - F.length(F.translate(t, SYMBOLS, ""))).cast("long").alias("n_symbols"),
+    return let(words(t), lambda w: F.struct(
+        F.size(w).cast("long").alias("n_words"),
+        F.length(F.array_join(w, "")).cast("long").alias("word_chars"),
+        (F.size(F.split(t, f"[{SYMBOLS}]", -1)) - 1).cast("long").alias("n_symbols"),
         lines_twice(t).cast("long").alias("n_dup_lines"),
-        let(words(t), _repeat_words).cast("long").alias("n_repeat_words"),
-    )
+        _repeat_words(w).cast("long").alias("n_repeat_words"),
+    ))
 
 
-def normal_line(line: Column) -> Column:
-    lowered = F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    return F.btrim(F.regexp_replace(F.regexp_replace(lowered, "[0-9]+", "0"), SPACES, " "))
+def _lines(text: Column) -> Column:
+    return F.split(text, "\n", -1)
 
 
-def _lines(text: Column) -> Column:
-    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
+def normal_lines(text: Column) -> Column:
+    """The normal form of each line, in order."""
+    t = F.regexp_replace(F.regexp_replace(F.lower(text), "[0-9]+", "0"), r"[\x20\x09\x0B-\x0D]+", " ")
+    return F.transform(_lines(t), lambda l: F.btrim(l, F.lit(" ")))
+
 
+def _digest(x: Column) -> Column:
+    return F.unhex(F.md5(x))
 
-def _key(line: Column) -> Column:
-    return F.md5(normal_line(line))
+
+def line_rows(docs: DataFrame) -> DataFrame:
+    """(id, host, copy, line, n) for every line with a word: digests of the text and of the line, words in it."""
+    each = docs.where("text is not null").select(
+        F.col("doc_id").alias("id"), F.col("source").alias("host"), _digest(F.col("text")).alias("copy"),
+        F.explode(normal_lines(F.col("text"))).alias("l")).where("l <> ''")
+    return each.select("id", "host", "copy", _digest(F.col("l")).alias("line"),
+                       (F.length("l") - F.length(F.replace(F.col("l"), F.lit(" "), F.lit(""))) + 1).cast("long").alias("n"))
 
 
-def frequent_lines(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, max_percent: int = MAX_PERCENT) -> DataFrame:
-    """(host, line) of the boilerplate lines; ``docs (source, text)``."""
-    texts = docs.where("text is not null").select(F.col("source").alias("host"), F.md5("text").alias("copy"),
-                                                  F.array_distinct(F.transform(_lines(F.col("text")), _key)).alias("keys"))
+def frequent_lines(rows: DataFrame, max_documents: int = MAX_DOCUMENTS, max_percent: int = MAX_PERCENT) -> DataFrame:
+    """(host, line) of the boilerplate lines among ``line_rows``."""
     # one row of each distinct text of a host speaks for its copies
-    held = (texts.select("host", "copy", F.explode("keys").alias("line")).distinct()
+    held = (rows.select("host", "copy", "line").distinct()
             .groupBy("host", "line").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_documents))
-    size = texts.select("host", "copy").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("all"))
+    size = rows.select("host", "copy").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("all"))
     return (held.join(size.withColumnRenamed("host", "h"), F.col("host").eqNullSafe(F.col("h")))
-            .where(F.col("n") * 100 > F.col("all") * max_percent)
-            .where(F.col("line") != F.md5(F.lit(""))).select("host", "line"))
+            .where(F.col("n") * 100 > F.col("all") * max_percent).select("host", "line"))
 
 
-def removed_words(docs: DataFrame, frequent: DataFrame) -> DataFrame:
-    """(id, copy, host, lines, removed): for texts with boilerplate, its line keys and words."""
-    each = docs.where("text is not null").select(
-        F.col("doc_id").alias("id"), F.col("source").alias("host"), F.md5("text").alias("copy"),
-        F.explode(F.transform(_lines(F.col("text")), lambda l: F.struct(
-            _key(l).alias("line"), F.size(words(l)).alias("n")))).alias("l"))
-    each = each.select("id", "host", "copy", "l.line", "l.n").where("n > 0")
+def removed_words(rows: DataFrame, frequent: DataFrame) -> DataFrame:
+    """(id, host, copy, lines, removed): for texts with boilerplate its lines, and the words of all rows alike."""
     f = frequent.select(F.col("host").alias("h"), F.col("line").alias("k"))
-    hit = each.join(f, (F.col("line") == F.col("k")) & F.col("host").eqNullSafe(F.col("h")))
-    # rows alike in id, host and text repeat every line as often: their number divides out
+    hit = rows.join(f, (F.col("line") == F.col("k")) & F.col("host").eqNullSafe(F.col("h")))
     per = hit.groupBy("id", "host", "copy", "line").agg(F.sum("n").alias("n"))
     return per.groupBy("id", "host", "copy").agg(F.sum("n").alias("removed"), F.collect_list("line").alias("lines"))
 
 
 def _judged(docs: DataFrame, columns: list[str], max_documents: int, max_percent: int) -> DataFrame:
-    """docs with the statistics, the boilerplate lines found and the verdict."""
-    removed = removed_words(docs, frequent_lines(docs, max_documents, max_percent))
-    d = docs.select(*[F.col(c) for c in columns], F.md5("text").alias("_copy"), base_stats(F.col("text")).alias("_s"))
-    times = docs.where("text is not null").groupBy("doc_id", "source", F.md5("text").alias("copy")).agg(F.count(F.lit(1)).alias("times")) \
-        .where("times > 1").select(F.col("doc_id").alias("i"), F.col("source").alias("s"), F.col("copy").alias("c"), "times")
-    removed = (removed.join(times, F.col("id").eqNullSafe(F.col("i")) & F.col("host").eqNullSafe(F.col("s")) & (F.col("copy") == F.col("c")), "left")
-               .select("id", "host", "copy", "lines", (F.col("removed") / F.coalesce("times", F.lit(1))).cast("long").alias("removed")))
-    d = (d.join(removed, F.col("doc_id").eqNullSafe(F.col("id")) & F.col("source").eqNullSafe(F.col("host")) & (F.col("_copy") == F.col("copy")), "left")
-         .withColumn("removed", F.coalesce("removed", F.lit(0)).cast("long")).drop("id", "host", "copy", "_copy"))
-    s = F.col("_s")
+    """docs with the statistics (_q_s), the words removed, the boilerplate lines found and the verdict."""
+    rows = cut(line_rows(docs.select("doc_id", "source", "text")))
+    removed = removed_words(rows, frequent_lines(rows, max_documents, max_percent))
+    # rows alike in id, host and text repeat their lines as often: divide by their number
+    times = (rows.groupBy("id", "host", "copy").agg(F.sum("n").alias("words"))
+             .select(F.col("id").alias("i"), F.col("host").alias("h"), F.col("copy").alias("c"), "words"))
+    removed = removed.join(times, F.col("id").eqNullSafe(F.col("i")) & F.col("host").eqNullSafe(F.col("h")) & (F.col("copy") == F.col("c")))
+    removed = removed.select(*[F.col(c).alias(f"_q_{c}") for c in ("id", "host", "copy", "lines", "removed", "words")])
+    d = docs.select(*[F.col(c) for c in columns], _digest(F.col("text")).alias("_q_text"), base_stats(F.col("text")).alias("_q_s"))
+    d = d.join(removed, F.col("doc_id").eqNullSafe(F.col("_q_id")) & F.col("source").eqNullSafe(F.col("_q_host")) & (F.col("_q_text") == F.col("_q_copy")), "left")
+    s = F.col("_q_s")
+    d = d.withColumn("_q_gone", F.coalesce(F.col("_q_removed") * s["n_words"] / F.col("_q_words"), F.lit(0)).cast("long"))
     failed = (s["n_words"] < MIN_WORDS) | (100 * s["n_repeat_words"] > MAX_REPEAT_PERCENT * s["n_words"])
-    left = s["n_words"] - F.col("removed")
-    depleted = (F.col("removed") > 0) & ((left < MIN_WORDS) | (100 * F.col("removed") > MAX_REMOVED_PERCENT * s["n_words"]))
-    return d.withColumns({"base_failed": failed, "kept": ~failed & ~depleted})
+    left = s["n_words"] - F.col("_q_gone")
+    depleted = (F.col("_q_gone") > 0) & ((left < MIN_WORDS) | (100 * F.col("_q_gone") > MAX_REMOVED_PERCENT * s["n_words"]))
+    return d.withColumns({"_q_failed": failed, "_q_kept": ~failed & ~depleted})
 
 
 def quality(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, max_percent: int = MAX_PERCENT) -> DataFrame:
     """doc_id, the statistics, base_failed, kept, n_removed_words for each row of ``docs (doc_id, text, source)``."""
     return _judged(docs, ["doc_id", "source"], max_documents, max_percent).select(
-        "doc_id", "_s.*", "base_failed", "kept", F.col("removed").alias("n_removed_words"))
+        "doc_id", "_q_s.*", F.col("_q_failed").alias("base_failed"), F.col("_q_kept").alias("kept"), F.col("_q_gone").alias("n_removed_words"))
 
 
 def clean(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, max_percent: int = MAX_PERCENT) -> DataFrame:
-    """The kept rows of ``docs`` without their boilerplate lines, all columns; n_chars, if there, follows the text."""
+    """The kept rows of ``docs`` without their boilerplate lines, the columns of documents; n_chars follows the text."""
     names = docs.columns
-    d = _judged(docs, names, max_documents, max_percent).where("kept")
-    left = F.array_join(F.filter(_lines(F.col("text")), lambda l: ~F.array_contains(F.col("lines"), _key(l))), "\n")
-    d = d.withColumn("text", F.when(F.col("lines").isNull(), F.col("text")).otherwise(left))
+    d = _judged(docs, names, max_documents, max_percent).where("_q_kept")
+    pairs = F.zip_with(_lines(F.col("text")), normal_lines(F.col("text")), lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    left = F.array_join(F.transform(F.filter(pairs, lambda p: ~F.array_contains(F.col("_q_lines"), _digest(p["b"]))), lambda p: p["a"]), "\n")
+    same = F.col("_q_lines").isNull()
+    d = d.withColumn("text", F.when(same, F.col("text")).otherwise(left))
     if "n_chars" in names:
-        d = d.withColumn("n_chars", F.when(F.col("lines").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
+        d = d.withColumn("n_chars", F.when(same, F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return d.select(names)
 
 
 def _stats_sql(docs: str) -> str:
     split = f"list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACES}'), lambda x: x <> '')"
-    lower = f"trim(regexp_replace(regexp_replace(translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9]+', '0', 'g'), '{SPACES}', ' ', 'g'))"
+    lower = f"trim(regexp_replace(regexp_replace(lower(x), '[0-9]+', '0', 'g'), '{SPACES}', ' ', 'g'))"
     return f"""
 q_rows as (select row_number() over () as rid, * from {docs}),
 q_words as (select rid, {split} as w, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as full_lines from q_rows),
@@ -165,7 +169,7 @@ q_cover as (select rid, count(distinct i + k) as n from q_hit, (values (0), (1),
 q_line as (select rid, md5(text) as copy, source, unnest(list_transform(string_split(text, chr(10)), lambda x: {lower})) as line,
              unnest(list_transform(string_split(text, chr(10)), lambda x: len(list_filter(regexp_split_to_array(x, '{SPACES}'), lambda y: y <> '')))) as n
            from q_rows where text is not null),
-q_host as (select source, count(distinct copy) as total from q_line group by source),
+q_host as (select source, count(distinct copy) as total from q_line where n > 0 group by source),
 q_freq as (select l.source, l.line from q_line l join q_host h on l.source is not distinct from h.source where l.line <> ''
            group by l.source, l.line, h.total having count(distinct l.copy) > {MAX_DOCUMENTS} and count(distinct l.copy) * 100 > h.total * {MAX_PERCENT}),
 q_gone as (select l.rid, sum(l.n) as n from q_line l join q_freq f on l.line = f.line and l.source is not distinct from f.source group by l.rid),

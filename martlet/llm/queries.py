@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import line_dedup, mixing, quality, token_counts
+from martlet.llm import embedding_dedup, line_dedup, mixing, pieces, quality, token_counts, token_files
 from martlet.llm.common import table
 
 
@@ -16,16 +16,29 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encode(table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op7_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.token_files(table(spark, sf_dir, "documents"))
+
+
+def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_dedup(table(spark, sf_dir, "embeddings"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_line_dedup, op2_quality_rules, op5_mixing, op10_token_counts)}
+    return {f.__name__: f for f in (
+        op1_line_dedup, op2_quality_rules, op4_sentencepiece, op5_mixing, op7_token_binary, op8_embedding_dedup, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:

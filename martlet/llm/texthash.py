@@ -56,6 +56,14 @@ def _power(kind: str, base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
+def hash_spans(raw: np.ndarray, start: np.ndarray, end: np.ndarray, value: np.ndarray = _values) -> np.ndarray:
+    """Hash of raw[start:end] for each span."""
+    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
+    np.cumsum(value[raw] * _power("up", _BASE, len(raw)), out=sums[1:])
+    shift = _power("down", _INVERSE, len(raw) + 1)[start]
+    return mix((sums[end] - sums[start]) * shift + (end - start).astype(np.uint64))
+
+
 def hash_words(data: bytes, rule: str) -> tuple[np.ndarray, np.ndarray]:
     """(byte position of each word, its hash) in a buffer."""
     gap, value = RULES[rule]
@@ -64,10 +72,7 @@ def hash_words(data: bytes, rule: str) -> tuple[np.ndarray, np.ndarray]:
     inside[1:-1] = ~gap[raw]
     step = np.diff(inside)
     start, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum(value[raw] * _power("up", _BASE, len(raw)), out=sums[1:])
-    shift = _power("down", _INVERSE, len(raw) + 1)[start]
-    return start, mix((sums[end] - sums[start]) * shift + (end - start).astype(np.uint64))
+    return start, hash_spans(raw, start, end, value)
 
 
 def batches(texts: Iterable[bytes | None], rule: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
