@@ -36,7 +36,7 @@ _space[[9, 10, 11, 12, 13, 32]] = True
 _other = np.array([not (chr(b).isalnum() or b >= 128) for b in range(256)])
 _lower = np.arange(256, dtype=np.uint8)
 _lower[65:91] += 32
-_values = splitmix(256, 7)
+_values = BYTES = splitmix(256, 7)
 
 #: Name of a word rule: (bytes between words, value of each byte).
 RULES = {
@@ -56,11 +56,55 @@ def _power(kind: str, base: int, n: int) -> np.ndarray:
     return have[:n]
 
 
-def hash_spans(raw: np.ndarray, start: np.ndarray, end: np.ndarray, value: np.ndarray = _values) -> np.ndarray:
-    """Hash of raw[start:end] for each span."""
-    sums = np.zeros(len(raw) + 1, dtype=np.uint64)
-    np.cumsum(value[raw] * _power("up", _BASE, len(raw)), out=sums[1:])
-    shift = _power("down", _INVERSE, len(raw) + 1)[start]
+class Store:
+    """Sorted 64-bit keys with a run of small integers each, for caches of millions of entries."""
+
+    def __init__(self, kind: type, limit: int, extra: int = 0):
+        self.kind, self.limit, self.extra = kind, limit, extra
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys = np.zeros(0, dtype=np.uint64)
+        self.at, self.size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
+        self.more = np.zeros((0, self.extra))
+        self.flat, self.used = np.zeros(1 << 16, dtype=self.kind), 0
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place of each key, whether it is there)."""
+        if len(self.keys) + len(keys) > self.limit:
+            self.forget()
+        place = np.searchsorted(self.keys, keys)
+        there = np.zeros(len(keys), dtype=bool)
+        inside = place < len(self.keys)
+        there[inside] = self.keys[place[inside]] == keys[inside]
+        return place, there
+
+    def add(self, place: np.ndarray, keys: np.ndarray, runs: np.ndarray, sizes: np.ndarray, more: np.ndarray | None = None) -> None:
+        """New sorted keys at the places that ``find`` gave, with their runs end to end."""
+        while self.used + len(runs) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        self.flat[self.used:self.used + len(runs)] = runs
+        self.keys = np.insert(self.keys, place, keys)
+        self.at = np.insert(self.at, place, self.used + np.cumsum(sizes) - sizes)
+        self.size = np.insert(self.size, place, sizes)
+        if self.extra:
+            self.more = np.insert(self.more, place, more, axis=0)
+        self.used += len(runs)
+
+    def runs(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the runs of these rows end to end, where each ends)."""
+        size = self.size[rows].astype(np.int64)
+        upto = np.cumsum(size)
+        if not len(rows):
+            return self.flat[:0], upto
+        return self.flat[np.repeat(self.at[rows] - upto + size, size) + np.arange(upto[-1])], upto
+
+
+def hash_spans(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of values[start:end] (64-bit, one for each character) for each span."""
+    sums = np.zeros(len(values) + 1, dtype=np.uint64)
+    np.cumsum(values * _power("up", _BASE, len(values)), out=sums[1:])
+    shift = _power("down", _INVERSE, len(values) + 1)[start]
     return mix((sums[end] - sums[start]) * shift + (end - start).astype(np.uint64))
 
 
@@ -72,7 +116,7 @@ def hash_words(data: bytes, rule: str) -> tuple[np.ndarray, np.ndarray]:
     inside[1:-1] = ~gap[raw]
     step = np.diff(inside)
     start, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    return start, hash_spans(raw, start, end, value)
+    return start, hash_spans(value[raw], start, end)
 
 
 def batches(texts: Iterable[bytes | None], rule: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
