@@ -23,7 +23,7 @@ Encoding splits plain texts (ASCII, the letters of Latin-1) as the
 vocabulary's public pattern does; the library's ids of each part are kept in
 the worker by the part's 64-bit hash, for at most CACHE_ENTRIES parts. Texts
 with other characters, an apostrophe, what might be a special string, or more
-than BATCH_BYTES characters go to the library whole.
+than BATCH_BYTES bytes go to the library whole.
 
 Null and empty texts: only the end id. Null ids come first; rows with the
 same id are ordered by text. Other columns are ignored. No rows: no shard.
@@ -36,6 +36,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,18 +45,16 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martlet.llm.common import shared_folder
-from martlet.llm.texthash import hash_spans
+from martlet.llm.texthash import BYTES, Store, hash_spans
 
 END = 0
 SHARD_IDS = 1 << 20
 ROUNDS = 8
 PAIRS_A_ROUND = 4096
 MIN_COUNT = 4
-CACHE_ENTRIES = 1_000_000
+CACHE_ENTRIES = 3_000_000
 BATCH_BYTES = 2 << 20
 MAGIC = b"RPR1"
-#: Only these characters may take the way through the pattern.
-PLAIN = r"[\t\n\r\x20-\x7eÀ-ÖØ-öø-ÿ]*"
 
 _encoders: dict[str, _Encoder] = {}
 
@@ -67,6 +66,16 @@ _class[[9, 10, 13]] = _SPACE
 _class[0x80:0xC0] = _class[0xC3] = _LETTER  # second and first bytes of the letters from U+00C0 to U+00FF
 
 
+_ASCII = bytes([9, 10, 13, *range(32, 127)])
+
+
+def _plain(text: bytes) -> bool:
+    """Only ASCII text and the letters from U+00C0 to U+00FF (0xC3 and a byte, but for the two signs)."""
+    rest = text.translate(None, _ASCII)
+    return not rest or (rest[::2] == b"\xc3" * (len(rest) - len(rest) // 2) and len(rest) % 2 == 0
+                        and b"\x97" not in rest[1::2] and b"\xb7" not in rest[1::2])
+
+
 def _parts(raw: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Where the vocabulary's pattern starts a part, in plain texts set end to end; first: their first bytes.
 
@@ -94,32 +103,13 @@ class _Encoder:
     def __init__(self, path: str | None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
         import public_tokenizers
-        import regex
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path or public_tokenizers.path("byte_bpe_50k.json"))
-        self.plain = regex.compile(PLAIN).fullmatch
-        self.forget()
-
-    def forget(self) -> None:
-        self.rows: dict[int, int] = {}
-        self.flat, self.used = np.zeros(1 << 16, dtype=np.uint16), 0
-        self.at, self.size = np.zeros(1 << 14, dtype=np.int64), np.zeros(1 << 14, dtype=np.int64)
-
-    def library(self, text: str) -> np.ndarray:
-        return np.array(self.model.encode(text, add_special_tokens=False).ids, dtype=np.uint16)
-
-    def learn(self, hashes: list[int], parts: list[str]) -> None:
-        for h, x in zip(hashes, self.model.encode_batch_fast(parts, add_special_tokens=False), strict=True):
-            ids, row = x.ids, len(self.rows)
-            if row == len(self.at):
-                self.at, self.size = np.resize(self.at, 2 * row), np.resize(self.size, 2 * row)
-            if self.used + len(ids) > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * len(self.flat) + len(ids))
-            self.flat[self.used:self.used + len(ids)] = ids
-            self.at[row], self.size[row] = self.used, len(ids)
-            self.used += len(ids)
-            self.rows[h] = row
+        self.known = Store(np.uint16, CACHE_ENTRIES)
+
+    def library(self, text: bytes) -> np.ndarray:
+        return np.array(self.model.encode(text.decode(errors="replace"), add_special_tokens=False).ids, dtype=np.uint16)
 
     def plain_batch(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of plain texts that are not empty."""
@@ -127,19 +117,19 @@ class _Encoder:
         raw, ends = np.frombuffer(data, dtype=np.uint8), np.cumsum([len(t) for t in texts])
         start = _parts(raw, np.concatenate(([0], ends[:-1])))
         end = np.append(start[1:], len(raw))
-        known, one, back = np.unique(hash_spans(raw, start, end), return_index=True, return_inverse=True)
-        keys = known.tolist()
-        if len(self.rows) + len(keys) > CACHE_ENTRIES:
-            self.forget()
-        if new := [i for i, h in enumerate(keys) if h not in self.rows]:
-            self.learn([keys[i] for i in new], [data[start[one[i]]:end[one[i]]].decode() for i in new])
-        row = np.fromiter(map(self.rows.__getitem__, keys), dtype=np.int64, count=len(keys))[back]
-        size = self.size[row]
-        upto = np.cumsum(size)
-        ids = self.flat[np.repeat(self.at[row] - upto + size, size) + np.arange(upto[-1])]
+        keys, one, back = np.unique(hash_spans(BYTES[raw], start, end), return_index=True, return_inverse=True)
+        place, there = self.known.find(keys)
+        if not there.all():
+            new = one[~there]
+            parts = [data[a:b].decode() for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)]
+            ids = [x.ids for x in self.model.encode_batch_fast(parts, add_special_tokens=False)]
+            sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+            self.known.add(place[~there], keys[~there], np.fromiter(chain.from_iterable(ids), dtype=np.uint16, count=sizes.sum()), sizes)
+            place = np.searchsorted(self.known.keys, keys)
+        ids, upto = self.known.runs(place[back])
         return np.split(ids, upto[np.searchsorted(end, ends[:-1])])
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+    def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         out: list = [np.zeros(0, dtype=np.uint16)] * len(texts)
         held: list[int] = []
         data: list[bytes] = []
@@ -147,12 +137,12 @@ class _Encoder:
         for i, t in enumerate(texts):
             if not t:
                 continue
-            if "<|" in t or "'" in t or len(t) > BATCH_BYTES or not self.plain(t):
+            if len(t) > BATCH_BYTES or b"<|" in t or b"'" in t or not _plain(t):
                 out[i] = self.library(t)
                 continue
-            data.append(t.encode())
+            data.append(t)
             held.append(i)
-            size += len(data[-1])
+            size += len(t)
             if size >= BATCH_BYTES:
                 for k, x in zip(held, self.plain_batch(data), strict=True):
                     out[k] = x
@@ -320,7 +310,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard_ids: i
         if names:
             yield record()
 
-    (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).repartitionByRange("doc_id")
+    (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).repartitionByRange("doc_id")
      .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
      .mapInArrow(shards, "part int, shard int, n_ids long, data binary").write.parquet(path))
 
