@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import embedding_dedup, line_dedup, mixing, pieces, quality, token_counts, token_files
+from martlet.llm import embedding_dedup, line_dedup, mixing, ngram_join, pieces, quality, token_counts, token_files, toxicity
 from martlet.llm.common import table
 
 
@@ -16,6 +16,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(table(spark, sf_dir, "documents"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), with_ids=False)
 
@@ -32,14 +36,19 @@ def op8_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.embedding_dedup(table(spark, sf_dir, "embeddings"))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op1_line_dedup, op2_quality_rules, op4_sentencepiece, op5_mixing, op7_token_binary, op8_embedding_dedup, op10_token_counts)}
+        op1_line_dedup, op2_quality_rules, op3_toxicity, op4_sentencepiece, op5_mixing, op7_token_binary, op8_embedding_dedup, op9_ngram_join, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_line_dedup": line_dedup.oracle(), "op2_quality_rules": quality.oracle(), "op5_mixing": mixing.oracle()}
+    return {"op1_line_dedup": line_dedup.oracle(), "op2_quality_rules": quality.oracle(), "op5_mixing": mixing.oracle(),
+            "op9_ngram_join": ngram_join.oracle()}
