@@ -114,6 +114,22 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: int = SHARE, limit: int = LIMIT
                       (copies * F.col("size")).alias("taken"))
 
 
+def mixed(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, all columns."""
+    names = docs.columns
+    key = ["_id", "_source", "_size", "_no"]
+
+    def numbered(df: DataFrame, order) -> DataFrame:
+        return df.withColumn("_no", F.row_number().over(Window.partitionBy("_id", "_source", "_size").orderBy(order)))
+
+    taken = mix(docs, **how).select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies")
+    taken = numbered(taken, F.desc("copies")).select(*[F.col(c).alias(f"{c}_") for c in key], F.col("copies").alias("_copies"))
+    d = numbered(docs.withColumns({"_id": F.col("doc_id"), "_source": F.col("source"), "_size": F.size(words(F.col("text"))).cast("long")}), F.col("text"))
+    on = [F.col(c).eqNullSafe(F.col(f"{c}_")) for c in key]
+    both = d.join(taken, on[0] & on[1] & on[2] & on[3]).where("_copies > 0")
+    return both.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(names)
+
+
 def oracle(docs: str = "documents") -> str:
     """DuckDB SQL for ``mix`` (columns of the query); ``docs`` names the input relation."""
     return f"""

@@ -231,6 +231,20 @@ def ngram_join(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, ti
                       F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id"))
 
 
+def one_of_each(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
+    """The rows of ``docs`` of which no linked document has a smaller id; all columns.
+
+    Rows with the same id are one document, of which the smallest text
+    stays; rows with a null id all stay.
+    """
+    names = docs.columns
+    stay = ngram_join(docs, width, percent).where("doc_id = component_id").select(F.col("doc_id").alias("_stays")).distinct()
+    rest = F.struct(F.col("text"), *[F.col(c) for c in names if c not in ("doc_id", "text")])
+    kept = (docs.join(stay, F.col("doc_id") == F.col("_stays"), "left_semi").groupBy("doc_id").agg(F.min(rest).alias("_rest"))
+            .select(*[F.col("doc_id") if c == "doc_id" else F.col("_rest")[c].alias(c) for c in names]))
+    return kept.unionByName(docs.where("doc_id is null"))
+
+
 def oracle(docs: str = "documents", width: int = SHINGLE, percent: int = PERCENT) -> str:
     """DuckDB SQL for the query: shingles as text, overlaps by a join on every shingle, components by recursion."""
     lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

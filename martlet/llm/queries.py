@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import embedding_dedup, line_dedup, mixing, ngram_join, pieces, quality, token_counts, token_files, toxicity
+from martlet.llm import embedding_dedup, html_wrappers, line_dedup, mixing, ngram_join, pieces, quality, token_counts, token_files, toxicity
 from martlet.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_wrappers.main_text(table(spark, sf_dir, "pages"))
+
+
 def op7_token_binary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_files(table(spark, sf_dir, "documents"))
 
@@ -46,7 +50,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op1_line_dedup, op2_quality_rules, op3_toxicity, op4_sentencepiece, op5_mixing, op7_token_binary, op8_embedding_dedup, op9_ngram_join, op10_token_counts)}
+        op1_line_dedup, op2_quality_rules, op3_toxicity, op4_sentencepiece, op5_mixing, op6_html_extraction, op7_token_binary, op8_embedding_dedup, op9_ngram_join, op10_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
