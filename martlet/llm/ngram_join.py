@@ -6,12 +6,15 @@ percent / 100 or more.
 
 1. Documents with equal sets (128-bit digest and size) form a class; from
    here on each class has one representative.
-2. Sets that link share one of the first |A| - ceil(t |A|) + 1 hashes of
-   each (prefix filter in hash order). Every shared prefix hash gives an edge
-   from each holder to the smallest one; connected components of these edges
-   are the groups within which all links lie. Minima and counts are taken
-   before the shuffle; a hash that a third of all documents hold costs its
-   rows.
+2. The l smallest hashes that two sets share lie among the first
+   |A| - overlap + l of each; linked sets overlap in t |A| at least. So with l
+   of LEAD_PERCENT percent of |A| (1 at least) documents with fewer than l
+   hashes among their first |A| - ceil(t |A|) + l that any other document has
+   among its own link with nothing. Among the rest, every shared one of these
+   hashes gives an edge from each holder to the smallest one; connected
+   components of these edges are the groups within which all links lie. Minima
+   and counts are taken before the shuffle; a hash that a third of all
+   documents hold costs its rows.
 3. A group of at most TILE documents and BLOCK_SHINGLES shingles is one tile.
    A larger one is split by size bands (a band spans the ratio t, so links
    join the same or adjacent bands) and bands into blocks of about that size
@@ -52,6 +55,7 @@ from martlet.llm.texthash import batches, mix
 
 SHINGLE = 3
 PERCENT = 90
+LEAD_PERCENT = 5
 TILE = 4096
 BLOCK_SHINGLES = 4 << 20
 RULE = "spaces, A-Z lowered"
@@ -82,8 +86,13 @@ def shingle_sets(texts: list[bytes | None], width: int = SHINGLE) -> Iterator[np
             at += c
 
 
+def lead(n: int) -> int:
+    """Prefix hashes that linked sets of n or more hashes share at least."""
+    return max(1, n * LEAD_PERCENT // 100)
+
+
 def prefix_length(n: int, percent: int) -> int:
-    return n - -(-percent * n // 100) + 1
+    return min(n, n - -(-percent * n // 100) + lead(n))
 
 
 def _profile(width: int, percent: int):
@@ -198,13 +207,19 @@ def ngram_join(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, ti
     reps = rows.where("n > 0").join(classes, ["n", "digest"]).where("doc_id = rep").groupBy("rep", "n", "digest").agg(F.first("keys").alias("keys"))
     reps = cut(reps)
     held = reps.select("rep", F.explode("keys").alias("key"))
-    shared = held.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
-    star = held.join(shared.select("key", "low"), "key").select(F.col("low").alias("a"), F.col("rep").alias("b"))
+    several = held.groupBy("key").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1").select("key")
+    # a partner has at least t n hashes, so it shares lead(t n) of them
+    need = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * percent / 100) * LEAD_PERCENT / 100))
+    shared = held.join(several, "key", "left_semi").groupBy("rep").agg(F.count(F.lit(1)).alias("shared"))
+    likely = cut(reps.join(shared, "rep").where(F.col("shared") >= need).select("rep", "n", "keys"))
+    held = likely.select("rep", F.explode("keys").alias("key"))
+    low = held.groupBy("key").agg(F.min("rep").alias("low"))
+    star = held.join(low, "key").select(F.col("low").alias("a"), F.col("rep").alias("b"))
     groups = components(star).withColumnRenamed("component", "grp")
 
     # a band is a hair wider than the ratio, so rounding cannot part linked sizes by two bands
     band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(100 / percent) * (1 + 1e-9) + 1e-9)).cast("int")
-    wanted = groups.join(reps.select("rep", "n"), F.col("node") == F.col("rep")).groupBy("rep", "grp").agg(F.max("n").alias("n"))
+    wanted = groups.join(likely.select("rep", "n"), F.col("node") == F.col("rep")).groupBy("rep", "grp").agg(F.max("n").alias("n"))
     wanted = cut(wanted.withColumn("band", band))
     parts = F.ceil(F.greatest(F.count(F.lit(1)) / F.lit(tile), F.sum("n") / F.lit(shingles))).cast("int")
     large = wanted.groupBy("grp").agg(parts.alias("parts")).where("parts > 1").select("grp")
