@@ -107,7 +107,7 @@ def line_dedup(docs: DataFrame) -> DataFrame:
 def _sql(docs: str) -> str:
     """CTEs of the cleaned rows: l_out (rid, kept_text, n_chunks, n_removed)."""
     return f"""
-l_rows as (select row_number() over () as rid, md5(text) as copy, * from {docs}),
+l_rows as (select row_number() over () as rid, md5(text) as copy, doc_id, text from {docs}),
 l_line as (select rid, generate_subscripts(string_split(text, chr(10)), 1) - 1 as i, unnest(string_split(text, chr(10))) as line from l_rows where text is not null),
 l_dig as (select *, cast(('0x' || substr(md5(line), 1, 8)) as bigint) as d from l_line),
 l_roll as (select *, (d * {BASE} + coalesce(lead(d) over w, 0)) % {MODULUS} as r from l_dig window w as (partition by rid order by i)),

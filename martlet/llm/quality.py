@@ -135,7 +135,8 @@ def _judged(docs: DataFrame, columns: list[str], max_documents: int, max_percent
     failed = (s["n_words"] < MIN_WORDS) | (100 * s["n_repeat_words"] > MAX_REPEAT_PERCENT * s["n_words"])
     left = s["n_words"] - F.col("_q_gone")
     depleted = (F.col("_q_gone") > 0) & ((left < MIN_WORDS) | (100 * F.col("_q_gone") > MAX_REMOVED_PERCENT * s["n_words"]))
-    return d.withColumns({"_q_failed": failed, "_q_kept": ~failed & ~depleted})
+    # one comparison of both, lest a filter on it be split and the statistics be computed again below the join
+    return d.withColumns({"_q_failed": failed, "_q_kept": F.greatest(failed.cast("int"), depleted.cast("int")) == 0})
 
 
 def quality(docs: DataFrame, max_documents: int = MAX_DOCUMENTS, max_percent: int = MAX_PERCENT) -> DataFrame:
@@ -161,7 +162,7 @@ def _stats_sql(docs: str) -> str:
     split = f"list_filter(regexp_split_to_array(coalesce(text, ''), '{SPACES}'), lambda x: x <> '')"
     lower = f"trim(regexp_replace(regexp_replace(lower(x), '[0-9]+', '0', 'g'), '{SPACES}', ' ', 'g'))"
     return f"""
-q_rows as (select row_number() over () as rid, * from {docs}),
+q_rows as (select row_number() over () as rid, doc_id, text, source from {docs}),
 q_words as (select rid, {split} as w, list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as full_lines from q_rows),
 q_grams as (select rid, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] as g from (select rid, w, unnest(range(1, len(w) - 1)) as i from q_words)),
 q_hit as (select rid, i from (select rid, i, count(*) over (partition by rid, g) as c from q_grams) where c > 1),

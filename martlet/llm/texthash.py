@@ -2,7 +2,7 @@
 
 A word's hash is a polynomial of its bytes modulo 2**64, read off prefix
 sums of the whole buffer and mixed. The work arrays are about 40 times the
-buffer, so ``batches`` hands out buffers of a few MB, cut at separators
+buffer, so ``batches`` hands out buffers of half a MB, cut at separators
 also within one very long text.
 """
 
@@ -12,7 +12,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 _M = (1 << 64) - 1
 
 

@@ -53,7 +53,7 @@ ROUNDS = 8
 PAIRS_A_ROUND = 4096
 MIN_COUNT = 4
 CACHE_ENTRIES = 3_000_000
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 19
 MAGIC = b"RPR1"
 
 _encoders: dict[str, _Encoder] = {}
