@@ -34,7 +34,7 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     spark = build_session(master=f"local[{cpus}]", shuffle_partitions=max(8, cpus * 2),
-                          app_name="martlet-bench")
+                          app_name="martlet-bench", driver_memory="8g")
     root = shared_dir(spark)
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001").rstrip("/")
     warmup = run_all(spark, warm_dir, f"{root}/bench-warm-{os.getpid()}") if warm_dir != sf_dir else {}
@@ -67,7 +67,7 @@ def run_all(spark, sf_dir: str, run_dir: str) -> dict[str, float]:
     t0 = time.perf_counter()
     marts = m.materialize(f"{run_dir}/marts")
     timings["build_marts"] = time.perf_counter() - t0
-    registry._MODELS[(id(spark), sf_dir)] = marts
+    registry._MODELS[(spark.sparkContext.applicationId, sf_dir)] = marts
 
     for name, fn in registry.queries().items():
         t0 = time.perf_counter()

@@ -20,8 +20,9 @@ from .plans.checks import expected_figures_report, validation_report
 from .plans.model import Model
 from .plans.scope import (REFERENCE_EXPECTED_REVENUE_NET, REFERENCE_EXPECTED_ROWS, REFERENCE_STATUSES,
                           REFERENCE_TRANSLATION_PATCHES, ModelParams, Scope)
-from .session import build_session
+from .session import build_session, tune_for_input
 from .sources.csv import load_raw_layer, write_extract_csv
+from .sources.schemas import RAW_FILES
 
 
 def params_from(args) -> ModelParams:
@@ -36,9 +37,17 @@ def params_from(args) -> ModelParams:
                        lenient_casts=bool(getattr(args, "lenient", False)))
 
 
+def folder_bytes(spark, path: str) -> int:
+    """Size of a file or folder on whatever storage Spark reads it from."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(p).getLength()
+
+
 def build(spark, landing: str, lake: str, extracts: str | None, params: ModelParams,
-          date_partitioned: bool = False, bucketed_schema: str | None = None, buckets: int = 0):
-    raw = load_raw_layer(spark, landing, out=lake)
+          date_partitioned: bool = False, bucketed_schema: str | None = None, buckets: int = 0,
+          files: dict[str, str] | None = None):
+    tune_for_input(spark, folder_bytes(spark, landing))
+    raw = load_raw_layer(spark, landing, out=lake, files=files, lenient=params.lenient_casts)
     model = Model(spark, raw, params)
     if bucketed_schema:
         marts = model.materialize_bucketed(bucketed_schema, buckets, f"{lake.rstrip('/')}/{bucketed_schema}")
@@ -74,10 +83,13 @@ def main(argv=None) -> int:
                     help="malformed timestamps and amounts become NULL instead of failing the load")
     ap.add_argument("--reference-expected", action="store_true",
                     help="also compare row counts and revenue with the figures stated for the original dataset")
+    ap.add_argument("--file", action="append", metavar="TABLE=NAME", help="file, folder or glob of a table below "
+                    "--landing where it is not TABLE.csv (repeatable)")
     args = ap.parse_args(argv)
+    files = dict(RAW_FILES, **dict(f.split("=", 1) for f in args.file or ()))
     spark = build_session(app_name="martlet-build")
     marts, report = build(spark, args.landing, args.lake, args.extracts, params_from(args),
-                          args.date_partitioned, args.bucketed_schema, args.buckets)
+                          args.date_partitioned, args.bucketed_schema, args.buckets, files)
     rows = report.collect()
     for r in rows:
         print(f"{r.check:32s} {'pass' if r.passed else 'FAIL'}")

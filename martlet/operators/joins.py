@@ -16,7 +16,7 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
     """Child rows whose key has no parent row. A NULL key is an orphan too
     (it resolves to no dimension row)."""
     pk = parent_key or child_key
-    p = parent.select(F.col(pk).alias("_pk")).distinct()
+    p = parent.select(F.col(pk).alias("_pk"))
     return child.join(p, child[child_key] == p["_pk"], "left_anti")
 
 
@@ -31,7 +31,7 @@ def orphan_count(child: DataFrame, parent: DataFrame, child_key: str,
     """Number of child rows without a parent. The child is reduced to one
     row per key before the anti join, so the join shuffles keys, not rows."""
     pk = parent_key or child_key
-    p = parent.select(F.col(pk).alias("_pk")).distinct()
+    p = parent.select(F.col(pk).alias("_pk"))
     c = key_counts(child, child_key)
     return (c.join(p, c["_k"] == p["_pk"], "left_anti")
             .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias(name)))
@@ -52,7 +52,7 @@ def match_counts(child: DataFrame, child_key: str, parent: DataFrame, parent_key
 def childless(parent: DataFrame, child: DataFrame, key: str, child_key: str | None = None) -> DataFrame:
     """Parent rows with no child row (the reverse direction)."""
     ck = child_key or key
-    c = child.select(F.col(ck).alias("_ck")).distinct()
+    c = child.select(F.col(ck).alias("_ck"))
     return parent.join(c, parent[key] == c["_ck"], "left_anti")
 
 

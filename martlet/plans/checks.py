@@ -233,7 +233,8 @@ def extract_totals(revenue_extract: DataFrame, delivery_extract: DataFrame, item
 
 def validation_report(m, week_start: dt.date | None = None) -> DataFrame:
     """All model checks as one report, (check, passed): the validation
-    script to run after any change to dimensions or facts. ``m`` is a
+    script to run after any change to dimensions or facts. A check without a
+    row or with an unknown outcome has failed. ``m`` is a
     ``Model``; each check stays a separate small aggregate in one plan."""
     scope = m.params.scope
     parts = {
@@ -250,7 +251,7 @@ def validation_report(m, week_start: dt.date | None = None) -> DataFrame:
     }
     if week_start is not None:
         parts["v4_weekend_spot_check"] = weekend_spot_check(m.dim_date, week_start)
-    frames = [df.agg(F.coalesce(F.min(F.col("passed").cast("int")) == 1, F.lit(True)).alias("passed"))
+    frames = [df.agg(F.coalesce(F.min(F.coalesce(F.col("passed"), F.lit(False)).cast("int")) == 1, F.lit(False)).alias("passed"))
               .select(F.lit(name).alias("check"), "passed") for name, df in parts.items()]
     return union_all(frames)
 

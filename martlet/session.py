@@ -14,7 +14,6 @@ splitting of skewed join partitions).
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -32,14 +31,18 @@ TUNING = {
 }
 
 
-def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
-                  app_name: str = "martlet", extra: dict | None = None) -> SparkSession:
-    """Local or cluster session with the settings above; UI off."""
-    b = (SparkSession.builder.master(master).appName(app_name)
+def build_session(master: str | None = None, shuffle_partitions: int | None = None, app_name: str = "martlet",
+                  extra: dict | None = None, driver_memory: str | None = None) -> SparkSession:
+    """Session with the settings above; UI off. Master, shuffle partitions
+    and memory are set only where given: settings made in code override those
+    of spark-submit, so a cluster's own values must stay untouched."""
+    b = (SparkSession.builder.appName(app_name)
          .config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-         .config("spark.driver.memory", os.environ.get("MARTLET_DRIVER_MEMORY", "8g")))
+         .config("spark.ui.showConsoleProgress", "false"))
+    if master:
+        b = b.master(master)
+    given = {"spark.sql.shuffle.partitions": shuffle_partitions, "spark.driver.memory": driver_memory}
+    b = b.config(map={k: str(v) for k, v in given.items() if v is not None})
     for k, v in {**TUNING, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -51,6 +54,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def apply_required(spark: SparkSession) -> None:
     """Settings that change results; safe to call on any existing session."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.ansi.enabled", "true")
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -71,27 +75,29 @@ def shared_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
-        master = spark.conf.get("spark.master", "local")
+        master = spark.conf.get("spark.master", "") or ""  # unknown is no local session
         if not master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder on shared storage: intermediate "
                                "results must survive the loss of the machine that wrote them")
-        d = _local_dirs.setdefault(id(spark), tempfile.mkdtemp(prefix="martlet-ckpt-"))
+        app = sc.applicationId if sc is not None else id(spark)
+        if app not in _local_dirs:
+            _local_dirs[app] = tempfile.mkdtemp(prefix="martlet-ckpt-")
+        d = _local_dirs[app]
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d.rstrip("/")
 
 
-_local_dirs: dict[int, str] = {}
+_local_dirs: dict[str | int, str] = {}
 
 
-def tune_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20,
-                   max_partitions: int = 100_000) -> int:
+def tune_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes: int = 256 << 20) -> int:
     """Size shuffles for an input of ``input_bytes``: about one shuffle
     partition per ``target_partition_bytes`` (so a partition fits an
     executor's memory and spills little), the same target for scan splits
     and as AQE's advisory size (AQE then merges partitions that come out
     small). Returns the shuffle partition count set."""
-    n = max(8, min(max_partitions, -(-input_bytes // target_partition_bytes)))
+    n = max(8, -(-input_bytes // target_partition_bytes))
     spark.conf.set("spark.sql.shuffle.partitions", str(n))
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_partition_bytes))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes))

@@ -18,29 +18,39 @@ from pyspark.sql.types import StructType
 from .schemas import RAW_FILES, RAW_SCHEMAS
 
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
-               "mode": "PERMISSIVE"}
+               # the header must name the schema's columns in its order
+               "enforceSchema": "false"}
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool = True) -> DataFrame:
-    """One source CSV (file, folder or glob) with an explicit schema."""
-    opts = dict(CSV_OPTIONS, multiLine=str(multiline).lower())
+#: Free text with line breaks; each of their files is one task, the others are split.
+MULTILINE_TABLES = ("order_reviews",)
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType, multiline: bool = True,
+             lenient: bool = False) -> DataFrame:
+    """One source CSV (file, folder or glob) with an explicit schema. A
+    malformed row fails the load; with ``lenient`` its bad values are NULL."""
+    opts = dict(CSV_OPTIONS, multiLine=str(multiline).lower(), mode="PERMISSIVE" if lenient else "FAILFAST")
     return spark.read.options(**opts).schema(schema).csv(path)
 
 
 def read_source(spark: SparkSession, folder: str, table: str,
-                files: dict[str, str] | None = None, multiline: bool = True) -> DataFrame:
+                files: dict[str, str] | None = None, multiline: bool | None = None,
+                lenient: bool = False) -> DataFrame:
+    """``multiline`` by default only for the tables whose text holds line breaks."""
     name = (files or RAW_FILES)[table]
-    return read_csv(spark, f"{folder.rstrip('/')}/{name}", RAW_SCHEMAS[table], multiline)
+    multiline = table in MULTILINE_TABLES if multiline is None else multiline
+    return read_csv(spark, f"{folder.rstrip('/')}/{name}", RAW_SCHEMAS[table], multiline, lenient)
 
 
 def load_raw_layer(spark: SparkSession, folder: str, files: dict[str, str] | None = None,
-                   out: str | None = None, tables=None) -> dict[str, DataFrame]:
+                   out: str | None = None, tables=None, lenient: bool = False) -> dict[str, DataFrame]:
     """Load the source CSVs unmodified. With ``out``, each is written once as
     Parquet under ``out/raw/<table>`` (full replace) and read back from
     there, so later layers scan columnar files instead of re-parsing CSV;
     the nine loads run concurrently."""
     names = list(tables or RAW_SCHEMAS)
-    frames = {t: read_source(spark, folder, t, files) for t in names}
+    frames = {t: read_source(spark, folder, t, files, lenient=lenient) for t in names}
     if not out:
         return frames
 
@@ -61,6 +71,7 @@ def write_extract_csv(df: DataFrame, path: str) -> None:
     mirrors the reader, so an export reads back to the same rows."""
     (df.write.mode("overwrite").option("header", "true").option("quote", '"')
      .option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
      # full microsecond precision; the defaults drop the last three digits
      .option("timestampFormat", "yyyy-MM-dd HH:mm:ss.SSSSSSXXX")
      .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss.SSSSSS")
@@ -68,7 +79,8 @@ def write_extract_csv(df: DataFrame, path: str) -> None:
 
 
 def read_extract_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    return read_csv(spark, path, schema, multiline=True)
+    # NULL is an unquoted empty field, the empty string a quoted one: no text may stand for NULL
+    return (spark.read.options(**CSV_OPTIONS, mode="FAILFAST", nullValue="\u0001").schema(schema).csv(path))
 
 
 def load_defects(df: DataFrame, expected_rows, required: list[str]) -> DataFrame:
@@ -91,7 +103,7 @@ def multiline_difference(spark: SparkSession, path: str, schema: StructType,
     """Read a file with and without multi-line parsing and report both,
     the way a split-on-newline load was detected: (parse, rows, nulls)."""
     def summary(flag: bool) -> DataFrame:
-        df = read_csv(spark, path, schema, multiline=flag)
+        df = read_csv(spark, path, schema, multiline=flag, lenient=True)
         nulls = sum((F.col(c).isNull().cast("int") for c in required), F.lit(0))
         return df.agg(F.count(F.lit(1)).alias("rows"),
                       F.count_if(nulls > 0).alias("rows_with_required_nulls")) \

@@ -58,7 +58,8 @@ def save_bucketed(df: DataFrame, table: str, by: str, buckets: int,
     """Write ``df`` as a catalog table bucketed on ``by`` (full replace) and
     return it. Two tables bucketed on the same key with the same bucket
     count join on that key without shuffling either side."""
-    w = df.write.mode("overwrite").format("parquet").bucketBy(buckets, by)
+    # dealt by bucket first, so each task writes its own buckets and not a file for every one
+    w = df.repartition(buckets, by).write.mode("overwrite").format("parquet").bucketBy(buckets, by)
     if sort_within:
         w = w.sortBy(*sort_within)
     w.saveAsTable(table)

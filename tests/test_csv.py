@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from martlet.sources.csv import (load_defects, load_raw_layer, multiline_difference, read_csv,
@@ -26,7 +28,7 @@ def test_multiline_field_is_one_row(spark, scratch):
     rows = df.orderBy("review_id").collect()
     assert len(rows) == 2
     assert rows[0].review_comment_message == 'hi\nthere "x"'
-    single = read_csv(spark, f"{scratch}/order_reviews.csv", RAW_SCHEMAS["order_reviews"], multiline=False)
+    single = read_csv(spark, f"{scratch}/order_reviews.csv", RAW_SCHEMAS["order_reviews"], multiline=False, lenient=True)
     assert single.count() == 3
 
 
@@ -37,7 +39,7 @@ def test_multiline_difference_and_defects(spark, scratch):
                                                                            "review_score"]).collect()}
     assert diff["multiline"] == (2, 0)
     assert diff["single_line"][0] == 3 and diff["single_line"][1] >= 1
-    broken = read_csv(spark, f"{scratch}/order_reviews.csv", RAW_SCHEMAS["order_reviews"], multiline=False)
+    broken = read_csv(spark, f"{scratch}/order_reviews.csv", RAW_SCHEMAS["order_reviews"], multiline=False, lenient=True)
     d = {r.column_name: (r.excess_rows, r.nulls) for r in load_defects(broken, 2, ["order_id",
                                                                                "review_score"]).collect()}
     assert d["order_id"][0] == 1 and d["review_score"][1] >= 1
@@ -52,7 +54,8 @@ def test_raw_layer_to_parquet(spark, scratch):
 
 
 def test_extract_round_trip(spark, scratch):
-    df = spark.createDataFrame([("a\nb", 1, "x,\"y\""), ("c", 2, None)], "label string, n int, t string")
+    df = spark.createDataFrame([("a\nb", 1, "x,\"y\""), ("c", 2, None), ("  lead", 0, ""), ("trail  ", 0, " ")],
+                               "label string, n int, t string")
     path = os.path.join(scratch, "extract")
     write_extract_csv(df, path)
     back = read_extract_csv(spark, path, df.schema)
@@ -60,6 +63,14 @@ def test_extract_round_trip(spark, scratch):
     assert back.agg(F.sum("n")).first()[0] == 3
 
 
+@pytest.mark.parametrize("text", ["seller_state,seller_id,seller_zip_code_prefix,seller_city\nSP,s1,1,x\n",
+                                  "seller_id,seller_zip_code_prefix,seller_city,seller_state\ns1,1\n"])
+def test_wrong_files_fail(spark, scratch, text):
+    write(scratch, "sellers.csv", text)
+    with pytest.raises(Exception, match="(?i)header|malformed"):
+        read_csv(spark, f"{scratch}/sellers.csv", RAW_SCHEMAS["sellers"]).collect()
+
+
 def test_layers_and_materialise(spark, scratch):
     from martlet.sources.tables import create_schemas, register_views, save_table
     paths = create_schemas(spark, os.path.join(scratch, "lake"))

@@ -65,7 +65,7 @@ def test_tune_for_input(spark):
     from martlet.session import tune_for_input
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
-        assert tune_for_input(spark, 100 * (1 << 40)) == 100_000   # 100 TB: capped
+        assert tune_for_input(spark, 100 * (1 << 40)) == 409_600   # 100 TB / 256 MB
         assert tune_for_input(spark, 10 * (1 << 30)) == 40          # 10 GB / 256 MB
         assert tune_for_input(spark, 1000) == 8
     finally:

@@ -11,7 +11,7 @@ import sys
 sys.path.insert(0, %r)
 from martlet.session import build_session
 from martlet import registry
-spark = build_session(app_name="tz")
+spark = build_session("local[*]", app_name="tz")
 m = registry.model(spark, "/root/testdata/sf0.001")
 print("RESULT", m.fct_order_items.count(), m.fct_orders.count(),
       sorted(tuple(r) for r in m.extract_buckets().collect()))

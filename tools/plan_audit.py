@@ -86,7 +86,7 @@ def headline_plans(spark, sf: str) -> list[str]:
 
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    spark = build_session()
+    spark = build_session("local[*]", 8, driver_memory="8g")
     rows = []
     for name, fn in registry.queries().items():
         a = audit(plan_text(fn(spark, sf)))

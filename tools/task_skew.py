@@ -64,7 +64,7 @@ def stage_shares(log_dir: str, job_group: str) -> list[tuple[int, int, float]]:
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     log_dir = tempfile.mkdtemp(prefix="run-eventlog-")
-    spark = build_session(shuffle_partitions=16, extra={
+    spark = build_session("local[*]", shuffle_partitions=16, extra={
         "spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir, "spark.eventLog.compress": "false",
         "spark.sql.adaptive.coalescePartitions.enabled": "false",
         # the default skew thresholds (256 MB) are far above this data size
