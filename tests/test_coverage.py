@@ -4,7 +4,7 @@ query, and every registered query has an SQL oracle."""
 import os
 import re
 
-import __spark_entry__ as entry
+from martlet import registry as entry
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 

@@ -7,7 +7,7 @@ import sys
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
+from martlet import registry as entry
 
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 from plan_audit import audit, formatted_plan, plan_text  # noqa: E402
