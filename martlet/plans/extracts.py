@@ -10,10 +10,11 @@ from .scope import REFERENCE_BUCKETS, REFERENCE_OPEN_BUCKET
 
 
 def calendar(dim_date: DataFrame) -> DataFrame:
-    """date_key -> year_month: one row per day of the spine. Spark's size
-    check broadcasts it; no hint, as a spine taken from data with one bad
-    date can be long."""
-    return dim_date.select("date_key", "year_month")
+    """date_key -> year_month, marked for broadcast: one row per day of the
+    spine, whatever the order volume. Four-digit years bound it at 3.7
+    million rows of a date and seven characters, also where a spine taken
+    from data holds a wrong date."""
+    return F.broadcast(dim_date.select("date_key", "year_month"))
 
 
 def extract_revenue(items_fact: DataFrame, dim_product: DataFrame, dim_customer: DataFrame,
@@ -21,7 +22,7 @@ def extract_revenue(items_fact: DataFrame, dim_product: DataFrame, dim_customer:
     """Revenue by category x customer state x month.
 
     Star join, then one aggregation (partial on the map side). The
-    calendar, customer and
+    calendar is always broadcast (see ``calendar``); the customer and
     product joins are broadcast when Spark's size check allows and
     sort-merge otherwise. The customer join comes first: with the marts
     bucketed on customer_id (``Model.materialize_bucketed``) it needs no
