@@ -225,9 +225,9 @@ def extract_totals(revenue_extract: DataFrame, delivery_extract: DataFrame, item
         dx.select("o").scalar().alias("delivery_extract_orders"),
         fo.select("o").scalar().alias("orders_fact_rows"))
     return out.withColumn("passed", F.col("revenue_extract_total").eqNullSafe(F.col("items_fact_total"))
-                          & (F.col("revenue_extract_items") == F.col("items_fact_rows"))
+                          & (F.coalesce("revenue_extract_items", F.lit(0)) == F.col("items_fact_rows"))
                           & F.col("delivery_extract_total").eqNullSafe(F.col("orders_fact_total"))
-                          & (F.col("delivery_extract_orders") == F.col("orders_fact_rows")))
+                          & (F.coalesce("delivery_extract_orders", F.lit(0)) == F.col("orders_fact_rows")))
 
 
 
