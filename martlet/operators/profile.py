@@ -28,10 +28,18 @@ def _stack(one_row: DataFrame, names: list[str], fields: list[list[str]], cols:
 
 def key_profile(df: DataFrame, candidates: list[list[str]]) -> DataFrame:
     """Q1: rows and distinct values per candidate key (single or compound);
-    is_unique when they match. One grouping per candidate."""
+    is_unique when they match. A candidate whose columns another one covers
+    is rolled up from that one's groups, which the plan shares."""
+    widest = max(candidates, key=len)
+    groups = df.groupBy(*widest).agg(F.count(F.lit(1)).alias("_n"))
     frames = []
     for keys in candidates:
-        distinct = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        if keys == widest:
+            distinct = groups
+        elif set(keys) <= set(widest):
+            distinct = groups.groupBy(*keys).agg(F.sum("_n").alias("_n"))
+        else:
+            distinct = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         frames.append(distinct.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"),
                                    F.count(F.lit(1)).alias("distinct_values"))
                       .select(F.lit("+".join(keys)).alias("key"), "rows", "distinct_values"))
@@ -130,24 +138,27 @@ def lookup_coverage(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str
 
 
 def frequency(df: DataFrame, col: str, exclude=()) -> DataFrame:
-    """Q10: count and % of rows per value (share of the kept rows)."""
-    d = df.where(~F.col(col).isin(*exclude)) if exclude else df
+    """Q10: count and % of rows per value (share of the kept rows); NULL is a
+    value like others, whatever is excluded."""
+    d = df.where(~F.coalesce(F.col(col).isin(*exclude), F.lit(False))) if exclude else df
     counts = d.groupBy(col).agg(F.count(F.lit(1)).alias("rows"))
     total = counts.agg(F.sum("rows")).scalar()
     return counts.withColumn("pct", pct(F.col("rows"), total))
 
 
 def text_normalisation(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Q11: distinct values before and after lower(trim())."""
-    frames = []
-    for c in cols:
-        raw = df.select(F.col(c).alias("v")).where(F.col("v").isNotNull()).distinct()
-        norm = raw.select(F.lower(F.trim("v")).alias("v")).distinct()
-        frames.append(raw.agg(F.count(F.lit(1)).alias("distinct_values"))
-                      .select(F.lit(c).alias("column_name"), "distinct_values",
-                              norm.agg(F.count(F.lit(1))).scalar().alias("distinct_normalised")))
-    return union_all(frames).withColumn(
-        "variants_merged", F.col("distinct_values") - F.col("distinct_normalised"))
+    """Q11: distinct values before and after lower(trim()). All columns go
+    through one scan: stacked to (column, value), made distinct, then grouped
+    by the normal form, so the normal forms come from the distinct values."""
+    stacked = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("v")) for c in cols])).alias("s")).select("s.*")
+    # a NULL per column keeps columns without values in the result
+    names = df.sparkSession.createDataFrame([(c, None) for c in cols], "column_name string, v string")
+    raw = stacked.unionByName(names).distinct()
+    norm = raw.groupBy("column_name", F.lower(F.trim("v")).alias("norm")).agg(F.count("v").alias("n"))
+    return (norm.groupBy("column_name").agg(F.sum("n").alias("distinct_values"),
+                                            F.count("norm").alias("distinct_normalised"))
+            .withColumn("variants_merged", F.col("distinct_values") - F.col("distinct_normalised")))
 
 
 def numeric_sanity(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -193,10 +204,13 @@ def missing_attribute_share(fact: DataFrame, dim: DataFrame, key: str, attr: str
 
 
 def lookup_ambiguity(df: DataFrame, key: str, attrs: list[str]) -> DataFrame:
-    """Q15: keys, and keys mapping to more than one value of each attribute."""
-    per = df.groupBy(key).agg(*[F.count_distinct(a).alias(f"_d{i}") for i, a in enumerate(attrs)])
+    """Q15: keys, and keys mapping to more than one value of each attribute.
+    Two values differ when the smallest and the largest do, so no DISTINCT
+    count (and no expansion of rows) is needed."""
+    per = df.select(key, *attrs).distinct().groupBy(key).agg(
+        *[(F.min(a) != F.max(a)).alias(f"_d{i}") for i, a in enumerate(attrs)])
     return per.agg(F.count(F.lit(1)).alias("keys"),
-                   *[F.count_if(F.col(f"_d{i}") > 1).alias(f"keys_multi_{a}") for i, a in enumerate(attrs)])
+                   *[F.count_if(f"_d{i}").alias(f"keys_multi_{a}") for i, a in enumerate(attrs)])
 
 
 def out_of_bounds(df: DataFrame, col: str, lo: float, hi: float) -> DataFrame:
@@ -217,9 +231,14 @@ def collapse(df: DataFrame, key: str, medians: list[str], modes: list[str],
              bounds: tuple[str, float, float] | None = None) -> DataFrame:
     """Q16: one row per key - exact median of each ``medians`` column and
     the modal value of each ``modes`` column, after dropping rows outside
-    ``bounds`` = (column, lo, hi)."""
+    ``bounds`` = (column, lo, hi). A NULL key is a key."""
     d = df.where(F.col(bounds[0]).between(bounds[1], bounds[2])) if bounds else df
     out = d.select(key).distinct()
+
+    def lookup(left: DataFrame, right: DataFrame) -> DataFrame:
+        r = right.withColumnRenamed(key, "_k")
+        return left.join(r, left[key].eqNullSafe(r["_k"]), "left").drop("_k")
+
     if medians:
         # all median columns ranked in one pass: stacked to (key, column,
         # value) rows, ranked per (key, column), pivoted back per key
@@ -229,9 +248,9 @@ def collapse(df: DataFrame, key: str, medians: list[str], modes: list[str],
         med = percentiles_within(stacked, [key, "_col"], "_val", {"_median": 0.5})
         wide = med.groupBy(key).agg(*[F.max(F.when(F.col("_col") == c, F.col("_median"))).alias(f"median_{c}")
                                       for c in medians])
-        out = out.join(wide, key, "left")
+        out = lookup(out, wide)
     for c in modes:
-        out = out.join(mode_per_key(d, key, c, f"mode_{c}"), key, "left")
+        out = lookup(out, mode_per_key(d, key, c, f"mode_{c}"))
     return out
 
 

@@ -17,9 +17,12 @@ reproducible on recomputation), and a lost executor re-reads files instead
 of recomputing the sort. Partition and row ids travel as columns, so
 nothing later depends on the physical layout.
 
-Exact percentiles use the same numbering: the two rows around the target
-rank are located from the per-(partition, key) counts, then fetched by
-their unique row id, so no step holds all values of a group.
+Exact percentiles rank distinct values, not rows: rows are counted per
+(key, value) first, before any shuffle of rows, so a value that most rows
+share is one row from there on. The distinct values are range-partitioned
+in the same way, sums of the counts per (partition, key) give the rows
+before each partition, and only the (partition, key) pairs that hold a
+target rank are looked into. No step holds all values of a group.
 """
 
 from __future__ import annotations
@@ -33,11 +36,6 @@ from pyspark.sql import functions as F
 from ..session import shared_dir
 
 
-# Largest target table (rows) sent to every task; 1M rows of a few longs and
-# doubles is a few tens of MB.
-MAX_BROADCAST_TARGETS = 1_000_000
-
-
 def _written(df: DataFrame) -> DataFrame:
     """Write ``df`` to a fresh folder under the shared checkpoint folder and
     read it back (cuts the lineage, survives executor loss)."""
@@ -46,79 +44,92 @@ def _written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def _ranked_parts(df: DataFrame, keys: list[str], order: list[str], num_partitions: int | None = None):
-    """(tagged rows, per-(partition, key) first id / count / offset).
+def _ranged(df: DataFrame, keys: list[str], order: list[str], num_partitions: int | None = None) -> DataFrame:
+    """``df`` range-partitioned and sorted on (keys, order), written and read
+    back, with its partition (_pid) and place (_mid, ascending within it).
     ``num_partitions`` fixes the range partition count; by default adaptive
     execution sizes it (it only merges adjacent ranges up to the advisory
     size, so a hot key still spans many partitions)."""
     sort_cols = [F.col(c) for c in keys + order]
     ranged = (df.repartitionByRange(num_partitions, *sort_cols) if num_partitions
               else df.repartitionByRange(*sort_cols))
-    tagged = _written(ranged
-                      .sortWithinPartitions(*sort_cols)
-                      .withColumn("_pid", F.spark_partition_id())
-                      .withColumn("_mid", F.monotonically_increasing_id()))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    parts = (tagged.groupBy("_pid", *keys)
-             .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
-             .withColumn("_off", F.coalesce(F.sum("_cnt").over(before), F.lit(0))))
-    return tagged, parts
+    return _written(ranged.sortWithinPartitions(*sort_cols)
+                    .withColumn("_pid", F.spark_partition_id())
+                    .withColumn("_mid", F.monotonically_increasing_id()))
+
+
+def _before(keys: list[str], count: str):
+    """Rows of a key in the partitions before, from one row per (partition, key)."""
+    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(count).over(w), F.lit(0))
+
+
+def _with_parts(tagged: DataFrame, parts: DataFrame, keys: list[str]) -> DataFrame:
+    """Inner join on (partition, key), NULL keys included. A pair holds at most
+    one partition's rows, so a hot key cannot skew the join; whether the small
+    side is broadcast is left to its size at run time."""
+    p = parts.withColumnsRenamed({c: f"_p_{c}" for c in ["_pid", *keys]})
+    cond = reduce(lambda a, b: a & b, [tagged[k].eqNullSafe(p[f"_p_{k}"]) for k in keys],
+                  tagged["_pid"] == p["_p__pid"])
+    return tagged.join(p, cond).drop("_p__pid", *[f"_p_{k}" for k in keys])
 
 
 def sequence_within(df: DataFrame, keys: list[str], order: list[str], out: str = "rn",
                     num_partitions: int | None = None) -> DataFrame:
     """``df`` plus ``out`` = 1, 2, ... within each key in ``order`` (ascending,
     NULLs first). Same numbers as row_number() when ``order`` is total."""
-    tagged, parts = _ranked_parts(df, keys, order, num_partitions)
-    p = parts.select(F.col("_pid").alias("_p_pid"), *[F.col(k).alias(f"_p_{k}") for k in keys],
-                     "_first", "_off")
-    cond = reduce(lambda a, b: a & b, [tagged[k].eqNullSafe(p[f"_p_{k}"]) for k in keys],
-                  tagged["_pid"] == p["_p_pid"])
-    # one row per (partition, key): broadcast when a count shows it is small,
-    # otherwise a shuffle join on (partition, key), which splits a hot key
-    small = parts.count() <= MAX_BROADCAST_TARGETS
-    return (tagged.join(F.broadcast(p) if small else p, cond)
+    tagged = _ranged(df, keys, order, num_partitions)
+    parts = (tagged.groupBy("_pid", *keys)
+             .agg(F.min("_mid").alias("_first"), F.count(F.lit(1)).alias("_cnt"))
+             .withColumn("_off", _before(keys, "_cnt")).drop("_cnt"))
+    return (_with_parts(tagged, parts, keys)
             .withColumn(out, F.col("_mid") - F.col("_first") + F.col("_off") + F.lit(1))
-            .drop("_pid", "_mid", "_first", "_off", "_p_pid", *[f"_p_{k}" for k in keys]))
+            .drop("_pid", "_mid", "_first", "_off"))
 
 
-def percentiles_within(df: DataFrame, keys: list[str], value: str,
-                       ps: dict[str, float], num_partitions: int | None = None) -> DataFrame:
+def percentiles_within(df: DataFrame, keys: list[str], value: str, ps: dict[str, float],
+                       num_partitions: int | None = None, count: str | None = None,
+                       mean: str | None = None) -> DataFrame:
     """Exact interpolated percentiles of ``value`` per key, one output column
-    per entry of ``ps`` (name -> p), from a single ranking pass. Same
-    definition as the ``percentile`` aggregate: position p*(n-1) between the
-    sorted values, NULLs ignored. One row per key with at least one value;
+    per entry of ``ps`` (name -> p), plus ``count`` and ``mean`` of the values
+    if named, from a single ranking pass. Same definition as the
+    ``percentile`` aggregate: position p*(n-1) between the sorted values,
+    NULLs ignored. One row per key with at least one value (NULL is a key);
     with ``keys=[]`` one row for the whole input (the range partitioning then
-    spreads all values over the partitions)."""
-    tagged, parts = _ranked_parts(df.where(F.col(value).isNotNull()).select(*keys, value),
-                                  keys, [value], num_partitions)
-    parts = parts.withColumn("_n", F.sum("_cnt").over(Window.partitionBy(*keys)))
-    targets = []
-    for name, p in ps.items():
-        pos = F.lit(p) * (F.col("_n") - 1).cast("double")
-        for side, rank in (("lo", F.floor(pos) + 1), ("hi", F.ceil(pos) + 1)):
-            hit = (rank > F.col("_off")) & (rank <= F.col("_off") + F.col("_cnt"))
-            targets.append(parts.where(hit).select(
-                *keys, F.lit(f"{name}:{side}").alias("_side"), pos.alias("_pos"),
-                (F.col("_first") + rank - F.col("_off") - 1).alias("_tmid")))
-    t = reduce(DataFrame.unionByName, targets)
-    values = tagged.select(F.col("_mid").alias("_tmid"), F.col(value).alias("_v"))
-    # the targets are at most 2 rows per key and percentile: broadcast them so
-    # the ranked rows are only scanned, never shuffled. Without keys the bound
-    # is a constant; with keys it is checked (one small count) and beyond it
-    # the join shuffles on the unique row id, which cannot skew.
-    bounded = not keys or t.count() <= MAX_BROADCAST_TARGETS
-    picked = values.join(F.broadcast(t) if bounded else t, "_tmid")
+    spreads all distinct values over the partitions)."""
+    counted = (df.where(F.col(value).isNotNull()).groupBy(*keys, F.col(value).alias("_v"))
+               .agg(F.count(F.lit(1)).alias("_cnt")))
+    tagged = _ranged(counted, keys, ["_v"], num_partitions)
+    # totals per (partition, key); the windows below see one row for each
+    whole = Window.partitionBy(*keys)
+    parts = (tagged.groupBy("_pid", *keys)
+             .agg(F.sum("_cnt").alias("_in"), F.sum(F.col("_v").cast("double") * F.col("_cnt")).alias("_sum"))
+             .withColumns({"_off": _before(keys, "_in"), "_n": F.sum("_in").over(whole),
+                           "_mean": F.sum("_sum").over(whole) / F.sum("_in").over(whole)}))
+    at = {name: F.lit(p) * (F.col("_n") - 1).cast("double") for name, p in ps.items()}
+    ranks = [side(pos) + 1 for pos in at.values() for side in (F.floor, F.ceil)]
+    hit = reduce(lambda a, b: a | b, [(r > F.col("_off")) & (r <= F.col("_off") + F.col("_in")) for r in ranks])
+    near = _with_parts(tagged, parts.where(hit).drop("_in", "_sum"), keys)
+    # rows of the key up to and including each value
+    run = Window.partitionBy("_pid", *keys).orderBy("_mid").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    near = near.withColumn("_to", F.col("_off") + F.sum("_cnt").over(run))
+
+    def at_rank(rank):
+        return F.max(F.when((rank > F.col("_to") - F.col("_cnt")) & (rank <= F.col("_to")), F.col("_v"))).cast("double")
+
     outs = []
-    for name in ps:
-        lo_d = F.max(F.when(F.col("_side") == f"{name}:lo", F.col("_v"))).cast("double")
-        hi_d = F.max(F.when(F.col("_side") == f"{name}:hi", F.col("_v"))).cast("double")
-        pos = F.max(F.when(F.col("_side") == f"{name}:lo", F.col("_pos")))
+    for name, pos in at.items():
+        lo, hi = at_rank(F.floor(pos) + 1), at_rank(F.ceil(pos) + 1)
+        place = F.max(pos)
         # same arithmetic as Spark's exact percentile: (ceil - pos) * lo + (pos - floor) * hi
-        outs.append(F.when(F.ceil(pos) == pos, lo_d).otherwise(
-            (F.ceil(pos).cast("double") - pos) * lo_d + (pos - F.floor(pos).cast("double")) * hi_d)
+        outs.append(F.when(F.ceil(place) == place, lo).otherwise(
+            (F.ceil(place).cast("double") - place) * lo + (place - F.floor(place).cast("double")) * hi)
             .alias(name))
-    return picked.groupBy(*keys).agg(*outs)
+    if count:
+        outs.append(F.coalesce(F.max("_n"), F.lit(0)).alias(count))
+    if mean:
+        outs.append(F.max("_mean").alias(mean))
+    return near.groupBy(*keys).agg(*outs)
 
 
 def percentile_within(df: DataFrame, keys: list[str], value: str, p: float,

@@ -44,6 +44,21 @@ def load_counts(raw: dict[str, DataFrame], expected: dict[str, int | None] | Dat
                     F.when(F.col("expected").isNotNull(), F.col("rows") == F.col("expected")).alias("passed")))
 
 
+#: Staged timestamp of an order -> raw column.
+ORDER_TIMESTAMPS = {"purchased_at": "order_purchase_timestamp", "approved_at": "order_approved_at",
+                    "carrier_handover_at": "order_delivered_carrier_date",
+                    "delivered_at": "order_delivered_customer_date",
+                    "estimated_delivery_at": "order_estimated_delivery_date"}
+
+
+def staging_pairs(m) -> dict[str, tuple[DataFrame, DataFrame]]:
+    """Staged table -> (raw frame, staged frame) of a ``Model``."""
+    raw_name = {"category_translation": "category_name_translation"}
+    return {t: (m.raw[raw_name.get(t, t)], getattr(m, t))
+            for t in ("orders", "order_items", "order_payments", "order_reviews", "customers", "products",
+                      "sellers", "category_translation")}
+
+
 def raw_vs_staging(pairs: dict[str, tuple[DataFrame, DataFrame]], extra_rows: dict[str, int]) -> DataFrame:
     """V2: staging keeps every raw row; only tables named in ``extra_rows``
     may grow, by exactly that many rows."""
@@ -188,16 +203,17 @@ def timestamps_typed(raw: DataFrame, staged: DataFrame, pairs: dict[str, str]) -
     """Staged timestamp columns are timestamps and no non-NULL raw value
     became NULL. ``pairs`` maps staged column -> raw column; rows are
     aligned by position-free aggregation (counts of non-NULLs)."""
-    frames = []
-    for stg_col, raw_col in pairs.items():
-        t = staged.schema[stg_col].dataType
-        typed = isinstance(t, (TimestampType, TimestampNTZType))
-        frames.append(
-            raw.agg(F.count(raw_col).alias("raw_values"))
-            .select(F.lit(stg_col).alias("column_name"), F.lit(t.simpleString()).alias("data_type"),
-                    "raw_values", staged.agg(F.count(stg_col)).scalar().alias("typed_values"))
-            .withColumn("passed", F.lit(typed) & (F.col("raw_values") == F.col("typed_values"))))
-    return union_all(frames)
+    raw_n = raw.agg(*[F.count(r).alias(f"_r_{c}") for c, r in pairs.items()])
+    typed_n = staged.agg(F.struct(*[F.count(c).alias(c) for c in pairs])).scalar()
+    rows = []
+    for c in pairs:
+        t = staged.schema[c].dataType
+        typed = str(isinstance(t, (TimestampType, TimestampNTZType))).lower()
+        rows.append(f"'{c}', '{t.simpleString()}', {typed}, _r_{c}, _s.{c}")
+    long = raw_n.withColumn("_s", typed_n).select(F.expr(
+        f"stack({len(rows)}, {', '.join(rows)}) as (column_name, data_type, _typed, raw_values, typed_values)"))
+    return long.select("column_name", "data_type", "raw_values", "typed_values",
+                       (F.col("_typed") & (F.col("raw_values") == F.col("typed_values"))).alias("passed"))
 
 
 def timestamp_spot_check(orders: DataFrame, n: int = 5) -> DataFrame:
@@ -247,7 +263,12 @@ def validation_report(m, week_start: dt.date | None = None) -> DataFrame:
         "v10_breakdown_totals": breakdown_totals(m.fct_order_items, m.dim_product, m.dim_customer),
         "v14_extract_totals": extract_totals(m.extract_revenue(), m.extract_delivery(), m.fct_order_items,
                                              m.fct_orders),
+        "v2_raw_vs_staging": raw_vs_staging(staging_pairs(m), {"category_translation": len(m.params.translation_patches)}),
+        "v3_dim_counts": dimension_counts(
+            {"dim_date": m.dim_date, "dim_customer": m.dim_customer, "dim_product": m.dim_product, "dim_seller": m.dim_seller},
+            {"dim_date": spine_days(m.dim_date), "dim_customer": m.customers, "dim_product": m.products, "dim_seller": m.sellers}),
         "v3_dim_product_detail": dim_product_detail(m.dim_product),
+        "v12_timestamps_typed": timestamps_typed(m.raw["orders"], m.orders, ORDER_TIMESTAMPS),
     }
     if week_start is not None:
         parts["v4_weekend_spot_check"] = weekend_spot_check(m.dim_date, week_start)

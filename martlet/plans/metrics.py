@@ -54,15 +54,14 @@ def lateness(orders_fact: DataFrame) -> DataFrame:
 
 
 def delivery_time_exact(orders_ext: DataFrame) -> DataFrame:
-    """K8: percentiles of fractional delivery days. Continuous values have
-    as many distinct values as rows, so the exact percentile is computed by
-    distributed ranking instead of a per-group value buffer."""
-    d = orders_ext.where(F.col("delivery_days_exact").isNotNull()).select("delivery_days_exact")
-    pct_ = percentiles_within(d, [], "delivery_days_exact",
-                              {"median_days_exact": 0.5, "p90_days_exact": 0.9})
-    return pct_.select(d.agg(F.count(F.lit(1))).scalar().alias("delivered_orders"),
-                       d.agg(F.avg("delivery_days_exact")).scalar().alias("mean_days_exact"),
-                       "median_days_exact", "p90_days_exact")
+    """K8: percentiles of fractional delivery days. Continuous values may
+    have as many distinct values as rows, so the exact percentile is computed
+    by distributed ranking of value counts instead of a per-group value
+    buffer; count and mean come from the same counts."""
+    out = percentiles_within(orders_ext, [], "delivery_days_exact",
+                             {"median_days_exact": 0.5, "p90_days_exact": 0.9},
+                             count="delivered_orders", mean="mean_days_exact")
+    return out.select("delivered_orders", "mean_days_exact", "median_days_exact", "p90_days_exact")
 
 
 def negative_review_rate(orders_fact: DataFrame, delivered_only: bool = False) -> DataFrame:
@@ -94,10 +93,13 @@ def state_scorecard(items_fact: DataFrame, orders_fact: DataFrame, dim_customer:
                        {"revenue_net": "revenue_net", "freight_cost": "freight_cost"})
            .withColumn("freight_pct", pct(F.col("freight_cost"), F.col("revenue_net"))))
     rev = share_of_total(rev, "revenue_net", "revenue_share_pct")
-    dl = (orders_fact.join(c, "customer_id").groupBy("state")
-          .agg(F.count(F.lit(1)).alias("orders"),
-               rate_pct("is_late", None).alias("late_pct"),
-               F.percentile("delivery_days", 0.5).alias("median_days")))
+    # counted per day value first: the percentile sees one row for each, with its frequency
+    days = (orders_fact.join(c, "customer_id").groupBy("state", "delivery_days")
+            .agg(F.count(F.lit(1)).alias("n"), count_true("is_late").alias("late"),
+                 count_known("is_late").alias("known")))
+    dl = (days.groupBy("state")
+          .agg(F.sum("n").alias("orders"), pct(F.sum("late"), F.sum("known")).alias("late_pct"),
+               F.percentile("delivery_days", 0.5, F.col("n")).alias("median_days")))
     return rev.join(dl, "state", "full")
 
 
@@ -119,14 +121,14 @@ def category_scorecard(items_fact: DataFrame, dim_product: DataFrame, n: int = 1
 def slow_tail(orders_fact: DataFrame, days: int = REFERENCE_SLOW_TAIL_DAYS) -> DataFrame:
     """Orders delivered in more than ``days`` days - revenue, share of
     all fact revenue, negative-review rate."""
-    total = orders_fact.agg(F.sum("revenue_net").cast("double")).scalar()
-    tail = orders_fact.where(F.col("delivery_days") > days)
-    neg, known = count_true("is_negative_review"), count_known("is_negative_review")
-    return tail.agg(F.count(F.lit(1)).alias("orders"), F.sum("revenue_net").alias("revenue_net"),
-                    neg.alias("negative_reviews"), known.alias("reviewed_orders"),
-                    pct(neg, known).alias("negative_pct")) \
-               .withColumn("revenue_share_pct",
-                           F.try_divide(F.lit(100.0) * F.col("revenue_net").cast("double"), total))
+    slow = F.col("delivery_days") > days
+    neg = F.count_if(slow & F.coalesce(F.col("is_negative_review"), F.lit(False)))
+    known = F.count(F.when(slow, F.col("is_negative_review")))
+    revenue = F.sum(F.when(slow, F.col("revenue_net")))
+    return orders_fact.agg(F.count_if(slow).alias("orders"), revenue.alias("revenue_net"),
+                           neg.alias("negative_reviews"), known.alias("reviewed_orders"),
+                           pct(neg, known).alias("negative_pct"),
+                           pct(revenue, F.sum("revenue_net")).alias("revenue_share_pct"))
 
 
 def customer_counts(orders_fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
@@ -150,12 +152,17 @@ def review_coverage(orders_fact: DataFrame) -> DataFrame:
 def scope_totals(items_fact: DataFrame, orders_fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
     """Orders, items, distinct persons and states in scope."""
     c = dim_customer.select("customer_id", "customer_unique_id", "state")
-    o = orders_fact.select("customer_id").join(c, "customer_id")
-    return o.agg(F.count(F.lit(1)).alias("orders"),
-                 F.count_distinct("customer_unique_id").alias("customers"),
-                 F.count_distinct("state").alias("states")) \
-            .select("orders", items_fact.agg(F.count(F.lit(1))).scalar().alias("items"),
-                    "customers", "states")
+    # grouped once per (person, state), then per person with their few states: no DISTINCT expansion of rows
+    pairs = (orders_fact.select("customer_id").join(c, "customer_id").groupBy("customer_unique_id", "state")
+             .agg(F.count(F.lit(1)).alias("n")))
+    persons = (pairs.groupBy("customer_unique_id").agg(F.sum("n").alias("n"), F.collect_set("state").alias("states"))
+               .select("customer_unique_id", "n", F.posexplode_outer("states").alias("i", "state")))
+    first = F.coalesce(F.col("i"), F.lit(0)) == 0
+    return persons.agg(F.coalesce(F.sum(F.when(first, F.col("n"))), F.lit(0)).alias("orders"),
+                       F.count(F.when(first, F.col("customer_unique_id"))).alias("customers"),
+                       F.size(F.collect_set("state")).cast("bigint").alias("states")) \
+                  .select("orders", items_fact.agg(F.count(F.lit(1))).scalar().alias("items"),
+                          "customers", "states")
 
 
 def headline_buckets(orders_fact: DataFrame, buckets=REFERENCE_BUCKETS,
@@ -196,8 +203,8 @@ def purchase_vs_delivery_months(orders: DataFrame) -> DataFrame:
 
 def payment_methods(payments: DataFrame, exclude=("not_defined",)) -> DataFrame:
     """Payments, orders and value per payment type, placeholder types
-    excluded."""
-    p = payments.where(~F.col("payment_type").isin(*exclude)) if exclude else payments
+    excluded; payments of unknown (NULL) type stay."""
+    p = payments.where(~F.coalesce(F.col("payment_type").isin(*exclude), F.lit(False))) if exclude else payments
     return (p.groupBy("payment_type")
             .agg(F.count(F.lit(1)).alias("payments"),
                  F.count_distinct("order_id").alias("orders"),
