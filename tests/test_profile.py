@@ -86,3 +86,19 @@ def test_orphan_rows_and_counts(spark):
     assert orphan_count(child, parent, "k").first().orphans == 2
     r = match_counts(child, "k", parent, "k").first()
     assert (r.orphans, r.childless_parents) == (2, 1)
+
+
+def test_null_keys_and_unknown_types_stay(spark):
+    from martlet.operators import profile
+    from martlet.plans import metrics
+    d = spark.createDataFrame([(None, 1.0, "x"), (None, 3.0, "x"), (1, 5.0, "y"), (1, 5.0, "Y ")], "k int, v double, t string")
+    out = {r.k: (r.median_v, r.mode_t) for r in profile.collapse(d, "k", ["v"], ["t"]).collect()}
+    assert out == {None: (2.0, "x"), 1: (5.0, "Y ")}
+    norm = {r.column_name: (r.distinct_values, r.distinct_normalised, r.variants_merged)
+            for r in profile.text_normalisation(d.withColumn("none", d.t.substr(1, 0)).replace("", None, ["none"]), ["t", "none"]).collect()}
+    assert norm == {"t": (3, 2, 1), "none": (0, 0, 0)}
+    amb = profile.lookup_ambiguity(d, "k", ["v", "t"]).first()
+    assert (amb["keys"], amb.keys_multi_v, amb.keys_multi_t) == (2, 1, 1)
+    p = spark.createDataFrame([(1, None, 2.0), (2, "not_defined", 1.0), (3, "a", 1.0)], "order_id int, payment_type string, payment_value double")
+    assert {r.payment_type for r in metrics.payment_methods(p).collect()} == {None, "a"}
+    assert {r.payment_type for r in profile.frequency(p, "payment_type", ("not_defined",)).collect()} == {None, "a"}
