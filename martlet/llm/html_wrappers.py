@@ -17,9 +17,10 @@ wrapper's, and the texts that fall into the wrapper's content slots are its
 main text. A slot is content if no element around it is page furniture (by
 element name, role, or words in class or id: FURNITURE below) and, where
 the page has them, if it lies in article or main. A repeated group all of
-whose text lies in links is a menu. Outside article and main, texts that
-are the same on all of CONSTANT_PAGES pages or more of a host are furniture
-too.
+whose text lies in links is a menu. Outside article and main, a block whose
+slots all hold the same whole text on every page of the host that has them,
+CONSTANT_PAGES different pages or more, is furniture too. Pages whose text by
+the tag rules is the same count as one page, so copies prove nothing.
 
 Inline elements do not part blocks; br and everything else does. Character
 references are decoded, white space in a block becomes one space.
@@ -33,6 +34,7 @@ what they accept of the pages merged. An item that a wrapper does not accept
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -66,7 +68,7 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|
 _ATTRIBUTE = re.compile(r"""(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 
 # An item of a page or wrapper is [label, quantifier, children, extra]; label "#" is a text slot
-# (extra: the text, None once texts differ), "()" a group of items that repeats, else "tag" or "tag!" (furniture).
+# (extra: the text, None once texts differ; in wrappers [digest, the pages that have it, None from CONSTANT_PAGES on]), "()" a group of items that repeats, else "tag" or "tag!" (furniture).
 
 
 def _furniture(tag: str, attributes: str) -> bool:
@@ -139,20 +141,30 @@ def _furniture_label(label: str) -> bool:
     return label.endswith("!")
 
 
-def skeleton(item: list) -> list:
-    """The item for inference: texts by a short digest, blank texts dropped, repeats folded."""
+def skeleton(item: list, page: int = 0) -> list:
+    """The item for inference: texts by a digest, blank texts dropped, repeats folded; ``page``: digest of the page's text."""
     if item[0] == "#":
-        return ["#", "1", [], None if item[3] is None else hash_text(item[3])]
-    kids = [skeleton(x) for x in item[2] if x[0] != "#" or x[3].strip()]
+        return ["#", "1", [], None if item[3] is None else [hash_text(item[3]), [page]]]
+    kids = [skeleton(x, page) for x in item[2] if x[0] != "#" or x[3].strip()]
     return [item[0], "1", fold(kids), None]
 
 
 def hash_text(text: str) -> int:
-    h = 0
-    for word in text.split()[:64]:
-        for c in word:
-            h = (h * 1_000_003 + ord(c)) & 0xFFFFFFFF
-    return h
+    """64-bit digest of all words."""
+    return int.from_bytes(hashlib.blake2b(" ".join(text.split()).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
+
+
+def _shared(a: list | None, b: list | None) -> list | None:
+    """[digest, pages] of a slot's text; None once texts differ, pages None once there are CONSTANT_PAGES."""
+    if a is None or b is None or a[0] != b[0]:
+        return None
+    seen = None if a[1] is None or b[1] is None else sorted({*a[1], *b[1]})
+    return [a[0], None if seen is None or len(seen) >= CONSTANT_PAGES else seen]
+
+
+def settled(item: list) -> list:
+    """The wrapper with only those texts that count as constant."""
+    return [item[0], item[1], [settled(x) for x in item[2]], item[3] if item[3] is not None and item[3][1] is None else None]
 
 
 def _joint(a: str, b: str) -> str:
@@ -167,7 +179,7 @@ def _same(a: list, b: list) -> bool:
 def merged(a: list, b: list) -> list:
     """The item that stands for both."""
     if a[0] == "#":
-        return ["#", _joint(a[1], b[1]), [], a[3] if a[3] == b[3] else None]
+        return ["#", _joint(a[1], b[1]), [], _shared(a[3], b[3])]
     return [a[0], _joint(a[1], b[1]), [merged(x, y) for x, y in zip(a[2], b[2], strict=True)] if a[0] == "()" else align(a[2], b[2]), None]
 
 
@@ -309,24 +321,29 @@ def _has_main(item: list, furniture: bool = False) -> bool:
 
 def extract(page: str | None, wrapper: list | None, pages: int) -> str:
     """The main text of a page by its host's wrapper."""
-    tree = parse(page)
-    tree[2] = [x for x in tree[2] if x[0] != "#" or x[3].strip()]
+    return _main_text(parse(page), wrapper, pages)
+
+
+def _main_text(tree: list, wrapper: list | None, pages: int) -> str:
+    tree = [*tree[:2], [x for x in tree[2] if x[0] != "#" or x[3].strip()], None]
     only_main = _has_main(tree)
-    blocks: list[list[str]] = [[]]
+    # (text, whether it is a constant of the host)
+    blocks: list[list[tuple[str, bool]]] = [[]]
 
     def walk(items: list, wrapped: list | None, inside: bool) -> None:
         found = matches([x for x in items if x[0] != "#" or x[3].strip()], wrapped) if wrapped is not None else []
         place = 0
         for x in items:
             if x[0] == "#" and not x[3].strip():
-                blocks[-1].append(" " if x[3] else "")
+                blocks[-1].append((" " if x[3] else "", True))
                 continue
             w = found[place] if wrapped is not None else None
             place += 1
             if x[0] == "#":
-                constant = w is not None and w[3] is not None and w[1] in "1" and pages >= CONSTANT_PAGES
-                if inside or not only_main and not constant:
-                    blocks[-1].append(x[3])
+                if inside or not only_main:
+                    constant = (not inside and pages >= CONSTANT_PAGES and w is not None and w[1] in "1"
+                                and w[3] is not None and w[3][1] is None and w[3][0] == hash_text(x[3]))
+                    blocks[-1].append((x[3], constant))
                 continue
             label = x[0] if w is None else w[0]
             if _furniture_label(label):
@@ -341,7 +358,8 @@ def extract(page: str | None, wrapper: list | None, pages: int) -> str:
                 blocks.append([])
 
     walk(tree[2], None if wrapper is None else wrapper[2], False)
-    return " ".join(t for t in (" ".join("".join(b).split()) for b in blocks) if t)
+    kept = ("".join(t for t, _ in b) for b in blocks if not all(constant for _, constant in b))
+    return " ".join(t for t in (" ".join(b.split()) for b in kept) if t)
 
 
 def host(url: Column) -> Column:
@@ -373,7 +391,8 @@ def wrappers(pages: DataFrame) -> DataFrame:
         held: dict[str, tuple[list, int]] = {}
         for b in frames:
             for h, page in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                tree = skeleton(parse(page))
+                tree = parse(page)
+                tree = skeleton(tree, hash_text(_main_text(tree, None, 0)))
                 old = held.get(h)
                 held[h] = (tree, 1) if old is None else (merged(old[0], tree), old[1] + 1)
         yield _batch([(h, json.dumps(w, separators=(",", ":")), n) for h, (w, n) in held.items()])
@@ -382,9 +401,13 @@ def wrappers(pages: DataFrame) -> DataFrame:
         rows = sorted(zip(*(table.column(c).to_pylist() for c in ("host", "wrapper", "n")), strict=True))
         return pa.Table.from_batches([_batch(list(_combine(iter(rows))))])
 
+    def whole(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        rows = together(key, table).to_pylist()
+        return pa.Table.from_batches([_batch([(r["host"], json.dumps(settled(json.loads(r["wrapper"])), separators=(",", ":")), r["n"]) for r in rows])])
+
     parts = pages.select(host(F.col("url")).alias("host"), F.col("html")).mapInArrow(own, _SCHEMA)
     salted = parts.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)))
-    return salted.groupBy("host", "salt").applyInArrow(together, _SCHEMA).groupBy("host").applyInArrow(together, _SCHEMA)
+    return salted.groupBy("host", "salt").applyInArrow(together, _SCHEMA).groupBy("host").applyInArrow(whole, _SCHEMA)
 
 
 def main_text(pages: DataFrame) -> DataFrame:

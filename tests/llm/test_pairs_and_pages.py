@@ -123,6 +123,19 @@ def test_wrapper_inference():
     assert html_wrappers.extract(menu, html_wrappers.skeleton(html_wrappers.parse(menu)), 1) == "text link"
 
 
+def texts_of(spark, pages):
+    d = spark.createDataFrame([(i, "http://one.example/", p) for i, p in enumerate(pages)], "page_id long, url string, html string")
+    return {r.page_id: r.text for r in html_wrappers.main_text(d).collect()}
+
+
+def test_only_whole_texts_of_different_pages_are_constant(spark):
+    intro = " ".join(f"standing{k}" for k in range(70))
+    pages = [f"<section>{intro} own {n}</section><div><p>{intro}</p></div><blockquote><b>Same:</b> after {n}</blockquote>" for n in range(25)]
+    assert texts_of(spark, pages) == {n: f"{intro} own {n} Same: after {n}" for n in range(25)}
+    copies = ["<h1>Head</h1><div>One body</div>"] * 40
+    assert texts_of(spark, copies) == dict.fromkeys(range(40), "Head One body")
+
+
 def test_pipeline_is_its_operators_in_order(spark, documents, in_duckdb, tmp_path):
     import corpus_pipeline
 
