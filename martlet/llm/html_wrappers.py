@@ -17,10 +17,12 @@ wrapper's, and the texts that fall into the wrapper's content slots are its
 main text. A slot is content if no element around it is page furniture (by
 element name, role, or words in class or id: FURNITURE below) and, where
 the page has them, if it lies in article or main. A repeated group all of
-whose text lies in links is a menu. Outside article and main, a block whose
-slots all hold the same whole text on every page of the host that has them,
-CONSTANT_PAGES different pages or more, is furniture too. Pages whose text by
-the tag rules is the same count as one page, so copies prove nothing.
+whose text lies in links is a menu, outside article and main. Everywhere a
+block whose slots all hold the same whole text on every page of the host that
+has them, CONSTANT_PAGES different pages or more, is furniture too. Pages
+whose text by the tag rules is the same count as one page, so copies prove
+nothing. Paragraphs that the wrapper folds into one repeated item are one slot:
+a constant one among differing ones stays.
 
 Inline elements do not part blocks; br and everything else does. Character
 references are decoded, white space in a block becomes one space.
@@ -341,7 +343,7 @@ def _main_text(tree: list, wrapper: list | None, pages: int) -> str:
             place += 1
             if x[0] == "#":
                 if inside or not only_main:
-                    constant = (not inside and pages >= CONSTANT_PAGES and w is not None and w[1] in "1"
+                    constant = (pages >= CONSTANT_PAGES and w is not None and w[1] in "1"
                                 and w[3] is not None and w[3][1] is None and w[3][0] == hash_text(x[3]))
                     blocks[-1].append((x[3], constant))
                 continue

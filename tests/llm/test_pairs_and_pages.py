@@ -136,6 +136,17 @@ def test_only_whole_texts_of_different_pages_are_constant(spark):
     assert texts_of(spark, copies) == dict.fromkeys(range(40), "Head One body")
 
 
+def test_wrapper_takes_part_within_article(spark):
+    page = "<article><h1>Head {n}</h1><div><span>{more}</span></div><p>Body {n}</p><p>of <b>Note:</b> {n}</p></article>"
+    boiler = "Read all of it at our partner site"
+    pages = [page.format(n=n, more=boiler) for n in range(25)]
+    assert texts_of(spark, pages) == {n: f"Head {n} Body {n} of Note: {n}" for n in range(25)}
+    few = [page.format(n=n, more=boiler) for n in range(19)]
+    assert texts_of(spark, few * 2)[20] == f"Head 1 {boiler} Body 1 of Note: 1"
+    varied = [page.format(n=n, more=f"{boiler} {n}") for n in range(25)]
+    assert texts_of(spark, varied)[3] == f"Head 3 {boiler} 3 Body 3 of Note: 3"
+
+
 def test_pipeline_is_its_operators_in_order(spark, documents, in_duckdb, tmp_path):
     import corpus_pipeline
 
