@@ -42,6 +42,7 @@ import json
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,10 +51,11 @@ SALTS = 16
 CONSTANT_PAGES = 20
 MAX_PERIOD = 3
 MAX_DEPTH = 120  # deeper elements become neighbours of their parents; no text is lost
-MAX_ALIGN = 1 << 22  # longer unlike stretches become optional without a search for what they share
+MAX_ALIGN = 1 << 22  # longer unlike stretches are parted in linear memory first
 #: Elements of HTML by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style template noscript textarea title svg math iframe object canvas".split())
+FOREIGN = frozenset(("svg", "math"))  # of the raw ones, these may be closed by their start tag
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 FURNITURE_TAGS = frozenset("nav header footer aside form button select option fieldset dialog menu head".split())
 MAIN = frozenset(("article", "main"))
@@ -122,6 +124,8 @@ def parse(page: str | None) -> list:
             if not m.group(4):
                 break  # the page ends within a tag
             if tag in RAW:
+                if tag in FOREIGN and attributes.rstrip().endswith("/"):
+                    continue
                 stop = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
                 at = stop.end() if stop else n
                 continue
@@ -207,6 +211,36 @@ def fold(items: list) -> list:
     return items
 
 
+def _lengths(x: list[int], y: list[int]) -> np.ndarray:
+    """Length of the longest common sequence of x and each beginning of y."""
+    row, of = np.zeros(len(y) + 1, dtype=np.int32), np.array(y, dtype=np.int32)
+    for c in x:
+        row[1:] = np.maximum.accumulate(np.where(of == c, row[:-1] + 1, row[1:]))
+    return row
+
+
+def _parted(x: list, y: list) -> list[tuple[list, list]]:
+    """Stretches of at most MAX_ALIGN cells, in order, whose longest common sequences make up one of x and y."""
+    done, todo = [], [(x, y)]
+    number: dict[tuple, int] = {}
+
+    def numbers(items: list) -> list[int]:
+        return [number.setdefault((i[0], *([k[0] for k in i[2]] if i[0] == "()" else ())), len(number)) for i in items]
+
+    while todo:
+        x, y = todo.pop()
+        if len(x) * len(y) <= MAX_ALIGN or len(x) + len(y) < 3:
+            done.append((x, y))
+            continue
+        turned = len(x) < len(y)
+        long, short = (y, x) if turned else (x, y)
+        half = len(long) // 2
+        n, m = numbers(long), numbers(short)
+        at = int(np.argmax(_lengths(n[:half], m) + _lengths(n[half:][::-1], m[::-1])[::-1]))
+        todo += [(short[at:], long[half:]), (short[:at], long[:half])] if turned else [(long[half:], short[at:]), (long[:half], short[:at])]
+    return done
+
+
 def align(a: list, b: list) -> list:
     """Children of the wrapper for two child lists: longest common labels merged, the rest optional."""
     head = 0
@@ -216,15 +250,18 @@ def align(a: list, b: list) -> list:
     while tail < min(len(a), len(b)) - head and _same(a[-1 - tail], b[-1 - tail]):
         tail += 1
     x, y = a[head:len(a) - tail], b[head:len(b) - tail]
-    if len(x) * len(y) > MAX_ALIGN:
-        loose = [[i[0], _joint(i[1], "?"), *i[2:]] for i in x + y]
-        return [merged(p, q) for p, q in zip(a[:head], b[:head], strict=True)] + loose + [
-            merged(p, q) for p, q in zip(a[len(a) - tail:], b[len(b) - tail:], strict=True)]
+    out = [merged(p, q) for p, q in zip(a[:head], b[:head], strict=True)]
+    for part in _parted(x, y):
+        out += _align(*part)
+    return out + [merged(p, q) for p, q in zip(a[len(a) - tail:], b[len(b) - tail:], strict=True)]
+
+
+def _align(x: list, y: list) -> list:
     best = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
     for i in range(len(x) - 1, -1, -1):
         for j in range(len(y) - 1, -1, -1):
             best[i][j] = best[i + 1][j + 1] + 1 if _same(x[i], y[j]) else max(best[i + 1][j], best[i][j + 1])
-    out = [merged(p, q) for p, q in zip(a[:head], b[:head], strict=True)]
+    out: list = []
     i = j = 0
     while i < len(x) or j < len(y):
         if i < len(x) and j < len(y) and _same(x[i], y[j]) and best[i][j] == best[i + 1][j + 1] + 1:
@@ -236,7 +273,7 @@ def align(a: list, b: list) -> list:
         else:
             out.append([y[j][0], _joint(y[j][1], "?"), *y[j][2:]])
             j += 1
-    return out + [merged(p, q) for p, q in zip(a[len(a) - tail:], b[len(b) - tail:], strict=True)]
+    return out
 
 
 def matches(items: list, wrapper: list) -> list:

@@ -147,6 +147,23 @@ def test_wrapper_takes_part_within_article(spark):
     assert texts_of(spark, varied)[3] == f"Head 3 {boiler} 3 Body 3 of Note: 3"
 
 
+def test_self_closing_foreign_elements_are_empty():
+    page = '<article><p>One <svg class="x"/>two<math/> three</p><svg><text>no</text></svg><p>four</p></article>'
+    assert html_wrappers.extract(page, None, 0) == "One two three four"
+
+
+@pytest.mark.parametrize("most", [1, 4, 50])
+def test_long_stretches_are_aligned_alike(monkeypatch, most):
+    rnd = random.Random(5)
+    for _ in range(60):
+        x, y = ([["()", "+", [[rnd.choice("ab"), "1", [], None]], None] if rnd.random() < 0.2 else [rnd.choice("pquv"), "1", [], None]
+                 for _ in range(rnd.randrange(30))] for _ in "xy")
+        monkeypatch.setattr(html_wrappers, "MAX_ALIGN", 1 << 22)
+        whole = html_wrappers.align(x, y)
+        monkeypatch.setattr(html_wrappers, "MAX_ALIGN", most)
+        assert len(html_wrappers.align(x, y)) == len(whole)
+
+
 def test_pipeline_is_its_operators_in_order(spark, documents, in_duckdb, tmp_path):
     import corpus_pipeline
 
