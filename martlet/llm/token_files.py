@@ -10,8 +10,8 @@ Spark writes will do.
 
 Re-Pair by rounds: count the pairs of neighbouring ids in the shard, give
 the most frequent ones (at least MIN_COUNT times, at most PAIRS_A_ROUND a
-round) new symbols, replace them from left to right; after ROUNDS rounds, or
-without a frequent pair, the rest is stored. All symbols fit 16 bits.
+round) new symbols, replace them from left to right; without a frequent pair,
+or once the symbols of 16 bits are all given, the rest is stored.
 
 A shard, little endian: magic "RPR1"; u32 numbers of documents, rounds,
 rules and symbols; u32 first symbol of each round; the rules as u16 pairs;
@@ -49,7 +49,6 @@ from martlet.llm.texthash import BYTES, Store, hash_spans
 
 END = 0
 SHARD_IDS = 1 << 20
-ROUNDS = 8
 PAIRS_A_ROUND = 4096
 MIN_COUNT = 4
 CACHE_ENTRIES = 3_000_000
@@ -160,12 +159,12 @@ def _encoder(path: str | None) -> _Encoder:
     return _encoders[key]
 
 
-def compress(ids: np.ndarray, rounds: int = ROUNDS, first: int | None = None) -> tuple[np.ndarray, list[np.ndarray], list[int]]:
+def compress(ids: np.ndarray, rounds: int | None = None, first: int | None = None) -> tuple[np.ndarray, list[np.ndarray], list[int]]:
     """(symbols, rules of each round as rows of two symbols, first symbol of each round)."""
     seq = ids.astype(np.uint16)
     free = int(seq.max(initial=0)) + 1 if first is None else first
     rules, firsts = [], []
-    for _ in range(rounds):
+    while rounds is None or len(rules) < rounds:
         room = min(PAIRS_A_ROUND, 65536 - free)
         if len(seq) < 2 or room <= 0:
             break
@@ -225,7 +224,7 @@ def lengths(rules: list[np.ndarray], firsts: list[int]) -> np.ndarray:
     return out[firsts[0]:]
 
 
-def pack(doc_ids: list[int | None], ids: list[np.ndarray], rounds: int = ROUNDS, first: int | None = None) -> bytes:
+def pack(doc_ids: list[int | None], ids: list[np.ndarray], rounds: int | None = None, first: int | None = None) -> bytes:
     """A shard of these documents' ids, end ids included."""
     data = np.concatenate([np.zeros(0, dtype=np.uint16), *ids])
     seq, rules, firsts = compress(data, rounds, first)
@@ -283,7 +282,7 @@ class Shard:
         return expand(self.symbols[a:b + 1], self.rules, self.firsts)[start - before:start - before + count]
 
 
-def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard_ids: int = SHARD_IDS, rounds: int = ROUNDS) -> None:
+def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard_ids: int = SHARD_IDS, rounds: int | None = None) -> None:
     """Writes the shards of ``docs (doc_id, text)`` to a Parquet table: part, shard, n_ids, data."""
 
     def shards(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -110,6 +110,14 @@ def test_grammar_round_trip_and_random_access():
     assert len(token_files.compress(np.array([1, 2] * 500, dtype=np.uint16))[0]) < 20
 
 
+def test_rules_until_no_pair_is_frequent():
+    block = np.random.default_rng(3).integers(0, 50257, 3000).astype(np.uint16)
+    for data in (np.zeros(1 << 16, dtype=np.uint16), np.tile(block, 40)):
+        seq, rules, firsts = token_files.compress(data, first=50257)
+        assert np.unique(np.stack([seq[:-1], seq[1:]]), axis=1, return_counts=True)[1].max(initial=0) < token_files.MIN_COUNT
+        assert (token_files.expand(seq, rules, firsts) == data).all()
+
+
 def test_word_hashes():
     texts = [b"a b  c", None, b"", b"\n x\ty", b"long " * 200_000 + b"end", b"a"]
     seen = {}
