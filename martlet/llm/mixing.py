@@ -19,8 +19,9 @@ where the target falls are ranked.
 Null text: size 0. Null source: a source of its own. Null doc_id: a random
 number like any other (all null ids share it). Rows alike in id, source and
 size are ordered arbitrarily among themselves, which does not change the
-multiset of results. Empty input gives an empty result. One row per source
-is gathered in a single window; sources are hosts, not documents.
+multiset of results. Empty input gives an empty result. Sources are hosts:
+they are numbered and filled in ranges, and only one row per SLICE of them
+is gathered in a single window.
 """
 
 from __future__ import annotations
@@ -29,11 +30,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from martlet.llm.common import SPACES, cut, words
+from martlet.operators.sequence import sequence_within
 
 WEIGHTS = (3, 1, 2)
 SHARE = 150
 LIMIT = 2
 BINS = 4096
+SLICE = 4096
 SEED = "mix-1"
 
 
@@ -51,25 +54,31 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: int = SHARE, limit: int
     reach their limit: those before are full, the rest share what is left by
     weight.
     """
-    order = Window.orderBy(F.col("source").isNull(), "source")
-    w = F.element_at(F.array(*[F.lit(x).cast("long") for x in weights]),
-                     ((F.row_number().over(order) - 1) % len(weights) + 1).cast("int"))
-    s = sources.withColumn("weight", w)
-    fill = Window.orderBy(F.col("source_size") / F.col("weight"), F.col("source").isNull(), "source")
-    before = fill.rowsBetween(Window.unboundedPreceding, -1)
-    rest = fill.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    s = sequence_within(sources.withColumn("none", F.col("source").isNull()), [], ["none", "source"], "no")
+    w = F.element_at(F.array(*[F.lit(x).cast("long") for x in weights]), ((F.col("no") - 1) % len(weights) + 1).cast("int"))
+    s = s.withColumn("weight", w).withColumn("ratio", F.col("source_size") / F.col("weight"))
+    s = sequence_within(s, [], ["ratio", "none", "source"], "no_")
+    s = cut(s.withColumn("slice", F.floor((F.col("no_") - 1) / SLICE)))
+    # one row per SLICE sources: what the slices before hold
+    slices = s.groupBy("slice").agg(F.sum("source_size").alias("words"), F.sum("weight").alias("weights"))
+    upto = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     total = Window.partitionBy()
+    slices = slices.select(
+        F.col("slice").alias("of"), F.sum("words").over(total).alias("all_words"), F.sum("weights").over(total).alias("all_weights"),
+        F.coalesce(F.sum("words").over(upto), F.lit(0)).alias("words"), F.coalesce(F.sum("weights").over(upto), F.lit(0)).alias("weights"))
+    before = Window.partitionBy("slice").orderBy("no_").rowsBetween(Window.unboundedPreceding, -1)
+    s = s.join(slices, F.col("slice") == F.col("of"))
     s = s.withColumns({
-        "left": F.sum("source_size").over(total) * share - F.coalesce(F.sum("source_size").over(before), F.lit(0)) * limit * 100,
-        "sharing": F.sum("weight").over(rest),
+        "left": F.col("all_words") * share - (F.col("words") + F.coalesce(F.sum("source_size").over(before), F.lit(0))) * limit * 100,
+        "sharing": F.col("all_weights") - F.col("weights") - F.coalesce(F.sum("weight").over(before), F.lit(0)),
         "cap": F.col("source_size") * limit,
     })
     # full: its limit lies at or below the level that the sources not yet full would reach
-    s = s.withColumn("full", F.col("cap") * 100 * F.col("sharing") <= F.col("left") * F.col("weight"))
-    first = F.min(F.when(~F.col("full"), F.struct(F.col("source_size") / F.col("weight"), F.col("left"), F.col("sharing")))).over(total)
-    level = (first["left"].cast("double") / 100.0) / first["sharing"].cast("double")
-    target = F.when(F.col("full") | first.isNull(), F.col("cap").cast("double")).otherwise(
-        F.least(F.col("cap").cast("double"), level * F.col("weight")))
+    s = cut(s.withColumn("full", F.col("cap") * 100 * F.col("sharing") <= F.col("left") * F.col("weight")))
+    first = s.where(~F.col("full")).agg(F.min(F.struct("no_", "left", "sharing")).alias("first")).first()["first"]
+    cap = F.col("cap").cast("double")
+    target = cap if first is None else F.when(F.col("full"), cap).otherwise(
+        F.least(cap, (F.lit(first["left"]).cast("double") / 100.0) / F.lit(first["sharing"]).cast("double") * F.col("weight")))
     return s.select("source", "source_size", "weight", target.alias("target"))
 
 

@@ -77,6 +77,32 @@ def test_mixing_targets_and_takes(spark):
     assert mixing.mixed(d).count() == sum(r.copies for r in first)
 
 
+def test_many_sources_are_not_gathered_in_one_task(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLICE", 64, raising=False)
+    sizes = {f"h{i:04}": (i * i) % 977 for i in range(2000)} | {None: 500}
+    names = sorted(sizes, key=lambda x: (x is None, x or ""))
+    weight = {x: mixing.WEIGHTS[k % 3] for k, x in enumerate(names)}
+    free, full = mixing.SHARE * sum(sizes.values()), set()
+    while True:  # share out, fix those above their limit, share out the rest
+        left, sharing = free - sum(100 * mixing.LIMIT * sizes[x] for x in full), sum(weight[x] for x in names if x not in full)
+        more = {x for x in names if x not in full and 100 * mixing.LIMIT * sizes[x] * sharing <= left * weight[x]}
+        if not more:
+            break
+        full |= more
+    want = {x: float(mixing.LIMIT * sizes[x]) if x in full else left / 100.0 / sharing * weight[x] for x in names}
+    was = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        t = mixing.targets(spark.createDataFrame(list(sizes.items()), "source string, source_size long"))
+        got = t.withColumn("part", F.spark_partition_id()).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", was)
+    assert 0 < len(full) < len(names) == len(got)
+    assert {r.source: (r.weight, round(r.target, 6)) for r in got} == {x: (weight[x], round(want[x], 6)) for x in names}
+    parts = [r.part for r in got]
+    assert max(map(parts.count, set(parts))) < len(got) / 2
+
+
 def test_mixed_keeps_columns_and_repeats(documents):
     out = mixing.mixed(documents)
     assert out.columns == documents.columns
