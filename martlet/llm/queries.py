@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from martlet.llm import embedding_dedup, html_wrappers, line_dedup, mixing, ngram_join, pieces, quality, token_counts, token_files, toxicity
+from martlet.llm import (
+    embedding_dedup, hash_tree, html_wrappers, line_dedup, mixing, ngram_join, pieces, quality, term_tree, token_counts, token_files, toxicity, word_runs,
+)
 from martlet.llm.common import table
 
 
@@ -48,11 +50,24 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_tree.shards(table(spark, sf_dir, "documents"))
+
+
+def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_runs.digests(table(spark, sf_dir, "documents"))
+
+
+def op13_term_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return term_tree.term_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
-        op1_line_dedup, op2_quality_rules, op3_toxicity, op4_sentencepiece, op5_mixing, op6_html_extraction, op7_token_binary, op8_embedding_dedup, op9_ngram_join, op10_token_counts)}
+        op1_line_dedup, op2_quality_rules, op3_toxicity, op4_sentencepiece, op5_mixing, op6_html_extraction, op7_token_binary, op8_embedding_dedup, op9_ngram_join, op10_token_counts,
+        op11_sharding, op12_word_runs, op13_term_search)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_line_dedup": line_dedup.oracle(), "op2_quality_rules": quality.oracle(), "op5_mixing": mixing.oracle(),
-            "op9_ngram_join": ngram_join.oracle()}
+            "op9_ngram_join": ngram_join.oracle(), "op11_sharding": hash_tree.oracle(), "op13_term_search": term_tree.oracle()}

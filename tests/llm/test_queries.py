@@ -18,4 +18,4 @@ def test_query_matches_sql(spark, same_rows, name):
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.queries()) == list(range(1, 14))
