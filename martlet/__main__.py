@@ -5,9 +5,12 @@ raw load -> staging -> dimensions and facts -> dashboard extracts (CSV)
     python -m martlet --landing DIR --lake DIR [--extracts DIR]
                       [--scope-lo YYYY-MM-DD --scope-hi YYYY-MM-DD]
                       [--status delivered --status shipped] [--patch PT=EN ...]
+                      [--lenient [--max-rejects N]] [--expect TABLE=ROWS ...] [--publish PREFIX]
 
-Paths should be on shared storage on a cluster. The report is printed and
-the exit status is 1 when any check fails.
+Paths should be on shared storage on a cluster. Every table is written as
+the next version (see ``sources.versions``), so a build that fails leaves
+the last one readable. The report is printed and the exit status is 1 when
+any check fails.
 """
 
 from __future__ import annotations
@@ -15,13 +18,15 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import sys
+from dataclasses import replace
 
 from .plans.checks import expected_figures_report, validation_report
 from .plans.model import Model
 from .plans.scope import (REFERENCE_EXPECTED_REVENUE_NET, REFERENCE_EXPECTED_ROWS, REFERENCE_STATUSES,
                           REFERENCE_TRANSLATION_PATCHES, ModelParams, Scope)
 from .session import build_session, tune_for_input
-from .sources.csv import load_raw_layer, write_extract_csv
+from .sources.catalog import publish
+from .sources.csv import load_raw_layer, load_report, loaded_rows
 from .sources.schemas import RAW_FILES
 
 
@@ -45,20 +50,24 @@ def folder_bytes(spark, path: str) -> int:
 
 def build(spark, landing: str, lake: str, extracts: str | None, params: ModelParams,
           date_partitioned: bool = False, bucketed_schema: str | None = None, buckets: int = 0,
-          files: dict[str, str] | None = None):
+          files: dict[str, str] | None = None, expected: dict[str, int] | None = None, publish_as: str | None = None):
+    """Raw load to validation report. With ``params.lenient_casts`` malformed
+    rows are set aside by the load (``load_report`` counts them), so staging
+    types the rest strictly."""
     tune_for_input(spark, folder_bytes(spark, landing))
-    raw = load_raw_layer(spark, landing, out=lake, files=files, lenient=params.lenient_casts)
-    model = Model(spark, raw, params)
+    root = lake.rstrip("/")
+    raw = load_raw_layer(spark, landing, out=root, files=files, quarantine=params.lenient_casts)
+    params = replace(params, lenient_casts=False)
+    model = Model(spark, raw, params, loaded_rows=loaded_rows(spark, root), lake=root)
     if bucketed_schema:
-        marts = model.materialize_bucketed(bucketed_schema, buckets, f"{lake.rstrip('/')}/{bucketed_schema}")
+        marts = model.materialize_bucketed(bucketed_schema, buckets, f"{root}/{bucketed_schema}")
     else:
-        marts = model.materialize(f"{lake.rstrip('/')}/marts", date_partitioned=date_partitioned)
+        marts = model.materialize(f"{root}/marts", date_partitioned=date_partitioned)
     if extracts:
-        root = extracts.rstrip("/")
-        write_extract_csv(marts.extract_revenue(), f"{root}/revenue_by_category_state_month")
-        write_extract_csv(marts.extract_delivery(), f"{root}/delivery_by_state_month")
-        write_extract_csv(marts.extract_buckets(), f"{root}/delivery_buckets")
-    return marts, validation_report(marts)
+        marts.write_extracts(extracts)
+    if publish_as is not None:
+        publish(spark, root, publish_as, params.lenient_casts, params.translation_patches)
+    return marts, validation_report(marts, expected=expected)
 
 
 def main(argv=None) -> int:
@@ -80,7 +89,11 @@ def main(argv=None) -> int:
                     "dim_customer bucketed on customer_id (co-located joins)")
     ap.add_argument("--buckets", type=int, default=64, help="bucket count for --bucketed-schema")
     ap.add_argument("--lenient", action="store_true",
-                    help="malformed timestamps and amounts become NULL instead of failing the load")
+                    help="set malformed rows aside and count them instead of failing the load")
+    ap.add_argument("--max-rejects", type=int, metavar="N", help="with --lenient: fail when more rows than this are set aside")
+    ap.add_argument("--expect", action="append", metavar="TABLE=ROWS", help="documented rows of a raw table (repeatable)")
+    ap.add_argument("--publish", metavar="PREFIX", nargs="?", const="", help="name the layers in the catalog: schemas PREFIXraw, "
+                    "PREFIXstaging (views) and PREFIXmarts")
     ap.add_argument("--reference-expected", action="store_true",
                     help="also compare row counts and revenue with the figures stated for the original dataset")
     ap.add_argument("--file", action="append", metavar="TABLE=NAME", help="file, folder or glob of a table below "
@@ -88,12 +101,18 @@ def main(argv=None) -> int:
     args = ap.parse_args(argv)
     files = dict(RAW_FILES, **dict(f.split("=", 1) for f in args.file or ()))
     spark = build_session(app_name="martlet-build")
+    expected = {k: int(v) for k, v in (e.split("=", 1) for e in args.expect)} if args.expect else None
     marts, report = build(spark, args.landing, args.lake, args.extracts, params_from(args),
-                          args.date_partitioned, args.bucketed_schema, args.buckets, files)
+                          args.date_partitioned, args.bucketed_schema, args.buckets, files, expected, args.publish)
+    set_aside = 0
+    if args.lenient:
+        for r in load_report(spark, args.lake).where("reason IS NOT NULL").orderBy("table_name", "file", "reason").collect():
+            print(f"{r.table_name:26s} {r.rows:10d} {r.reason}  {r.file}")
+            set_aside += r.rows
     rows = report.collect()
     for r in rows:
         print(f"{r.check:32s} {'pass' if r.passed else 'FAIL'}")
-    ok = all(r.passed for r in rows)
+    ok = all(r.passed for r in rows) and (args.max_rejects is None or set_aside <= args.max_rejects)
     if args.reference_expected:
         for r in expected_figures_report(marts, REFERENCE_EXPECTED_ROWS, REFERENCE_EXPECTED_REVENUE_NET).collect():
             print(f"{r.item:36s} {r.actual:>14s} expected {r.expected:>14s} {'pass' if r.passed else 'FAIL'}")

@@ -14,7 +14,8 @@ from pyspark.sql.types import StringType
 from ..functions.expr import pct
 from .dedup import first_per_key
 from .joins import childless as _childless
-from .joins import combine_at_grain, fanout_rows, key_counts, match_counts
+from .joins import combine_at_grain, fanout_rows, key_counts
+from .keys import relation_counts
 from .sequence import percentiles_within
 from .stack import union_all
 
@@ -122,10 +123,9 @@ def childless_by(parent: DataFrame, child: DataFrame, key: str, by: str) -> Data
 
 def referential_integrity(relations: list[tuple[str, DataFrame, str, DataFrame, str]]) -> DataFrame:
     """Q8: per (name, child, child_key, parent, parent_key): child rows
-    without a parent (orphans) and parent rows without a child, from one
-    full outer join of per-key counts per relation."""
-    return union_all([match_counts(child, ck, parent, pk).select(F.lit(name).alias("relation"), "*")
-                      for name, child, ck, parent, pk in relations])
+    without a parent (orphans) and parent rows without a child. All
+    relations share one grouping of the stacked keys (see ``operators.keys``)."""
+    return relation_counts(relations)
 
 
 def lookup_coverage(df: DataFrame, lookup: DataFrame, key: str, lookup_key: str | None = None) -> DataFrame:

@@ -9,20 +9,23 @@ from ..functions.expr import bucketize, count_known, count_true
 from .scope import REFERENCE_BUCKETS, REFERENCE_OPEN_BUCKET
 
 
-def calendar(dim_date: DataFrame) -> DataFrame:
-    """date_key -> year_month, marked for broadcast: one row per day of the
-    spine, whatever the order volume. Four-digit years bound it at 3.7
-    million rows of a date and seven characters, also where a spine taken
-    from data holds a wrong date."""
-    return F.broadcast(dim_date.select("date_key", "year_month"))
+#: A calendar of at most so many rows (11 bytes each) is broadcast; a larger or unknown one is left to Spark's size check.
+CALENDAR_ROWS = 1_000_000
+
+
+def calendar(dim_date: DataFrame, rows: int | None = None) -> DataFrame:
+    """date_key -> year_month; marked for broadcast where its row count is
+    known (``Model.calendar_rows``) and small."""
+    c = dim_date.select("date_key", "year_month")
+    return F.broadcast(c) if rows is not None and rows <= CALENDAR_ROWS else c
 
 
 def extract_revenue(items_fact: DataFrame, dim_product: DataFrame, dim_customer: DataFrame,
-                    dim_date: DataFrame) -> DataFrame:
+                    dim_date: DataFrame, calendar_rows: int | None = None) -> DataFrame:
     """Revenue by category x customer state x month.
 
-    Star join, then one aggregation (partial on the map side). The
-    calendar is always broadcast (see ``calendar``); the customer and
+    Star join, then one aggregation (partial on the map side). A
+    calendar of known size is broadcast (see ``calendar``); the customer and
     product joins are broadcast when Spark's size check allows and
     sort-merge otherwise. The customer join comes first: with the marts
     bucketed on customer_id (``Model.materialize_bucketed``) it needs no
@@ -33,7 +36,7 @@ def extract_revenue(items_fact: DataFrame, dim_product: DataFrame, dim_customer:
     return (items_fact
             .join(dim_customer.select("customer_id", "state"), "customer_id")
             .join(dim_product.select("product_id", "category_name_en"), "product_id")
-            .join(calendar(dim_date), "date_key")
+            .join(calendar(dim_date, calendar_rows), "date_key")
             .groupBy("category_name_en", "state", "year_month")
             .agg(F.sum("revenue_net").alias("revenue_net"),
                  F.sum("freight_cost").alias("freight_cost"),
@@ -41,15 +44,23 @@ def extract_revenue(items_fact: DataFrame, dim_product: DataFrame, dim_customer:
                  F.count(F.lit(1)).alias("items")))
 
 
-def extract_delivery(orders_fact: DataFrame, dim_customer: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Delivery and review measures by customer state x month. Orders are
-    counted per (state, month, day value) first, in a hash aggregate with
-    map-side reduction; the exact percentiles then take one row per day value
-    with its frequency, so no group's rows meet and nothing falls back to
-    sorting them."""
-    c = dim_customer.select("customer_id", "state")
-    days = (orders_fact.join(c, "customer_id").join(calendar(dim_date), "date_key")
-            .groupBy("state", "year_month", "delivery_days")
+_COUNTS = ("orders", "late_orders", "delivered_orders", "negative_reviews", "reviewed_orders", "revenue_net", "freight_cost")
+
+
+def delivery_days(orders_fact: DataFrame, dim_customer: DataFrame, dim_date: DataFrame,
+                  calendar_rows: int | None = None) -> DataFrame:
+    """Delivery and review measures by (state, month, day value): counts and
+    sums, which merge by addition. Every fact row is in exactly one group;
+    ``known_customer`` and ``known_date`` tell whether its keys have dimension
+    rows, as inner joins leave the others out. Built by one hash aggregate with map-side
+    reduction; its size is bounded by states x months x day values, so exact
+    percentiles over any of them take one row per day value with its
+    frequency and no query on them scans the fact."""
+    c = dim_customer.select("customer_id", "state", F.lit(True).alias("_c"))
+    d = calendar(dim_date, calendar_rows).withColumn("_d", F.lit(True))
+    return (orders_fact.join(c, "customer_id", "left").join(d, "date_key", "left")
+            .groupBy("state", "year_month", "delivery_days", F.col("_c").isNotNull().alias("known_customer"),
+                     F.col("_d").isNotNull().alias("known_date"))
             .agg(F.count(F.lit(1)).alias("orders"),
                  count_true("is_late").alias("late_orders"),
                  count_known("is_late").alias("delivered_orders"),
@@ -57,15 +68,25 @@ def extract_delivery(orders_fact: DataFrame, dim_customer: DataFrame, dim_date:
                  count_known("is_negative_review").alias("reviewed_orders"),
                  F.sum("revenue_net").alias("revenue_net"),
                  F.sum("freight_cost").alias("freight_cost")))
-    total = {c: F.sum(c).alias(c) for c in ("orders", "late_orders", "delivered_orders", "negative_reviews",
-                                            "reviewed_orders", "revenue_net", "freight_cost")}
-    return (days.groupBy("state", "year_month")
+
+
+def delivery_from_days(days: DataFrame) -> DataFrame:
+    """Delivery and review measures by customer state x month, from ``delivery_days``."""
+    total = {c: F.sum(c).alias(c) for c in _COUNTS}
+    return (days.where("known_customer AND known_date").groupBy("state", "year_month")
             .agg(total["orders"], total["late_orders"], total["delivered_orders"],
                  F.percentile("delivery_days", 0.5, F.col("orders")).alias("median_days"),
                  F.percentile("delivery_days", 0.9, F.col("orders")).alias("p90_days"),
                  total["negative_reviews"], total["reviewed_orders"], total["revenue_net"], total["freight_cost"]))
 
 
+def extract_delivery(orders_fact: DataFrame, dim_customer: DataFrame, dim_date: DataFrame) -> DataFrame:
+    """The same from the fact itself. Orders are counted per (state, month,
+    day value) first, so no group's rows meet and nothing falls back to
+    sorting them."""
+    return delivery_from_days(delivery_days(orders_fact, dim_customer, dim_date))
+
+
 def with_bucket(orders_fact: DataFrame, buckets=REFERENCE_BUCKETS,
                 open_bucket=REFERENCE_OPEN_BUCKET) -> DataFrame:
     """Delivered orders with their delivery-time bucket. NULL days are

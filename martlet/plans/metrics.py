@@ -45,6 +45,15 @@ def delivery_time(orders_fact: DataFrame) -> DataFrame:
                  F.avg("delivery_days").alias("mean_days"))
 
 
+def delivery_time_from_days(days: DataFrame) -> DataFrame:
+    """K6 from the day-value aggregate: no fact is scanned."""
+    d, n = days.where(F.col("delivery_days").isNotNull()), F.col("orders")
+    return d.agg(F.coalesce(F.sum(n), F.lit(0)).alias("delivered_orders"),
+                 F.percentile("delivery_days", 0.5, n).alias("median_days"),
+                 F.percentile("delivery_days", 0.9, n).alias("p90_days"),
+                 F.try_divide(F.sum(F.col("delivery_days") * n).cast("double"), F.sum(n).cast("double")).alias("mean_days"))
+
+
 def lateness(orders_fact: DataFrame) -> DataFrame:
     """K7: late orders, delivered orders, late and on-time rates (%)."""
     late, known = count_true("is_late"), count_known("is_late")
@@ -84,23 +93,17 @@ def late_vs_on_time(orders_fact: DataFrame) -> DataFrame:
                  rate_pct("is_negative_review", None).alias("negative_pct")))
 
 
-def state_scorecard(items_fact: DataFrame, orders_fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
+def state_scorecard(days: DataFrame) -> DataFrame:
     """Per customer state - revenue, share of revenue, freight %, late
-    rate, median delivery days. Medians need their own grouping by state
-    (they cannot be recombined from state x month medians)."""
-    c = dim_customer.select("customer_id", "state")
-    rev = (sum_through(items_fact, c, "customer_id", ["state"],
-                       {"revenue_net": "revenue_net", "freight_cost": "freight_cost"})
-           .withColumn("freight_pct", pct(F.col("freight_cost"), F.col("revenue_net"))))
-    rev = share_of_total(rev, "revenue_net", "revenue_share_pct")
-    # counted per day value first: the percentile sees one row for each, with its frequency
-    days = (orders_fact.join(c, "customer_id").groupBy("state", "delivery_days")
-            .agg(F.count(F.lit(1)).alias("n"), count_true("is_late").alias("late"),
-                 count_known("is_late").alias("known")))
-    dl = (days.groupBy("state")
-          .agg(F.sum("n").alias("orders"), pct(F.sum("late"), F.sum("known")).alias("late_pct"),
-               F.percentile("delivery_days", 0.5, F.col("n")).alias("median_days")))
-    return rev.join(dl, "state", "full")
+    rate, median delivery days, all from the day-value aggregate (medians
+    cannot be recombined from state x month medians, but they can from the
+    counts of day values). Both facts carry the same revenue."""
+    card = (days.where("known_customer").groupBy("state")
+            .agg(F.sum("revenue_net").alias("revenue_net"), F.sum("freight_cost").alias("freight_cost"),
+                 F.sum("orders").alias("orders"), pct(F.sum("late_orders"), F.sum("delivered_orders")).alias("late_pct"),
+                 F.percentile("delivery_days", 0.5, F.col("orders")).alias("median_days"))
+            .withColumn("freight_pct", pct(F.col("freight_cost"), F.col("revenue_net"))))
+    return share_of_total(card, "revenue_net", "revenue_share_pct")
 
 
 def state_revenue_ranking(items_fact: DataFrame, dim_customer: DataFrame) -> DataFrame:
@@ -175,12 +178,12 @@ def headline_buckets(orders_fact: DataFrame, buckets=REFERENCE_BUCKETS,
             .orderBy("_first_day").drop("_first_day"))
 
 
-def monthly_series(orders_fact: DataFrame, dim_date: DataFrame) -> DataFrame:
+def monthly_series(orders_fact: DataFrame, dim_date: DataFrame, calendar_rows: int | None = None) -> DataFrame:
     """Orders and revenue per month of the date spine, months without
     orders kept with zeros. The fact is summed per month first; the month
     list is the spine's distinct months."""
     d = dim_date.select("date_key", "year_month")
-    per_month = (orders_fact.join(calendar(dim_date), "date_key").groupBy("year_month")
+    per_month = (orders_fact.join(calendar(dim_date, calendar_rows), "date_key").groupBy("year_month")
                  .agg(F.count(F.lit(1)).alias("orders"), F.sum("revenue_net").alias("revenue_net")))
     months = d.select("year_month").distinct()
     return (months.join(per_month, "year_month", "left")

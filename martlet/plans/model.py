@@ -1,10 +1,11 @@
 """The layered model as one object: raw -> staging -> marts.
 
 ``Model`` is lazy: every property is a DataFrame plan over the raw inputs.
-``materialize`` writes dimensions and facts once as Parquet (full replace),
-as the dashboards re-read them, and returns a model that reads them back;
+``materialize`` writes dimensions and facts as the next version of their
+tables (see ``sources.versions``) and returns a model that reads them back;
 staging stays lazy. Facts are written sorted within partitions by their key
-so min/max statistics let later scans skip row groups.
+so min/max statistics let later scans skip row groups. Their totals are
+observed while they are written and stored with the version.
 """
 
 from __future__ import annotations
@@ -12,62 +13,96 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ..sources.tables import register_views, save_bucketed, save_partitioned, save_table
+from ..sources import versions
+from ..sources.csv import loaded_rows, stored_raw, write_extract_csv
+from ..sources.schemas import RAW_SCHEMAS
+from ..sources.tables import register_views, save_bucketed
 from . import dims, extracts, facts, staging
 from .scope import ModelParams
 
-STAGING_TABLES = ("orders", "order_items", "order_payments", "order_reviews", "customers",
-                  "products", "sellers", "category_translation")
+STAGING_TABLES = tuple(staging.RULES)
 MART_TABLES = ("dim_date", "dim_customer", "dim_product", "dim_seller",
                "fct_order_items", "fct_orders")
+#: Built from the written facts: delivery and review measures by day value, which percentiles and rates read instead of a fact.
+AGGREGATES = ("agg_delivery_days",)
+
+
+def observed_totals(table: str) -> dict[str, Column]:
+    """Totals observed while a table or an extract is written (its row count always is)."""
+    sums = {"fct_order_items": "revenue_net freight_cost", "fct_orders": "revenue_net freight_cost item_count",
+            "agg_delivery_days": "orders revenue_net", "revenue_by_category_state_month": "revenue_net items",
+            "delivery_by_state_month": "revenue_net orders", "delivery_buckets": "orders"}
+    return {c: F.sum(c) for c in sums.get(table, "").split()}
 
 
 class Model:
+    """written: for marts that were written, the version and the totals
+    observed on the way; loaded_rows: rows of each raw table, observed while
+    it was loaded; extract_totals: what ``write_extracts`` has observed."""
+
     def __init__(self, spark: SparkSession, raw: dict[str, DataFrame],
                  params: ModelParams | None = None, marts: dict[str, DataFrame] | None = None,
-                 supplied=None):
+                 supplied=None, written: dict[str, versions.Version] | None = None,
+                 loaded_rows: dict[str, int] | None = None, lake: str | None = None):
         self.spark = spark
         self.raw = raw
         self.params = params or ModelParams()
         self._marts = marts or {}
         # where the raw tables came from (an object with ``t(name)``), if any
         self.supplied = supplied
+        self.written = written or {}
+        self.loaded_rows = loaded_rows or {}
+        self.lake = lake  # folder of the written layers, if any
+        self.extract_totals: dict[str, dict] | None = None
+
+    @classmethod
+    def stored(cls, spark: SparkSession, lake: str, params: ModelParams | None = None) -> "Model":
+        """The current versions of a lake folder: raw tables, marts and their observed totals."""
+        root = lake.rstrip("/")
+        raw = {t: stored_raw(spark, root, t) for t in RAW_SCHEMAS}
+        written = {t: versions.current(spark, f"{root}/marts/{t}") for t in MART_TABLES + AGGREGATES}
+        written = {t: v for t, v in written.items() if v is not None}
+        marts = {t: versions.read(spark, f"{root}/marts/{t}", v) for t, v in written.items()}
+        return cls(spark, raw, params, marts, written=written, loaded_rows=loaded_rows(spark, root), lake=root)
+
+    # staging (lazy)
+    def _staged(self, table: str) -> DataFrame:
+        return staging.staged(table, self.raw[staging.raw_name(table)], self.params.lenient_casts, self.params.translation_patches)
 
-    # staging (lazy views)
     @cached_property
     def orders(self) -> DataFrame:
-        return staging.stage_orders(self.raw["orders"], self.params.lenient_casts)
+        return self._staged("orders")
 
     @cached_property
     def order_items(self) -> DataFrame:
-        return staging.stage_order_items(self.raw["order_items"], self.params.lenient_casts)
+        return self._staged("order_items")
 
     @cached_property
     def order_payments(self) -> DataFrame:
-        return staging.stage_order_payments(self.raw["order_payments"], self.params.lenient_casts)
+        return self._staged("order_payments")
 
     @cached_property
     def order_reviews(self) -> DataFrame:
-        return staging.stage_order_reviews(self.raw["order_reviews"], self.params.lenient_casts)
+        return self._staged("order_reviews")
 
     @cached_property
     def customers(self) -> DataFrame:
-        return staging.stage_customers(self.raw["customers"])
+        return self._staged("customers")
 
     @cached_property
     def products(self) -> DataFrame:
-        return staging.stage_products(self.raw["products"])
+        return self._staged("products")
 
     @cached_property
     def sellers(self) -> DataFrame:
-        return staging.stage_sellers(self.raw["sellers"])
+        return self._staged("sellers")
 
     @cached_property
     def category_translation(self) -> DataFrame:
-        return staging.stage_category_translation(
-            self.raw["category_name_translation"], self.params.translation_patches, self.spark)
+        return self._staged("category_translation")
 
     # marts
     def _mart(self, name: str, build) -> DataFrame:
@@ -106,38 +141,58 @@ class Model:
             self.orders, self.fct_order_items, self.order_reviews, self.params.scope,
             self.params.negative_max_score))
 
+    @property
+    def calendar_rows(self) -> int | None:
+        """Rows of the date spine where they are known: from its bounds, or counted when it was written."""
+        if "dim_date" in self.written:
+            return self.written["dim_date"].metrics.get("rows")
+        return (self.params.spine[1] - self.params.spine[0]).days + 1 if self.params.spine else None
+
+    @property
+    def agg_delivery_days(self) -> DataFrame:
+        return self._mart("agg_delivery_days", lambda: extracts.delivery_days(
+            self.fct_orders, self.dim_customer, self.dim_date, self.calendar_rows))
+
     # extracts
     def extract_revenue(self) -> DataFrame:
         return extracts.extract_revenue(self.fct_order_items, self.dim_product, self.dim_customer,
-                                        self.dim_date)
+                                        self.dim_date, self.calendar_rows)
 
     def extract_delivery(self) -> DataFrame:
-        return extracts.extract_delivery(self.fct_orders, self.dim_customer, self.dim_date)
+        return extracts.delivery_from_days(self.agg_delivery_days)
 
     def extract_buckets(self) -> DataFrame:
         return extracts.extract_buckets(self.fct_orders, self.params.buckets, self.params.open_bucket)
 
+    def _extended(self, marts: dict[str, DataFrame], written: dict[str, versions.Version]) -> "Model":
+        return Model(self.spark, self.raw, self.params, dict(marts), self.supplied, dict(written), self.loaded_rows, self.lake)
+
     def materialize(self, path: str, date_partitioned: bool = False) -> "Model":
-        """Write dimensions and facts under ``path`` (shared storage), in
-        dependency order, and return a model whose marts read those files.
-        With ``date_partitioned`` the facts get one folder per ``date_key``,
-        so date-filtered reads skip whole folders."""
+        """Write dimensions, facts and the day-value aggregate under ``path``
+        (shared storage) in dependency order, each as the next version of its
+        table, and return a model whose marts read those files. With
+        ``date_partitioned`` the facts get one folder per ``date_key``, so
+        date-filtered reads skip whole folders."""
         root = path.rstrip("/")
         sort = {"fct_order_items": ["order_id", "order_item_id"], "fct_orders": ["order_id"]}
         out: dict[str, DataFrame] = {}
+        written: dict[str, versions.Version] = {}
+
+        def save(name: str, df: DataFrame) -> DataFrame:
+            by = "date_key" if date_partitioned and name in sort else None
+            return versions.replace(df, f"{root}/{name}", observed_totals(name), sort.get(name), by)
+
         # phase 1: dimensions and the item fact (independent, written side by
         # side); phase 2: the order fact, built from the written item fact so
-        # the item join does not run twice
-        for phase in (MART_TABLES[:-1], MART_TABLES[-1:]):
-            built = Model(self.spark, self.raw, self.params, dict(out), self.supplied)
+        # the item join does not run twice; phase 3: the aggregate of the order fact
+        for phase in (MART_TABLES[:-1], MART_TABLES[-1:], AGGREGATES):
+            built = self._extended(out, written)
             frames = {name: getattr(built, name) for name in phase}
             with ThreadPoolExecutor(max_workers=min(4, len(frames))) as pool:
-                futures = {name: (pool.submit(save_partitioned, df, f"{root}/{name}", "date_key", sort[name])
-                                  if date_partitioned and name in sort
-                                  else pool.submit(save_table, df, f"{root}/{name}", sort.get(name)))
-                           for name, df in frames.items()}
+                futures = {name: pool.submit(save, name, df) for name, df in frames.items()}
                 out.update({name: f.result() for name, f in futures.items()})
-        return Model(self.spark, self.raw, self.params, out, self.supplied)
+            written.update({name: versions.current(self.spark, f"{root}/{name}") for name in phase})
+        return self._extended(out, written)
 
     def materialize_bucketed(self, schema: str, buckets: int, location: str | None = None) -> "Model":
         """Write the marts as catalog tables in ``schema``; the two facts and
@@ -148,30 +203,47 @@ class Model:
         loc = f" LOCATION '{location}'" if location else ""
         self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{loc}")
         out: dict[str, DataFrame] = {}
+        written: dict[str, versions.Version] = {}
         bucketed = {"dim_customer": ["customer_id"], "fct_order_items": ["customer_id", "order_id"],
                     "fct_orders": ["customer_id", "order_id"]}
         for phase in (MART_TABLES[:-1], MART_TABLES[-1:]):
-            built = Model(self.spark, self.raw, self.params, dict(out), self.supplied)
+            built = self._extended(out, written)
             for name in phase:
-                df, table = getattr(built, name), f"{schema}.{name}"
+                table = f"{schema}.{name}"
+                df, seen = versions.observed(getattr(built, name), observed_totals(name))
                 if name in bucketed:
                     out[name] = save_bucketed(df, table, "customer_id", buckets, bucketed[name])
                 else:
                     df.write.mode("overwrite").format("parquet").saveAsTable(table)
                     out[name] = self.spark.table(table)
-        return Model(self.spark, self.raw, self.params, out, self.supplied)
+                written[name] = versions.Version(0, table, out[name].schema.json(), {k: versions._plain(v) for k, v in seen.get.items()})
+        return self._extended(out, written)
+
+    def write_extracts(self, path: str) -> dict[str, dict]:
+        """Export the three dashboard extracts as CSV below ``path``, where
+        the dashboards read them. Returns the totals of each, observed while
+        it was written."""
+        frames = {"revenue_by_category_state_month": self.extract_revenue(), "delivery_by_state_month": self.extract_delivery(),
+                  "delivery_buckets": self.extract_buckets()}
+        totals = {}
+        for name, df in frames.items():
+            rows, seen = versions.observed(df, observed_totals(name))
+            write_extract_csv(rows, f"{path.rstrip('/')}/{name}")
+            totals[name] = {k: versions._plain(v) for k, v in seen.get.items()}
+        self.extract_totals = totals
+        return totals
 
     def with_raw_written(self, path: str) -> "Model":
-        """Write every raw table once as Parquet under ``path/raw`` (the raw
-        layer, full replace) and return a model over those files."""
+        """Write every raw table once as Parquet, the next version of
+        ``path/raw/<table>``, and return a model over those files."""
         root = path.rstrip("/")
         frames = {name: self.raw[name] for name in list(self.raw.keys())}  # plans built first
         # independent writes, submitted together: Spark runs the jobs side by
         # side when one alone does not fill the executors
         with ThreadPoolExecutor(max_workers=min(4, len(frames))) as pool:
-            futures = {name: pool.submit(save_table, df, f"{root}/raw/{name}") for name, df in frames.items()}
+            futures = {name: pool.submit(versions.replace, df, f"{root}/raw/{name}") for name, df in frames.items()}
             raw = {name: f.result() for name, f in futures.items()}
-        return Model(self.spark, raw, self.params, None, self.supplied)
+        return Model(self.spark, raw, self.params, None, self.supplied, loaded_rows=loaded_rows(self.spark, root, names=list(raw)), lake=root)
 
     def staging_views(self, prefix: str = "stg_") -> list[str]:
         """Register the staging layer as temporary views (lazy, like the

@@ -17,4 +17,4 @@ def test_bench_prints_one_json_line():
     d = json.loads(lines[0])
     assert d["unit"] == "sec" and d["value"] > 0 and d["sf"] == 0.001
     assert {"load_raw", "build_marts", "m17_extract_buckets"} <= set(d["queries"])
-    assert d["checks_passed"] == "11/11"
+    assert d["checks_passed"] == "14/14"

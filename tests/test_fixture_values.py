@@ -58,4 +58,4 @@ def test_trial_values(spark, sf):
 def test_validation_report_passes(spark, sf):
     m = registry.model(spark, sf)
     report = {r.check: r.passed for r in checks.validation_report(m, dt.date(1996, 1, 1)).collect()}
-    assert len(report) == 12 and all(report.values()), report
+    assert len(report) == 14 and all(report.values()), report
