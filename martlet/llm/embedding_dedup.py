@@ -9,7 +9,9 @@ and the length e of what is lost, any two vectors satisfy
 exact in float32 while 127^2 * dimension < 2^24 (float64 beyond). Pairs whose
 upper bound lies below the threshold are done; pairs whose lower bound lies
 above it link; the others are computed in double precision from the original
-components.
+components. Every vector is first scaled by the power of two that brings its
+largest component between 1/2 and 1: exact, without effect on a cosine, and no
+length overflows or vanishes whatever the size of the components.
 
 A tile returns, for each vector with links, their number and one edge to
 the root of its group in the tile, not the pairs, so a group of n near
@@ -57,6 +59,12 @@ def forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Row vectors, none of them zero, by powers of two with the largest component between 1/2 and 1."""
+    _, exponent = np.frexp(np.abs(x).max(axis=1, initial=0.0))
+    return np.ldexp(x, -exponent[:, None])
+
+
 def quantise(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(q, s, length of s * q, length of the error) of unit row vectors; lengths rounded up."""
     s = np.abs(unit).max(axis=1) / 127.0
@@ -77,6 +85,7 @@ def links(x: np.ndarray, y: np.ndarray | None, threshold: float) -> tuple[np.nda
     out_a, out_b = [], []
     # over all columns: error <= ax * ey + ex <= ax * max(ey) + ex, so one comparison a row finds the few that matter
     worst = ey.max(initial=0)
+    assert np.isfinite(worst) and np.isfinite(ex).all() and np.isfinite(sx).all() and np.isfinite(sy).all()
     for i in range(0, len(x), _ROWS):
         rows = slice(i, min(i + _ROWS, len(x)))
         product = qx[rows].astype(exact) @ right
@@ -104,7 +113,7 @@ def links(x: np.ndarray, y: np.ndarray | None, threshold: float) -> tuple[np.nda
 
 def _matrix(table: pa.Table) -> np.ndarray:
     column = table.column("v").combine_chunks()
-    return np.asarray(column.flatten().cast(pa.float64())).reshape(table.num_rows, -1)
+    return scaled(np.asarray(column.flatten().cast(pa.float64())).reshape(table.num_rows, -1))
 
 
 def _tile(threshold: float):
@@ -135,7 +144,7 @@ def embedding_dedup(vectors: DataFrame, threshold: float = THRESHOLD, tile: int
     """``vectors (vec_id, embedding)`` -> vec_id, n_links, component_id, kept."""
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("v"))
     ids = v.where("vec_id is not null").groupBy("vec_id").agg(F.min("v").alias("v"))
-    finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < 1e150))
+    finite = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))))
     good = F.coalesce(finite, F.lit(False)) & F.exists("v", lambda x: x != 0)
     ids = cut(ids.select("vec_id", F.when(good, F.transform("v", lambda x: x + 0.0)).alias("v")))
     classes = ids.where("v is not null").groupBy("v").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies"))

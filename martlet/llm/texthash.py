@@ -1,25 +1,23 @@
-"""64-bit hashes of all words of many texts at once (numpy, inside tasks).
+"""Words of many texts as 64-bit hashes, and exact caches of parts of texts (inside tasks).
 
-A word's hash is a polynomial of its bytes modulo 2**64, read off prefix
-sums of the whole buffer and mixed. The work arrays are about 40 times the
-buffer, so ``batches`` hands out buffers of half a MB, cut at separators
-also within one very long text.
+A word's hash is 64 bits of BLAKE2b over its bytes, so no construction makes
+two words collide; a dictionary in the worker keeps the hashes of the words
+seen last. Long texts are cut at separators, so the words of only CHUNK bytes
+are held as objects at a time.
+
+``Known`` is keyed by the spelling itself: a part is found only by its own bytes.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 
-CHUNK = 1 << 19
-_M = (1 << 64) - 1
-
-
-def splitmix(n: int, seed: int) -> np.ndarray:
-    """The first n outputs of splitmix64 from this seed."""
-    x = (np.arange(1, n + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) + np.uint64(seed)
-    return mix(x)
+CHUNK = 1 << 20
+WORDS = 300_000
+LONG_WORD = 256  # longer ones are hashed each time, so the dictionary's size is bounded in bytes too
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -28,68 +26,114 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
+_lower = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
+_letters = bytes((b + 32 if 65 <= b <= 90 else b) if chr(b).isalnum() or b >= 128 else 32 for b in range(256))
+
+#: Name of a word rule: what becomes of each byte before the text is split at white space.
+RULES = {"spaces, A-Z lowered": _lower, "letters and digits, A-Z lowered": _letters}
+
+_SPACES = b" \t\n\v\f\r"
+
+
+class _Hashes(dict):
+    """Word -> hash."""
+
+    def __missing__(self, word: bytes) -> int:
+        h = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
+        if len(word) <= LONG_WORD:
+            if len(self) >= WORDS:
+                self.clear()
+            self[word] = h
+        return h
+
+
+_hashes = _Hashes()
 
-_space = np.zeros(256, dtype=bool)
-_space[[9, 10, 11, 12, 13, 32]] = True
-_other = np.array([not (chr(b).isalnum() or b >= 128) for b in range(256)])
-_lower = np.arange(256, dtype=np.uint8)
-_lower[65:91] += 32
-_values = BYTES = splitmix(256, 7)
 
-#: Name of a word rule: (bytes between words, value of each byte).
-RULES = {
-    "spaces": (_space, _values),
-    "spaces, A-Z lowered": (_space, _values[_lower]),
-    "letters and digits, A-Z lowered": (_other, _values[_lower]),
-}
-_powers: dict[str, np.ndarray] = {}
+def _hash(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
-def _power(kind: str, base: int, n: int) -> np.ndarray:
-    have = _powers.get(kind)
-    if have is None or len(have) < n:
-        x = np.full(max(n, CHUNK + 1), base, dtype=np.uint64)
-        x[0] = 1
-        have = _powers[kind] = np.multiply.accumulate(x)
-    return have[:n]
+def _pieces(text: bytes) -> Iterator[bytes]:
+    """A prepared text in pieces of about CHUNK bytes, cut at white space."""
+    at = 0
+    while at < len(text):
+        end = at + CHUNK
+        while end < len(text) and text[end] not in _SPACES:
+            end += 1
+        yield text[at:end]
+        at = end
+
+
+def batches(texts: Iterable[bytes | None], rule: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(index of the first text, words per text, hashes) for runs of whole texts.
+
+    Null counts as empty. A text over CHUNK bytes comes alone.
+    """
+    table = RULES[rule]
+    words: list[bytes] = []
+    counts: list[int] = []
+    first = size = 0
+    for i, t in enumerate(texts):
+        t = (t or b"").translate(table)
+        if counts and size + len(t) > CHUNK:
+            yield first, np.array(counts), _hash(words)
+            words, counts, size, first = [], [], 0, i
+        if len(t) > CHUNK:
+            h = np.concatenate([_hash(p.split()) for p in _pieces(t)])
+            yield i, np.array([len(h)]), h
+            first = i + 1
+            continue
+        w = t.split()
+        words += w
+        counts.append(len(w))
+        size += len(t)
+    if counts:
+        yield first, np.array(counts), _hash(words)
 
 
-class Store:
-    """Sorted 64-bit keys with a run of small integers each, for caches of millions of entries."""
+class Known:
+    """Spellings with a run of small integers each, and ``extra`` numbers; starts anew at ``limit`` entries or ``limit_size`` characters."""
 
-    def __init__(self, kind: type, limit: int, extra: int = 0):
-        self.kind, self.limit, self.extra = kind, limit, extra
+    def __init__(self, kind: type, limit: int, limit_size: int, extra: int = 0):
+        self.kind, self.limit, self.limit_size, self.extra = kind, limit, limit_size, extra
         self.forget()
 
     def forget(self) -> None:
-        self.keys = np.zeros(0, dtype=np.uint64)
-        self.at, self.size = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int32)
-        self.more = np.zeros((0, self.extra))
+        self.row: dict = {}
+        self.held = 0
+        self.at, self.size = np.zeros(1024, dtype=np.int64), np.zeros(1024, dtype=np.int32)
+        self.more = np.zeros((1024, self.extra))
         self.flat, self.used = np.zeros(1 << 16, dtype=self.kind), 0
 
-    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place of each key, whether it is there)."""
-        if len(self.keys) + len(keys) > self.limit:
-            self.forget()
-        place = np.searchsorted(self.keys, keys)
-        there = np.zeros(len(keys), dtype=bool)
-        inside = place < len(self.keys)
-        there[inside] = self.keys[place[inside]] == keys[inside]
-        return place, there
-
-    def add(self, place: np.ndarray, keys: np.ndarray, runs: np.ndarray, sizes: np.ndarray, more: np.ndarray | None = None) -> None:
-        """New sorted keys at the places that ``find`` gave, with their runs end to end."""
+    def rows(self, parts: list, make: Callable[[list], tuple[np.ndarray, np.ndarray, np.ndarray | None]]) -> np.ndarray:
+        """The row of each part; ``make`` gives new parts' runs end to end, their sizes and extra numbers."""
+        found = list(map(self.row.get, parts))
+        if None in found:
+            new = list(dict.fromkeys(p for p, r in zip(parts, found, strict=True) if r is None))
+            longer = sum(map(len, new))
+            if len(self.row) + len(new) > self.limit or self.held + longer > self.limit_size:
+                self.forget()
+                new = list(dict.fromkeys(parts))
+                longer = sum(map(len, new))
+            self._add(new, *make(new))
+            self.held += longer
+            found = list(map(self.row.__getitem__, parts))
+        return np.array(found, dtype=np.int64)
+
+    def _add(self, new: list, runs: np.ndarray, sizes: np.ndarray, more: np.ndarray | None) -> None:
         while self.used + len(runs) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        a, b = len(self.row), len(self.row) + len(new)
+        while b > len(self.at):
+            self.at, self.size, self.more = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.size, self.more))
         self.flat[self.used:self.used + len(runs)] = runs
-        self.keys = np.insert(self.keys, place, keys)
-        self.at = np.insert(self.at, place, self.used + np.cumsum(sizes) - sizes)
-        self.size = np.insert(self.size, place, sizes)
+        self.at[a:b] = self.used + np.cumsum(sizes) - sizes
+        self.size[a:b] = sizes
         if self.extra:
-            self.more = np.insert(self.more, place, more, axis=0)
+            self.more[a:b] = more
         self.used += len(runs)
+        self.row.update(zip(new, range(a, b), strict=True))
 
     def runs(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(the runs of these rows end to end, where each ends)."""
@@ -98,60 +142,3 @@ class Store:
         if not len(rows):
             return self.flat[:0], upto
         return self.flat[np.repeat(self.at[rows] - upto + size, size) + np.arange(upto[-1])], upto
-
-
-def hash_spans(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """Hash of values[start:end] (64-bit, one for each character) for each span."""
-    sums = np.zeros(len(values) + 1, dtype=np.uint64)
-    np.cumsum(values * _power("up", _BASE, len(values)), out=sums[1:])
-    shift = _power("down", _INVERSE, len(values) + 1)[start]
-    return mix((sums[end] - sums[start]) * shift + (end - start).astype(np.uint64))
-
-
-def hash_words(data: bytes, rule: str) -> tuple[np.ndarray, np.ndarray]:
-    """(byte position of each word, its hash) in a buffer."""
-    gap, value = RULES[rule]
-    raw = np.frombuffer(data, dtype=np.uint8)
-    inside = np.zeros(len(raw) + 2, dtype=np.int8)
-    inside[1:-1] = ~gap[raw]
-    step = np.diff(inside)
-    start, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    return start, hash_spans(value[raw], start, end)
-
-
-def batches(texts: Iterable[bytes | None], rule: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(index of the first text, words per text, hashes) for runs of whole texts.
-
-    Null counts as empty. A text over CHUNK bytes comes alone, hashed in
-    pieces cut at separators.
-    """
-    gap = RULES[rule][0]
-    held: list[bytes] = []
-    first = size = 0
-
-    def flush():
-        ends = np.cumsum([len(t) + 1 for t in held])
-        start, h = hash_words(b"\n".join(held), rule)
-        return first, np.diff(np.searchsorted(start, ends), prepend=0), h
-
-    for i, t in enumerate(texts):
-        t = t or b""
-        if held and size + len(t) > CHUNK:
-            yield flush()
-            held, size, first = [], 0, i
-        if len(t) > CHUNK:
-            parts, at = [], 0
-            while at < len(t):
-                end = min(at + CHUNK, len(t))
-                while end < len(t) and not gap[t[end]]:
-                    end += 1
-                parts.append(hash_words(t[at:end], rule)[1])
-                at = end
-            h = np.concatenate(parts)
-            yield i, np.array([len(h)]), h
-            first = i + 1
-            continue
-        held.append(t)
-        size += len(t) + 1
-    if held:
-        yield flush()

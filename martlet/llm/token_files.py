@@ -21,12 +21,14 @@ ids through the expansion lengths without the rest of the shard.
 
 Encoding splits plain texts (ASCII, the letters of Latin-1) as the
 vocabulary's public pattern does; the library's ids of each part are kept in
-the worker by the part's 64-bit hash, for at most CACHE_ENTRIES parts. Texts
+the worker by the part's own bytes, for at most CACHE_ENTRIES parts. Texts
 with other characters, an apostrophe, what might be a special string, or more
 than BATCH_BYTES bytes go to the library whole.
 
 Null and empty texts: only the end id. Null ids come first; rows with the
-same id are ordered by text. Other columns are ignored. No rows: no shard.
+same id are ordered by a digest of the text, and are dealt to as many
+partitions as they need. Other columns are ignored. No rows: no shard. A
+vocabulary of more than 65,536 ids does not fit the symbols and is refused.
 """
 
 from __future__ import annotations
@@ -45,13 +47,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martlet.llm.common import shared_folder
-from martlet.llm.texthash import BYTES, Store, hash_spans
+from martlet.llm.texthash import Known
 
 END = 0
 SHARD_IDS = 1 << 20
 PAIRS_A_ROUND = 4096
 MIN_COUNT = 4
-CACHE_ENTRIES = 3_000_000
+CACHE_ENTRIES = 500_000
+CACHE_BYTES = 32 << 20
 BATCH_BYTES = 1 << 19
 MAGIC = b"RPR1"
 
@@ -97,7 +100,7 @@ def _parts(raw: np.ndarray, first: np.ndarray) -> np.ndarray:
 
 
 class _Encoder:
-    """The library's ids of texts; those of each part are kept by its 64-bit hash."""
+    """The library's ids of texts; those of each part are kept by its bytes."""
 
     def __init__(self, path: str | None):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark's tasks are the parallelism
@@ -105,7 +108,9 @@ class _Encoder:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path or public_tokenizers.path("byte_bpe_50k.json"))
-        self.known = Store(np.uint16, CACHE_ENTRIES)
+        if self.model.get_vocab_size() > 1 << 16:
+            raise ValueError("token files hold ids of 16 bits")
+        self.known = Known(np.uint16, CACHE_ENTRIES, CACHE_BYTES)
 
     def library(self, text: bytes) -> np.ndarray:
         return np.array(self.model.encode(text.decode(errors="replace"), add_special_tokens=False).ids, dtype=np.uint16)
@@ -116,18 +121,15 @@ class _Encoder:
         raw, ends = np.frombuffer(data, dtype=np.uint8), np.cumsum([len(t) for t in texts])
         start = _parts(raw, np.concatenate(([0], ends[:-1])))
         end = np.append(start[1:], len(raw))
-        keys, one, back = np.unique(hash_spans(BYTES[raw], start, end), return_index=True, return_inverse=True)
-        place, there = self.known.find(keys)
-        if not there.all():
-            new = one[~there]
-            parts = [data[a:b].decode() for a, b in zip(start[new].tolist(), end[new].tolist(), strict=True)]
-            ids = [x.ids for x in self.model.encode_batch_fast(parts, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-            self.known.add(place[~there], keys[~there], np.fromiter(chain.from_iterable(ids), dtype=np.uint16, count=sizes.sum()), sizes)
-            place = np.searchsorted(self.known.keys, keys)
-        ids, upto = self.known.runs(place[back])
+        rows = self.known.rows([data[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)], self._of_parts)
+        ids, upto = self.known.runs(rows)
         return np.split(ids, upto[np.searchsorted(end, ends[:-1])])
 
+    def _of_parts(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, None]:
+        ids = [x.ids for x in self.model.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)]
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        return np.fromiter(chain.from_iterable(ids), dtype=np.uint16, count=sizes.sum()), sizes, None
+
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         out: list = [np.zeros(0, dtype=np.uint16)] * len(texts)
         held: list[int] = []
@@ -309,8 +311,11 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, shard_ids: i
         if names:
             yield record()
 
-    (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text")).repartitionByRange("doc_id")
-     .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
+    # the digest and the row's place part the rows of one id, or of one id and text, among tasks
+    by = [F.col("doc_id").asc_nulls_first(), "digest", "place"]
+    (docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
+     .withColumns({"digest": F.md5("text"), "place": F.monotonically_increasing_id()})
+     .repartitionByRange(*by).sortWithinPartitions(*by).select("doc_id", "text")
      .mapInArrow(shards, "part int, shard int, n_ids long, data binary").write.parquet(path))
 
 
@@ -329,8 +334,13 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                     "ids_crc32": pa.array([zlib.crc32(ids[x:y].tobytes()) for x, y in zip(s.starts, ends, strict=True)], pa.int64())})
 
     table = spark.read.parquet(path)
-    order = Window.orderBy("part", "shard").rowsBetween(Window.unboundedPreceding, -1)
-    bases = table.select("part", "shard", "n_ids").withColumn("base", F.coalesce(F.sum("n_ids").over(order), F.lit(0)))
+    # ids before each partition, then before each of its shards: one row a partition is in the window without a key
+    sizes = table.groupBy("part").agg(F.sum("n_ids").alias("in_part"))
+    ahead = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    within = Window.partitionBy("part").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("part", F.coalesce(F.sum("in_part").over(ahead), F.lit(0)).alias("before"))
+    bases = (table.select("part", "shard", "n_ids").join(before, "part")
+             .withColumn("base", F.col("before") + F.coalesce(F.sum("n_ids").over(within), F.lit(0))))
     return (table.select("part", "shard", "data").join(bases.select("part", "shard", "base"), ["part", "shard"])
             .select("base", "data").mapInArrow(decode, "doc_id long, start long, n_tokens long, ids_crc32 long"))
 

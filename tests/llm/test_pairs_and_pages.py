@@ -170,6 +170,9 @@ def test_pipeline_is_its_operators_in_order(spark, documents, in_duckdb, tmp_pat
     names = ["doc_id", "text", "lang", "source", "n_chars"]
     d = documents.select(names).unionByName(near_copies(spark).selectExpr(
         "doc_id + 1000 as doc_id", "text", "'en' as lang", "concat('s', doc_id % 3) as source", "1L as n_chars"))
+    own = [(2000 + i, " ".join(f"{letters(97 * i + k)}x{letters(k)}" for k in range(60 + i))) for i in range(40)]  # nothing in common
+    d = d.unionByName(spark.createDataFrame(own, "doc_id long, text string").selectExpr(
+        "doc_id", "text", "'en' as lang", "concat('s', doc_id % 3) as source", "1L as n_chars"))
     d.write.parquet(f"{tmp_path}/documents.parquet")
     got = sorted((r.doc_id or -1, r.n_pieces, r.ids_crc32) for r in corpus_pipeline.run(spark, str(tmp_path)).collect())
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality_rules", "line_dedup", "ngram_join", "mixing", "sentencepiece"]
@@ -181,7 +184,7 @@ def test_pipeline_is_its_operators_in_order(spark, documents, in_duckdb, tmp_pat
     rows = [(r.doc_id, r.text, r.source) for r in d.collect() if r.doc_id in kept]
     source = {r[0]: r[2] for r in rows}
     rows = [(r["doc_id"], r["text"], source[r["doc_id"]]) for r in in_duckdb(frame(rows), line_dedup.oracle())]
-    stay = {r["doc_id"] for r in in_duckdb(frame(rows), ngram_join.oracle()) if r["doc_id"] == r["component_id"]}
+    stay = {r["doc_id"] for r in in_duckdb(frame(rows), ngram_join.oracle(width=5, percent=80)) if r["doc_id"] == r["component_id"]}
     rows = [r for r in rows if r[0] in stay]
     text = {r[0]: r[1] for r in rows}
     want = []
@@ -189,3 +192,37 @@ def test_pipeline_is_its_operators_in_order(spark, documents, in_duckdb, tmp_pat
         one = pieces.lattice().best([text[r["doc_id"]]])[0][0]
         want += [(r["doc_id"], len(one), zlib.crc32(one.astype("<u4").tobytes()))] * (r["taken"] // max(1, r["size"]))
     assert len(got) > 20 and [g for g in got if g[1]] == [w for w in sorted(want) if w[1]]
+
+
+def thue_morse(n=2048):
+    """Two texts whose polynomial hashes modulo 2**64 agree, without a common word."""
+    t = "".join("ab"[i.bit_count() % 2] for i in range(n))
+    return t, t.translate(str.maketrans("ab", "ba"))
+
+
+def test_texts_that_collide_by_construction_do_not_link(spark, in_duckdb, same_rows):
+    d = spark.createDataFrame(list(enumerate(thue_morse())), "doc_id long, text string")
+    got = ngram_join.ngram_join(d).select("doc_id", "n_shingles", "component_id")
+    assert sorted(map(tuple, got.collect())) == [(0, 1, 0), (1, 1, 1)]
+
+
+def test_rows_of_one_id_with_near_copies(spark, in_duckdb, same_rows):
+    near = near_copies(spark)
+    d = near.union(near.where("doc_id % 3 = 0")).union(near.where("doc_id % 7 = 0"))
+    a = {r.doc_id: r.component_id for r in ngram_join.ngram_join(near).collect()}
+    b = {(r.doc_id, r.component_id) for r in ngram_join.ngram_join(d, tile=7).collect()}
+    assert dict(b) == a and len(b) == len(a)
+
+
+def test_vectors_of_any_size(spark):
+    rows = [(1, [1.0, 2.0]), (2, [1.0, 2.01]), (3, [1e-200, 2e-200]), (4, [1e200, 2e200]), (5, [-1e308, 1e300]), (6, [5e-324, 0.0]), (7, [3.0, 0.0]), (8, [1e308, 1e308])]
+    out = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.embedding_dedup(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    # 8 and the first four: cosine 3 / sqrt(10) = 0.9487
+    assert out == {1: (3, 1), 2: (3, 1), 3: (3, 1), 4: (3, 1), 5: (0, 5), 6: (1, 6), 7: (1, 6), 8: (0, 8)}
+
+
+def test_pipeline_of_an_empty_table(spark, tmp_path):
+    import corpus_pipeline
+
+    spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []

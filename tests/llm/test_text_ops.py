@@ -171,3 +171,62 @@ def test_toxicity_held_out(spark):
 def test_toxicity_without_labels(spark, documents):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     assert {r.score for r in toxicity.toxicity(documents, none).collect()} == {0.5}
+
+
+def test_parts_that_collide_by_construction():
+    """Thue-Morse words over two letters and their complements: equal under any polynomial hash modulo 2**64."""
+    t = "".join("ab"[i.bit_count() % 2] for i in range(2048))
+    pair = [t, t.translate(str.maketrans("ab", "ba"))]
+    e = token_files._Encoder(None)
+    for s, x in zip(pair, e.encode([s.encode() for s in pair]), strict=True):
+        assert x.tolist() == e.model.encode(s, add_special_tokens=False).ids
+    g = pieces.lattice()
+    for s, (ids, _) in zip(pair, g.best(pair), strict=True):
+        assert g.decode(ids.tolist()) == s
+    (_, _, h), = texthash.batches([s.encode() for s in pair], "spaces, A-Z lowered")
+    assert h[0] != h[1]
+
+
+def test_known_parts_start_anew():
+    made = []
+
+    def make(parts):
+        made.append(list(parts))
+        return np.array([len(p) for p in parts for _ in p], dtype=np.int32), np.array([len(p) for p in parts]), None
+
+    k = texthash.Known(np.int32, 3, 100)
+    for parts in (["a", "bb", "a"], ["bb", "ccc"], ["dd", "a", "dd"], ["x" * 200], ["a"]):
+        runs, upto = k.runs(k.rows(parts, make))
+        assert [r.tolist() for r in np.split(runs, upto[:-1])] == [[len(p)] * len(p) for p in parts]
+        assert len(k.row) <= 3
+    assert made == [["a", "bb"], ["ccc"], ["dd", "a"], ["x" * 200], ["a"]]
+
+
+def test_search_of_a_long_part_keeps_its_order():
+    g = pieces.lattice()
+    rnd = random.Random(8)
+    word = "".join(rnd.choice("abcdefghijklmnop") for _ in range(60_000))
+    (ids, scores), = g.best([word])
+    assert g.decode(ids.tolist()) == word and scores == sorted(scores, reverse=True) and len(scores) == g.n
+
+
+def test_toxicity_learns_one_text_of_each_id(spark):
+    rows = [(1, f"copy {i}", "x") for i in range(500)] + [(2, "fine words", "x"), (3, "vile", "x")]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(1, 0), (2, 0), (3, 1)], "doc_id long, toxic int")
+    one = toxicity.toxicity(d, labels).collect()
+    few = toxicity.toxicity(spark.createDataFrame([(1, "copy 0", "x"), *rows[-2:]], d.schema), labels).collect()
+    assert {r.doc_id: r.score for r in one if r.doc_id > 1} == {r.doc_id: r.score for r in few if r.doc_id > 1} and len(one) == 502
+
+
+def test_token_files_spread_rows_of_one_id(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    d = spark.range(4000, numPartitions=8).selectExpr("cast(null as long) doc_id", "concat('text ', id % 7) text")
+    try:
+        token_files.write(d, f"{tmp_path}/s", shard_ids=50)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    parts = spark.read.parquet(f"{tmp_path}/s").groupBy("part").sum("n_ids").collect()
+    assert len(parts) > 4 and max(r[1] for r in parts) < 4 * sum(r[1] for r in parts) / len(parts)
+    got = sorted(token_files.read(spark, f"{tmp_path}/s").collect(), key=lambda r: r.start)
+    assert len(got) == 4000 and all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:], strict=False))
