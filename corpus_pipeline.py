@@ -26,8 +26,9 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def ngram_join_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked documents stays: the smallest doc_id."""
-    return ngram_join.one_of_each(docs)
+    """One document of each group of linked documents stays: the smallest
+    doc_id. Linked: 80 percent or more of their five-word shingles in common."""
+    return ngram_join.one_of_each(docs, width=5, percent=80)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
