@@ -181,13 +181,43 @@ FROM fct_orders f JOIN (VALUES (-2147483648, 3, '0-3'), (4, 7, '4-7'), (8, 14, '
 }
 
 
-def _resolve(needs) -> list[str]:
+#: The flawed variant of the sources (``fixtures.FlawedSources``): these CTEs over the ones above.
+_FLAWS = {
+    "stg_orders": """
+SELECT * REPLACE (delivered_at + to_minutes(order_id * 37 % 1440) AS delivered_at,
+                  customer_id + if(order_id % 53 = 0, 10000000, 0) AS customer_id) FROM sound_stg_orders""",
+    "stg_order_items": """
+SELECT * REPLACE (product_id + if(product_id % 41 = 0, 10000000, 0) AS product_id,
+                  if(order_id % 67 = 0, NULL, seller_id) AS seller_id) FROM sound_stg_order_items""",
+    "stg_order_payments": """
+SELECT * REPLACE (CASE WHEN order_id % 71 = 0 THEN 'not_defined' WHEN order_id % 73 <> 0 THEN payment_type END AS payment_type)
+FROM sound_stg_order_payments""",
+    "stg_customers": """
+SELECT * REPLACE ([lower(city), '  ' || city, city || ' ', city][1 + customer_id % 4] AS city) FROM sound_stg_customers""",
+    "stg_sellers": """
+SELECT * REPLACE (if(CAST(zip_code_prefix AS INTEGER) % 3 = 0, NULL, state) AS state) FROM sound_stg_sellers""",
+}
+FLAWED = CTES | {f"sound_{n}": CTES[n] for n in _FLAWS} | {n: (text, (f"sound_{n}",)) for n, text in _FLAWS.items()}
+
+
+class Query(str):
+    """A query's text; ``flawed``: the same over the flawed sources."""
+
+    flawed: str
+
+    def __new__(cls, text: str, flawed: str):
+        q = super().__new__(cls, text)
+        q.flawed = flawed
+        return q
+
+
+def _resolve(needs, ctes) -> list[str]:
     order: list[str] = []
 
     def visit(n):
         if n in order:
             return
-        for d in CTES[n][1]:
+        for d in ctes[n][1]:
             visit(d)
         order.append(n)
     for n in needs:
@@ -195,12 +225,15 @@ def _resolve(needs) -> list[str]:
     return order
 
 
-def sql(body: str, needs) -> str:
-    names = _resolve(needs)
+def _with(body: str, needs, ctes) -> str:
+    names = _resolve(needs, ctes)
     if not names:
         return body.strip()
-    ctes = ",\n".join(f"{n} AS ({CTES[n][0].strip()})" for n in names)
-    return f"WITH {ctes}\n{body.strip()}"
+    return f"WITH {',\n'.join(f'{n} AS ({ctes[n][0].strip()})' for n in names)}\n{body.strip()}"
+
+
+def sql(body: str, needs) -> Query:
+    return Query(_with(body, needs, CTES), _with(body, needs, FLAWED))
 
 
 def present(query: str, money=(), dates=(), ts=(), dbl=()) -> str:
@@ -211,4 +244,6 @@ def present(query: str, money=(), dates=(), ts=(), dbl=()) -> str:
             + [f"round(CAST({c} AS DOUBLE), 6) AS {c}" for c in dbl])
     if not repl:
         return query
+    if isinstance(query, Query):
+        return Query(present(str(query), money, dates, ts, dbl), present(query.flawed, money, dates, ts, dbl))
     return f"SELECT * REPLACE ({', '.join(repl)}) FROM (\n{query}\n) q"

@@ -207,6 +207,49 @@ class FixtureSources:
                                  "category_name_translation"))
 
 
+# Fixed values of the flawed variant (also used by the SQL oracle): the flaws
+# that the checks and profiles look for, planted by rules on the keys.
+ORPHAN_SHIFT = 10_000_000
+ORPHAN_PRODUCT_MOD, ORPHAN_CUSTOMER_MOD, NO_SELLER_MOD = 41, 53, 67
+PLACEHOLDER_PAYMENT_MOD, UNKNOWN_PAYMENT_MOD = 71, 73
+SELLERLESS_NATION_MOD = 3
+
+
+class FlawedSources(FixtureSources):
+    """The same sources with planted flaws: deliveries at any time of the
+    day, spellings of a city that differ in case and blanks, states without
+    a seller, keys without a parent row, placeholder and unknown payment
+    types."""
+
+    def orders(self) -> DataFrame:
+        oid, cid = F.col("order_id"), F.col("customer_id")
+        minutes = (oid * 37 % 1440).cast("int")
+        return (super().orders()
+                .withColumn("order_delivered_customer_date", F.timestamp_add("MINUTE", minutes, F.col("order_delivered_customer_date")))
+                .withColumn("customer_id", F.when(oid % ORPHAN_CUSTOMER_MOD == 0, cid + ORPHAN_SHIFT).otherwise(cid)))
+
+    def order_items(self) -> DataFrame:
+        oid, pid = F.col("order_id"), F.col("product_id")
+        return (super().order_items()
+                .withColumn("product_id", F.when(pid % ORPHAN_PRODUCT_MOD == 0, pid + ORPHAN_SHIFT).otherwise(pid))
+                .withColumn("seller_id", F.when(oid % NO_SELLER_MOD != 0, F.col("seller_id"))))
+
+    def order_payments(self) -> DataFrame:
+        oid = F.col("order_id")
+        kind = (F.when(oid % PLACEHOLDER_PAYMENT_MOD == 0, "not_defined").when(oid % UNKNOWN_PAYMENT_MOD == 0, F.lit(None))
+                .otherwise(F.col("payment_type")))
+        return super().order_payments().withColumn("payment_type", kind)
+
+    def customers(self) -> DataFrame:
+        city, n = F.col("customer_city"), F.col("customer_id") % 4
+        spelt = F.when(n == 0, F.lower(city)).when(n == 1, F.concat(F.lit("  "), city)).when(n == 2, F.concat(city, F.lit(" "))).otherwise(city)
+        return super().customers().withColumn("customer_city", spelt)
+
+    def sellers(self) -> DataFrame:
+        has = F.col("seller_zip_code_prefix").cast("int") % SELLERLESS_NATION_MOD != 0
+        return super().sellers().withColumn("seller_state", F.when(has, F.col("seller_state")))
+
+
 class LazyTables(dict):
     """Mapping name -> DataFrame that builds each frame on first access."""
 
