@@ -15,7 +15,8 @@ few wrappers, not its pages.
 A page is read through its host's wrapper: its items are matched with the
 wrapper's, and the texts that fall into the wrapper's content slots are its
 main text. A slot is content if no element around it is page furniture (by
-element name, role, or words in class or id: FURNITURE below) and, where
+element name, role, or words in class or id: FURNITURE below; the header of
+an article itself holds its title and is none) and, where
 the page has them, if it lies in article or main. A repeated group all of
 whose text lies in links is a menu, outside article and main. Everywhere a
 block whose slots all hold the same whole text on every page of the host that
@@ -40,7 +41,9 @@ import hashlib
 import html
 import json
 import re
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -50,7 +53,7 @@ from pyspark.sql import functions as F
 SALTS = 16
 CONSTANT_PAGES = 20
 MAX_PERIOD = 3
-MAX_DEPTH = 120  # deeper elements become neighbours of their parents; no text is lost
+MAX_DEPTH = 120  # the depth of the tree; deeper elements are part of the item there (see parse)
 MAX_ALIGN = 1 << 22  # longer unlike stretches are parted in linear memory first
 #: Elements of HTML by their role here.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -69,44 +72,74 @@ FURNITURE = re.compile(
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|$)|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(>|$)", re.S)
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'>/=][^\s/>=]*)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
 
 # An item of a page or wrapper is [label, quantifier, children, extra]; label "#" is a text slot
 # (extra: the text, None once texts differ; in wrappers [digest, the pages that have it, None from CONSTANT_PAGES on]), "()" a group of items that repeats, else "tag" or "tag!" (furniture).
 
 
-def _furniture(tag: str, attributes: str) -> bool:
-    if tag in FURNITURE_TAGS:
+def _furniture(tag: str, attributes: str, in_main: bool = False) -> bool:
+    """Whether an element is page furniture by itself. A header within
+    article or main holds the article's own title, whatever it is called."""
+    own = tag == "header" and in_main
+    if tag in FURNITURE_TAGS and not own:
         return True
     for name, a, b, c in _ATTRIBUTE.findall(attributes):
         value = a or b or c
         name = name.lower()
+        if own and name in ("class", "id"):
+            value = re.sub("(?i)header|masthead", "", value)
         if name == "role" and value.lower() in ROLES or name in ("class", "id") and FURNITURE.search(value):
             return True
     return False
 
 
+@dataclass(slots=True)
+class _Open:
+    """An element that is not closed yet. item: where its content goes;
+    parted: it is a block whose content goes to an outer item, MAX_DEPTH up."""
+
+    item: list
+    tag: str
+    furniture: bool
+    main: bool
+    parted: bool = False
+
+
 def parse(page: str | None) -> list:
-    """The page's tree: ["html", "1", children, None]; text slots hold decoded text."""
+    """The page's tree: ["html", "1", children, None]; text slots hold decoded text.
+
+    Elements nest as deep as they like. Below MAX_DEPTH the content of an
+    element goes to the item at that depth, its blocks parted as by br; only
+    furniture in the text and an article in the page still get items of their
+    own, so what is furniture or main does not depend on the depth.
+    """
     root: list = ["html", "1", [], None]
-    stack = [(root, "html")]
+    stack = [_Open(root, "html", False, False)]
+    open_tags: Counter = Counter()  # of the elements that are open
     page = page or ""
     at, n = 0, len(page)
 
     def text(raw: str) -> None:
         if raw:
-            kids = stack[-1][0][2]
+            kids = stack[-1].item[2]
             if kids and kids[-1][0] == "#":
                 kids[-1][3] += html.unescape(raw)
             else:
                 kids.append(["#", "1", [], html.unescape(raw)])
 
     def close(names, scope: bool) -> None:
+        if not any(open_tags[t] for t in names):
+            return
         for k in range(len(stack) - 1, 0, -1):
-            if stack[k][1] in names:
+            if stack[k].tag in names:
+                for x in stack[k:]:
+                    open_tags[x.tag] -= 1
+                    if x.parted:
+                        x.item[2].append(["br", "1", [], None])
                 del stack[k:]
                 return
-            if scope and stack[k][1] in SCOPE:
+            if scope and stack[k].tag in SCOPE:
                 return
 
     while at < n:
@@ -131,15 +164,24 @@ def parse(page: str | None) -> list:
                 continue
             if tag in ENDS:
                 close(ENDS[tag], True)
-            if tag in MAIN and not any(_furniture_label(x[0][0]) and x[1] not in ("nav", "ul", "header") for x in stack):
+            if tag in MAIN and not any(_furniture_label(x.item[0]) and x.tag not in ("nav", "ul", "header") for x in stack):
                 close(("nav", "header"), False)
             if tag == "br" or tag == "hr":
-                stack[-1][0][2].append([tag, "1", [], None])
+                stack[-1].item[2].append([tag, "1", [], None])
             elif tag not in VOID and tag not in ("html", "body"):
-                item = [tag + "!" * _furniture(tag, attributes), "1", [], None]
-                stack[-1][0][2].append(item)
-                if not attributes.rstrip().endswith("/") and len(stack) < MAX_DEPTH:
-                    stack.append((item, tag))
+                up = stack[-1]
+                bad = _furniture(tag, attributes, up.main and not up.furniture)
+                empty = attributes.rstrip().endswith("/")
+                new = _Open(up.item, tag, up.furniture or bad, up.main or tag in MAIN)
+                if len(stack) < MAX_DEPTH or not up.furniture and bad or not up.main and tag in MAIN:
+                    new.item = [tag + "!" * bad, "1", [], None]
+                    up.item[2].append(new.item)
+                elif tag not in INLINE:
+                    new.parted = True
+                    up.item[2].append(["br", "1", [], None])
+                if not empty:
+                    stack.append(new)
+                    open_tags[tag] += 1
     return root
 
 

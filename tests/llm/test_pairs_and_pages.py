@@ -226,3 +226,65 @@ def test_pipeline_of_an_empty_table(spark, tmp_path):
 
     spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
+@pytest.mark.parametrize("depth", [3, 125, 4000])
+def test_pages_of_any_depth(depth):
+    down, up = "<div>" * depth, "</div>" * depth
+    assert html_wrappers.extract(f"<div><article>{down}deep{up}<p>more</p></article></div>", None, 0) == "deep more"
+    page = f"{down}<nav>menu</nav><article><p>a<b>b</b></p><div class='share'>no<article>never</article></div>c</article>{up}tail"
+    assert html_wrappers.extract(page, None, 0) == "ab c"
+    assert html_wrappers.extract(f"<article>{'<span>' * depth}x{'</i>' * depth}<p>y", None, 0) == "x y"
+
+
+def test_attributes_are_read_by_name():
+    for page, text in [('<p data-id="share">Kept text</p>', "Kept text"), ('<a href="/q?id=share-price">price</a>', "price"), ("<p id=share>gone</p>x", "x"),
+                       ('<p title="a > b" class=\'x share\'>gone</p>x', "x"), ("<p CLASS = Share >gone</p>x", "x"), ('<p alt=\'class="share"\'>stays</p>', "stays")]:
+        assert html_wrappers.extract(f"<article>{page}</article>", None, 0) == text
+
+
+def test_headers_of_the_page_and_of_the_article():
+    page = ('<header class="site-header"><p>Site</p></header><article><header class="entry-header"><h1>Title</h1><nav>n</nav></header>Body'
+            '<footer>f</footer><section class="comments"><article><header>Someone</header>said</article></section></article>')
+    assert html_wrappers.extract(page, None, 0) == "Title Body"
+
+
+def test_pages_against_an_independent_reader(spark):
+    """All pages of the smallest table: the standard library's parser, text of article but for what is named as furniture."""
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.inside, self.skip, self.blocks, self.void = 0, [], [""], {"br", "hr", "img", "input", "meta", "link"}
+
+        def handle_starttag(self, tag, attrs):
+            named = " ".join(v or "" for k, v in attrs if k in ("class", "id"))
+            bad = tag in ("nav", "aside", "footer", "form", "button", "script", "style") or any(w in named for w in ("comment", "share", "related", "ad-", "promo", "newsletter", "notice"))
+            if tag not in self.void and (self.skip or bad):
+                self.skip.append(tag)
+            if tag == "article" and not self.skip:
+                self.inside += 1
+            if tag not in ("b", "i", "em", "strong", "a", "span", "code"):
+                self.blocks.append("")
+
+        def handle_endtag(self, tag):
+            if self.skip and tag in self.skip:
+                while self.skip.pop() != tag:
+                    pass
+            elif tag == "article":
+                self.inside -= 1
+            if tag not in ("b", "i", "em", "strong", "a", "span", "code"):
+                self.blocks.append("")
+
+        def handle_data(self, data):
+            if self.inside > 0 and not self.skip:
+                self.blocks[-1] += data
+
+    pages = spark.read.parquet("/root/testdata/sf0.001/pages.parquet")
+    got = {r.page_id: r.text for r in html_wrappers.main_text(pages).collect()}
+    for r in pages.collect():
+        reader = Reader()
+        reader.feed(r.html or "")
+        reader.close()
+        assert got[r.page_id] == " ".join(t for t in (" ".join(b.split()) for b in reader.blocks) if t), r.page_id
