@@ -49,7 +49,7 @@ def folder_bytes(spark, path: str) -> int:
 
 
 def build(spark, landing: str, lake: str, extracts: str | None, params: ModelParams,
-          date_partitioned: bool = False, bucketed_schema: str | None = None, buckets: int = 0,
+          date_partitioned: bool = False, bucketed_schema: str | None = None, buckets: int | None = None,
           files: dict[str, str] | None = None, expected: dict[str, int] | None = None, publish_as: str | None = None):
     """Raw load to validation report. With ``params.lenient_casts`` malformed
     rows are set aside by the load (``load_report`` counts them), so staging
@@ -87,7 +87,7 @@ def main(argv=None) -> int:
                     help="write the facts with one folder per date_key (partition pruning)")
     ap.add_argument("--bucketed-schema", help="write the marts as catalog tables in this schema, facts and "
                     "dim_customer bucketed on customer_id (co-located joins)")
-    ap.add_argument("--buckets", type=int, default=64, help="bucket count for --bucketed-schema")
+    ap.add_argument("--buckets", type=int, help="bucket count for --bucketed-schema (default: from the measured input size)")
     ap.add_argument("--lenient", action="store_true",
                     help="set malformed rows aside and count them instead of failing the load")
     ap.add_argument("--max-rejects", type=int, metavar="N", help="with --lenient: fail when more rows than this are set aside")

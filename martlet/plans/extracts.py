@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.expr import bucketize, count_known, count_true
+from ..sources.tables import SLICE
 from .scope import REFERENCE_BUCKETS, REFERENCE_OPEN_BUCKET
 
 
@@ -20,6 +21,11 @@ def calendar(dim_date: DataFrame, rows: int | None = None) -> DataFrame:
     return F.broadcast(c) if rows is not None and rows <= CALENDAR_ROWS else c
 
 
+def _customer(fact: DataFrame, dim_customer: DataFrame) -> list[str]:
+    """What a fact joins its customers by: their id, and the slice where both sides have one."""
+    return ["customer_id", SLICE] if SLICE in fact.columns and SLICE in dim_customer.columns else ["customer_id"]
+
+
 def extract_revenue(items_fact: DataFrame, dim_product: DataFrame, dim_customer: DataFrame,
                     dim_date: DataFrame, calendar_rows: int | None = None) -> DataFrame:
     """Revenue by category x customer state x month.
@@ -33,8 +39,9 @@ def extract_revenue(items_fact: DataFrame, dim_product: DataFrame, dim_customer:
     measured and dropped: customer_id is per order, so (customer, category,
     month) hardly reduces the items and only adds a shuffle.
     """
+    key = _customer(items_fact, dim_customer)
     return (items_fact
-            .join(dim_customer.select("customer_id", "state"), "customer_id")
+            .join(dim_customer.select(*key, "state"), key)
             .join(dim_product.select("product_id", "category_name_en"), "product_id")
             .join(calendar(dim_date, calendar_rows), "date_key")
             .groupBy("category_name_en", "state", "year_month")
@@ -56,9 +63,10 @@ def delivery_days(orders_fact: DataFrame, dim_customer: DataFrame, dim_date: Dat
     reduction; its size is bounded by states x months x day values, so exact
     percentiles over any of them take one row per day value with its
     frequency and no query on them scans the fact."""
-    c = dim_customer.select("customer_id", "state", F.lit(True).alias("_c"))
+    key = _customer(orders_fact, dim_customer)
+    c = dim_customer.select(*key, "state", F.lit(True).alias("_c"))
     d = calendar(dim_date, calendar_rows).withColumn("_d", F.lit(True))
-    return (orders_fact.join(c, "customer_id", "left").join(d, "date_key", "left")
+    return (orders_fact.join(c, key, "left").join(d, "date_key", "left")
             .groupBy("state", "year_month", "delivery_days", F.col("_c").isNotNull().alias("known_customer"),
                      F.col("_d").isNotNull().alias("known_date"))
             .agg(F.count(F.lit(1)).alias("orders"),

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ..sources import versions
 from ..sources.csv import loaded_rows, stored_raw, write_extract_csv
 from ..sources.schemas import RAW_SCHEMAS
-from ..sources.tables import register_views, save_bucketed
+from ..sources.tables import SLICE, bucket_count, heavy_keys, in_every_slice, input_bytes, register_views, save_bucketed, sliced
 from . import dims, extracts, facts, staging
 from .scope import ModelParams
 
@@ -151,11 +151,11 @@ class Model:
     @property
     def agg_delivery_days(self) -> DataFrame:
         return self._mart("agg_delivery_days", lambda: extracts.delivery_days(
-            self.fct_orders, self.dim_customer, self.dim_date, self.calendar_rows))
+            self.fct_orders, self.joined_customer, self.dim_date, self.calendar_rows))
 
     # extracts
     def extract_revenue(self) -> DataFrame:
-        return extracts.extract_revenue(self.fct_order_items, self.dim_product, self.dim_customer,
+        return extracts.extract_revenue(self.fct_order_items, self.dim_product, self.joined_customer,
                                         self.dim_date, self.calendar_rows)
 
     def extract_delivery(self) -> DataFrame:
@@ -194,31 +194,52 @@ class Model:
             written.update({name: versions.current(self.spark, f"{root}/{name}") for name in phase})
         return self._extended(out, written)
 
-    def materialize_bucketed(self, schema: str, buckets: int, location: str | None = None) -> "Model":
+    def materialize_bucketed(self, schema: str, buckets: int | None = None, location: str | None = None) -> "Model":
         """Write the marts as catalog tables in ``schema``; the two facts and
-        dim_customer are bucketed on customer_id (``buckets`` buckets), so
-        fact-customer joins are co-located and shuffle neither side. The
-        other dimensions are plain tables (bounded, or left to the size
-        check). ``location`` places the schema on shared storage."""
+        dim_customer are bucketed on customer_id, so fact-customer joins are
+        co-located and shuffle neither side. The other dimensions are plain
+        tables (bounded, or left to the size check). ``location`` places the
+        schema on shared storage.
+
+        buckets: by default from the measured size of the raw items and
+        orders. Customers with more rows than half a bucket's share are
+        parted into slices by a hash of the order: facts and
+        ``dim_customer_sliced`` (a heavy customer's row once for each slice)
+        are then bucketed on (customer_id, slice), which keeps the joins
+        co-located and the buckets of about one size."""
         loc = f" LOCATION '{location}'" if location else ""
         self.spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema}{loc}")
+        if buckets is None:
+            buckets = bucket_count(sum(input_bytes(self.raw[t]) for t in ("order_items", "orders")))
         out: dict[str, DataFrame] = {}
         written: dict[str, versions.Version] = {}
-        bucketed = {"dim_customer": ["customer_id"], "fct_order_items": ["customer_id", "order_id"],
-                    "fct_orders": ["customer_id", "order_id"]}
+        sort = {"dim_customer": ["customer_id"], "fct_order_items": ["customer_id", "order_id"],
+                "fct_orders": ["customer_id", "order_id"]}
+        heavy = heavy_keys(self.orders, "customer_id", buckets)
+        key = ["customer_id", SLICE] if heavy else ["customer_id"]
         for phase in (MART_TABLES[:-1], MART_TABLES[-1:]):
             built = self._extended(out, written)
             for name in phase:
-                table = f"{schema}.{name}"
-                df, seen = versions.observed(getattr(built, name), observed_totals(name))
-                if name in bucketed:
-                    out[name] = save_bucketed(df, table, "customer_id", buckets, bucketed[name])
+                table, df = f"{schema}.{name}", getattr(built, name)
+                if heavy and name in ("fct_order_items", "fct_orders"):
+                    df = sliced(df, "customer_id", heavy, "order_id")
+                df, seen = versions.observed(df, observed_totals(name))
+                if name in sort and not (heavy and name == "dim_customer"):
+                    out[name] = save_bucketed(df, table, key, buckets, sort[name])
                 else:
                     df.write.mode("overwrite").format("parquet").saveAsTable(table)
                     out[name] = self.spark.table(table)
                 written[name] = versions.Version(0, table, out[name].schema.json(), {k: versions._plain(v) for k, v in seen.get.items()})
+        if heavy:
+            out["dim_customer_sliced"] = save_bucketed(in_every_slice(out["dim_customer"], "customer_id", heavy),
+                                                       f"{schema}.dim_customer_sliced", key, buckets, sort["dim_customer"])
         return self._extended(out, written)
 
+    @property
+    def joined_customer(self) -> DataFrame:
+        """The customer dimension that facts join to, by customer_id and, where the facts are sliced, their slice."""
+        return self._marts["dim_customer_sliced"] if "dim_customer_sliced" in self._marts else self.dim_customer
+
     def write_extracts(self, path: str) -> dict[str, dict]:
         """Export the three dashboard extracts as CSV below ``path``, where
         the dashboards read them. Returns the totals of each, observed while

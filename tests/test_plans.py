@@ -80,3 +80,30 @@ def test_date_partitioned_facts_prune(spark, scratch):
     assert "PartitionFilters: [isnotnull(date_key" in plan and "date_key" in plan
     assert f.count() == m.fct_orders.where(F.col("date_key") >= F.lit(day)).count()
     assert sorted(map(tuple, mp.extract_buckets().collect())) == sorted(map(tuple, m.extract_buckets().collect()))
+
+
+def test_heavy_customer_is_sliced_over_buckets(spark, scratch):
+    """One customer with a third of all orders: joins stay co-located, no bucket holds twice the median."""
+    from martlet import registry
+    from martlet.plans.model import Model
+    from martlet.sources.tables import bucket_count, heavy_keys
+    base = registry.model(spark, SF)
+    raw = {t: base.raw[t] for t in base.raw}
+    raw["orders"] = raw["orders"].withColumn("customer_id", F.when(F.col("order_id") % 3 == 0, F.lit(7)).otherwise(F.col("customer_id")))
+    raw = {t: df if t != "orders" else Model(spark, {"orders": df}, base.params).with_raw_written(scratch).raw["orders"] for t, df in raw.items()}
+    assert set(heavy_keys(raw["orders"], "customer_id", 8)) == {7}
+    flat, m = Model(spark, raw, base.params), Model(spark, raw, base.params).materialize_bucketed("marts_heavy", 8, scratch + "/catalog")
+    for fact in ("fct_orders", "fct_order_items"):
+        sizes = sorted(r["count"] for r in spark.table(f"marts_heavy.{fact}").groupBy(F.input_file_name()).count().collect())
+        assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[4]
+    assert m.dim_customer.count() == base.dim_customer.count() < m.joined_customer.count()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = plan_text(m.extract_delivery())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and plan.count("Exchange hashpartitioning") == 2 and "hashpartitioning(customer_id" not in plan
+    for name in ("extract_delivery", "extract_revenue"):
+        assert sorted(map(str, getattr(m, name)().collect())) == sorted(map(str, getattr(flat, name)().collect()))
+    assert bucket_count(0) == 1 and bucket_count(10 * (128 << 20) + 1) == 11
