@@ -5,18 +5,22 @@ cyclically; together they are to supply ``share`` percent of all words, and
 no source more than ``limit`` times its own (water filling: the target of a
 source is min(limit * size, level * weight)). A source whose target is r
 times its size takes floor(r) whole copies of each document for certain.
-The rest r - floor(r) is the inclusion probability p of one copy more:
-documents are ranked by the odds of a random number in (0, 1) divided by the
-odds of p (Pareto order sampling; p differs between sources, so one order
-holds for the whole mix), and in each source the first of that order are
-taken up to its missing words, the last one if that brings the total nearer.
+The rest r - floor(r) is the share p of one copy more, for which documents
+are sampled with unequal probabilities: a document's inclusion odds are those
+of p times its importance over the mean importance of its source. By default
+importance is the size (documents of many words are likelier, as in sampling
+with probability proportional to size); any positive column can take its
+place. Documents are ranked by the odds of a random number in (0, 1) divided
+by their inclusion odds (Pareto order sampling), and in each source the first
+of that order are taken up to its missing words, the last one if that brings
+the total nearer.
 
 The random numbers are digests of seed and doc_id, so reruns agree. A source
 that holds most rows is not sorted in one task: its missing words are located
-in sums by BINS slices of the order, and only the documents of the one slice
-where the target falls are ranked.
+in sums by BINS slices of the rank, and only the documents of the one slice
+where the target falls are put in order.
 
-Null text: size 0. Null source: a source of its own. Null doc_id: a random
+Null text: size 0. Importance below 1 or null counts as 1. Null source: a source of its own. Null doc_id: a random
 number like any other (all null ids share it). Rows alike in id, source and
 size are ordered arbitrarily among themselves, which does not change the
 multiset of results. Empty input gives an empty result. Sources are hosts:
@@ -82,39 +86,39 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: int = SHARE, limit: int
     return s.select("source", "source_size", "weight", target.alias("target"))
 
 
-def mix(docs: DataFrame, weights=WEIGHTS, share: int = SHARE, limit: int = LIMIT, seed: str = SEED) -> DataFrame:
-    """``docs (doc_id, text, source, ...)`` -> doc_id, source, size, source_size, target, copies, taken."""
-    rows = cut(with_odds(docs.select("doc_id", "text", "source"), seed).drop("text"))
+def mix(docs: DataFrame, weights=WEIGHTS, share: int = SHARE, limit: int = LIMIT, seed: str = SEED, importance: str | None = None) -> DataFrame:
+    """``docs (doc_id, text, source, ...)`` -> doc_id, source, size, source_size, target, copies, taken.
+
+    importance: a column of ``docs`` to use for a document's inclusion odds instead of its size.
+    """
+    own = F.col(importance) if importance else F.lit(None)
+    rows = with_odds(docs.select("doc_id", "text", "source", own.cast("double").alias("own")), seed).drop("text")
+    rows = cut(rows.withColumn("importance", F.greatest(F.lit(1.0), F.col("own") if importance else F.col("size").cast("double"))).drop("own"))
     sums = rows.groupBy("source").agg(F.sum("size").alias("source_size"))
+    mean = rows.groupBy(F.col("source").alias("m")).agg(F.avg("importance").alias("mean"))
     plan = targets(sums, weights, share, limit).withColumn(
         "ratio", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0))
     plan = plan.withColumns({"whole": F.floor("ratio").cast("long"), "p": F.col("ratio") - F.floor("ratio")})
     plan = plan.withColumn("missing", F.col("target") - F.col("whole") * F.col("source_size"))
-    plan = cut(plan.withColumnRenamed("source", "of"))
+    plan = cut(plan.withColumnRenamed("source", "of").join(mean, F.col("of").eqNullSafe(F.col("m"))).drop("m"))
 
-    def ranked(df: DataFrame) -> DataFrame:
-        odds = F.col("u") / (1 - F.col("u"))
-        return (df.join(plan, F.col("source").eqNullSafe(F.col("of"))).drop("of")
-                .withColumn("rank", odds / (F.col("p") / (1 - F.col("p")))))
-
-    # slices of the order: rank is monotone in u within a source, so equal slices of u are slices of rank
-    bins = (rows.withColumn("bin", F.floor(F.col("u") * BINS).cast("int")).groupBy("source", "bin")
-            .agg(F.sum("size").alias("words")))
+    odds, least = F.col("u") / (1 - F.col("u")), F.lit(1e-300)  # p may be 0: then nothing is missing
+    inclusion = F.greatest(F.col("p") / (1 - F.col("p")), least) * (F.col("importance") / F.col("mean"))
+    rows = (rows.join(plan, F.col("source").eqNullSafe(F.col("of"))).drop("of").withColumn("rank", odds / inclusion)
+            .withColumn("bin", F.floor(F.col("rank") / (1 + F.col("rank")) * BINS).cast("int")))
+    bins = rows.groupBy("source", "bin").agg(F.sum("size").alias("words"), F.first("missing").alias("missing"))
     upto = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
     bins = bins.withColumn("before", F.coalesce(F.sum("words").over(upto), F.lit(0)))
-    cutting = (bins.join(plan, F.col("source").eqNullSafe(F.col("of")))
-               .where("words > 0 and missing > 0 and before < missing and before + words >= missing")
-               .select("of", F.col("bin").alias("cut_bin"), F.col("before")))
-    plan = plan.join(cutting.withColumnRenamed("of", "c"), F.col("of").eqNullSafe(F.col("c")), "left").drop("c")
-    plan = cut(plan)
-
-    rows = rows.withColumn("bin", F.floor(F.col("u") * BINS).cast("int"))
-    inside = ranked(rows).where("bin = cut_bin")
+    cutting = cut(bins.where("words > 0 and missing > 0 and before < missing and before + words >= missing")
+                  .select(F.col("source").alias("c"), F.col("bin").alias("cut_bin"), "before"))
+
+    rows = rows.join(cutting, F.col("source").eqNullSafe(F.col("c")), "left").drop("c")
+    inside = rows.where("bin = cut_bin")
     run = Window.partitionBy("source", "bin").orderBy("rank", F.col("doc_id"), "size")
     inside = inside.withColumn("upto", F.col("before") + F.sum("size").over(
         run.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     inside = inside.withColumn("more", (2 * F.col("upto") - F.col("size") <= 2 * F.col("missing")))
-    outside = ranked(rows).where("cut_bin is null or bin <> cut_bin").withColumn(
+    outside = rows.where("cut_bin is null or bin <> cut_bin").withColumn(
         "more", F.coalesce(F.col("bin") < F.col("cut_bin"), F.lit(False)))
     keep = ["doc_id", "source", "size", "source_size", "target", "whole", "more"]
     out = inside.select(keep).unionByName(outside.select(keep))
@@ -164,10 +168,13 @@ t as (select source, source_size, case when fixed then {LIMIT}.0::double * sourc
         least({LIMIT}.0::double * source_size, ((cast({SHARE} * sum(source_size) over () - 100 * sum(case when fixed then {LIMIT} * source_size else 0 end) over () as double) / 100.0::double)
         / cast(sum(case when fixed then 0 else weight end) over () as double)) * weight) end as target
       from (select * from r qualify turn = max(turn) over ())),
-m as (select *, case when source_size > 0 then floor(target / source_size) else 0 end as whole from t),
-o as (select d.doc_id, d.size, m.source_size, m.target, m.whole, target - whole * m.source_size as missing,
-        sum(d.size) over (partition by d.source order by d.u, d.doc_id nulls first, d.size rows unbounded preceding) as upto
-      from d join m on d.source is not distinct from m.source)
+m as (select *, case when source_size > 0 then floor(target / source_size) else 0 end as whole,
+        case when source_size > 0 then target / source_size - floor(target / source_size) else 0 end as p,
+        (select avg(greatest(1, size)::double) from d where d.source is not distinct from t.source) as mean from t),
+k as (select d.*, m.* exclude (source), (u / (1 - u)) / (greatest(p / (1 - p), 1e-300) * (greatest(1, size)::double / mean)) as rank
+      from d join m on d.source is not distinct from m.source),
+o as (select doc_id, size, source_size, target, whole, target - whole * source_size as missing,
+        sum(size) over (partition by source order by rank, doc_id nulls first, size rows unbounded preceding) as upto from k)
 select doc_id, size, source_size, target,
        cast(size * (whole + case when missing > 0 and 2 * upto - size <= 2 * missing then 1 else 0 end) as bigint) as taken
 from o"""

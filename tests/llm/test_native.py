@@ -77,6 +77,23 @@ def test_mixing_targets_and_takes(spark):
     assert mixing.mixed(d).count() == sum(r.copies for r in first)
 
 
+def test_inclusion_odds_of_documents(spark):
+    """The rank decides, not the random number: important documents are taken in proportion to their odds."""
+    rows = [(i, "w w w", "a", 9.0 if i % 2 else 1.0) for i in range(6000)]
+    d = spark.createDataFrame(rows, "doc_id long, text string, source string, quality double")
+    got = {r.doc_id: r.copies - 1 for r in mixing.mix(d, importance="quality").collect()}  # one whole copy, half another
+    u = {r.doc_id: r.u for r in mixing.with_odds(d).collect()}
+    rank = {i: u[i] / (1 - u[i]) / (9.0 if i % 2 else 1.0) for i in u}
+    taken = sum(got.values())
+    assert taken == 3000 and {i for i, n in got.items() if n} == set(sorted(rank, key=rank.get)[:taken])
+    assert {i for i, n in got.items() if n} != set(sorted(u, key=u.get)[:taken])
+    # Pareto sampling gives nearly the wanted probabilities: odds 9 to 1 around one half
+    heavy = sum(n for i, n in got.items() if i % 2) / 3000
+    assert abs(heavy - 0.75) < 0.03
+    even = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, source string")
+    assert sum(r.copies - 1 for r in mixing.mix(even).collect()) == 3000
+
+
 def test_many_sources_are_not_gathered_in_one_task(spark, monkeypatch):
     monkeypatch.setattr(mixing, "SLICE", 64, raising=False)
     sizes = {f"h{i:04}": (i * i) % 977 for i in range(2000)} | {None: 500}
