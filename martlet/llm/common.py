@@ -43,6 +43,21 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+HUBS = 1000  # nodes whose edges are not sent to one task, at most
+HUB_EDGES = 5_000
+
+
+def _with_low(edges: DataFrame, low: DataFrame, rows: int) -> DataFrame:
+    """``edges (u, v)`` with m of ``low (u, m, n)``; n: edges of u. Nodes with
+    more edges than rows / HUBS (and than HUB_EDGES) are hubs: there are HUBS
+    of them at most, so their minima are broadcast and their edges stay where
+    they are. The others meet in a shuffle, none with more edges than that."""
+    many = max(HUB_EDGES, rows // HUBS)
+    hubs = F.broadcast(low.where(F.col("n") > many).select("u", "m"))
+    rest = edges.join(hubs.select("u"), "u", "left_anti").join(low.where(F.col("n") <= many).select("u", "m"), "u")
+    return edges.join(hubs, "u").select("u", "v", "m").unionByName(rest.select("u", "v", "m"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of undirected ``edges (a, b)`` by alternating large and small stars.
 
@@ -50,19 +65,19 @@ def components(edges: DataFrame) -> DataFrame:
     component is its smallest reachable node. Self-loops and null ends are
     ignored. Each round replaces the edges by stars around smaller nodes, so
     no group of neighbours meets in one task: minima are aggregated before
-    the shuffle and the joins are plain equi-joins that AQE splits where a
-    node is hot. Rounds are cut by checkpoint().
+    the shuffle, and hubs get theirs by broadcast (see ``_with_low``). Rounds
+    are cut by checkpoint().
     """
     e = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
             .where("a is not null and b is not null and a <> b").distinct())
-    last = None
+    last, rows = None, e.count()
     while True:
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = (both.join(low, "u").where("v > u")
+        low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("n"))
+        large = (_with_low(both, low, 2 * rows).where("v > u")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (large.join(low, "u")
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
+        small = (_with_low(large, low, 2 * rows)
                  .select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")),
                                            F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("s"))
                  .select("s.u", "s.v").where("u <> v").distinct())
@@ -70,6 +85,6 @@ def components(edges: DataFrame) -> DataFrame:
         now = e.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
         if now == last:
             break
-        last = now
+        last, rows = now, now["n"]
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         e.select("v", "v").distinct())
