@@ -1,9 +1,11 @@
 """Words of many texts as 64-bit hashes, and exact caches of parts of texts (inside tasks).
 
-A word's hash is 64 bits of BLAKE2b over its bytes, so no construction makes
-two words collide; a dictionary in the worker keeps the hashes of the words
-seen last. Long texts are cut at separators, so the words of only CHUNK bytes
-are held as objects at a time.
+A word's hash is a polynomial of its bytes modulo the prime 2**61 - 1, read off
+prefix sums of a whole buffer, and mixed. Two different words of n bytes agree
+for n of the 2**61 bases at most, so no pattern of bytes makes them agree (as
+it does modulo a power of two). The work arrays are about 80 times the buffer,
+so ``batches`` hashes CHUNK bytes at a time, cut at separators also within
+one very long text.
 
 ``Known`` is keyed by the spelling itself: a part is found only by its own bytes.
 """
@@ -11,13 +13,13 @@ are held as objects at a time.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
-from hashlib import blake2b
 
 import numpy as np
 
-CHUNK = 1 << 20
-WORDS = 300_000
-LONG_WORD = 256  # longer ones are hashed each time, so the dictionary's size is bounded in bytes too
+CHUNK = 1 << 17
+PRIME = (1 << 61) - 1
+_P, _M31, _M30 = np.uint64(PRIME), np.uint64((1 << 31) - 1), np.uint64((1 << 30) - 1)
+_31, _30, _61, _1 = np.uint64(31), np.uint64(30), np.uint64(61), np.uint64(1)
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -26,70 +28,105 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_lower = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
-_letters = bytes((b + 32 if 65 <= b <= 90 else b) if chr(b).isalnum() or b >= 128 else 32 for b in range(256))
+def _reduced(x: np.ndarray) -> np.ndarray:
+    """x modulo the prime."""
+    x = (x & _P) + (x >> _61)
+    return np.where(x >= _P, x - _P, x)
 
-#: Name of a word rule: what becomes of each byte before the text is split at white space.
-RULES = {"spaces, A-Z lowered": _lower, "letters and digits, A-Z lowered": _letters}
 
-_SPACES = b" \t\n\v\f\r"
+def _product(a1: np.ndarray, a0: np.ndarray, b1: np.ndarray, b0: np.ndarray) -> np.ndarray:
+    """(a1 2**31 + a0) (b1 2**31 + b0) modulo the prime; halves of numbers below it."""
+    middle = a0 * b1 + a1 * b0
+    return _reduced(((a1 * b1) << _1) + (middle >> _30) + ((middle & _M30) << _31) + a0 * b0)
 
 
-class _Hashes(dict):
-    """Word -> hash."""
+def _halves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return x >> _31, x & _M31
 
-    def __missing__(self, word: bytes) -> int:
-        h = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        if len(word) <= LONG_WORD:
-            if len(self) >= WORDS:
-                self.clear()
-            self[word] = h
-        return h
 
+#: The base, and the value of each byte from a sequence of this seed.
+_BASE = 0x1E3779B97F4A7C15 % PRIME
+_values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(7)) % _P
+_lower = np.arange(256)
+_lower[65:91] += 32
+_space = np.zeros(256, dtype=bool)
+_space[[9, 10, 11, 12, 13, 32]] = True
+_other = np.array([not (chr(b).isalnum() or b >= 128) for b in range(256)])
 
-_hashes = _Hashes()
+#: Name of a word rule: (bytes between words, the two halves of each byte's value).
+RULES = {"spaces, A-Z lowered": (_space, *_halves(_values[_lower])), "letters and digits, A-Z lowered": (_other, *_halves(_values[_lower]))}
 
+_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
-def _hash(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_hashes.__getitem__, words), dtype=np.uint64, count=len(words))
 
+def _power(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Halves of the first n powers of a base."""
+    have = _powers.get(base)
+    if have is None or len(have[0]) < n:
+        x = np.ones(1, dtype=np.uint64)
+        while len(x) < max(n, CHUNK + 1):
+            by = pow(base, len(x), PRIME)
+            x = np.concatenate([x, _product(*_halves(x), np.uint64(by >> 31), np.uint64(by & ((1 << 31) - 1)))])
+        have = _powers[base] = _halves(x)
+    return have[0][:n], have[1][:n]
 
-def _pieces(text: bytes) -> Iterator[bytes]:
-    """A prepared text in pieces of about CHUNK bytes, cut at white space."""
-    at = 0
-    while at < len(text):
-        end = at + CHUNK
-        while end < len(text) and text[end] not in _SPACES:
-            end += 1
-        yield text[at:end]
-        at = end
+
+def hash_words(data: bytes, rule: str) -> tuple[np.ndarray, np.ndarray]:
+    """(byte position of each word, its hash) in a buffer."""
+    gap, high, low = RULES[rule]
+    raw = np.frombuffer(data, dtype=np.uint8)
+    inside = np.zeros(len(raw) + 2, dtype=np.int8)
+    inside[1:-1] = ~gap[raw]
+    step = np.diff(inside)
+    start, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+    term = _product(high[raw], low[raw], *_power(_BASE, len(raw)))
+    sums = []
+    for half in _halves(term):  # sums of halves stay below 2**64, so words are differences of them
+        total = np.zeros(len(raw) + 1, dtype=np.uint64)
+        np.cumsum(half, out=total[1:])
+        sums.append(_reduced(total[end] - total[start]))
+    turned = ((sums[0] << _31) & _P) | (sums[0] >> _30)  # times 2**31
+    down = _power(pow(_BASE, -1, PRIME), len(raw) + 1)
+    h = _product(*_halves(_reduced(turned + sums[1])), down[0][start], down[1][start])
+    return start, mix(h + ((end - start).astype(np.uint64) << np.uint64(40)))
 
 
 def batches(texts: Iterable[bytes | None], rule: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(index of the first text, words per text, hashes) for runs of whole texts.
 
-    Null counts as empty. A text over CHUNK bytes comes alone.
+    Null counts as empty. A text over CHUNK bytes comes alone, hashed in
+    pieces cut at separators.
     """
-    table = RULES[rule]
-    words: list[bytes] = []
-    counts: list[int] = []
+    gap = RULES[rule][0]
+    held: list[bytes] = []
     first = size = 0
+
+    def flush():
+        ends = np.cumsum([len(t) + 1 for t in held])
+        start, h = hash_words(b"\n".join(held), rule)
+        return first, np.diff(np.searchsorted(start, ends), prepend=0), h
+
     for i, t in enumerate(texts):
-        t = (t or b"").translate(table)
-        if counts and size + len(t) > CHUNK:
-            yield first, np.array(counts), _hash(words)
-            words, counts, size, first = [], [], 0, i
+        t = t or b""
+        if held and size + len(t) > CHUNK:
+            yield flush()
+            held, size, first = [], 0, i
         if len(t) > CHUNK:
-            h = np.concatenate([_hash(p.split()) for p in _pieces(t)])
+            parts, at = [], 0
+            while at < len(t):
+                end = min(at + CHUNK, len(t))
+                while end < len(t) and not gap[t[end]]:
+                    end += 1
+                parts.append(hash_words(t[at:end], rule)[1])
+                at = end
+            h = np.concatenate(parts)
             yield i, np.array([len(h)]), h
             first = i + 1
             continue
-        w = t.split()
-        words += w
-        counts.append(len(w))
-        size += len(t)
-    if counts:
-        yield first, np.array(counts), _hash(words)
+        held.append(t)
+        size += len(t) + 1
+    if held:
+        yield flush()
 
 
 class Known:

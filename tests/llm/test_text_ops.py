@@ -128,6 +128,19 @@ def test_word_hashes():
     assert seen[5][0] == seen[0][0] and len(set(seen[4].tolist())) == 2
 
 
+def test_word_hashes_are_polynomials_modulo_the_prime():
+    rnd = random.Random(0)
+    words = [bytes(rnd.choice(b"abcXYZ019\xc3\xa9") for _ in range(rnd.randint(1, 70))) for _ in range(200)]
+
+    def slow(word):
+        v = sum(int(texthash._values[texthash._lower[b]]) * pow(texthash._BASE, i, texthash.PRIME) for i, b in enumerate(word)) % texthash.PRIME
+        return int(texthash.mix(np.array([v + (len(word) << 40)], dtype=np.uint64))[0])
+
+    for before in (0, 17, 250_000):
+        start, h = texthash.hash_words(b" " * before + b" ".join(words), "spaces, A-Z lowered")
+        assert start[0] == before and h.tolist() == [slow(w) for w in words]
+
+
 def test_components(spark):
     rnd = random.Random(2)
     edges = [(rnd.randint(0, 300), rnd.randint(0, 300)) for _ in range(200)] + [(i, i + 1) for i in range(1000, 1200)] + [(2000, i) for i in range(2001, 2300)]
