@@ -1,25 +1,30 @@
 """Line dedup by content-defined chunks of lines.
 
-Every line has a 32-bit digest d. The rolling hash at line i joins the
-digests of lines i and i + 1 (modulo MODULUS); a chunk starts at each line
-whose rolling hash is smaller than those of its two neighbours. Boundaries
-depend on four lines at most, so the chunks of a passage come out alike
-wherever it stands, but for its ends, and a chunk has at least two lines
-unless the text ends.
-
-Chunks of two lines or more and MIN_CHARS characters or more that occur more
-than once in the corpus are duplicates: the first occurrence (smallest
-doc_id, null first, then place in the text) stays, the others are removed
-with their line breaks. Digests only find candidates; what is removed has
-been compared byte for byte.
-
-Built-in functions only. The digests of all chunks are shuffled as small
-rows and counted before the shuffle; texts travel once, by document, and of
-the chunk texts only the repeated ones, so a passage that a third of all
+Every line with a visible character has a 64-bit hash. A rolling hash over the
+hashes of two such neighbours stands for the pair; blank lines between the two
+belong to it. A chunk is a stretch of lines whose rolling hashes are all
+repeated somewhere in the corpus; its boundaries lie where the rolling hash
+stops being a repeated one. So they depend on the chunk's own lines only: a
+passage of two lines or more comes out whole wherever it stands and whatever
+surrounds it. (Boundaries at minima of the rolling hash, which the first
+version had, depend on lines around a passage, so most passages of two to five
+lines held no whole chunk.)
+
+Pairs of MIN_CHARS characters or more count. The first occurrence of a pair
+(smallest doc_id, null first, then place in the text) stays, and lines that
+belong to one are kept, so first occurrences stay whole; all other lines of
+repeated pairs go with their line breaks and the blank lines within. Hashes
+only find candidates; what is removed has been compared byte for byte.
+A single repeated line among others that differ stays: that is the method's
+limit.
+
+Built-in functions only. The hashes of all pairs are shuffled as small rows
+and counted before the shuffle; texts travel once, by document, and of the
+pairs' texts only the repeated ones, so a passage that a third of all
 documents share costs its rows and meets others through splittable joins and
 pre-aggregated minima.
 
-Null and empty texts have no chunk and stay as they are. Rows alike in id and
+Null and empty texts have no pair and stay as they are. Rows alike in id and
 text are one document: they are cleaned alike, and neither removes the
 other. Other columns pass through, whatever their names.
 """
@@ -31,74 +36,60 @@ from pyspark.sql import functions as F
 
 from martlet.llm.common import cut, let
 
-MODULUS = (1 << 31) - 1
-BASE = 48271
 MIN_CHARS = 40
 
 
-def _digest(line: Column) -> Column:
-    return F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("long")
+def lines(text: Column) -> Column:
+    return F.split(text, "\n", -1)
 
 
-def _starts(lines: Column) -> Column:
-    """0-based line numbers where chunks start."""
+def pairs(text: Column) -> Column:
+    """Array of (at, to, a, b): line numbers and lines of every two neighbours with a visible character."""
+    def of(seen: Column) -> Column:
+        return F.filter(F.zip_with(seen, F.slice(seen, 2, F.size(seen)), lambda x, y: F.struct(
+            x["i"].alias("at"), y["i"].alias("to"), x["x"].alias("a"), y["x"].alias("b"))), lambda p: p["to"].isNotNull())
 
-    def at(d: Column) -> Column:
-        rolling = F.zip_with(d, F.slice(d, 2, F.size(d)), lambda a, b: (a * BASE + F.coalesce(b, F.lit(0))) % MODULUS)
-        return let(rolling, lambda r: F.transform(
-            F.filter(F.transform(r, lambda x, i: F.struct(x.alias("x"), i.alias("i"))),
-                     lambda s: (s["i"] == 0) | ((s["x"] < F.get(r, s["i"] - 1)) & F.coalesce(s["x"] < F.get(r, s["i"] + 1), F.lit(False)))),
-            lambda s: s["i"]))
-
-    return let(F.transform(lines, _digest), at)
-
-
-def chunks(text: Column) -> Column:
-    """Array of (at, n, chunk): first line, number of lines and text of each chunk."""
-    lines = F.split(text, "\n", -1)
-    return let(lines, lambda l: let(_starts(l), lambda s: F.zip_with(
-        s, F.slice(s, 2, F.size(s)), lambda a, b: let(F.coalesce(b, F.size(l)) - a, lambda n: F.struct(
-            a.alias("at"), n.alias("n"), F.array_join(F.slice(l, a + 1, n), "\n").alias("chunk"))))))
-
-
-def _eligible(c: Column) -> Column:
-    return (c["n"] >= 2) & (F.length(c["chunk"]) >= MIN_CHARS)
+    visible = F.filter(F.transform(lines(text), lambda x, i: F.struct(i.alias("i"), x.alias("x"))), lambda s: s["x"].rlike(r"[^\x09-\x0D\x20]"))
+    return let(visible, lambda v: F.filter(of(v), lambda p: F.length(p["a"]) + F.length(p["b"]) >= MIN_CHARS))
 
 
 def removals(docs: DataFrame) -> DataFrame:
-    """(id, copy, gone): for each document that loses chunks the first lines of these."""
+    """(id, copy, gone): for each document that loses lines their numbers."""
     d = docs.where("text is not null").select(F.col("doc_id").alias("id"), F.md5("text").alias("copy"), "text")
-    keys = d.select("id", "copy", F.explode(F.transform(
-        F.filter(chunks(F.col("text")), _eligible), lambda c: F.struct(c["at"].alias("at"), F.md5(c["chunk"]).alias("key")))).alias("c")
-    ).select("id", "copy", "c.at", "c.key")
-    place = F.struct("id", "copy", "at")
+    rolling = F.transform(pairs(F.col("text")), lambda p: F.xxhash64(F.xxhash64(p["a"]), F.xxhash64(p["b"])))
+    keys = d.select("id", "copy", F.posexplode(rolling).alias("no", "key"))
+    place = F.struct("id", "copy", "no")
     twice = (keys.groupBy("key").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
              .where(~F.col("lo").eqNullSafe(F.col("hi"))).select("key"))
-    marked = keys.join(twice, "key", "left_semi").groupBy("id", "copy").agg(F.collect_set("at").alias("some"))
+    marked = keys.join(twice, "key", "left_semi").groupBy("id", "copy").agg(F.collect_set("no").alias("some"))
     marked = marked.select(F.col("id").alias("i"), F.col("copy").alias("c"), "some")
-    # their texts again, now only of repeated digests, to compare bytes
+    # their texts again, now only of repeated hashes, to compare bytes
     again = d.join(marked, F.col("id").eqNullSafe(F.col("i")) & (F.col("copy") == F.col("c")))
-    again = cut(again.select("id", "copy", F.explode(F.filter(
-        chunks(F.col("text")), lambda c: F.array_contains(F.col("some"), c["at"]))).alias("c")).select("id", "copy", "c.at", "c.chunk"))
-    first = again.groupBy("chunk").agg(F.min(place).alias("first"))
-    later = again.join(first, "chunk").where(~F.struct("id", "copy", "at").eqNullSafe(F.col("first")))
-    return later.groupBy("id", "copy").agg(F.collect_set("at").alias("gone"))
+    chosen = let(pairs(F.col("text")), lambda p: F.transform("some", lambda n: F.struct(n.alias("no"), F.get(p, n).alias("p"))))
+    again = cut(again.select("id", "copy", F.explode(chosen).alias("s")).select(
+        "id", "copy", "s.no", F.col("s.p.at").alias("at"), F.col("s.p.to").alias("to"), F.concat("s.p.a", F.lit("\n"), "s.p.b").alias("pair")))
+    first = (again.groupBy("pair").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+             .where(~F.col("first").eqNullSafe(F.col("last"))).drop("last"))
+    known = again.join(first, "pair").withColumn("is_first", F.struct("id", "copy", "no").eqNullSafe(F.col("first")))
+    span = F.sequence("at", "to")
+    per = known.groupBy("id", "copy").agg(F.collect_list(F.when(~F.col("is_first"), span)).alias("later"), F.collect_list(F.when(F.col("is_first"), span)).alias("own"))
+    gone = F.array_except(F.flatten("later"), F.flatten("own"))
+    return per.select("id", "copy", gone.alias("gone")).where(F.size("gone") > 0)
 
 
 def line_dedup(docs: DataFrame) -> DataFrame:
-    """``docs (doc_id, text, ...)`` with text cleaned, plus n_chunks and n_removed; n_chars, if there, follows the text."""
+    """``docs (doc_id, text, ...)`` with text cleaned, plus n_chunks and
+    n_removed: the stretches of lines and the lines that were removed;
+    n_chars, if there, follows the text."""
     names = docs.columns
     gone = removals(docs.select("doc_id", "text")).select(F.col("id").alias("_i"), F.col("copy").alias("_c"), F.col("gone").alias("_gone"))
     d = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.md5("text") == F.col("_c")), "left")
-    parts = F.when(F.col("text").isNotNull(), chunks(F.col("text")))
-    left = let(parts, lambda p: F.struct(
-        F.coalesce(F.size(p), F.lit(0)).cast("long").alias("n"),
-        F.array_join(F.transform(F.filter(p, lambda c: ~F.coalesce(F.array_contains(F.col("_gone"), c["at"]), F.lit(False))),
-                                 lambda c: c["chunk"]), "\n").alias("text")))
-    d = d.withColumn("_left", left)
-    d = d.withColumns({"text": F.when(F.col("text").isNotNull(), F.col("_left.text")),
-                       "_n": F.when(F.col("text").isNotNull(), F.col("_left.n")).otherwise(0),
-                       "_r": F.coalesce(F.size("_gone"), F.lit(0)).cast("long")})
+    left = let(lines(F.col("text")), lambda l: F.array_join(F.transform(
+        F.array_except(F.sequence(F.lit(0), F.size(l) - 1), "_gone"), lambda i: F.get(l, i)), "\n"))
+    chunks = F.size(F.array_except("_gone", F.transform("_gone", lambda i: i + 1)))
+    new = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left)
+    d = d.withColumns({"text": new, "_n": F.coalesce(F.when(F.col("_gone").isNotNull(), chunks), F.lit(0)).cast("long"),
+                       "_r": F.coalesce(F.when(F.col("_gone").isNotNull(), F.size("_gone")), F.lit(0)).cast("long")})
     if "n_chars" in names:
         d = d.withColumn("n_chars", F.when(F.col("_gone").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("long")))
     return d.select(*names, F.col("_n").alias("n_chunks"), F.col("_r").alias("n_removed"))
@@ -109,20 +100,22 @@ def _sql(docs: str) -> str:
     return f"""
 l_rows as (select row_number() over () as rid, md5(text) as copy, doc_id, text from {docs}),
 l_line as (select rid, generate_subscripts(string_split(text, chr(10)), 1) - 1 as i, unnest(string_split(text, chr(10))) as line from l_rows where text is not null),
-l_dig as (select *, cast(('0x' || substr(md5(line), 1, 8)) as bigint) as d from l_line),
-l_roll as (select *, (d * {BASE} + coalesce(lead(d) over w, 0)) % {MODULUS} as r from l_dig window w as (partition by rid order by i)),
-l_cut as (select *, case when i = 0 or (r < lag(r) over w and r < lead(r) over w) then 1 else 0 end as b from l_roll window w as (partition by rid order by i)),
-l_no as (select *, sum(b) over (partition by rid order by i) as no from l_cut),
-l_chunk as (select rid, no, min(i) as pos, count(*) as n, string_agg(line, chr(10) order by i) as chunk from l_no group by rid, no),
-l_rank as (select c.*, r.doc_id, r.copy, n >= 2 and length(chunk) >= {MIN_CHARS} and
-    dense_rank() over (partition by chunk, n >= 2 and length(chunk) >= {MIN_CHARS} order by r.doc_id nulls first, r.copy, pos) > 1 as gone
-  from l_chunk c join l_rows r using (rid)),
-l_out as (select rid, coalesce(string_agg(chunk, chr(10) order by pos) filter (where not gone), '') as kept_text, count(*) as n_chunks, count(*) filter (where gone) as n_removed
-  from l_rank group by rid)"""
+l_seen as (select rid, i, line, lead(i) over w as j, lead(line) over w as other from l_line
+  where regexp_matches(line, '[^\\x09-\\x0D\\x20]') window w as (partition by rid order by i)),
+l_pair as (select s.rid, i, j, line || chr(10) || other as pair, r.doc_id, r.copy from l_seen s join l_rows r using (rid)
+  where j is not null and length(line) + length(other) >= {MIN_CHARS}),
+l_rank as (select *, dense_rank() over (partition by pair order by doc_id nulls first, copy, i) as no from l_pair),
+l_many as (select pair from l_rank group by pair having max(no) > 1),
+l_hit as (select rid, unnest(range(i, j + 1)) as i, no > 1 as later from l_rank semi join l_many using (pair)),
+l_gone as (select rid, i from l_hit group by rid, i having bool_and(later)),
+l_mark as (select l.rid, l.i, l.line, g.i is not null as gone, lag(g.i is not null, 1, false) over (partition by l.rid order by l.i) as before
+  from l_line l left join l_gone g on l.rid = g.rid and l.i = g.i),
+l_out as (select rid, coalesce(string_agg(line, chr(10) order by i) filter (where not gone), '') as kept_text,
+    count(*) filter (where gone and not before) as n_chunks, count(*) filter (where gone) as n_removed from l_mark group by rid)"""
 
 
 def oracle(docs: str = "documents") -> str:
-    """DuckDB SQL for the query: chunks by window functions, duplicates by their text."""
+    """DuckDB SQL for the query: pairs of lines by window functions, repeated ones by their text."""
     return f"""with {_sql(docs)}
 select r.doc_id, case when r.text is not null then o.kept_text end as text, coalesce(o.n_chunks, 0) as n_chunks, coalesce(o.n_removed, 0) as n_removed
 from l_rows r left join l_out o using (rid)"""

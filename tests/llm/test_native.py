@@ -1,5 +1,7 @@
 """Line dedup, quality rules and mixing against their SQL, edge cases included."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -20,13 +22,38 @@ def test_line_dedup_removes_only_later_chunks_and_keeps_columns(documents):
     assert rows[4].text is None and rows[5].text == ""
 
 
-def test_chunks_resynchronise(spark):
-    body = "\n".join(f"line number {i * i} of the body" for i in range(60))
-    df = spark.createDataFrame([(body,), ("another start\n" + body,)], "text string")
-    a, b = ({c["chunk"] for c in r[0]} for r in df.select(line_dedup.chunks(F.col("text"))).collect())
-    assert len(a & b) >= len(a) - 2
-    for r in df.select("text", line_dedup.chunks(F.col("text")).alias("c")).collect():
-        assert "\n".join(c["chunk"] for c in r.c) == r.text
+def test_passages_go_whole_wherever_they_stand(spark, in_duckdb, same_rows):
+    """Passages of two lines and more among other lines, at any offset: all lines of all but the first go."""
+    rows, rnd = [], random.Random(4)
+    own = iter(range(10**6))
+    passages = [[f"passage {p} line {k} with some words of its own" for k in range(2 + p % 7)] for p in range(40)]
+    for doc in range(120):
+        body = []
+        for p in rnd.sample(range(40), 3):
+            body += [f"only here {next(own)} and nowhere else, so it stays" for _ in range(rnd.randrange(1, 5))]
+            body += [x for line in passages[p] for x in ([line, ""] if p % 5 == 0 else [line])]
+        rows.append((doc, "\n".join([*body, f"the end {next(own)} of this document, too"])))
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r for r in line_dedup.line_dedup(d).collect()}
+    seen = set()
+    for doc, text in rows:
+        kept = out[doc].text.split("\n")
+        assert [x for x in kept if x.startswith(("only", "the end"))] == [x for x in text.split("\n") if x.startswith(("only", "the end"))]
+        here = {int(x.split()[1]) for x in text.split("\n") if x.startswith("passage")}
+        assert {int(x.split()[1]) for x in kept if x.startswith("passage")} == here - seen
+        assert all(kept.count(line) == 1 for p in here - seen for line in passages[p])
+        seen |= here
+    same_rows(line_dedup.line_dedup(d), in_duckdb(d, line_dedup.oracle()))
+
+
+def test_first_occurrences_stay_whole(spark, in_duckdb, same_rows):
+    a, b, c, e = (f"{x} line of more than twenty characters" for x in "abce")
+    rows = [(1, f"{a}\n{b}"), (2, f"{c}\n{a}\n{b}\n{c}\n{e}"), (3, f"{b}\n{c}"), (4, "\n".join([e] * 5)), (5, f"x\n\n{a}\n \n\n{b}\n\ny"), (6, f"{a}\nshort"),
+            (6, f"{a}\nshort"), (7, "ab\ncd"), (8, "ab\ncd"), (None, f"{a}\n{b}")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {(r.doc_id, r.text) for r in line_dedup.line_dedup(d).collect()}
+    assert out == {(1, ""), (2, f"{c}\n{b}\n{c}\n{e}"), (3, ""), (4, f"{e}\n{e}"), (5, "x\n\n\ny"), (6, f"{a}\nshort"), (7, "ab\ncd"), (8, "ab\ncd"), (None, f"{a}\n{b}")}
+    same_rows(line_dedup.line_dedup(d), in_duckdb(d, line_dedup.oracle()))
 
 
 def test_quality_matches_sql(documents, in_duckdb, same_rows):
