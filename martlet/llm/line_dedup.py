@@ -11,10 +11,11 @@ version had, depend on lines around a passage, so most passages of two to five
 lines held no whole chunk.)
 
 Pairs of MIN_CHARS characters or more count. The first occurrence of a pair
-(smallest doc_id, null first, then place in the text) stays, and lines that
-belong to one are kept, so first occurrences stay whole; all other lines of
-repeated pairs go with their line breaks and the blank lines within. Hashes
-only find candidates; what is removed has been compared byte for byte.
+(smallest doc_id, null first, then place in the text) stays; the lines of all
+later ones go with their line breaks and the blank lines within, also where a
+line begins or ends the first occurrence of another pair. A copy of every
+removed line stands earlier, so the first of all copies of a line stays.
+Hashes only find candidates; what is removed has been compared byte for byte.
 A single repeated line among others that differ stays: that is the method's
 limit.
 
@@ -68,13 +69,10 @@ def removals(docs: DataFrame) -> DataFrame:
     chosen = let(pairs(F.col("text")), lambda p: F.transform("some", lambda n: F.struct(n.alias("no"), F.get(p, n).alias("p"))))
     again = cut(again.select("id", "copy", F.explode(chosen).alias("s")).select(
         "id", "copy", "s.no", F.col("s.p.at").alias("at"), F.col("s.p.to").alias("to"), F.concat("s.p.a", F.lit("\n"), "s.p.b").alias("pair")))
-    first = (again.groupBy("pair").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-             .where(~F.col("first").eqNullSafe(F.col("last"))).drop("last"))
-    known = again.join(first, "pair").withColumn("is_first", F.struct("id", "copy", "no").eqNullSafe(F.col("first")))
-    span = F.sequence("at", "to")
-    per = known.groupBy("id", "copy").agg(F.collect_list(F.when(~F.col("is_first"), span)).alias("later"), F.collect_list(F.when(F.col("is_first"), span)).alias("own"))
-    gone = F.array_except(F.flatten("later"), F.flatten("own"))
-    return per.select("id", "copy", gone.alias("gone")).where(F.size("gone") > 0)
+    first = again.groupBy("pair").agg(F.min(place).alias("first"))
+    later = again.join(first, "pair").where(~F.struct("id", "copy", "no").eqNullSafe(F.col("first")))
+    gone = F.array_distinct(F.flatten(F.collect_list(F.sequence("at", "to"))))
+    return later.groupBy("id", "copy").agg(gone.alias("gone"))
 
 
 def line_dedup(docs: DataFrame) -> DataFrame:
@@ -105,9 +103,7 @@ l_seen as (select rid, i, line, lead(i) over w as j, lead(line) over w as other
 l_pair as (select s.rid, i, j, line || chr(10) || other as pair, r.doc_id, r.copy from l_seen s join l_rows r using (rid)
   where j is not null and length(line) + length(other) >= {MIN_CHARS}),
 l_rank as (select *, dense_rank() over (partition by pair order by doc_id nulls first, copy, i) as no from l_pair),
-l_many as (select pair from l_rank group by pair having max(no) > 1),
-l_hit as (select rid, unnest(range(i, j + 1)) as i, no > 1 as later from l_rank semi join l_many using (pair)),
-l_gone as (select rid, i from l_hit group by rid, i having bool_and(later)),
+l_gone as (select distinct rid, unnest(range(i, j + 1)) as i from l_rank where no > 1),
 l_mark as (select l.rid, l.i, l.line, g.i is not null as gone, lag(g.i is not null, 1, false) over (partition by l.rid order by l.i) as before
   from l_line l left join l_gone g on l.rid = g.rid and l.i = g.i),
 l_out as (select rid, coalesce(string_agg(line, chr(10) order by i) filter (where not gone), '') as kept_text,
