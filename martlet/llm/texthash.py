@@ -7,7 +7,8 @@ it does modulo a power of two). The work arrays are about 80 times the buffer,
 so ``batches`` hashes CHUNK bytes at a time, cut at separators also within
 one very long text.
 
-``Known`` is keyed by the spelling itself: a part is found only by its own bytes.
+``Known`` is keyed by the spelling itself; ``Checked`` by such hashes, with
+the bytes kept beside them and compared: a part is found only by its own bytes.
 """
 
 from __future__ import annotations
@@ -47,6 +48,7 @@ def _halves(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 #: The base, and the value of each byte from a sequence of this seed.
 _BASE = 0x1E3779B97F4A7C15 % PRIME
 _values = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(7)) % _P
+_high, _low = _halves(_values)
 _lower = np.arange(256)
 _lower[65:91] += 32
 _space = np.zeros(256, dtype=bool)
@@ -71,6 +73,20 @@ def _power(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have[0][:n], have[1][:n]
 
 
+def hash_spans(high: np.ndarray, low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hash of each span of a buffer of values (their halves)."""
+    term = _product(high, low, *_power(_BASE, len(high)))
+    sums = []
+    for half in _halves(term):  # sums of halves stay below 2**64, so spans are differences of them
+        total = np.zeros(len(high) + 1, dtype=np.uint64)
+        np.cumsum(half, out=total[1:])
+        sums.append(_reduced(total[end] - total[start]))
+    turned = ((sums[0] << _31) & _P) | (sums[0] >> _30)  # times 2**31
+    down = _power(pow(_BASE, -1, PRIME), len(high) + 1)
+    h = _product(*_halves(_reduced(turned + sums[1])), down[0][start], down[1][start])
+    return mix(h + ((end - start).astype(np.uint64) << np.uint64(40)))
+
+
 def hash_words(data: bytes, rule: str) -> tuple[np.ndarray, np.ndarray]:
     """(byte position of each word, its hash) in a buffer."""
     gap, high, low = RULES[rule]
@@ -79,16 +95,7 @@ def hash_words(data: bytes, rule: str) -> tuple[np.ndarray, np.ndarray]:
     inside[1:-1] = ~gap[raw]
     step = np.diff(inside)
     start, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    term = _product(high[raw], low[raw], *_power(_BASE, len(raw)))
-    sums = []
-    for half in _halves(term):  # sums of halves stay below 2**64, so words are differences of them
-        total = np.zeros(len(raw) + 1, dtype=np.uint64)
-        np.cumsum(half, out=total[1:])
-        sums.append(_reduced(total[end] - total[start]))
-    turned = ((sums[0] << _31) & _P) | (sums[0] >> _30)  # times 2**31
-    down = _power(pow(_BASE, -1, PRIME), len(raw) + 1)
-    h = _product(*_halves(_reduced(turned + sums[1])), down[0][start], down[1][start])
-    return start, mix(h + ((end - start).astype(np.uint64) << np.uint64(40)))
+    return start, hash_spans(high[raw], low[raw], start, end)
 
 
 def batches(texts: Iterable[bytes | None], rule: str) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -129,6 +136,80 @@ def batches(texts: Iterable[bytes | None], rule: str) -> Iterator[tuple[int, np.
         yield flush()
 
 
+def _spans(at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The places of all spans end to end."""
+    upto = np.cumsum(size)
+    n = int(upto[-1]) if len(upto) else 0
+    kind = np.int32 if n < 1 << 30 and (not len(at) or int(at.max()) < 1 << 30) else np.int64
+    out = np.repeat((at - upto + size).astype(kind), size)
+    out += np.arange(n, dtype=kind)
+    return out
+
+
+class Checked:
+    """Parts of byte buffers with a run of small integers each, by hash and bytes; starts anew at ``limit`` entries or ``limit_size`` bytes."""
+
+    def __init__(self, kind: type, limit: int, limit_size: int):
+        self.kind, self.limit, self.limit_size = kind, limit, limit_size
+        self.forget()
+
+    def forget(self) -> None:
+        self.keys, self.row = np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)  # sorted hashes, their rows
+        self.n = 0
+        self.text_at, self.text_size, self.at, self.size = (np.zeros(1024, dtype=np.int64) for _ in range(4))
+        self.text, self.text_used = np.zeros(1 << 16, dtype=np.uint8), 0
+        self.flat, self.used = np.zeros(1 << 16, dtype=self.kind), 0
+
+    def rows(self, raw: np.ndarray, start: np.ndarray, end: np.ndarray, make: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]) -> np.ndarray | None:
+        """The row of each part raw[start:end]; ``make`` gives new parts' runs
+        end to end and their sizes. None if two parts have one hash."""
+        size = end - start
+        keys, one, back = np.unique(hash_spans(_high[raw], _low[raw], start, end), return_index=True, return_inverse=True)
+        # every part against the first of its hash here
+        first = one[back]
+        own = raw[start[0]:end[-1]] if (start[1:] == end[:-1]).all() else raw[_spans(start, size)]
+        if (size != size[first]).any() or (raw[_spans(start[first], size)] != own).any():
+            return None
+        if self.n + len(keys) > self.limit or self.text_used + int(size[one].sum()) > self.limit_size:
+            self.forget()
+        place = np.searchsorted(self.keys, keys)
+        there = np.zeros(len(keys), dtype=bool)
+        inside = place < len(self.keys)
+        there[inside] = self.keys[place[inside]] == keys[inside]
+        # and that one against what is kept
+        had, here = self.row[place[there]], one[there]
+        if (self.text_size[had] != size[here]).any() or (self.text[_spans(self.text_at[had], size[here])] != raw[_spans(start[here], size[here])]).any():
+            return None
+        if not there.all():
+            new = one[~there]
+            runs, sizes = make(start[new], end[new])
+            rows = self._add(raw[_spans(start[new], size[new])], size[new], runs, sizes)
+            self.keys = np.insert(self.keys, place[~there], keys[~there])
+            self.row = np.insert(self.row, place[~there], rows)
+            place = np.searchsorted(self.keys, keys)
+        return self.row[place][back]
+
+    def _add(self, text: np.ndarray, text_sizes: np.ndarray, runs: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        while self.used + len(runs) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.text_used + len(text) > len(self.text):
+            self.text = np.concatenate([self.text, np.zeros_like(self.text)])
+        a, b = self.n, self.n + len(sizes)
+        while b > len(self.at):
+            self.text_at, self.text_size, self.at, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.text_at, self.text_size, self.at, self.size))
+        self.flat[self.used:self.used + len(runs)] = runs
+        self.text[self.text_used:self.text_used + len(text)] = text
+        self.at[a:b], self.size[a:b] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.text_at[a:b], self.text_size[a:b] = self.text_used + np.cumsum(text_sizes) - text_sizes, text_sizes
+        self.used, self.text_used, self.n = self.used + len(runs), self.text_used + len(text), b
+        return np.arange(a, b)
+
+    def runs(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(the runs of these rows end to end, where each ends)."""
+        size = self.size[rows]
+        return self.flat[_spans(self.at[rows], size)], np.cumsum(size)
+
+
 class Known:
     """Spellings with a run of small integers each, and ``extra`` numbers; starts anew at ``limit`` entries or ``limit_size`` characters."""
 

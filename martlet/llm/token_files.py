@@ -21,7 +21,8 @@ ids through the expansion lengths without the rest of the shard.
 
 Encoding splits plain texts (ASCII, the letters of Latin-1) as the
 vocabulary's public pattern does; the library's ids of each part are kept in
-the worker by the part's own bytes, for at most CACHE_ENTRIES parts. Texts
+the worker by a hash and the part's own bytes, which are compared on every
+use, for at most CACHE_ENTRIES parts. Texts
 with other characters, an apostrophe, what might be a special string, or more
 than BATCH_BYTES bytes go to the library whole.
 
@@ -47,15 +48,15 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martlet.llm.common import shared_folder
-from martlet.llm.texthash import Known
+from martlet.llm.texthash import Checked
 
 END = 0
 SHARD_IDS = 1 << 20
 PAIRS_A_ROUND = 4096
 MIN_COUNT = 4
-CACHE_ENTRIES = 500_000
-CACHE_BYTES = 32 << 20
-BATCH_BYTES = 1 << 19
+CACHE_ENTRIES = 2_000_000
+CACHE_BYTES = 48 << 20
+BATCH_BYTES = 1 << 18
 MAGIC = b"RPR1"
 
 _encoders: dict[str, _Encoder] = {}
@@ -110,7 +111,7 @@ class _Encoder:
         self.model = Tokenizer.from_file(path or public_tokenizers.path("byte_bpe_50k.json"))
         if self.model.get_vocab_size() > 1 << 16:
             raise ValueError("token files hold ids of 16 bits")
-        self.known = Known(np.uint16, CACHE_ENTRIES, CACHE_BYTES)
+        self.known = Checked(np.uint16, CACHE_ENTRIES, CACHE_BYTES)
 
     def library(self, text: bytes) -> np.ndarray:
         return np.array(self.model.encode(text.decode(errors="replace"), add_special_tokens=False).ids, dtype=np.uint16)
@@ -121,15 +122,18 @@ class _Encoder:
         raw, ends = np.frombuffer(data, dtype=np.uint8), np.cumsum([len(t) for t in texts])
         start = _parts(raw, np.concatenate(([0], ends[:-1])))
         end = np.append(start[1:], len(raw))
-        rows = self.known.rows([data[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)], self._of_parts)
+
+        def of_parts(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            ids = [x.ids for x in self.model.encode_batch_fast([data[i:j].decode() for i, j in zip(a.tolist(), b.tolist(), strict=True)], add_special_tokens=False)]
+            sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+            return np.fromiter(chain.from_iterable(ids), dtype=np.uint16, count=sizes.sum()), sizes
+
+        rows = self.known.rows(raw, start, end, of_parts)
+        if rows is None:  # two parts with one hash
+            return [self.library(t) for t in texts]
         ids, upto = self.known.runs(rows)
         return np.split(ids, upto[np.searchsorted(end, ends[:-1])])
 
-    def _of_parts(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, None]:
-        ids = [x.ids for x in self.model.encode_batch_fast([p.decode() for p in parts], add_special_tokens=False)]
-        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-        return np.fromiter(chain.from_iterable(ids), dtype=np.uint16, count=sizes.sum()), sizes, None
-
     def encode(self, texts: list[bytes | None]) -> list[np.ndarray]:
         out: list = [np.zeros(0, dtype=np.uint16)] * len(texts)
         held: list[int] = []

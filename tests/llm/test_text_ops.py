@@ -215,6 +215,24 @@ def test_known_parts_start_anew():
     assert made == [["a", "bb"], ["ccc"], ["dd", "a"], ["x" * 200], ["a"]]
 
 
+def test_checked_parts_compare_bytes(monkeypatch):
+    def rows(k, text):
+        raw = np.frombuffer(text.encode(), dtype=np.uint8)
+        edge = np.flatnonzero(raw == 32)
+        start, end = np.concatenate(([0], edge + 1)), np.append(edge, len(raw))
+        made = k.rows(raw, start, end, lambda a, b: (np.concatenate([raw[i:j] for i, j in zip(a, b, strict=True)]).astype(np.uint16), b - a))
+        return None if made is None else [bytes(x.astype(np.uint8)).decode() for x in np.split(k.runs(made)[0], k.runs(made)[1][:-1])]
+
+    k = texthash.Checked(np.uint16, 4, 40)
+    for text in ("a bb a", "bb ccc bb a", "dd e a f", "zz zz", "a bb"):
+        assert rows(k, text) == text.split(" ") and k.n <= 4
+    monkeypatch.setattr(texthash, "hash_spans", lambda high, low, start, end: np.full(len(start), 5, dtype=np.uint64))
+    k.forget()
+    assert rows(k, "a a") == ["a", "a"] and rows(k, "b") is None and rows(k, "a b") is None and rows(k, "aa a") is None
+    e = token_files._Encoder(None)
+    assert [x.tolist() for x in e.encode([b"one two", b"two three"])] == [e.library(b"one two").tolist(), e.library(b"two three").tolist()]
+
+
 def test_search_of_a_long_part_keeps_its_order():
     g = pieces.lattice()
     rnd = random.Random(8)
