@@ -58,12 +58,13 @@ def headline_plans(spark, sf: str) -> list[str]:
     """Plans of the headline builds and extracts in their production shape:
     raw layer and marts written as Parquet, broadcasts disabled so that the
     joins are planned as they would be for tables too large to broadcast."""
-    import tempfile
-
     from martlet.plans.checks import validation_report
+    from martlet.sources.tables import scratch_path
 
-    m = registry.model(spark, sf).with_raw_written(tempfile.mkdtemp(prefix="run-plans-"))
-    marts = m.materialize(tempfile.mkdtemp(prefix="run-plans-"))
+    root = scratch_path(spark, "plans")
+    m = registry.model(spark, sf).with_raw_written(root)
+    marts = m.materialize(f"{root}/marts")
+    marts.write_extracts(f"{root}/extracts")
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
