@@ -146,6 +146,16 @@ def _spans(at: np.ndarray, size: np.ndarray) -> np.ndarray:
     return out
 
 
+def _keys(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of the parts of a large buffer, about CHUNK bytes at a time."""
+    cuts = np.unique(np.append(np.searchsorted(start, np.arange(0, len(raw), CHUNK)), len(start))).tolist()
+    out = []
+    for a, b in zip(cuts, cuts[1:], strict=False):
+        own = raw[start[a]:end[b - 1]]
+        out.append(hash_spans(_high[own], _low[own], start[a:b] - start[a], end[a:b] - start[a]))
+    return np.concatenate(out)
+
+
 class Checked:
     """Parts of byte buffers with a run of small integers each, by hash and bytes; starts anew at ``limit`` entries or ``limit_size`` bytes."""
 
@@ -164,7 +174,7 @@ class Checked:
         """The row of each part raw[start:end]; ``make`` gives new parts' runs
         end to end and their sizes. None if two parts have one hash."""
         size = end - start
-        keys, one, back = np.unique(hash_spans(_high[raw], _low[raw], start, end), return_index=True, return_inverse=True)
+        keys, one, back = np.unique(_keys(raw, start, end), return_index=True, return_inverse=True)
         # every part against the first of its hash here
         first = one[back]
         own = raw[start[0]:end[-1]] if (start[1:] == end[:-1]).all() else raw[_spans(start, size)]

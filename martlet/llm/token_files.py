@@ -56,7 +56,7 @@ PAIRS_A_ROUND = 4096
 MIN_COUNT = 4
 CACHE_ENTRIES = 2_000_000
 CACHE_BYTES = 48 << 20
-BATCH_BYTES = 1 << 18
+BATCH_BYTES = 1 << 20
 MAGIC = b"RPR1"
 
 _encoders: dict[str, _Encoder] = {}
