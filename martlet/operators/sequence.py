@@ -87,6 +87,29 @@ def sequence_within(df: DataFrame, keys: list[str], order: list[str], out: str =
             .drop("_pid", "_mid", "_first", "_off"))
 
 
+#: A key of at most so many rows is numbered in one task.
+WINDOW_ROWS = 1 << 17
+
+
+def sequence_in_groups(df: DataFrame, keys: list[str], order: list[str], out: str = "rn",
+                       window_rows: int = WINDOW_ROWS) -> DataFrame:
+    """``sequence_within`` for keys of which few or none are hot: rows are
+    shuffled once and neither written nor joined. Rows are counted per key
+    first (reduced on the map side); only keys with more than ``window_rows``
+    rows, at most one in that many rows, take the path of ``sequence_within``."""
+    hot = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > window_rows).drop("_n").collect()
+    w = Window.partitionBy(*keys).orderBy(*order)
+
+    def numbered(rows: DataFrame) -> DataFrame:
+        return rows.withColumn(out, F.row_number().over(w).cast("long"))
+
+    if not hot:
+        return numbered(df)
+    h = F.broadcast(df.sparkSession.createDataFrame(hot, df.select(*keys).schema).withColumnsRenamed({k: f"_h_{k}" for k in keys}))
+    same = reduce(lambda a, b: a & b, [df[k].eqNullSafe(h[f"_h_{k}"]) for k in keys])
+    return numbered(df.join(h, same, "left_anti")).unionByName(sequence_within(df.join(h, same, "left_semi"), keys, order, out))
+
+
 def percentiles_within(df: DataFrame, keys: list[str], value: str, ps: dict[str, float],
                        num_partitions: int | None = None, count: str | None = None,
                        mean: str | None = None) -> DataFrame:

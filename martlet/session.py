@@ -14,6 +14,7 @@ splitting of skewed join partitions).
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -102,3 +103,27 @@ def tune_for_input(spark: SparkSession, input_bytes: int, target_partition_bytes
     spark.conf.set("spark.sql.files.maxPartitionBytes", str(target_partition_bytes))
     spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_partition_bytes))
     return n
+
+
+#: Shuffled bytes that a task reads at most. They are compressed, small columns
+#: well; sorted rows take ten to twenty times that in memory.
+TASK_BYTES = 16 << 20
+#: One shuffle partition, before small ones are merged, for so many bytes of input files.
+INPUT_BYTES_A_PARTITION = 4 << 20
+
+
+def _bytes(size: str) -> int:
+    number, unit = re.fullmatch(r"(\d+)\s*([bkmgtp]?)b?", size.strip().lower()).groups()
+    return int(number) << (10 * "bkmgtp".index(unit or "b"))
+
+
+def bound_tasks(spark: SparkSession, input_bytes: int) -> None:
+    """Keep what a task sorts about the same whatever the input: more shuffle
+    partitions for more input, merged only up to TASK_BYTES. A session's own
+    smaller size or larger count stays."""
+    size, count = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    if _bytes(spark.conf.get(size)) > TASK_BYTES:
+        spark.conf.set(size, str(TASK_BYTES))
+    wanted = -(-input_bytes // INPUT_BYTES_A_PARTITION)
+    if wanted > int(spark.conf.get(count, None) or spark.conf.get("spark.sql.shuffle.partitions")):
+        spark.conf.set(count, str(wanted))

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.scope import ModelParams, Scope
-from ..operators.sequence import sequence_within
+from ..operators.sequence import sequence_in_groups
 
 SUPPLIED_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
                    "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -74,7 +74,7 @@ class FixtureSources:
     def _number_items(self) -> DataFrame:
         li = self.t("lineitem")
         price = F.col("l_extendedprice").cast("decimal(10,2)")
-        numbered = sequence_within(
+        numbered = sequence_in_groups(
             li, ["l_orderkey"],
             ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice",
              "l_quantity", "l_tax"], out="order_item_id")

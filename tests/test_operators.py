@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from martlet.operators.dedup import first_per_key
-from martlet.operators.sequence import percentile_within, sequence_within
+from martlet.operators.sequence import percentile_within, sequence_in_groups, sequence_within
 
 
 def _data(spark, n=3000, hot_share=0.4, seed=7):
@@ -80,3 +80,42 @@ def test_sequence_within_null_keys_and_values(spark):
     w = Window.partitionBy("k").orderBy("v", "id")
     ref = {r.id: r.rn for r in df.withColumn("rn", F.row_number().over(w)).collect()}
     assert ours == ref
+
+
+def test_sequence_in_groups_with_hot_and_null_keys(spark):
+    rows = [(None if i % 7 == 0 else i % 5, (i * 37) % 11, i) for i in range(600)]
+    df = spark.createDataFrame(rows, "k int, v int, id int")
+    want = {r.id: r.rn for r in sequence_within(df, ["k"], ["v", "id"]).collect()}
+    for window_rows in (1 << 17, 100, 10):  # no key hot, some, all
+        got = sequence_in_groups(df, ["k"], ["v", "id"], window_rows=window_rows).collect()
+        assert {r.id: r.rn for r in got} == want and len(got) == len(rows)
+    assert sequence_in_groups(df.limit(0), ["k"], ["v", "id"]).count() == 0
+
+
+def test_items_are_numbered_in_one_shuffle(spark):
+    from __spark_entry__ import FLAGSHIP_DIR
+    from martlet.sources.fixtures import FixtureSources
+
+    items = FixtureSources(spark, FLAGSHIP_DIR).order_items()
+    plan = items._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan and "Window" in plan
+
+
+def test_bound_tasks(spark):
+    from martlet.session import TASK_BYTES, bound_tasks
+
+    size, count = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    before = {c: spark.conf.get(c, None) for c in (size, count)}
+    try:
+        spark.conf.unset(count)
+        spark.conf.set(size, "1g")
+        bound_tasks(spark, 1000)
+        assert spark.conf.get(size) == str(TASK_BYTES) and spark.conf.get(count, None) is None
+        bound_tasks(spark, 6 << 30)
+        assert spark.conf.get(count) == "1536"
+        spark.conf.set(size, "8m")
+        bound_tasks(spark, 1000)
+        assert spark.conf.get(size) == "8m" and spark.conf.get(count) == "1536"
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v) if v is not None else spark.conf.unset(c)
