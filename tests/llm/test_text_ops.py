@@ -250,6 +250,39 @@ def test_toxicity_learns_one_text_of_each_id(spark):
     assert {r.doc_id: r.score for r in one if r.doc_id > 1} == {r.doc_id: r.score for r in few if r.doc_id > 1} and len(one) == 502
 
 
+def _labelled(spark, rows):
+    return (spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string"),
+            spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int"))
+
+
+def test_toxicity_learns_from_every_labelled_document(spark, monkeypatch):
+    rnd = random.Random(11)
+    rows = [(i, " ".join([f"w{rnd.randint(0, 400)}" for _ in range(rnd.randint(20, 60))] + ["vile"] * (i % 5 == 1)), int(i % 5 == 1)) for i in range(10400)]
+    docs, labels = _labelled(spark, rows)
+    stored = toxicity.stored_parts(docs, labels)
+    want = {i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 5}
+    assert {r.id for r in stored.select("id").collect()} == want and stored.count() == len(want) > 8000
+    monkeypatch.setattr(toxicity, "PART_ROWS", 2000)
+    stored = toxicity.stored_parts(docs, labels)
+    assert {r.id for r in stored.select("id").collect()} == want and stored.select("part").distinct().count() > 2
+    out = {r.doc_id: r.predicted for r in toxicity.toxicity(docs, labels).collect()}  # parts averaged each round
+    held = [(i, y) for i, _, y in rows if i not in want]
+    assert sum(out[i] == y for i, y in held) >= 0.97 * len(held)
+
+
+def test_toxicity_learns_from_long_documents(spark):
+    rows = [(i, ("plain words " if i % 2 else "vile words ") * 2000, 1 - i % 2) for i in range(60)]
+    out = toxicity.toxicity(*_labelled(spark, rows)).collect()
+    assert all(r.predicted == 1 - r.doc_id % 2 for r in out)
+
+
+def test_toxicity_pieces_of_long_texts():
+    words = np.random.default_rng(3).integers(0, 1 << 60, 5000).astype(np.uint64)
+    m = toxicity.Cnn()
+    whole, pieces_ = m.peaks(words), m.peaks(words, 64)
+    assert np.allclose(whole[0], pieces_[0], rtol=1e-5) and (whole[1] == pieces_[1]).all()
+
+
 def test_token_files_spread_rows_of_one_id(spark, tmp_path):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     d = spark.range(4000, numPartitions=8).selectExpr("cast(null as long) doc_id", "concat('text ', id % 7) text")
