@@ -96,6 +96,7 @@ class Lattice:
                     node = node.setdefault(c, {})
                 node[None] = (self.scores[p], (i,))
         self.known = Known(np.int32, CACHE_ENTRIES, CACHE_CHARACTERS, n)
+        self.others: dict[str, list] = {}  # parts with the ids of their N best
         self.unknown = -sp.get_piece_size() - 10.0
 
     def search(self, unit: str) -> list[tuple[float, tuple[int, ...]]]:
@@ -177,15 +178,15 @@ class Lattice:
         cut[first] = True
         return np.flatnonzero(cut)
 
-    def _rows(self, segments: list[str]) -> tuple[np.ndarray, list[int]]:
-        """(cache row of every part of the segments, number of parts after each segment)."""
+    def _rows(self, segments: list[str]) -> tuple[np.ndarray, list[int], list[str]]:
+        """(cache row of every part of the segments, number of parts after each segment, the parts)."""
         text = "".join(segments)
         codes = np.frombuffer(text.encode("utf-32-le", "replace"), dtype="<u4")
         ends = np.cumsum([len(t) for t in segments])
         start = self._cuts(codes, np.concatenate(([0], ends[:-1])))
         end = np.append(start[1:], len(codes))
-        rows = self.known.rows([text[i:j] for i, j in zip(start.tolist(), end.tolist(), strict=True)], self._of_parts)
-        return rows, np.searchsorted(end, ends, side="right").tolist()
+        parts = [text[i:j] for i, j in zip(start.tolist(), end.tolist(), strict=True)]
+        return self.known.rows(parts, self._of_parts), np.searchsorted(end, ends, side="right").tolist(), parts
 
     def _of_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         found = [self.search(p) for p in parts]
@@ -197,25 +198,60 @@ class Lattice:
 
     def best(self, texts: list[str | None]) -> list[tuple[np.ndarray, list[float]]]:
         """(ids of the best segmentation, scores of the N best) of each text."""
+        return [(ids, [s for s, _ in self._sums(total, [s for s, _, _ in near])]) for ids, total, near in self._found(texts)]
+
+    def segmentations(self, texts: list[str | None]) -> list[list[tuple[float, np.ndarray]]]:
+        """(score, ids) of the N best segmentations of each text: the best one with other ids in the parts that differ."""
+        out = []
+        for ids, total, near in self._found(texts):
+            found = []
+            for score, picks in self._sums(total, [s for s, _, _ in near]):
+                at, pieces = 0, []
+                for place, m in sorted((near[m][1], m) for m in picks):
+                    first, *_ = others = self._others(near[m][2])
+                    pieces += [ids[at:place], others[picks[m]]]
+                    at = place + len(first)
+                found.append((score, np.concatenate([*pieces, ids[at:]]) if pieces else ids))
+            out.append(found)
+        return out
+
+    def _others(self, part: str) -> list[np.ndarray]:
+        """Ids of the N best segmentations of a part, kept for short parts (at most CACHE_ENTRIES / 8)."""
+        found = self.others.get(part)
+        if found is None:
+            found = [np.array(h[1], dtype=np.int32) for h in self.search(part)]
+            if len(part) <= 64:
+                if len(self.others) >= CACHE_ENTRIES // 8:
+                    self.others.clear()
+                self.others[part] = found
+        return found
+
+    def _found(self, texts: list[str | None]) -> list[tuple[np.ndarray, float, list[tuple]]]:
+        """(ids of the best segmentation, its score, the N - 1 parts whose second alternatives cost least: scores, place of
+        their ids, characters) of each text."""
         ids: list[list] = [[] for _ in texts]
         totals = [0.0] * len(texts)
         near: list[list] = [[] for _ in texts]
+        placed = [0] * len(texts)
         held: list[str] = []
         owner: list[int] = []
 
         def flush():
-            rows, after = self._rows(held)
+            rows, after, parts = self._rows(held)
             runs, upto = self.known.runs(rows)
             scores = self.known.more[rows]
             cost = scores[:, 0] - scores[:, 1] if self.n > 1 else np.full(len(rows), np.inf)
             a = 0
             for i, b in zip(owner, after, strict=True):
-                ids[i].append(runs[upto[a - 1] if a else 0:upto[b - 1]])
+                begin = upto[a - 1] if a else 0
+                ids[i].append(runs[begin:upto[b - 1]])
                 totals[i] += float(scores[a:b, 0].sum())
                 # the N - 1 parts whose second alternatives cost least: any other one costs more than all of these
                 k = min(self.n - 1, b - a)
                 least = np.argpartition(cost[a:b], k - 1)[:k] + a if k else []
-                near[i] = sorted(near[i] + [tuple(scores[j]) for j in least if np.isfinite(cost[j])], key=lambda s: s[0] - s[1])[:self.n - 1]
+                near[i] = sorted(near[i] + [(tuple(scores[j]), placed[i] + int((upto[j - 1] if j else 0) - begin), parts[j]) for j in least if np.isfinite(cost[j])],
+                                 key=lambda p: p[0][0] - p[0][1])[:self.n - 1]
+                placed[i] += int(upto[b - 1] - begin)
                 a = b
             held.clear()
             owner.clear()
@@ -232,7 +268,7 @@ class Lattice:
         if held:
             flush()
         none = np.zeros(0, dtype=np.int32)
-        return [(np.concatenate(x) if x else none, [s for s, _ in self._sums(t, c)]) for x, t, c in zip(ids, totals, near, strict=True)]
+        return [(np.concatenate(x) if x else none, t, c) for x, t, c in zip(ids, totals, near, strict=True)]
 
     def _segments(self, text: str | None) -> Iterator[str]:
         """The text with marks, in segments of about SEGMENT characters that start where a run of spaces does."""
@@ -292,32 +328,42 @@ def lattice(path: str | None = None, n: int = N_BEST) -> Lattice:
     return _lattices[path, n]
 
 
-def encode(docs: DataFrame, model: str | None = None, n: int = N_BEST, with_ids: bool = True) -> DataFrame:
-    """doc_id, n_pieces, ids_crc32, scores (N best), round_trip and, if wanted, ids for each row of ``docs (doc_id, text)``.
+def encode(docs: DataFrame, model: str | None = None, n: int = N_BEST, with_ids: bool = True, with_segmentations: bool = False) -> DataFrame:
+    """doc_id, n_pieces, ids_crc32, scores (N best), round_trip and, if wanted, ids and segmentations for each row of ``docs (doc_id, text)``.
 
-    round_trip: the decoded ids give the text back. ids_crc32: of the best
-    ids as little-endian u32.
+    round_trip: the decoded ids give the text back, those of each segmentation
+    where they are wanted. ids_crc32: of the best ids as little-endian u32.
+    segmentations: ids of the N best in the order of scores.
     """
 
     def run(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         g = lattice(model, n)
         kinds = {"n_pieces": pa.int64(), "ids_crc32": pa.int64(), "scores": pa.list_(pa.float64()), "round_trip": pa.bool_()}
         kinds |= {"ids": pa.list_(pa.int32())} if with_ids else {}
+        kinds |= {"segmentations": pa.list_(pa.list_(pa.int32()))} if with_segmentations else {}
         for frame in frames:
             for at in range(0, frame.num_rows, ROWS):  # a few MB at a time
                 b = frame.slice(at, ROWS)
                 rows: dict = {c: [] for c in kinds}
                 texts = b.column(1).to_pylist()
-                for t, (ids, scores) in zip(texts, g.best(texts), strict=True):
+                if with_segmentations:
+                    found = g.segmentations(texts)
+                    rows["segmentations"] = [[ids for _, ids in x] for x in found]
+                    best = [(x[0][1], [s for s, _ in x]) for x in found]
+                else:
+                    best = g.best(texts)
+                for k, (t, (ids, scores)) in enumerate(zip(texts, best, strict=True)):
                     rows["n_pieces"].append(len(ids))
                     rows["ids_crc32"].append(zlib.crc32(ids.astype("<u4").tobytes()))
                     rows["scores"].append(scores)
-                    rows["round_trip"].append(g.decode(ids.tolist()) == (t or "").replace(MARK, " "))
+                    all_ids = rows["segmentations"][k] if with_segmentations else [ids]
+                    rows["round_trip"].append(all(g.decode(x.tolist()) == (t or "").replace(MARK, " ") for x in all_ids))
                     if with_ids:
                         rows["ids"].append(ids)
                 yield pa.RecordBatch.from_pydict({"doc_id": b.column(0)} | {c: pa.array(rows[c], k) for c, k in kinds.items()})
 
-    out = "doc_id long, n_pieces long, ids_crc32 long, scores array<double>, round_trip boolean" + ", ids array<int>" * with_ids
+    out = ("doc_id long, n_pieces long, ids_crc32 long, scores array<double>, round_trip boolean" + ", ids array<int>" * with_ids
+           + ", segmentations array<array<int>>" * with_segmentations)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text")).mapInArrow(run, out)
 
 

@@ -23,7 +23,7 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encode(table(spark, sf_dir, "documents"), with_ids=False)
+    return pieces.encode(table(spark, sf_dir, "documents"), with_segmentations=True)
 
 
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -241,6 +241,27 @@ def test_search_of_a_long_part_keeps_its_order():
     assert g.decode(ids.tolist()) == word and scores == sorted(scores, reverse=True) and len(scores) == g.n
 
 
+def test_segmentations_of_the_n_best(spark, tmp_path, monkeypatch):
+    texts = ["Hello unbelievable worlds", "a", "", None, "  two  spaces and tokenization ", "日本 語 internationalization", "one"]
+    g = pieces.lattice()
+    for t, found in zip(texts, g.segmentations(texts), strict=True):
+        slow = g.n_best(t)
+        assert np.allclose([s for s, _ in found], [s for s, _ in slow]) and found[0][1].tolist() == slow[0][1]
+        # equal sums may come in another order
+        assert sorted(x.tolist() for s, x in found if s > found[-1][0] + 1e-6) == sorted(i for s, i in slow if s > slow[-1][0] + 1e-6)
+        assert len({tuple(x.tolist()) for _, x in found}) == len(found)
+        assert all(g.decode(x.tolist()) == (t or "") for _, x in found)
+    long = " ".join(texts[:2] * 40)
+    whole = [(s, x.tolist()) for s, x in g.segmentations([long])[0]]
+    monkeypatch.setattr(pieces, "SEGMENT", 100)  # the alternatives lie in several segments
+    assert [(round(s, 6), x) for s, x in whole] == [(round(s, 6), x.tolist()) for s, x in g.segmentations([long])[0]]
+    from martlet.llm.queries import op4_sentencepiece
+
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    for r in op4_sentencepiece(spark, str(tmp_path)).collect():
+        assert r.round_trip and len(r.segmentations) == len(r.scores) and r.segmentations[0] == r.ids and len(r.ids) == r.n_pieces
+
+
 def test_toxicity_learns_one_text_of_each_id(spark):
     rows = [(1, f"copy {i}", "x") for i in range(500)] + [(2, "fine words", "x"), (3, "vile", "x")]
     d = spark.createDataFrame(rows, "doc_id long, text string, source string")
