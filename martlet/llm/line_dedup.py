@@ -19,11 +19,13 @@ Hashes only find candidates; what is removed has been compared byte for byte.
 A single repeated line among others that differ stays: that is the method's
 limit.
 
-Built-in functions only. The hashes of all pairs are shuffled as small rows
-and counted before the shuffle; texts travel once, by document, and of the
-pairs' texts only the repeated ones, so a passage that a third of all
-documents share costs its rows and meets others through splittable joins and
-pre-aggregated minima.
+Built-in functions only. The hashes of all pairs are grouped as small rows,
+reduced to a smallest and a largest place before the shuffle; the places of those
+that stand once go to their documents, and the pairs left are the repeated ones.
+Their texts are grouped, one of each kept by a task before the shuffle, and the
+first places go to their documents: every other repeated pair is a later copy.
+The documents are shuffled once for both, so the texts are on disk once.
+A passage that a third of all documents share is one row of each task.
 
 Null and empty texts have no pair and stay as they are. Rows alike in id and
 text are one document: they are cleaned alike, and neither removes the
@@ -35,7 +37,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from martlet.llm.common import cut, let
+from martlet.llm.common import let
 
 MIN_CHARS = 40
 
@@ -54,34 +56,40 @@ def pairs(text: Column) -> Column:
     return let(visible, lambda v: F.filter(of(v), lambda p: F.length(p["a"]) + F.length(p["b"]) >= MIN_CHARS))
 
 
-def removals(docs: DataFrame) -> DataFrame:
-    """(id, copy, gone): for each document that loses lines their numbers."""
-    d = docs.where("text is not null").select(F.col("doc_id").alias("id"), F.md5("text").alias("copy"), "text")
-    rolling = F.transform(pairs(F.col("text")), lambda p: F.xxhash64(F.xxhash64(p["a"]), F.xxhash64(p["b"])))
-    keys = d.select("id", "copy", F.posexplode(rolling).alias("no", "key"))
-    place = F.struct("id", "copy", "no")
-    twice = (keys.groupBy("key").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
-             .where(~F.col("lo").eqNullSafe(F.col("hi"))).select("key"))
-    marked = keys.join(twice, "key", "left_semi").groupBy("id", "copy").agg(F.collect_set("no").alias("some"))
-    marked = marked.select(F.col("id").alias("i"), F.col("copy").alias("c"), "some")
-    # their texts again, now only of repeated hashes, to compare bytes
-    again = d.join(marked, F.col("id").eqNullSafe(F.col("i")) & (F.col("copy") == F.col("c")))
-    chosen = let(pairs(F.col("text")), lambda p: F.transform("some", lambda n: F.struct(n.alias("no"), F.get(p, n).alias("p"))))
-    again = cut(again.select("id", "copy", F.explode(chosen).alias("s")).select(
-        "id", "copy", "s.no", F.col("s.p.at").alias("at"), F.col("s.p.to").alias("to"), F.concat("s.p.a", F.lit("\n"), "s.p.b").alias("pair")))
-    first = again.groupBy("pair").agg(F.min(place).alias("first"))
-    later = again.join(first, "pair").where(~F.struct("id", "copy", "no").eqNullSafe(F.col("first")))
-    gone = F.array_distinct(F.flatten(F.collect_list(F.sequence("at", "to"))))
-    return later.groupBy("id", "copy").agg(gone.alias("gone"))
-
-
 def line_dedup(docs: DataFrame) -> DataFrame:
     """``docs (doc_id, text, ...)`` with text cleaned, plus n_chunks and
     n_removed: the stretches of lines and the lines that were removed;
     n_chars, if there, follows the text."""
     names = docs.columns
-    gone = removals(docs.select("doc_id", "text")).select(F.col("id").alias("_i"), F.col("copy").alias("_c"), F.col("gone").alias("_gone"))
-    d = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_i")) & (F.md5("text") == F.col("_c")), "left")
+    base = docs.withColumn("_copy", F.unhex(F.md5("text")))
+    place = F.struct("id", "copy", "no")
+
+    def with_numbers(rows: DataFrame, places: DataFrame, out: str) -> DataFrame:
+        """``rows`` with the numbers of their pairs among ``places (id, copy, no)``."""
+        p = places.groupBy(F.col("id").alias("_i"), F.col("copy").alias("_c")).agg(F.collect_list("no").alias("_no"))
+        # null-safe on both, so this side's shuffle is the same one in every join and is written once
+        joined = rows.join(p, F.col("doc_id").eqNullSafe(F.col("_i")) & F.col("_copy").eqNullSafe(F.col("_c")), "left")
+        return joined.withColumn(out, F.coalesce("_no", F.array().cast("array<int>"))).drop("_i", "_c", "_no")
+
+    rolling = F.transform(pairs(F.col("text")), lambda p: F.xxhash64(F.xxhash64(p["a"]), F.xxhash64(p["b"])))
+    keys = base.select(F.col("doc_id").alias("id"), F.col("_copy").alias("copy"), F.posexplode(rolling).alias("no", "key"))
+    once = (keys.groupBy("key").agg(F.min(place).alias("lo"), F.max(place).alias("hi"))
+            .where(F.col("lo").eqNullSafe(F.col("hi"))).select("lo.*"))
+    d = with_numbers(base, once, "_once")
+
+    def repeated(p: Column) -> Column:
+        """Numbers of the pairs whose hash stands elsewhere, too."""
+        return F.array_except(F.transform(p, lambda x, i: i), "_once")
+
+    # the texts of these only, to compare bytes
+    texts = let(pairs(F.col("text")), lambda p: F.transform(repeated(p), lambda n: F.struct(
+        n.alias("no"), F.concat(F.get(p, n)["a"], F.lit("\n"), F.get(p, n)["b"]).alias("pair"))))
+    again = d.select(F.col("doc_id").alias("id"), F.col("_copy").alias("copy"), F.explode(texts).alias("s")).select("id", "copy", "s.no", "s.pair")
+    first = again.groupBy("pair").agg(F.min(place).alias("first")).select("first.*")
+    d = with_numbers(d, first, "_first")
+    later = let(pairs(F.col("text")), lambda p: F.array_distinct(F.flatten(F.transform(
+        F.array_except(repeated(p), "_first"), lambda n: F.sequence(F.get(p, n)["at"], F.get(p, n)["to"])))))
+    d = d.withColumn("_gone", F.when(F.size(later) > 0, later))
     left = let(lines(F.col("text")), lambda l: F.array_join(F.transform(
         F.array_except(F.sequence(F.lit(0), F.size(l) - 1), "_gone"), lambda i: F.get(l, i)), "\n"))
     chunks = F.size(F.array_except("_gone", F.transform("_gone", lambda i: i + 1)))

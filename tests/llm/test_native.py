@@ -157,3 +157,20 @@ def test_mixed_keeps_columns_and_repeats(documents):
 @pytest.mark.parametrize("op", [line_dedup.line_dedup, quality.quality, quality.clean, mixing.mix, mixing.mixed])
 def test_empty_tables(documents, op):
     assert op(documents.limit(0)).count() == 0
+
+
+def test_line_dedup_shuffles_the_texts_once(spark):
+    long = "a line that is long enough to count, of document"
+    rows = [(i, f"{long} {i}\nhead {i}\n{long} shared\n{long} shared too\ntail {i}") for i in range(40)]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    kept = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold") if spark.conf.get(c, None)}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = line_dedup.line_dedup(d)
+        assert sum(r.n_removed for r in out.collect()) == 2 * 39
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        # two joins with texts, the second and the query's own reuse the first one's shuffle
+        assert plan.count("ReusedExchange") >= 2
+    finally:
+        for c, v in kept.items():
+            spark.conf.set(c, v)
