@@ -207,10 +207,13 @@ def ngram_join(docs: DataFrame, width: int = SHINGLE, percent: int = PERCENT, ti
     reps = rows.where("n > 0").join(classes, ["n", "digest"]).where("doc_id = rep").groupBy("rep", "n", "digest").agg(F.first("keys").alias("keys"))
     reps = cut(reps)
     held = reps.select("rep", F.explode("keys").alias("key"))
-    several = held.groupBy("key").agg(F.count(F.lit(1)).alias("holders")).where("holders > 1").select("key")
+    # a hash that one row holds has that row's rep as its smallest; all other hashes of a rep are shared
+    alone = (held.groupBy("key").agg(F.count(F.lit(1)).alias("holders"), F.min("rep").alias("rep")).where("holders = 1")
+             .groupBy("rep").agg(F.count(F.lit(1)).alias("alone")))
     # a partner has at least t n hashes, so it shares lead(t n) of them
     need = F.greatest(F.lit(1), F.floor(F.ceil(F.col("n") * percent / 100) * LEAD_PERCENT / 100))
-    shared = held.join(several, "key", "left_semi").groupBy("rep").agg(F.count(F.lit(1)).alias("shared"))
+    total = reps.groupBy("rep").agg(F.sum(F.size("keys")).alias("total"))
+    shared = total.join(alone, "rep", "left").select("rep", (F.col("total") - F.coalesce("alone", F.lit(0))).alias("shared"))
     likely = cut(reps.join(shared, "rep").where(F.col("shared") >= need).select("rep", "n", "keys"))
     held = likely.select("rep", F.explode("keys").alias("key"))
     low = held.groupBy("key").agg(F.min("rep").alias("low"))

@@ -288,3 +288,15 @@ def test_pages_against_an_independent_reader(spark):
         reader.feed(r.html or "")
         reader.close()
         assert got[r.page_id] == " ".join(t for t in (" ".join(b.split()) for b in reader.blocks) if t), r.page_id
+
+
+def test_ngram_hashes_are_shuffled_once(spark, monkeypatch):
+    """Shared hashes are counted as the rest of those that one document holds, without a join of all hashes."""
+    plans, cut = [], ngram_join.cut
+    monkeypatch.setattr(ngram_join, "cut", lambda df: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), cut(df))[1])
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:-1])), (3, " ".join(reversed(words))), (3, " ".join(words[:58])), (4, None)]
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(1, 58): 1, (2, 57): 1, (3, 58): 1, (3, 56): 1, (4, 0): 4}
+    likely = next(p for p in plans if "alone" in p or "holders" in p)
+    assert "explode(keys" in likely and "LeftSemi" not in likely
