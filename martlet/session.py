@@ -119,11 +119,13 @@ def _bytes(size: str) -> int:
 
 def bound_tasks(spark: SparkSession, input_bytes: int) -> None:
     """Keep what a task sorts about the same whatever the input: more shuffle
-    partitions for more input, merged only up to TASK_BYTES. A session's own
+    partitions for more input, merged only up to TASK_BYTES; of files a scan task
+    reads about as much, since it holds what it shuffles. A session's own
     smaller size or larger count stays."""
     size, count = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    if _bytes(spark.conf.get(size)) > TASK_BYTES:
-        spark.conf.set(size, str(TASK_BYTES))
+    for c in (size, "spark.sql.files.maxPartitionBytes"):
+        if _bytes(spark.conf.get(c)) > TASK_BYTES:
+            spark.conf.set(c, str(TASK_BYTES))
     wanted = -(-input_bytes // INPUT_BYTES_A_PARTITION)
     if wanted > int(spark.conf.get(count, None) or spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set(count, str(wanted))

@@ -119,3 +119,20 @@ def test_bound_tasks(spark):
     finally:
         for c, v in before.items():
             spark.conf.set(c, v) if v is not None else spark.conf.unset(c)
+
+
+def test_bound_tasks_bounds_scans(spark):
+    from martlet.session import TASK_BYTES, bound_tasks
+
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+    before = {c: spark.conf.get(c, None) for c in names}
+    try:
+        spark.conf.set(names[0], "128MB")
+        bound_tasks(spark, 1000)
+        assert spark.conf.get(names[0]) == str(TASK_BYTES)
+        spark.conf.set(names[0], "1m")
+        bound_tasks(spark, 1000)
+        assert spark.conf.get(names[0]) == "1m"
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v) if v is not None else spark.conf.unset(c)
