@@ -65,17 +65,18 @@ def components(edges: DataFrame) -> DataFrame:
     component is its smallest reachable node. Self-loops and null ends are
     ignored. Each round replaces the edges by stars around smaller nodes, so
     no group of neighbours meets in one task: minima are aggregated before
-    the shuffle, and hubs get theirs by broadcast (see ``_with_low``). Rounds
-    are cut by checkpoint().
+    the shuffle, and hubs get theirs by broadcast (see ``_with_low``). Both
+    halves of a round are cut by checkpoint(): each reads its edges five
+    times, so a plan of a whole round would hold them 25 times.
     """
     e = cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
             .where("a is not null and b is not null and a <> b").distinct())
     last, rows = None, e.count()
     while True:
-        both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = e.select(F.explode(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))).alias("s")).select("s.u", "s.v")
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"), F.count(F.lit(1)).alias("n"))
-        large = (_with_low(both, low, 2 * rows).where("v > u")
-                 .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        # at most one row for each edge, so repeats may stay: n counts them
+        large = cut(_with_low(both, low, 2 * rows).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")))
         low = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
         small = (_with_low(large, low, 2 * rows)
                  .select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")),

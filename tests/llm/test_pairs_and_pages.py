@@ -300,3 +300,17 @@ def test_ngram_hashes_are_shuffled_once(spark, monkeypatch):
     assert got == {(1, 58): 1, (2, 57): 1, (3, 58): 1, (3, 56): 1, (4, 0): 4}
     likely = next(p for p in plans if "alone" in p or "holders" in p)
     assert "explode(keys" in likely and "LeftSemi" not in likely
+
+
+def test_components_cuts_small_plans(spark, monkeypatch):
+    """No plan that a round leaves to be cut grows with the copies of its edges."""
+    from martlet.llm import common
+
+    leaves, cut = [], common.cut
+    monkeypatch.setattr(common, "cut", lambda df: (leaves.append(df._jdf.queryExecution().analyzed().collectLeaves().size()), cut(df))[1])
+    monkeypatch.setattr(common, "HUB_EDGES", 3)  # hubs, too
+    monkeypatch.setattr(common, "HUBS", 2)
+    edges = [(1, k) for k in range(2, 40)] + [(k, k + 1) for k in range(50, 60)] + [(60, 50), (70, 70), (None, 3), (80, None), (5, 1), (5, 1)]
+    got = {(r.node, r.component) for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {(k, 1) for k in range(1, 40)} | {(k, 50) for k in range(50, 61)}
+    assert max(leaves) <= 10
