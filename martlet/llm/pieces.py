@@ -16,7 +16,13 @@ parts, found by a queue over the N - 1 parts whose second alternatives cost
 least; very long texts go in segments. The search of a part holds one score
 for each position, not the edges: those into a position are found again when
 the search comes by, and of the hypotheses only N wait at a time. So a word of
-a million letters takes about 300 bytes a letter.
+of a million letters takes about 300 bytes a letter.
+
+Only the best ids and the N best scores of a part are kept; for new parts of
+up to SHORT letters these come from one forward pass over all of them at
+once, place by place: the N highest sums into each place and its best edge.
+Of ties the longest edge counts, as in the search, which gives the ids of
+the other segmentations.
 
 Ties between equal scores: the order of discovery, the same on each run.
 Decoding joins pieces, turns marks into spaces and byte pieces into bytes and
@@ -50,6 +56,8 @@ CACHE_ENTRIES = 400_000
 CACHE_CHARACTERS = 16 << 20
 SEGMENT = 1 << 18
 ROWS = 500
+SHORT = 64
+TOGETHER = 1 << 16  # letters of short parts that go through one pass
 _KINDS = 511
 
 _lattices: dict[tuple, Lattice] = {}
@@ -95,6 +103,23 @@ class Lattice:
                 for c in letters:
                     node = node.setdefault(c, {})
                 node[None] = (self.scores[p], (i,))
+        # the trie as arrays: sorted (node, letter) pairs with the node they lead to, and the piece that ends there
+        self.letters = np.array(sorted({ord(c) for p in self.ids for c in p}), dtype=np.int64)
+        kind = {chr(c): k for k, c in enumerate(self.letters.tolist())}
+        node = {"": 0}
+        steps = []
+        for p in self.ids:
+            for j in range(1, len(p) + 1):
+                if p[:j] not in node:
+                    steps.append((node[p[:j - 1]] * len(kind) + kind[p[j - 1]], len(node)))
+                    node[p[:j]] = len(node)
+        self.steps, self.leads = np.array(sorted(steps), dtype=np.int64).reshape(-1, 2).T.copy()
+        self.piece, self.cost = np.full(len(node), -1, dtype=np.int32), np.zeros(len(node))
+        for p, i in self.ids.items():
+            self.piece[node[p]], self.cost[node[p]] = i, self.scores[p]
+        self.spelling = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
+        self.spelling_size = np.array([len(b) for b in self.bytes_of], dtype=np.int32)
+        self.spelling_at = np.cumsum(self.spelling_size, dtype=np.int32) - self.spelling_size
         self.known = Known(np.int32, CACHE_ENTRIES, CACHE_CHARACTERS, n)
         self.others: dict[str, list] = {}  # parts with the ids of their N best
         self.unknown = -sp.get_piece_size() - 10.0
@@ -189,12 +214,101 @@ class Lattice:
         return self.known.rows(parts, self._of_parts), np.searchsorted(end, ends, side="right").tolist(), parts
 
     def _of_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        found = [self.search(p) for p in parts]
-        sizes = np.fromiter((len(f[0][1]) for f in found), dtype=np.int64, count=len(found))
-        scores = np.full((len(found), self.n), -np.inf)
-        for k, f in enumerate(found):
-            scores[k, :len(f)] = [h[0] for h in f]
-        return np.fromiter(chain.from_iterable(f[0][1] for f in found), dtype=np.int32, count=sizes.sum()), sizes, scores
+        """(best ids of the parts end to end, their sizes, N best scores of each part)."""
+        runs, sizes, scores = [np.zeros(0, dtype=np.int32)], [np.zeros(0, dtype=np.int64)], [np.zeros((0, self.n))]
+        held: list[str] = []
+
+        def add(*found):
+            for out, x in zip((runs, sizes, scores), found, strict=True):
+                out.append(x)
+
+        def flush():
+            if held:
+                add(*self._short(held))
+                held.clear()
+
+        size = 0
+        for p in parts:
+            if len(p) <= SHORT:
+                held.append(p)
+                size += len(p)
+            if len(p) > SHORT or size >= TOGETHER:
+                flush()
+                size = 0
+            if len(p) > SHORT:
+                found = self.search(p)
+                add(np.array(found[0][1], dtype=np.int32), np.array([len(found[0][1])]),
+                    np.array([[h[0] for h in found] + [-np.inf] * (self.n - len(found))]))
+        flush()
+        return np.concatenate(runs), np.concatenate(sizes), np.concatenate(scores)
+
+    def _short(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same for short parts, all at once; a part of n letters has n + 1 places, numbered end to end."""
+        codes = np.frombuffer("".join(parts).encode("utf-32-le", "replace"), dtype="<u4").astype(np.int64)
+        length = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
+        owner = np.repeat(np.arange(len(parts)), length)  # of each letter
+        last = np.cumsum(length)
+        kind = np.minimum(np.searchsorted(self.letters, codes), len(self.letters) - 1)
+        kind[self.letters[kind] != codes] = -1
+        # the edges: (letter where they start, letters, node of the trie); -1: through byte pieces
+        first, node, edges = np.arange(len(codes)), np.zeros(len(codes), dtype=np.int64), []
+        for j in range(int(length.max())):
+            inside = first + j < last[owner[first]]
+            first, node = first[inside], node[inside]
+            inside = kind[first + j] >= 0
+            step = node * len(self.letters) + kind[first + j]
+            at = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
+            on = inside & (self.steps[at] == step)
+            if j == 0:
+                alone = on & (self.piece[self.leads[at]] >= 0)
+                edges.append((first[~alone], np.ones(int((~alone).sum()), dtype=np.int64), np.full(int((~alone).sum()), -1)))
+            first, node = first[on], self.leads[at[on]]
+            if not len(first):
+                break
+            ends = self.piece[node] >= 0
+            edges.append((first[ends], np.full(int(ends.sum()), j + 1), node[ends]))
+        begin, span, node = (np.concatenate(x) for x in zip(*edges, strict=True))
+        into = begin + span + owner[begin]  # place where the edge ends
+        order = np.argsort(into * (2 * SHORT) - span)  # longest first
+        begin, span, node, into = begin[order], span[order], node[order], into[order]
+        score = np.where(node >= 0, self.cost[node], self.unknown)
+        # edges into the same place have slots from 0; places go by their distance from their part's start
+        head = np.flatnonzero(np.diff(into, prepend=-1))
+        places, count = into[head], np.diff(head, append=len(into))
+        slot = np.arange(len(into)) - np.repeat(head, count)
+        zero = last - length + np.arange(len(parts))
+        far = places - zero[owner[begin[head]]]
+        sums = np.full((len(codes) + len(parts), self.n), -np.inf)
+        sums[zero, 0] = 0.0
+        best = np.zeros(len(places), dtype=np.int64)  # edge into each place
+        by_far = np.argsort(far, kind="stable")
+        bounds = np.searchsorted(far[by_far], np.arange(1, int(length.max()) + 2))
+        groups = [by_far[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
+        for group in groups:
+            own = np.repeat(head[group] - np.cumsum(count[group]) + count[group], count[group]) + np.arange(int(count[group].sum()))
+            table = np.full((len(group), int(count[group].max(initial=1)), self.n), -np.inf)
+            table[np.repeat(np.arange(len(group)), count[group]), slot[own]] = sums[into[own] - span[own]] + score[own, None]
+            best[group] = head[group] + table[:, :, 0].argmax(axis=1)
+            table = table.reshape(len(group), -1)
+            table.sort(axis=1)
+            sums[places[group]] = table[:, :-self.n - 1:-1]
+        chosen = np.zeros(len(into), dtype=bool)
+        here = np.zeros(len(sums), dtype=bool)
+        here[zero + length] = True
+        for group in reversed(groups):
+            own = best[group[here[places[group]]]]
+            chosen[own] = True
+            here[into[own] - span[own]] = True
+        begin, node = begin[chosen], node[chosen]
+        spelt = node < 0
+        letters = "".join(map(chr, codes[begin[spelt]].tolist()))
+        size = np.ones(len(node), dtype=np.int64)
+        size[spelt] = [len(c.encode()) for c in letters]
+        ids = np.empty(int(size.sum()), dtype=np.int32)
+        spelt = np.repeat(spelt, size)
+        ids[~spelt] = self.piece[node[node >= 0]]
+        ids[spelt] = np.array(self.byte_ids, dtype=np.int32)[np.frombuffer(letters.encode(), dtype=np.uint8)]
+        return ids, np.bincount(owner[begin], weights=size, minlength=len(parts)).astype(np.int64), sums[zero + length]
 
     def best(self, texts: list[str | None]) -> list[tuple[np.ndarray, list[float]]]:
         """(ids of the best segmentation, scores of the N best) of each text."""
@@ -321,6 +435,30 @@ class Lattice:
         text = b"".join(map(self.bytes_of.__getitem__, ids)).decode(errors="replace").replace(MARK, " ")
         return text[1:] if text[:1] == " " else text
 
+    def returns(self, text: str | None, runs: list[np.ndarray]) -> bool:
+        """Whether each run of ids decodes to the text."""
+        if not text:
+            return not any(map(len, runs))
+        wanted = (MARK + text.replace(" ", MARK)).encode()
+        for ids in runs:
+            at = 0
+            for a in range(0, len(ids), SEGMENT):  # a few MB at a time
+                own = ids[a:a + SEGMENT]
+                size = self.spelling_size[own]
+                upto = np.cumsum(size, dtype=np.int32)
+                place = np.repeat(self.spelling_at[own] - upto + size, size)
+                place += np.arange(len(place), dtype=np.int32)
+                spelt = self.spelling[place].tobytes()
+                if wanted[at:at + len(spelt)] != spelt:
+                    break
+                at += len(spelt)
+            else:
+                if at == len(wanted):
+                    continue
+            if self.decode(ids.tolist()) != text.replace(MARK, " "):
+                return False
+        return True
+
 
 def lattice(path: str | None = None, n: int = N_BEST) -> Lattice:
     if (path, n) not in _lattices:
@@ -328,6 +466,14 @@ def lattice(path: str | None = None, n: int = N_BEST) -> Lattice:
     return _lattices[path, n]
 
 
+def _ends(lists: list) -> pa.Array:
+    return pa.array(np.concatenate(([0], np.cumsum([len(x) for x in lists]))), pa.int32())
+
+
+def _lists(runs: list[np.ndarray]) -> pa.ListArray:
+    return pa.ListArray.from_arrays(_ends(runs), pa.array(np.concatenate([np.zeros(0, np.int32), *runs])))
+
+
 def encode(docs: DataFrame, model: str | None = None, n: int = N_BEST, with_ids: bool = True, with_segmentations: bool = False) -> DataFrame:
     """doc_id, n_pieces, ids_crc32, scores (N best), round_trip and, if wanted, ids and segmentations for each row of ``docs (doc_id, text)``.
 
@@ -357,10 +503,14 @@ def encode(docs: DataFrame, model: str | None = None, n: int = N_BEST, with_ids:
                     rows["ids_crc32"].append(zlib.crc32(ids.astype("<u4").tobytes()))
                     rows["scores"].append(scores)
                     all_ids = rows["segmentations"][k] if with_segmentations else [ids]
-                    rows["round_trip"].append(all(g.decode(x.tolist()) == (t or "").replace(MARK, " ") for x in all_ids))
+                    rows["round_trip"].append(g.returns(t, all_ids))
                     if with_ids:
                         rows["ids"].append(ids)
-                yield pa.RecordBatch.from_pydict({"doc_id": b.column(0)} | {c: pa.array(rows[c], k) for c, k in kinds.items()})
+                arrays = {c: pa.array(x, kinds[c]) for c, x in rows.items() if c not in ("ids", "segmentations")}
+                arrays |= {"ids": _lists(rows["ids"])} if with_ids else {}
+                if with_segmentations:
+                    arrays["segmentations"] = pa.ListArray.from_arrays(_ends(rows["segmentations"]), _lists([*chain.from_iterable(rows["segmentations"])]))
+                yield pa.RecordBatch.from_pydict({"doc_id": b.column(0)} | {c: arrays[c] for c in kinds})
 
     out = ("doc_id long, n_pieces long, ids_crc32 long, scores array<double>, round_trip boolean" + ", ids array<int>" * with_ids
            + ", segmentations array<array<int>>" * with_segmentations)

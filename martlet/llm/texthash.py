@@ -244,9 +244,10 @@ class Known:
                 self.forget()
                 new = list(dict.fromkeys(parts))
                 longer = sum(map(len, new))
+                found = [None] * len(parts)
             self._add(new, *make(new))
             self.held += longer
-            found = list(map(self.row.__getitem__, parts))
+            found = [self.row[p] if r is None else r for p, r in zip(parts, found, strict=True)]
         return np.array(found, dtype=np.int64)
 
     def _add(self, new: list, runs: np.ndarray, sizes: np.ndarray, more: np.ndarray | None) -> None:

@@ -318,3 +318,32 @@ def test_token_files_spread_rows_of_one_id(spark, tmp_path):
     assert len(parts) > 4 and max(r[1] for r in parts) < 4 * sum(r[1] for r in parts) / len(parts)
     got = sorted(token_files.read(spark, f"{tmp_path}/s").collect(), key=lambda r: r.start)
     assert len(got) == 4000 and all(a.start + a.n_tokens == b.start for a, b in zip(got, got[1:], strict=False))
+
+
+def test_short_pieces_come_from_one_pass(monkeypatch):
+    """Short parts are not searched one by one, and give the search's best ids and N best scores, ties included."""
+    import random
+
+    r = random.Random(7)
+    parts = ["".join(r.choice(letters) for _ in range(r.randrange(1, 40))) for letters in ("abc", "aeth", "日本é😀▁ab", "\n\tx0") for _ in range(60)]
+    parts += ["x" * pieces.SHORT, "ab" * pieces.SHORT, pieces.MARK, "z"]
+    g = pieces.Lattice()
+    wanted = [g.search(p) for p in parts]
+    searched = []
+    monkeypatch.setattr(g, "search", lambda p, f=g.search: (searched.append(p), f(p))[1])
+    ids, sizes, scores = g._of_parts(parts)
+    assert searched == ["ab" * pieces.SHORT]
+    at = 0
+    for found, n, s in zip(wanted, sizes.tolist(), scores.tolist(), strict=True):
+        assert ids[at:at + n].tolist() == list(found[0][1]) and [x for x in s if x > float("-inf")] == [h[0] for h in found]
+        at += n
+    assert at == len(ids)
+
+
+def test_pieces_return_their_text():
+    g = pieces.lattice()
+    for t in ("two words", " lead\n日本 ▁ é😀 ", ""):
+        ids = np.array(g.n_best(t)[0][1], dtype=np.int32)
+        assert g.returns(t, [ids, ids]) and not g.returns(t + "x", [ids])
+        assert not g.returns(t, [ids, np.append(ids, g.ids["x"])])
+    assert g.returns(None, [np.zeros(0, dtype=np.int32)])
