@@ -38,9 +38,10 @@ from __future__ import annotations
 
 import heapq
 import re
+import sys
 import zlib
 from bisect import insort
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -48,7 +49,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from martlet.llm.texthash import Known
+from martlet.llm.texthash import Packed
 
 MARK = "▁"
 N_BEST = 4
@@ -58,6 +59,7 @@ SEGMENT = 1 << 18
 ROWS = 500
 SHORT = 64
 TOGETHER = 1 << 16  # letters of short parts that go through one pass
+DECODED = 1 << 15  # ids decoded together, but for those of a longer text
 _KINDS = 511
 
 _lattices: dict[tuple, Lattice] = {}
@@ -104,8 +106,11 @@ class Lattice:
                     node = node.setdefault(c, {})
                 node[None] = (self.scores[p], (i,))
         # the trie as arrays: sorted (node, letter) pairs with the node they lead to, and the piece that ends there
-        self.letters = np.array(sorted({ord(c) for p in self.ids for c in p}), dtype=np.int64)
-        kind = {chr(c): k for k, c in enumerate(self.letters.tolist())}
+        letters = sorted({c for p in self.ids for c in p})
+        kind = {c: k for k, c in enumerate(letters)}
+        self.letters = len(letters)
+        self.letter = np.full(sys.maxunicode + 1, -1, dtype=np.int16 if len(letters) < 1 << 15 else np.int32)  # number of each character
+        self.letter[[ord(c) for c in letters]] = np.arange(len(letters))
         node = {"": 0}
         steps = []
         for p in self.ids:
@@ -117,10 +122,12 @@ class Lattice:
         self.piece, self.cost = np.full(len(node), -1, dtype=np.int32), np.zeros(len(node))
         for p, i in self.ids.items():
             self.piece[node[p]], self.cost[node[p]] = i, self.scores[p]
-        self.spelling = np.frombuffer(b"".join(self.bytes_of), dtype=np.uint8)
-        self.spelling_size = np.array([len(b) for b in self.bytes_of], dtype=np.int32)
-        self.spelling_at = np.cumsum(self.spelling_size, dtype=np.int32) - self.spelling_size
-        self.known = Known(np.int32, CACHE_ENTRIES, CACHE_CHARACTERS, n)
+        # the bytes of the pieces end to end, with spaces for marks
+        spelt = [b.replace(MARK.encode(), b" ") for b in self.bytes_of]
+        self.spelling = np.frombuffer(b"".join(spelt), dtype=np.uint8)
+        self.spelling_size = np.array([len(b) for b in spelt], dtype=np.int64)
+        self.spelling_at = np.cumsum(self.spelling_size) - self.spelling_size
+        self.known = Packed(np.int32, CACHE_ENTRIES, CACHE_CHARACTERS, n)
         self.others: dict[str, list] = {}  # parts with the ids of their N best
         self.unknown = -sp.get_piece_size() - 10.0
 
@@ -195,23 +202,32 @@ class Lattice:
         return edges
 
     def _cuts(self, codes: np.ndarray, first: np.ndarray) -> np.ndarray:
-        """Where parts start in code points with marks for spaces: at segments, and where no piece holds the neighbours."""
+        """Where parts start in code points, spaces taken for marks: at segments, and where no piece holds the neighbours."""
         kind = np.where(codes < _KINDS, codes, _KINDS + 1)
-        kind[codes == ord(MARK)] = _KINDS
+        kind[(codes == ord(MARK)) | (codes == 32)] = _KINDS
         cut = np.zeros(len(codes), dtype=bool)
         cut[1:] = ~self.beside[kind[:-1], kind[1:]]
         cut[first] = True
         return np.flatnonzero(cut)
 
-    def _rows(self, segments: list[str]) -> tuple[np.ndarray, list[int], list[str]]:
-        """(cache row of every part of the segments, number of parts after each segment, the parts)."""
-        text = "".join(segments)
+    def _rows(self, segments: list[str]) -> tuple[np.ndarray, list[int], Callable[[int], str]]:
+        """(cache row of every part of the segments, number of parts after each segment, the part at a place)."""
+        text = "".join(segments).replace(MARK, " ")  # shorter, as bytes
+        data = text.encode(errors="replace")
         codes = np.frombuffer(text.encode("utf-32-le", "replace"), dtype="<u4")
         ends = np.cumsum([len(t) for t in segments])
         start = self._cuts(codes, np.concatenate(([0], ends[:-1])))
         end = np.append(start[1:], len(codes))
-        parts = [text[i:j] for i, j in zip(start.tolist(), end.tolist(), strict=True)]
-        return self.known.rows(parts, self._of_parts), np.searchsorted(end, ends, side="right").tolist(), parts
+        after = np.searchsorted(end, ends, side="right").tolist()
+        if len(data) > len(codes):
+            at = np.concatenate(([0], np.cumsum(1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000))))
+            start, end = at[start], at[end]
+
+        def spelt(part: bytes) -> str:
+            return part.decode().replace(" ", MARK)
+
+        rows = self.known.spans(data, start, end, lambda new: self._of_parts(list(map(spelt, new))))
+        return rows, after, lambda j: spelt(data[start[j]:end[j]])
 
     def _of_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(best ids of the parts end to end, their sizes, N best scores of each part)."""
@@ -248,57 +264,62 @@ class Lattice:
         length = np.fromiter(map(len, parts), dtype=np.int64, count=len(parts))
         owner = np.repeat(np.arange(len(parts)), length)  # of each letter
         last = np.cumsum(length)
-        kind = np.minimum(np.searchsorted(self.letters, codes), len(self.letters) - 1)
-        kind[self.letters[kind] != codes] = -1
+        kind = self.letter[codes].astype(np.int64)
         # the edges: (letter where they start, letters, node of the trie); -1: through byte pieces
+        room = last[owner] - np.arange(len(codes))
         first, node, edges = np.arange(len(codes)), np.zeros(len(codes), dtype=np.int64), []
         for j in range(int(length.max())):
-            inside = first + j < last[owner[first]]
-            first, node = first[inside], node[inside]
-            inside = kind[first + j] >= 0
-            step = node * len(self.letters) + kind[first + j]
-            at = np.minimum(np.searchsorted(self.steps, step), len(self.steps) - 1)
-            on = inside & (self.steps[at] == step)
+            if j:
+                inside = room[first] > j
+                first, node = first[inside], node[inside]
+            own = kind[first + j] if j else kind
+            step = node * self.letters + own
+            at = np.searchsorted(self.steps, step)
+            at[at == len(self.steps)] = 0
+            on = (self.steps[at] == step) & (own >= 0)
             if j == 0:
-                alone = on & (self.piece[self.leads[at]] >= 0)
-                edges.append((first[~alone], np.ones(int((~alone).sum()), dtype=np.int64), np.full(int((~alone).sum()), -1)))
+                alone = np.flatnonzero(~(on & (self.piece[self.leads[at]] >= 0)))
+                edges.append((alone, np.ones(len(alone), dtype=np.int64), np.full(len(alone), -1)))
             first, node = first[on], self.leads[at[on]]
             if not len(first):
                 break
             ends = self.piece[node] >= 0
             edges.append((first[ends], np.full(int(ends.sum()), j + 1), node[ends]))
         begin, span, node = (np.concatenate(x) for x in zip(*edges, strict=True))
+        zero = last - length + np.arange(len(parts))
         into = begin + span + owner[begin]  # place where the edge ends
-        order = np.argsort(into * (2 * SHORT) - span)  # longest first
-        begin, span, node, into = begin[order], span[order], node[order], into[order]
+        far = into - zero[owner[begin]]  # its distance from the part's start
+        # by distance, then place, longest first: what one step needs lies together
+        order = np.argsort((far * (len(codes) + len(parts)) + into) * (2 * SHORT) - span)
+        begin, span, node, into, far = begin[order], span[order], node[order], into[order], far[order]
         score = np.where(node >= 0, self.cost[node], self.unknown)
-        # edges into the same place have slots from 0; places go by their distance from their part's start
+        came = into - span
+        # edges into the same place have slots from 0
         head = np.flatnonzero(np.diff(into, prepend=-1))
         places, count = into[head], np.diff(head, append=len(into))
         slot = np.arange(len(into)) - np.repeat(head, count)
-        zero = last - length + np.arange(len(parts))
-        far = places - zero[owner[begin[head]]]
         sums = np.full((len(codes) + len(parts), self.n), -np.inf)
         sums[zero, 0] = 0.0
         best = np.zeros(len(places), dtype=np.int64)  # edge into each place
-        by_far = np.argsort(far, kind="stable")
-        bounds = np.searchsorted(far[by_far], np.arange(1, int(length.max()) + 2))
-        groups = [by_far[a:b] for a, b in zip(bounds, bounds[1:], strict=False)]
-        for group in groups:
-            own = np.repeat(head[group] - np.cumsum(count[group]) + count[group], count[group]) + np.arange(int(count[group].sum()))
-            table = np.full((len(group), int(count[group].max(initial=1)), self.n), -np.inf)
-            table[np.repeat(np.arange(len(group)), count[group]), slot[own]] = sums[into[own] - span[own]] + score[own, None]
-            best[group] = head[group] + table[:, :, 0].argmax(axis=1)
-            table = table.reshape(len(group), -1)
+        bounds = np.searchsorted(far[head], np.arange(1, int(length.max()) + 2)).tolist()
+        groups = [(x, y) for x, y in zip(bounds, bounds[1:], strict=False) if x < y]
+        for x, y in groups:
+            u, v, most = int(head[x]), int(head[y - 1] + count[y - 1]), int(count[x:y].max())
+            table = np.full(((y - x) * most, self.n), -np.inf)
+            table[np.repeat(np.arange(y - x) * most, count[x:y]) + slot[u:v]] = sums[came[u:v]] + score[u:v, None]
+            table = table.reshape(y - x, most * self.n)
+            best[x:y] = head[x:y] + table[:, ::self.n].argmax(axis=1)
             table.sort(axis=1)
-            sums[places[group]] = table[:, :-self.n - 1:-1]
+            sums[places[x:y]] = table[:, :-self.n - 1:-1]
         chosen = np.zeros(len(into), dtype=bool)
         here = np.zeros(len(sums), dtype=bool)
         here[zero + length] = True
-        for group in reversed(groups):
-            own = best[group[here[places[group]]]]
+        for x, y in reversed(groups):
+            own = best[x:y][here[places[x:y]]]
             chosen[own] = True
-            here[into[own] - span[own]] = True
+            here[came[own]] = True
+        chosen = np.flatnonzero(chosen)
+        chosen = chosen[np.argsort(begin[chosen])]
         begin, node = begin[chosen], node[chosen]
         spelt = node < 0
         letters = "".join(map(chr, codes[begin[spelt]].tolist()))
@@ -351,7 +372,7 @@ class Lattice:
         owner: list[int] = []
 
         def flush():
-            rows, after, parts = self._rows(held)
+            rows, after, part = self._rows(held)
             runs, upto = self.known.runs(rows)
             scores = self.known.more[rows]
             cost = scores[:, 0] - scores[:, 1] if self.n > 1 else np.full(len(rows), np.inf)
@@ -363,7 +384,7 @@ class Lattice:
                 # the N - 1 parts whose second alternatives cost least: any other one costs more than all of these
                 k = min(self.n - 1, b - a)
                 least = np.argpartition(cost[a:b], k - 1)[:k] + a if k else []
-                near[i] = sorted(near[i] + [(tuple(scores[j]), placed[i] + int((upto[j - 1] if j else 0) - begin), parts[j]) for j in least if np.isfinite(cost[j])],
+                near[i] = sorted(near[i] + [(tuple(scores[j]), placed[i] + int((upto[j - 1] if j else 0) - begin), part(j)) for j in least if np.isfinite(cost[j])],
                                  key=lambda p: p[0][0] - p[0][1])[:self.n - 1]
                 placed[i] += int(upto[b - 1] - begin)
                 a = b
@@ -376,7 +397,7 @@ class Lattice:
                 held.append(part)
                 owner.append(i)
                 size += len(part)
-                if size >= SEGMENT:
+                if size >= 2 * SEGMENT:
                     flush()
                     size = 0
         if held:
@@ -435,20 +456,23 @@ class Lattice:
         text = b"".join(map(self.bytes_of.__getitem__, ids)).decode(errors="replace").replace(MARK, " ")
         return text[1:] if text[:1] == " " else text
 
+    def _spell(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """(the bytes of the ids end to end, with spaces for marks; where those of each id end)."""
+        size = self.spelling_size[ids]
+        upto = np.cumsum(size)
+        place = np.repeat(self.spelling_at[ids] - upto + size, size)
+        place += np.arange(len(place))
+        return self.spelling[place].tobytes(), upto
+
     def returns(self, text: str | None, runs: list[np.ndarray]) -> bool:
         """Whether each run of ids decodes to the text."""
         if not text:
             return not any(map(len, runs))
-        wanted = (MARK + text.replace(" ", MARK)).encode()
+        wanted = _wanted(text)
         for ids in runs:
             at = 0
             for a in range(0, len(ids), SEGMENT):  # a few MB at a time
-                own = ids[a:a + SEGMENT]
-                size = self.spelling_size[own]
-                upto = np.cumsum(size, dtype=np.int32)
-                place = np.repeat(self.spelling_at[own] - upto + size, size)
-                place += np.arange(len(place), dtype=np.int32)
-                spelt = self.spelling[place].tobytes()
+                spelt, _ = self._spell(ids[a:a + SEGMENT])
                 if wanted[at:at + len(spelt)] != spelt:
                     break
                 at += len(spelt)
@@ -459,6 +483,27 @@ class Lattice:
                 return False
         return True
 
+    def all_return(self, texts: list[str | None], runs: list[list[np.ndarray]]) -> list[bool]:
+        """``returns`` for each text with its runs of ids; the runs of neighbours are decoded together."""
+        out: list[bool] = []
+        upto = np.cumsum([sum(map(len, x)) for x in runs])
+        cuts = np.unique(np.append(np.searchsorted(upto, np.arange(0, upto[-1] + 1, DECODED)), len(texts))).tolist() if texts else []
+        for a, b in zip([0, *cuts], cuts, strict=False):
+            ids = [x for own in runs[a:b] for x in own]
+            if b - a > 1 and ids:
+                wanted = [w for t, own in zip(texts[a:b], runs[a:b], strict=True) for w in [_wanted(t)] * len(own)]
+                spelt, ends = self._spell(np.concatenate(ids))
+                ends = np.concatenate(([0], ends))[np.cumsum([*map(len, ids)])]
+                if (ends == np.cumsum([*map(len, wanted)])).all() and spelt == b"".join(wanted):
+                    out += [True] * (b - a)
+                    continue
+            out += [self.returns(t, own) for t, own in zip(texts[a:b], runs[a:b], strict=True)]
+        return out
+
+
+def _wanted(text: str | None) -> bytes:
+    return (" " + text.replace(MARK, " ")).encode() if text else b""
+
 
 def lattice(path: str | None = None, n: int = N_BEST) -> Lattice:
     if (path, n) not in _lattices:
@@ -498,14 +543,13 @@ def encode(docs: DataFrame, model: str | None = None, n: int = N_BEST, with_ids:
                     best = [(x[0][1], [s for s, _ in x]) for x in found]
                 else:
                     best = g.best(texts)
-                for k, (t, (ids, scores)) in enumerate(zip(texts, best, strict=True)):
+                for ids, scores in best:
                     rows["n_pieces"].append(len(ids))
                     rows["ids_crc32"].append(zlib.crc32(ids.astype("<u4").tobytes()))
                     rows["scores"].append(scores)
-                    all_ids = rows["segmentations"][k] if with_segmentations else [ids]
-                    rows["round_trip"].append(g.returns(t, all_ids))
                     if with_ids:
                         rows["ids"].append(ids)
+                rows["round_trip"] = g.all_return(texts, rows["segmentations"] if with_segmentations else [[ids] for ids, _ in best])
                 arrays = {c: pa.array(x, kinds[c]) for c, x in rows.items() if c not in ("ids", "segmentations")}
                 arrays |= {"ids": _lists(rows["ids"])} if with_ids else {}
                 if with_segmentations:

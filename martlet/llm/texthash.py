@@ -7,8 +7,9 @@ it does modulo a power of two). The work arrays are about 80 times the buffer,
 so ``batches`` hashes CHUNK bytes at a time, cut at separators also within
 one very long text.
 
-``Known`` is keyed by the spelling itself; ``Checked`` by such hashes, with
-the bytes kept beside them and compared: a part is found only by its own bytes.
+``Known`` is keyed by the spelling itself, ``Packed`` by its bytes as a few
+64-bit words, many parts at once; ``Checked`` by such hashes, with the bytes kept
+beside them and compared: a part is found only by its own bytes.
 """
 
 from __future__ import annotations
@@ -229,7 +230,7 @@ class Known:
 
     def forget(self) -> None:
         self.row: dict = {}
-        self.held = 0
+        self.held = self.n = 0
         self.at, self.size = np.zeros(1024, dtype=np.int64), np.zeros(1024, dtype=np.int32)
         self.more = np.zeros((1024, self.extra))
         self.flat, self.used = np.zeros(1 << 16, dtype=self.kind), 0
@@ -240,20 +241,22 @@ class Known:
         if None in found:
             new = list(dict.fromkeys(p for p, r in zip(parts, found, strict=True) if r is None))
             longer = sum(map(len, new))
-            if len(self.row) + len(new) > self.limit or self.held + longer > self.limit_size:
+            if self.n + len(new) > self.limit or self.held + longer > self.limit_size:
                 self.forget()
                 new = list(dict.fromkeys(parts))
                 longer = sum(map(len, new))
                 found = [None] * len(parts)
-            self._add(new, *make(new))
+            a = self._add(*make(new))
+            self.row.update(zip(new, range(a, self.n), strict=True))
             self.held += longer
             found = [self.row[p] if r is None else r for p, r in zip(parts, found, strict=True)]
         return np.array(found, dtype=np.int64)
 
-    def _add(self, new: list, runs: np.ndarray, sizes: np.ndarray, more: np.ndarray | None) -> None:
+    def _add(self, runs: np.ndarray, sizes: np.ndarray, more: np.ndarray | None) -> int:
+        """The first of the rows added."""
         while self.used + len(runs) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        a, b = len(self.row), len(self.row) + len(new)
+        a, b = self.n, self.n + len(sizes)
         while b > len(self.at):
             self.at, self.size, self.more = (np.concatenate([x, np.zeros_like(x)]) for x in (self.at, self.size, self.more))
         self.flat[self.used:self.used + len(runs)] = runs
@@ -261,8 +264,8 @@ class Known:
         self.size[a:b] = sizes
         if self.extra:
             self.more[a:b] = more
-        self.used += len(runs)
-        self.row.update(zip(new, range(a, b), strict=True))
+        self.used, self.n = self.used + len(runs), b
+        return a
 
     def runs(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(the runs of these rows end to end, where each ends)."""
@@ -271,3 +274,95 @@ class Known:
         if not len(rows):
             return self.flat[:0], upto
         return self.flat[np.repeat(self.at[rows] - upto + size, size) + np.arange(upto[-1])], upto
+
+
+WORDS = 4
+#: The bytes of a little-endian word that belong to a part with 0 to 8 bytes from its start on.
+_masks = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=np.uint64)
+
+
+class Packed(Known):
+    """The same for parts of a byte buffer. Those of up to 8 * WORDS bytes are found
+    in a table with open addresses by their bytes as WORDS words and their length,
+    all at once; longer ones in the dictionary."""
+
+    def forget(self) -> None:
+        super().forget()
+        self.table = np.full(1 << 12, -1, dtype=np.int32)
+        self.words, self.length = [np.zeros(1024, dtype=np.uint64) for _ in range(WORDS)], np.zeros(1024, dtype=np.int64)
+
+    def spans(self, data: bytes, start: np.ndarray, end: np.ndarray, make: Callable[[list], tuple[np.ndarray, np.ndarray, np.ndarray | None]]) -> np.ndarray:
+        """The row of each part data[start:end]; ``make`` gets the bytes of new parts."""
+        size = end - start
+        padded = data + bytes(8 * WORDS)
+        view = np.ndarray(len(data) + 1 + 8 * (WORDS - 1), dtype="<u8", buffer=padded, strides=(1,))
+        words = [view[start + 8 * k if k else start] & _masks[np.clip(size - 8 * k, 0, 8)] for k in range(WORDS)]
+        found = self._find(words, size)
+        longer = np.flatnonzero(size > 8 * WORDS)
+        found[longer] = [self.row.get(data[i:j], -1) for i, j in zip(start[longer].tolist(), end[longer].tolist(), strict=True)]
+        new, more = self._new(data, start, end, np.flatnonzero(found < 0))
+        if self.n + len(new) > self.limit or self.held + more > self.limit_size:
+            self.forget()
+            found[:] = -1
+            new, more = self._new(data, start, end, np.arange(len(start)))
+        if new:
+            a = self._add(*make(list(new)))
+            self.held += more
+            one = np.fromiter(new.values(), dtype=np.int64, count=len(new))
+            self._keep(a, [w[one] for w in words], size[one])
+            rows = dict(zip(new, range(a, self.n), strict=True))
+            self.row.update((p, r) for p, r in rows.items() if len(p) > 8 * WORDS)
+            missing = np.flatnonzero(found < 0)
+            found[missing] = [rows[data[i:j]] for i, j in zip(start[missing].tolist(), end[missing].tolist(), strict=True)]
+        return found
+
+    def _new(self, data: bytes, start: np.ndarray, end: np.ndarray, missing: np.ndarray) -> tuple[dict[bytes, int], int]:
+        """(the different ones of the missing parts, each with one of its places; their bytes)."""
+        new = {data[i:j]: k for i, j, k in zip(start[missing].tolist(), end[missing].tolist(), missing.tolist(), strict=True)}
+        return new, sum(map(len, new))
+
+    def _path(self, words: list[np.ndarray], size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(first place in the table, distance to the next ones) of each part."""
+        h = size.astype(np.uint64)
+        for w in words:
+            h = (h ^ w) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+        last = len(self.table) - 1
+        return (h & np.uint64(last)).astype(np.int64), ((h >> np.uint64(40)) & np.uint64(last)).astype(np.int64) | 1
+
+    def _find(self, words: list[np.ndarray], size: np.ndarray) -> np.ndarray:
+        rows = np.full(len(size), -1, dtype=np.int64)
+        at, step = self._path(words, size)
+        left = np.arange(len(size))
+        while len(left):
+            row = self.table[at]
+            there = row >= 0
+            if not there.all():
+                left, row, at, step = left[there], row[there], at[there], step[there]
+            same = self.length[row] == size[left]
+            for kept, own in zip(self.words, words, strict=True):
+                same &= kept[row] == own[left]
+            rows[left[same]] = row[same]
+            left, at, step = left[~same], at[~same], step[~same]
+            at = (at + step) & (len(self.table) - 1)
+        return rows
+
+    def _keep(self, a: int, words: list[np.ndarray], size: np.ndarray) -> None:
+        """Puts the rows from a on into the table; those too long for it stay out."""
+        while self.n > len(self.length):
+            self.length = np.concatenate([self.length, np.zeros_like(self.length)])
+            self.words = [np.concatenate([w, np.zeros_like(w)]) for w in self.words]
+        self.length[a:self.n] = size
+        for kept, own in zip(self.words, words, strict=True):
+            kept[a:self.n] = own
+        if 2 * self.n > len(self.table):
+            self.table = np.full(1 << (4 * self.n).bit_length(), -1, dtype=np.int32)
+            a = 0
+        row = a + np.flatnonzero(self.length[a:self.n] <= 8 * WORDS)
+        at, step = self._path([w[row] for w in self.words], self.length[row])
+        while len(row):
+            free = self.table[at] < 0
+            self.table[at[free]] = row[free]  # of several on one place, one stays
+            left = self.table[at] != row
+            row, at, step = row[left], at[left], step[left]
+            at = (at + step) & (len(self.table) - 1)

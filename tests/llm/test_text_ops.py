@@ -347,3 +347,45 @@ def test_pieces_return_their_text():
         assert g.returns(t, [ids, ids]) and not g.returns(t + "x", [ids])
         assert not g.returns(t, [ids, np.append(ids, g.ids["x"])])
     assert g.returns(None, [np.zeros(0, dtype=np.int32)])
+
+
+def test_parts_are_found_by_their_bytes_all_at_once(monkeypatch):
+    made = []
+
+    def make(parts):
+        made.extend(parts)
+        return np.frombuffer(b"".join(parts), dtype=np.uint8).astype(np.int32), np.array([len(p) for p in parts]), None
+
+    def rows(k, parts):
+        ends = np.cumsum([len(p) for p in parts])
+        runs, upto = k.runs(k.spans(b"".join(parts), ends - [len(p) for p in parts], ends, make))
+        return [bytes(x.astype(np.uint8)) for x in np.split(runs, upto[:-1])]
+
+    rnd = random.Random(12)
+    parts = [b"a", b"a\0", b"a\0\0", b"\0", "é▁".encode(), b"x" * 32, b"x" * 33, b"x" * 31 + b"y", b"x" * 32 + b"y", b"12345678", b"123456789"]
+    parts += [bytes(rnd.choices(b"ab ", k=rnd.randrange(1, 12))) for _ in range(5000)]
+    k = texthash.Packed(np.int32, 100_000, 1 << 20)
+    assert rows(k, parts) == parts == rows(k, parts) and sorted(made) == sorted(set(parts))
+    assert all(len(p) > 8 * texthash.WORDS for p in k.row) and k.n == len(set(parts))
+    k, made[:] = texthash.Packed(np.int32, 3, 100), []
+    for some in (parts[:2], parts[1:3], parts[6:8], [b"z" * 200], parts[:1], parts):
+        assert rows(k, some) == some
+    assert made[:7] == [b"a", b"a\0", b"a\0\0", b"x" * 33, b"x" * 31 + b"y", b"z" * 200, b"a"]
+    monkeypatch.setattr(texthash.Packed, "_path", lambda self, words, size: (np.zeros(len(size), dtype=np.int64), np.ones(len(size), dtype=np.int64)))
+    k = texthash.Packed(np.int32, 1000, 1 << 20)  # all in one place of the table
+    assert rows(k, parts[:60]) == parts[:60] == rows(k, parts[:60])
+
+
+def test_pieces_of_many_texts_are_decoded_together(monkeypatch):
+    g = pieces.Lattice()
+    texts = ["two words", None, " lead\n日本 ▁ é😀 ", "", "x"] * 20
+    runs = [[x for _, x in found] for found in g.segmentations(texts)]
+    asked = []
+    monkeypatch.setattr(g, "returns", lambda t, r, f=g.returns: (asked.append(t), f(t, r))[1])
+    assert g.all_return(texts, runs) == [True] * 100 and not asked and g.all_return([], []) == []
+    runs[7] = [*runs[7][:-1], np.append(runs[7][-1], g.ids["x"])]
+    assert g.all_return(texts, runs) == [i != 7 for i in range(100)]
+    one, two = (g.n_best(t)[0][1] for t in ("a", "b c"))
+    assert g.all_return(["a b", "c"], [[np.array(one)], [np.array(two)]]) == [False, False]
+    monkeypatch.setattr(pieces, "DECODED", 10)
+    assert g.all_return(texts, runs) == [i != 7 for i in range(100)]
