@@ -1,10 +1,13 @@
 """Embedding dedup, n-gram join, wrappers and the pipeline against brute force."""
 
 import math
+import os
 import random
+import uuid
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from martlet.llm import embedding_dedup, html_wrappers, line_dedup, mixing, ngram_join, pieces, quality
@@ -314,3 +317,118 @@ def test_components_cuts_small_plans(spark, monkeypatch):
     got = {(r.node, r.component) for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {(k, 1) for k in range(1, 40)} | {(k, 50) for k in range(50, 61)}
     assert max(leaves) <= 10
+
+
+def passages(n=120):
+    """Texts of their own words, each with a passage of the text before and one of the next; every tenth has a near copy."""
+    rnd, rows = random.Random(8), []
+    for i in range(n):
+        own = [f"o{i}x{k}" for k in range(60)]
+        text = [f"p{i}x{k}" for k in range(25)] + own + [f"p{i + 1}x{k}" for k in range(25)]
+        rows.append((2 * i, " ".join(text)))
+        if i % 10 == 0:
+            text[rnd.randrange(30, 80)] = "other"
+            rows.append((2 * i + 1, " ".join(text)))
+    return rows
+
+
+def test_texts_of_near_copies_only_are_sent(spark, monkeypatch, tmp_path, in_duckdb, same_rows):
+    """Passages join all texts into one group of many tiles; texts without a near copy stay where they are."""
+    compare, at = ngram_join._compare, str(tmp_path)
+
+    def counted(width, percent):
+        run = compare(width, percent)
+
+        def count(key, table):
+            with open(f"{at}/{uuid.uuid4().hex}", "w") as f:
+                f.write(str(table.num_rows))
+            return run(key, table)
+
+        return count
+
+    monkeypatch.setattr(ngram_join, "_compare", counted)
+    monkeypatch.setattr(ngram_join, "LEAD_PERCENT", 1)
+    d = spark.createDataFrame(passages(), "doc_id long, text string")
+    got = ngram_join.ngram_join(d, tile=8).select("doc_id", "n_shingles", "component_id").localCheckpoint()
+    assert sum(int(p.read_text()) for p in tmp_path.iterdir()) == 24
+    assert {(r.doc_id, r.component_id) for r in got.collect() if r.doc_id != r.component_id} == {(20 * i + 1, 20 * i) for i in range(12)}
+    same_rows(got, in_duckdb(d, ngram_join.oracle()))
+
+
+@pytest.mark.parametrize("percent", [60, 80, 90])
+def test_sketches_part_no_linked_pair(percent):
+    rng = np.random.default_rng(percent)
+    sets = []
+    for n in (1, 2, 9, 31, 32, 33, 120, 500, 511, 512, 700, 2000):
+        base = rng.integers(0, 1 << 63, n, dtype=np.uint64)
+        for cut in (0, 0, n // 20, n // 8, n // 4, n // 2):
+            sets.append(np.unique(np.concatenate([base[cut:], rng.integers(0, 1 << 63, cut // 3, dtype=np.uint64)])))
+    order = rng.permutation(len(sets))
+    sets = [sets[i] for i in order]
+    size = np.array([len(s) for s in sets])
+    linked = [(i, j) for i in range(len(sets)) for j in range(i) if 100 * (o := ngram_join.overlap(sets[i], sets[j])) >= percent * (size[i] + size[j] - o)]
+    for side in (np.zeros(len(sets), dtype=int), np.arange(len(sets)) % 2):
+        root = ngram_join.sketch_roots(size, [ngram_join.sketch(s) for s in sets], side, percent)
+        assert len(linked) > 20 and all(root[i] == root[j] for i, j in linked if not side.any() or side[i] != side[j])
+        assert len(set(root.tolist())) >= 6  # not all in one
+
+
+def test_buckets_return_what_several_nodes_hold(monkeypatch):
+    rng = np.random.default_rng(3)
+    node = rng.integers(0, 1 << 48, 40)
+    node[7] = node[5]  # copies
+    keys = [np.unique(rng.integers(-(1 << 63), 1 << 63, 300)[:rng.integers(0, 40)]) for _ in node]
+    keys[7] = keys[5]
+    for i in range(0, 40, 4):
+        keys[i] = np.unique(np.concatenate([keys[i], keys[(i + 3) % 40][:5], keys[1][:i % 3]]))
+    holders = {}
+    for n, some in zip(node.tolist(), keys, strict=True):
+        for k in some.tolist():
+            holders.setdefault(k, set()).add(n)
+    want = sorted(sorted(h) for h in holders.values() if len(h) > 1)
+    monkeypatch.setattr(ngram_join, "BUCKET_KEYS", 10)  # several rows for a batch
+    frames = [pa.RecordBatch.from_pydict({"node": pa.array(node[a:a + 16]), "keys": pa.array([k.tolist() for k in keys[a:a + 16]], pa.list_(pa.int64()))}) for a in (0, 16, 32)]
+    rows = [r for b in ngram_join._deal(7)(iter(frames)) for r in b.column(0).to_pylist()]
+    assert len(rows) > 3 and {len(r) for r in rows} == {7}
+    got = {}
+    for k in range(7):
+        found = ngram_join._shared((pa.scalar(k),), pa.table({"holders": pa.array([r[k] for r in rows], pa.binary())}))
+        for r in found.to_pylist():
+            got.setdefault(r["key"], []).append(r["node"])
+    assert sorted(sorted(v) for v in got.values()) == want
+
+
+def test_files_of_hashes_are_deleted(spark, monkeypatch):
+    """What the join no longer reads leaves the disk before texts are sent."""
+    paths, cut = [], ngram_join.cut
+
+    def noted(df):
+        done = cut(df)
+        at = done._jdf.queryExecution().analyzed().rdd().getCheckpointFile().get()
+        paths.append((done.columns, at, [os.path.exists(p.removeprefix("file:")) for c, p, _ in paths if "keys" in c]))
+        return done
+
+    monkeypatch.setattr(ngram_join, "cut", noted)
+    ngram_join.ngram_join(near_copies(spark)).collect()
+    assert "keys" in paths[0][0] and paths[1][2] == [True] and paths[-1][2] == [False]
+
+
+@pytest.mark.parametrize("most", [0, 10**6])
+def test_components_in_rounds_and_in_one_task(spark, monkeypatch, most):
+    from martlet.llm import common
+
+    monkeypatch.setattr(common, "ONE_TASK", most)
+    r = random.Random(12)
+    edges = [(r.randrange(-60, 60), r.randrange(-60, 60)) for _ in range(50)] + [(k + 1, k) for k in range(500, 530)] + [(900, k) for k in range(700, 720)] + [(5, 5), (None, 3), (2000, None)]
+    low = {}
+
+    def find(x):
+        while low.setdefault(x, x) != x:
+            x = low[x]
+        return x
+
+    for a, b in edges:
+        if a is not None and b is not None and a != b:
+            low[max(find(a), find(b))] = min(find(a), find(b))
+    got = [(x.node, x.component) for x in common.components(spark.createDataFrame(edges, "a long, b long")).collect()]
+    assert sorted(got) == sorted((x, find(x)) for x in low)
