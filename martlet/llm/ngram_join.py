@@ -37,7 +37,8 @@ Only texts of the finer groups travel, once by document to their group's tiles
 (once for each block of the same and the adjacent bands where near copies alone
 fill several tiles). A task holds at most two blocks. Within one large group
 sketches of a band still meet pair by pair: this is quadratic in the documents
-of a band of a group, not in the corpus, and in time, not in disk.
+of a band of a group, not in the corpus; on disk that is a sketch (n / 8 to n / 4
+bytes) for each block around, no text.
 
 Null and empty texts have no set: n_shingles 0, linked with nothing, their
 own component. A text with fewer words than the shingle is one shingle.
